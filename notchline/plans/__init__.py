@@ -1,10 +1,13 @@
 """Keyed queries over the stand-in tables and their SQL oracles.
 
-Importing this package registers every query in ``registry.QUERIES``.
+Importing this package registers every query in ``registry.QUERIES`` and its
+oracle in ``registry.ORACLE``.
 """
 
-from notchline.plans import matching_queries  # noqa: F401
-from notchline.plans.oracle import ORACLE
-from notchline.plans.registry import QUERIES
+from notchline.plans import (  # noqa: F401
+    ingest_queries,
+    matching_queries,
+)
+from notchline.plans.registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from notchline import constants as C
 from notchline.operators.matching import attribute, band_match, latest_per_tool
 from notchline.plans import model
+from notchline.plans import oracle as O
 from notchline.plans.registry import query
 from notchline.sources.tables import Tables
 
@@ -19,7 +20,11 @@ def _candidates(t: Tables) -> DataFrame:
     return band_match(det, arm, C.OFF, repeat="right")
 
 
-@query("band_match")
+@query(
+    "band_match",
+    oracle=f"""WITH {O.DET}, {O.ARM}
+SELECT d.c_custkey, a.s_suppkey FROM det d JOIN arm a ON {O.band_cond()}""",
+)
 def band_match_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#27: detection x arm pairs under JON-5, bucketed (no nested-loop join)."""
     t = Tables(spark, sf_dir)
@@ -34,7 +39,11 @@ def attribution(t: Tables) -> DataFrame:
     return attribute(cand, latest, "c_custkey", "s_suppkey")
 
 
-@query("tool_attribution")
+@query(
+    "tool_attribution",
+    oracle=f"""WITH {O.DET}, {O.ARM}, {O.HIST_LATEST}, {O.ATTR}
+SELECT c_custkey, s_suppkey, tool, area, strftime(last_ts, '%Y%m%d') AS last_time FROM attr""",
+)
 def tool_attribution_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#30 (flagship): detections band-matched to arms, kept when the tool handled
     the unit up to ASOF, with the tool's latest time and its area."""

@@ -1,4 +1,4 @@
-"""DuckDB SQL twins of the keyed queries, over the pre-registered table views.
+"""Shared fragments of the DuckDB SQL twins of the keyed queries.
 
 Written in the direct (textbook) form -- nested-loop band predicates, correlated
 ranges, ``row_number`` -- so each one checks the Spark plan's rewrites rather
@@ -52,15 +52,3 @@ ATTR = f"""attr AS (
   SELECT d.c_custkey, a.s_suppkey, a.tool, a.area, h.last_ts
   FROM det d JOIN arm a ON {band_cond()}
   JOIN hist h ON h.o_custkey = d.c_custkey AND h.l_suppkey = a.s_suppkey)"""
-
-ORACLE: dict[str, str] = {}
-
-ORACLE["band_match"] = f"""
-WITH {DET}, {ARM}
-SELECT d.c_custkey, a.s_suppkey FROM det d JOIN arm a ON {band_cond()}
-"""
-
-ORACLE["tool_attribution"] = f"""
-WITH {DET}, {ARM}, {HIST_LATEST}, {ATTR}
-SELECT c_custkey, s_suppkey, tool, area, strftime(last_ts, '%Y%m%d') AS last_time FROM attr
-"""

@@ -18,6 +18,7 @@ from pyspark.sql import SparkSession
 # sort-merge otherwise), coalesces small partitions and splits skewed ones.
 _DEFAULTS = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
