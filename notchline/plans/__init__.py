@@ -6,6 +6,7 @@ oracle in ``registry.ORACLE``.
 
 from notchline.plans import (  # noqa: F401
     gate_queries,
+    history_queries,
     ingest_queries,
     matching_queries,
 )

@@ -80,3 +80,85 @@ def points(t: Tables) -> DataFrame:
         point_class().alias("class_no"),
         (F.col("l_linestatus") == "O").alias("is_back"),
     )
+
+
+# ---- lookup files and history tables rendered from the stand-in tables -------
+
+
+def _s(c) -> F.Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("string")
+
+
+def arm_csv_lines(t: Tables) -> DataFrame:
+    """The arm dimension CSV as text lines: one 14-field line per supplier
+    (d1 text ``x`` on every 7th to exercise the fallback, rotation ``YES <n>deg``
+    or ``NO``, side ``FRONT`` / ``BACK`` / empty, which Java-style splitting
+    drops) plus a 3-field section line per nation, which the parser skips."""
+    s = t.supplier
+    n = t.nation.select("n_nationkey", "n_name", "n_regionkey")
+    sn = s.join(n, s.s_nationkey == n.n_nationkey)
+    d1 = F.when(F.col("s_suppkey") % 7 == 0, F.lit("x")).otherwise(
+        _s(F.col("s_acctbal").cast("decimal(18,2)"))
+    )
+    d2 = _s((F.col("s_acctbal") / 2.0).cast("decimal(18,3)"))
+    rot = F.when(F.col("s_nationkey") % 5 == 0, F.lit("NO")).otherwise(
+        F.concat(F.lit("YES "), _s((F.col("s_nationkey") * 14.4).cast("decimal(10,1)")), F.lit("deg"))
+    )
+    side = (
+        F.when(F.col("s_suppkey") % 3 == 0, F.lit("FRONT"))
+        .when(F.col("s_suppkey") % 3 == 1, F.lit("BACK"))
+        .otherwise(F.lit(""))
+    )
+    arm_lines = sn.select(
+        F.concat_ws(
+            ",",
+            _s("s_suppkey"), F.col("n_name"), F.concat(F.lit("R"), _s("n_regionkey")), F.lit("M"),
+            F.col("s_name"), F.lit(""), F.lit(""), F.lit(""), d1, d2, F.lit(""), F.lit(""), rot, side,
+        ).alias("value")
+    )
+    section_lines = n.select(
+        F.concat_ws(",", F.lit("#"), F.col("n_name"), _s("n_regionkey")).alias("value")
+    )
+    return arm_lines.unionByName(section_lines)
+
+
+def device_lines(t: Tables) -> DataFrame:
+    """The device reference CSV: one line per nation,
+    ``key,name,region,R<region>,<flat>`` with flat = (key % 4) * 90, kept in file
+    order (region, key) so a name can be found inside an earlier line first."""
+    n = t.nation
+    return n.select(
+        F.col("n_nationkey").alias("line_key"),
+        F.col("n_regionkey").alias("line_group"),
+        F.concat_ws(
+            ",",
+            _s("n_nationkey"), F.col("n_name"), _s("n_regionkey"),
+            F.concat(F.lit("R"), _s("n_regionkey")), _s((F.col("n_nationkey") % 4) * 90),
+        ).alias("line"),
+    )
+
+
+def history_index(t: Tables) -> DataFrame:
+    """History index rows: key ``<c_name>_<yyyymmdd>_<orderkey>``, value = the
+    history rowkey ``<yyyymmdd>_<orderkey>``."""
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    c = t.customer.select("c_custkey", "c_name")
+    day = F.date_format("o_orderdate", "yyyyMMdd")
+    rowkey = F.concat_ws("_", day, _s("o_orderkey"))
+    return o.join(c, o.o_custkey == c.c_custkey).select(
+        F.concat_ws("_", F.col("c_name"), rowkey).alias("index_key"),
+        rowkey.alias("value"),
+    )
+
+
+def history_rows(t: Tables) -> DataFrame:
+    """History rows ``(rowkey, rundata)`` with ``rundata = run,<tool>,<station>``,
+    present only for runs that have points (others are missing, as in a store
+    where the index outlives the row)."""
+    o = t.orders
+    li = t.lineitem.select("l_orderkey")
+    kept = o.join(li, o.o_orderkey == li.l_orderkey, "left_semi")
+    return kept.select(
+        F.concat_ws("_", F.date_format("o_orderdate", "yyyyMMdd"), _s("o_orderkey")).alias("rowkey"),
+        F.concat_ws(",", F.lit("run"), F.col("o_orderpriority"), F.col("o_orderstatus")).alias("rundata"),
+    )

@@ -52,3 +52,45 @@ ATTR = f"""attr AS (
   SELECT d.c_custkey, a.s_suppkey, a.tool, a.area, h.last_ts
   FROM det d JOIN arm a ON {band_cond()}
   JOIN hist h ON h.o_custkey = d.c_custkey AND h.l_suppkey = a.s_suppkey)"""
+
+# ---- rendered lookup files and history tables --------------------------------
+
+ARM_LINES = f"""arm_lines AS (
+  SELECT CAST(s_suppkey AS VARCHAR) || ',' || n_name || ',R' || CAST(n_regionkey AS VARCHAR) || ',M,' ||
+    s_name || ',,,,' ||
+    CASE WHEN s_suppkey % 7 = 0 THEN 'x' ELSE CAST(CAST(s_acctbal AS DECIMAL(18,2)) AS VARCHAR) END || ',' ||
+    CAST(CAST(s_acctbal / {D(2)} AS DECIMAL(18,3)) AS VARCHAR) || ',,,' ||
+    CASE WHEN s_nationkey % 5 = 0 THEN 'NO'
+         ELSE 'YES ' || CAST(CAST(s_nationkey * {D(14.4)} AS DECIMAL(10,1)) AS VARCHAR) || 'deg' END || ',' ||
+    CASE s_suppkey % 3 WHEN 0 THEN 'FRONT' WHEN 1 THEN 'BACK' ELSE '' END AS value
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey
+  UNION ALL
+  SELECT '#,' || n_name || ',' || CAST(n_regionkey AS VARCHAR) AS value FROM nation)"""
+
+ARM_PARSED = f"""arm_split AS (
+  SELECT string_split(regexp_replace(value, ',+$', ''), ',') AS f FROM arm_lines),
+arm_parsed AS (
+  SELECT f[1] AS arm_key, f[2] AS area, f[5] AS tool,
+    CASE WHEN length(f[9]) > 0 THEN TRY_CAST(f[9] AS DOUBLE) END AS d1,
+    CASE WHEN length(f[10]) > 0 THEN TRY_CAST(f[10] AS DOUBLE) END AS d2,
+    CASE WHEN contains(f[13], 'YES') AND len(string_split(f[13], ' ')) > 1
+         THEN CASE WHEN length(replace(trim(string_split(f[13], ' ')[2]), 'deg', '')) > 0
+                   THEN TRY_CAST(replace(trim(string_split(f[13], ' ')[2]), 'deg', '') AS DOUBLE) END END AS rot,
+    CASE WHEN f[14] IN ('FRONT', 'BACK') THEN f[14] END AS side
+  FROM arm_split WHERE len(f) >= 5)"""
+
+DEVICE_LINES = """device_lines AS (
+  SELECT n_nationkey AS line_key, n_regionkey AS line_group,
+    CAST(n_nationkey AS VARCHAR) || ',' || n_name || ',' || CAST(n_regionkey AS VARCHAR) || ',R' ||
+    CAST(n_regionkey AS VARCHAR) || ',' || CAST(n_nationkey % 4 * 90 AS VARCHAR) AS line
+  FROM nation)"""
+
+HIST_INDEX = """hidx AS (
+  SELECT c_name || '_' || strftime(o_orderdate, '%Y%m%d') || '_' || CAST(o_orderkey AS VARCHAR) AS index_key,
+         strftime(o_orderdate, '%Y%m%d') || '_' || CAST(o_orderkey AS VARCHAR) AS value
+  FROM orders JOIN customer ON o_custkey = c_custkey)"""
+
+HIST_ROWS = """hrows AS (
+  SELECT strftime(o_orderdate, '%Y%m%d') || '_' || CAST(o_orderkey AS VARCHAR) AS rowkey,
+         'run,' || o_orderpriority || ',' || o_orderstatus AS rundata
+  FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey))"""
