@@ -93,3 +93,39 @@ def band_join(
     else:
         out = out.drop(_BK)
     return out
+
+
+def multi_band_join(
+    left: DataFrame,
+    right: DataFrame,
+    bands: Sequence[tuple[str, str, float]],
+    *,
+    keys: Sequence[tuple[str, str]] = (),
+    residual: Column | None = None,
+    how: str = "inner",
+) -> DataFrame:
+    """Rows with ``|l - r| <= tol`` for every ``(l, r, tol)`` in ``bands`` and
+    ``left[a] == right[b]`` for every ``(a, b)`` in ``keys``.
+
+    Each band gets its own bucket; the right side is repeated into the 3^d
+    neighbouring bucket cells, so candidates are close in every dimension at once
+    (a busy key contributes only pairs that are near in time *and* value, never
+    all of its pairs). Column names of the two sides must be distinct.
+    """
+    lcols, rcols = [], []
+    lside, rside = left, right
+    for i, (lv, rv, tol) in enumerate(bands):
+        lb, rb = f"__lb{i}", f"__rb{i}"
+        lside = lside.withColumn(lb, bucket_of(F.col(lv), float(tol)))
+        rside = rside.withColumn(rb, F.explode(neighbour_buckets(F.col(rv), float(tol))))
+        lcols.append(lb)
+        rcols.append(rb)
+    eq = [lside[a] == rside[b] for a, b in keys]
+    eq += [lside[a] == rside[b] for a, b in zip(lcols, rcols)]
+    cond = reduce(lambda a, b: a & b, eq)
+    for lv, rv, tol in bands:
+        cond = cond & (F.abs(lside[lv] - rside[rv]) <= float(tol))
+    if residual is not None:
+        cond = cond & residual
+    out = lside.join(rside, cond, how)
+    return out.drop(*lcols, *rcols)

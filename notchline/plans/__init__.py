@@ -9,6 +9,7 @@ from notchline.plans import (  # noqa: F401
     history_queries,
     ingest_queries,
     matching_queries,
+    pattern_queries,
 )
 from notchline.plans.registry import ORACLE, QUERIES
 
