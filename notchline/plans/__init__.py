@@ -10,6 +10,7 @@ from notchline.plans import (  # noqa: F401
     ingest_queries,
     matching_queries,
     pattern_queries,
+    sink_queries,
 )
 from notchline.plans.registry import ORACLE, QUERIES
 
