@@ -1,0 +1,20 @@
+"""Partitioning helpers."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+
+
+def spread_if_undersplit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Hash-spread ``df`` on ``cols`` over the cluster's default parallelism when
+    its source has fewer partitions than that (e.g. one large single-row-group
+    file). Meant for the input of a row-expanding step: the spread moves the
+    narrow rows before the expansion, so the expansion and its arithmetic run on
+    every core. Hashing on the full row (not only the group key) keeps a hot
+    group spread too. A well-split source is returned unchanged (no shuffle)."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *cols)

@@ -15,6 +15,20 @@ from pyspark.sql import functions as F
 
 from notchline import constants as C
 from notchline.functions.geometry import line_distance, theta_of_bin
+from notchline.operators.partitioning import spread_if_undersplit
+
+
+def round6(v: F.Column) -> F.Column:
+    """``v`` rounded half-up to 6 decimals in double arithmetic (exact integer
+    micro-units before the final scale). Used before binning so last-digit
+    differences in cos/sin cannot move a value across a bin edge; cheaper than
+    decimal rounding and written the same way in the SQL oracle."""
+    return F.floor(v * 1e6 + 0.5)
+
+
+def bin_of(v: F.Column, width: float) -> F.Column:
+    """Bin number ``floor(round6(v) / width)`` computed on micro-units."""
+    return F.floor(round6(v) / (width * 1e6))
 
 
 def hough_votes(
@@ -26,14 +40,16 @@ def hough_votes(
     r_bin: float = C.R_BIN,
 ) -> DataFrame:
     """Votes per (run, theta_bin, r_bin). ``r`` is rounded to 6 places before
-    binning so that last-digit differences in cos/sin cannot move a point
-    across a bin edge. Only the three key columns leave the explode, and partial
-    aggregation collapses them before the shuffle."""
+    binning (``bin_of``). Only the three key columns leave the explode, and partial
+    aggregation collapses them before the shuffle (for a run with many points
+    most of its votes share bins, so a hot run shrinks map-side). An under-split
+    source is spread first so the 18x expansion runs on every core."""
     k = F.col("theta_bin")
     r = line_distance(F.col(x), F.col(y), theta_of_bin(k, bins))
+    src = spread_if_undersplit(points.select(run, x, y), [run, x, y])
     return (
-        points.select(run, x, y, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("theta_bin"))
-        .select(run, "theta_bin", F.floor(F.round(r, 6) / r_bin).alias("r_bin"))
+        src.select(run, x, y, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("theta_bin"))
+        .select(run, "theta_bin", bin_of(r, r_bin).alias("r_bin"))
         .groupBy(run, "theta_bin", "r_bin")
         .agg(F.count(F.lit(1)).alias("votes"))
     )
@@ -99,8 +115,8 @@ def density_grid(points: DataFrame, run: str, x: str, y: str, gx: float = C.GRID
     return (
         points.select(
             run,
-            F.floor(F.round(F.col(x), 6) / gx).alias("gx"),
-            F.floor(F.round(F.col(y), 6) / gy).alias("gy"),
+            bin_of(F.col(x), gx).alias("gx"),
+            bin_of(F.col(y), gy).alias("gy"),
         )
         .groupBy(run, "gx", "gy")
         .agg(F.count(F.lit(1)).alias("n_points"))

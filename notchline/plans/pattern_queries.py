@@ -26,12 +26,16 @@ POINTS_SQL = f"""pts AS (SELECT l_orderkey AS run_id, l_quantity AS x, l_discoun
   l_linestatus = 'O' AS is_back FROM lineitem)"""
 
 
+def bin_sql(v: str, width: float) -> str:
+    """SQL twin of ``patterns.bin_of``."""
+    return f"CAST(floor(floor(({v}) * {D(1e6)} + {D(0.5)}) / {D(width * 1e6)}) AS BIGINT)"
+
+
 def lines_sql(src: str, name: str, where: str = "TRUE") -> str:
     """CTEs ``{name}_v`` (votes) and ``{name}`` (top lines) over points CTE ``src``."""
     return f"""{name}_v AS (
   SELECT run_id, CAST(k AS INTEGER) AS theta_bin,
-    CAST(floor(round(x * cos(k * pi() / {D(C.THETA_BINS)}) + y * sin(k * pi() / {D(C.THETA_BINS)}), 6)
-               / {D(C.R_BIN)}) AS BIGINT) AS r_bin
+    {bin_sql(f"x * cos(k * pi() / {D(C.THETA_BINS)}) + y * sin(k * pi() / {D(C.THETA_BINS)})", C.R_BIN)} AS r_bin
   FROM {src}, range({C.THETA_BINS}) t(k) WHERE {where}),
 {name} AS (
   SELECT run_id, CAST(line_no AS INTEGER) AS line_no, theta_bin, r_bin, votes FROM (
@@ -206,8 +210,7 @@ def consolidate_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "density_grid",
     oracle=f"""WITH {POINTS_SQL}
-SELECT run_id, CAST(floor(round(x, 6) / {D(C.GRID_X)}) AS BIGINT) AS gx,
-  CAST(floor(round(y, 6) / {D(C.GRID_Y)}) AS BIGINT) AS gy, count(*) AS n_points
+SELECT run_id, {bin_sql("x", C.GRID_X)} AS gx, {bin_sql("y", C.GRID_Y)} AS gy, count(*) AS n_points
 FROM pts GROUP BY ALL""",
 )
 def density_grid_q(spark: SparkSession, sf_dir: str) -> DataFrame:
