@@ -38,44 +38,95 @@ def hough_votes(
     y: str,
     bins: int = C.THETA_BINS,
     r_bin: float = C.R_BIN,
+    voting: F.Column | None = None,
+    register: bool = False,
 ) -> DataFrame:
     """Votes per (run, theta_bin, r_bin). ``r`` is rounded to 6 places before
     binning (``bin_of``). Only the three key columns leave the explode, and partial
     aggregation collapses them before the shuffle (for a run with many points
     most of its votes share bins, so a hot run shrinks map-side). An under-split
-    source is spread first so the 18x expansion runs on every core."""
+    source is spread first so the 18x expansion runs on every core.
+
+    ``voting``: points where it is false do not vote. ``register``: every point
+    also lands in one zero-vote cell of its run (theta_bin -1, r_bin null), so
+    every run of ``points`` is present downstream without a second scan."""
+    vote = F.lit(True) if voting is None else F.coalesce(voting, F.lit(False))
+    src = spread_if_undersplit(points.select(run, x, y, vote.alias("__vote")), [run, x, y])
     k = F.col("theta_bin")
     r = line_distance(F.col(x), F.col(y), theta_of_bin(k, bins))
-    src = spread_if_undersplit(points.select(run, x, y), [run, x, y])
+    reg = [F.lit(-1)] if register else []
+    cells = F.when(
+        F.col("__vote"), F.concat(F.sequence(F.lit(0), F.lit(bins - 1)), F.array(*reg).cast("array<int>"))
+    ).otherwise(F.array(*reg).cast("array<int>"))
+    real = F.col("__vote") & (k >= 0)
     return (
-        src.select(run, x, y, F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("theta_bin"))
-        .select(run, "theta_bin", bin_of(r, r_bin).alias("r_bin"))
+        src.select(run, x, y, "__vote", F.explode(cells).alias("theta_bin"))
+        .select(run, "theta_bin", F.when(real, bin_of(r, r_bin)).alias("r_bin"), real.alias("__real"))
         .groupBy(run, "theta_bin", "r_bin")
-        .agg(F.count(F.lit(1)).alias("votes"))
+        .agg(F.count(F.when(F.col("__real"), F.lit(1))).alias("votes"))
     )
 
 
-def top_lines(votes: DataFrame, run: str, min_votes: int = C.MIN_VOTES, top: int = C.TOP_LINES) -> DataFrame:
-    """The ``top`` best-voted bins per run with at least ``min_votes`` votes,
-    numbered 1.. (ties: lower theta bin, then lower r bin). The rank filter lets
-    Spark insert a per-partition group limit before the shuffle."""
+def rank_bins(votes: DataFrame, run: str, top: int = C.TOP_LINES, min_votes: int | None = None) -> DataFrame:
+    """The ``top`` best-voted bins per run, numbered 1.. (ties: lower theta bin,
+    then lower r bin). The rank filter lets Spark insert a per-partition group
+    limit before the shuffle. With ``min_votes`` weaker bins are dropped first;
+    without it every run keeps its best bins, and since a bin with at least
+    ``min_votes`` votes outranks every weaker one, filtering afterwards gives the
+    same lines."""
     w = Window.partitionBy(run).orderBy(F.col("votes").desc(), F.col("theta_bin"), F.col("r_bin"))
-    return (
-        votes.where(F.col("votes") >= min_votes)
-        .withColumn("line_no", F.row_number().over(w))
-        .where(F.col("line_no") <= top)
-    )
+    v = votes if min_votes is None else votes.where(F.col("votes") >= min_votes)
+    return v.withColumn("line_no", F.row_number().over(w)).where(F.col("line_no") <= top)
 
 
 def detect_lines(points: DataFrame, run: str, x: str, y: str) -> DataFrame:
-    """AGG-10: ``(run, line_no, theta_bin, r_bin, votes)``."""
-    return top_lines(hough_votes(points, run, x, y), run).select(
+    """AGG-10: ``(run, line_no, theta_bin, r_bin, votes)``: the TOP_LINES
+    best-voted bins per run with at least MIN_VOTES votes."""
+    return rank_bins(hough_votes(points, run, x, y), run, min_votes=C.MIN_VOTES).select(
         run, "line_no", "theta_bin", "r_bin", "votes"
     )
 
 
+def summarize_runs(
+    points: DataFrame,
+    run: str,
+    x: str,
+    y: str,
+    side: str = C.SIDE_FRONT,
+    voting: F.Column | None = None,
+) -> DataFrame:
+    """AGG-4 + WIN-1 + SCL-13 in one pass: summary rows ``(run, qualifier, value)``
+    for every run of ``points`` -- ``<side>NO_yES`` (line count, 0 kept) and
+    ``<side>y<k>`` = ``THETA:<theta_bin>,R:<r_bin>`` per line. Only points where
+    ``voting`` holds vote (the side pass); the others just register their run.
+
+    The ranked bins are already partitioned by run, so gathering a run's (at most
+    TOP_LINES) lines is a local aggregate: no second scan, no join, no shuffle."""
+    votes = hough_votes(points, run, x, y, voting=voting, register=True)
+    # keep qualifying bins and each run's registration cell; the latter has no
+    # votes, so it can never displace a line from the top ranks
+    kept = votes.where((F.col("votes") >= C.MIN_VOTES) | (F.col("theta_bin") < 0))
+    ranked = rank_bins(kept, run)
+    line = F.struct(
+        F.concat(F.lit(side + C.Q_DETECTION), F.col("line_no").cast("string")).alias("qualifier"),
+        F.concat(
+            F.lit("THETA:"), F.col("theta_bin").cast("string"), F.lit(",R:"), F.col("r_bin").cast("string")
+        ).alias("value"),
+    )
+    per_run = ranked.groupBy(run).agg(
+        F.collect_list(F.when(F.col("votes") >= C.MIN_VOTES, line)).alias("__lines")
+    )
+    count_row = F.struct(
+        F.lit(side + C.Q_COUNT).alias("qualifier"), F.size("__lines").cast("string").alias("value")
+    )
+    return per_run.select(run, F.inline(F.concat(F.array(count_row), F.col("__lines"))))
+
+
 def summary_entries(runs: DataFrame, lines: DataFrame, run: str, side: str = C.SIDE_FRONT) -> DataFrame:
-    """AGG-4 + WIN-1 + SCL-13: long summary rows ``(run, qualifier, value)``:
+    """Summary rows from a given runs table and a given lines table (any line
+    source); ``summarize_runs`` is the one-pass form over points.
+
+    Long rows ``(run, qualifier, value)``:
     ``<side>NO_yES`` = number of lines (0 kept for every run in ``runs``) and
     ``<side>y<k>`` = ``THETA:<theta_bin>,R:<r_bin>`` per line k.
 

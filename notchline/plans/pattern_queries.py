@@ -13,7 +13,7 @@ from notchline.operators.patterns import (
     density_grid,
     detect_lines,
     side_writer_filter,
-    summary_entries,
+    summarize_runs,
 )
 from notchline.plans import model
 from notchline.plans.oracle import D
@@ -72,8 +72,7 @@ def summary_entries_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#24: the summary map as long rows: line count per run (0 kept) and one
     ``THETA:..,R:..`` entry per line."""
     p = _points(Tables(spark, sf_dir))
-    runs = p.select("run_id").distinct()
-    return summary_entries(runs, detect_lines(p, "run_id", "x", "y"), "run_id", C.SIDE_FRONT)
+    return summarize_runs(p, "run_id", "x", "y", C.SIDE_FRONT)
 
 
 @query(
@@ -89,9 +88,7 @@ def summary_side_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``B`` prefix, so the back writer's filter can never keep them and that pass is
     not computed for it."""
     p = _points(Tables(spark, sf_dir))
-    runs = p.select("run_id").distinct()
-    back = detect_lines(p.where(F.col("is_back")), "run_id", "x", "y")
-    e = summary_entries(runs, back, "run_id", C.SIDE_BACK)
+    e = summarize_runs(p, "run_id", "x", "y", C.SIDE_BACK, voting=F.col("is_back"))
     return e.where(side_writer_filter(F.col("qualifier"), C.SIDE_BACK))
 
 
