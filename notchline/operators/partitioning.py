@@ -13,7 +13,11 @@ def spread_if_undersplit(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     file). Meant for the input of a row-expanding step: the spread moves the
     narrow rows before the expansion, so the expansion and its arithmetic run on
     every core. Hashing on the full row (not only the group key) keeps a hot
-    group spread too. A well-split source is returned unchanged (no shuffle)."""
+    group spread too. A well-split source is returned unchanged (no shuffle).
+
+    Use it on a direct scan: counting the partitions of an input that already
+    contains a shuffle would run that shuffle's stages (and such an input is
+    spread over the shuffle partitions anyway)."""
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df

@@ -40,6 +40,7 @@ def hough_votes(
     r_bin: float = C.R_BIN,
     voting: F.Column | None = None,
     register: bool = False,
+    spread: bool | str = "auto",
 ) -> DataFrame:
     """Votes per (run, theta_bin, r_bin). ``r`` is rounded to 6 places before
     binning (``bin_of``). Only the three key columns leave the explode, and partial
@@ -49,9 +50,15 @@ def hough_votes(
 
     ``voting``: points where it is false do not vote. ``register``: every point
     also lands in one zero-vote cell of its run (theta_bin -1, r_bin null), so
-    every run of ``points`` is present downstream without a second scan."""
+    every run of ``points`` is present downstream without a second scan.
+    ``spread``: ``"auto"`` spreads an under-split direct scan (see
+    ``spread_if_undersplit``); pass False when ``points`` comes out of a shuffle."""
     vote = F.lit(True) if voting is None else F.coalesce(voting, F.lit(False))
-    src = spread_if_undersplit(points.select(run, x, y, vote.alias("__vote")), [run, x, y])
+    src = points.select(run, x, y, vote.alias("__vote"))
+    if spread == "auto":
+        src = spread_if_undersplit(src, [run, x, y])
+    elif spread:
+        src = src.repartition(src.sparkSession.sparkContext.defaultParallelism, run, x, y)
     k = F.col("theta_bin")
     r = line_distance(F.col(x), F.col(y), theta_of_bin(k, bins))
     reg = [F.lit(-1)] if register else []
@@ -94,6 +101,7 @@ def summarize_runs(
     y: str,
     side: str = C.SIDE_FRONT,
     voting: F.Column | None = None,
+    spread: bool | str = "auto",
 ) -> DataFrame:
     """AGG-4 + WIN-1 + SCL-13 in one pass: summary rows ``(run, qualifier, value)``
     for every run of ``points`` -- ``<side>NO_yES`` (line count, 0 kept) and
@@ -102,7 +110,7 @@ def summarize_runs(
 
     The ranked bins are already partitioned by run, so gathering a run's (at most
     TOP_LINES) lines is a local aggregate: no second scan, no join, no shuffle."""
-    votes = hough_votes(points, run, x, y, voting=voting, register=True)
+    votes = hough_votes(points, run, x, y, voting=voting, register=True, spread=spread)
     # keep qualifying bins and each run's registration cell; the latter has no
     # votes, so it can never displace a line from the top ranks
     kept = votes.where((F.col("votes") >= C.MIN_VOTES) | (F.col("theta_bin") < 0))

@@ -52,11 +52,15 @@ def batch_counts(counts: DataFrame, key: str, n: str, batch: int) -> DataFrame:
     )
 
 
-def write_partitioned(df: DataFrame, path: str, by: str | None, batch: int | None = None) -> None:
+def write_partitioned(
+    df: DataFrame, path: str, by: str | None, batch: int | None = None, mode: str = "append"
+) -> None:
     """SNK-1 / SNK-7: one directory per value of ``by`` (``None``: one shared
     table, the reference's all-together switch). Creates the table on first
-    write; ``batch`` caps rows per file like the reference's put batch."""
-    w = df.write.mode("append").format("parquet")
+    write; ``batch`` caps rows per file like the reference's put batch. A re-run
+    of a whole job should pass ``mode="overwrite"``; task retries are handled by
+    the output committer either way."""
+    w = df.write.mode(mode).format("parquet")
     if batch:
         w = w.option("maxRecordsPerFile", batch)
     if by:
