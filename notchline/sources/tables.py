@@ -41,3 +41,13 @@ class Tables:
         if name.startswith("_"):
             raise AttributeError(name)
         return table(self._spark, self._dir, name)
+
+
+def require_tables(spark: SparkSession, names: list[str]) -> None:
+    """SRC-9: a job-level guard -- fail fast, before any work, when a catalog table
+    the job reads (e.g. the history index and rows) does not exist. The reference
+    checks this per file and skips the file; the answer is the same for every
+    file of a launch, so it is checked once."""
+    missing = [n for n in names if not spark.catalog.tableExists(n)]
+    if missing:
+        raise LookupError(f"required tables missing: {', '.join(missing)}")

@@ -178,3 +178,14 @@ def test_batch_counts(spark):
     df = spark.createDataFrame([("a", 250), ("b", 100), ("c", 1)], "k string, n long")
     got = sorted((r.k, r.batch, r.n_rows) for r in batch_counts(df, "k", "n", 100).collect())
     assert got == [("a", 0, 100), ("a", 1, 100), ("a", 2, 50), ("b", 0, 100), ("c", 0, 1)]
+
+
+def test_require_tables(spark):
+    import pytest
+
+    from notchline.sources.tables import require_tables
+
+    spark.range(3).createOrReplaceTempView("hist_index_present")
+    require_tables(spark, ["hist_index_present"])
+    with pytest.raises(LookupError):
+        require_tables(spark, ["hist_index_present", "no_such_history_table"])
