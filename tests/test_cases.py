@@ -189,3 +189,38 @@ def test_require_tables(spark):
     require_tables(spark, ["hist_index_present"])
     with pytest.raises(LookupError):
         require_tables(spark, ["hist_index_present", "no_such_history_table"])
+
+
+def test_read_properties(spark, tmp_path):
+    from notchline.sources.lookups import read_properties
+
+    for i, body in enumerate(["# c\nradius = 1.5\nangle=0.3\n", "radius=2\n\n!x\nk=a=b\n"]):
+        (tmp_path / f"ParamConfig{i}.properties").write_text(body)
+    rows = read_properties(spark, str(tmp_path)).collect()
+    got = sorted((r.profile, r.key, r.value) for r in rows)
+    assert got == [(0, "angle", "0.3"), (0, "radius", "1.5"), (1, "k", "a=b"), (1, "radius", "2")]
+
+
+def test_reference_gate_chain(spark):
+    from notchline.operators.gates import reference_checks
+
+    good = {"DeviceID": "D1", "imageID": "ABCDEFGHIJKL"}
+    cases = [
+        ("1.8", {**good, "domainType": "CIRCL"}, 1, 90, "excluded_type"),
+        ("1.8", {**good, "DiePitchX": "300000000"}, 1, 90, "excluded_type"),
+        ("1.7", {**good, "domainarge": "domainarge"}, 1, 90, "placeholder"),
+        ("1.8", {**good, "domainarge": "domainarge"}, 1, 90, None),
+        ("1.7", {"imageID": "ABCDEFGHIJKL"}, 1, 90, "missing_device"),
+        ("1.7", {"DeviceID": "D1", "imageID": "SHORT"}, 1, 90, "bad_id_length"),
+        ("1.7", {"DeviceID": "D1"}, 1, 90, "bad_id_length"),
+        ("1.7", good, 99, 90, "too_many_points"),
+        ("1.7", good, 1, None, "no_flat_position"),
+        ("1.7", {**good, "DeviceID": "None"}, 1, None, None),
+        ("1.7", good, 1, 90, None),
+    ]
+    df = spark.createDataFrame(
+        [(v, h, n, f) for v, h, n, f, _ in cases], "version string, header map<string,string>, n int, flat int"
+    )
+    checks = reference_checks(F.col("header"), F.col("version"), F.col("n"), F.col("flat"), maxpoint=10)
+    got = [r[0] for r in df.select(first_reason(checks)).collect()]
+    assert got == [c[-1] for c in cases]
