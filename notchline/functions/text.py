@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from notchline import constants as C
 
 # Java's String.trim removes every char <= U+0020 from both ends.
-_JAVA_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
+_JAVA_BLANKS = "".join(chr(i) for i in range(0x21))
 
 
 def java_trim(s: Column) -> Column:
-    return F.regexp_replace(s, _JAVA_TRIM, "")
+    return F.btrim(s, F.lit(_JAVA_BLANKS))
 
 
 def java_split(s: Column, sep: str) -> Column:
@@ -46,20 +46,30 @@ def first_lines(text: Column, n: int) -> Column:
     return F.slice(F.split(text, "\n"), 1, n)
 
 
+def point_fields(text: Column, n: int) -> Column:
+    """SCL-3: a whitespace-separated point split on runs of blanks into at most
+    ``n`` fields; the last keeps the rest."""
+    return F.split(java_trim(text), r"\s+", n)
+
+
+def render_fields(parts: Column, names: Sequence[str]) -> Column:
+    """SCL-14: ``name:value`` pairs joined by commas. The names are fixed, so each
+    pair is a plain positional expression (codegen, no lambda); a name past the
+    last field pairs with null and ``concat_ws`` skips it."""
+    return F.concat_ws(",", *[F.concat(F.lit(f"{n}:"), F.get(parts, i)) for i, n in enumerate(names)])
+
+
 def render_point(text: Column, names: Sequence[str]) -> Column:
-    """SCL-3 + SCL-14: split a whitespace-separated point on runs of blanks into at
-    most ``len(names)`` fields (the last keeps the rest), and render
-    ``name:value`` pairs joined by commas."""
-    parts = F.split(java_trim(text), r"\s+", len(names))
-    hdr = F.array(*[F.lit(n) for n in names])
-    pairs = F.zip_with(hdr, parts, lambda n, v: F.concat(n, F.lit(":"), v))
-    # names beyond the available fields pair with null and are skipped by array_join
-    return F.array_join(pairs, ",")
+    return render_fields(point_fields(text, len(names)), names)
 
 
 def point_key(text: Column) -> Column:
     """Qualifier of a point: ``point`` + its first field."""
-    return F.concat(F.lit("point"), F.get(F.split(java_trim(text), r"\s+", 2), 0))
+    return key_of_fields(point_fields(text, 2))
+
+
+def key_of_fields(parts: Column) -> Column:
+    return F.concat(F.lit("point"), F.get(parts, 0))
 
 
 def yyyymmdd(ts: Column) -> Column:

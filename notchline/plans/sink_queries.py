@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from notchline import constants as C
-from notchline.functions.text import point_key, render_point, yyyymmdd
+from notchline.functions.text import key_of_fields, point_fields, render_fields, yyyymmdd
 from notchline.plans import oracle as O
 from notchline.plans.matching_queries import attribution
 from notchline.plans.registry import query
@@ -71,8 +71,11 @@ def points_kv_render(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return li.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        point_key(text).alias("point_key"),
-        render_point(text, POINT_HEADER).alias("rendered"),
+        point_fields(text, len(POINT_HEADER)).alias("__f"),
+    ).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        key_of_fields(F.col("__f")).alias("point_key"),
+        render_fields(F.col("__f"), POINT_HEADER).alias("rendered"),
     )
 
 
