@@ -80,8 +80,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     local = tempfile.mkdtemp(prefix="notchline-ckpt-")
     sc.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
-    return local
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
