@@ -38,17 +38,29 @@ def last_put(puts: Column) -> Column:
     return F.element_at(F.array_sort(done), -1)["value"]
 
 
-def batch_counts(counts: DataFrame, key: str, n: str, batch: int) -> DataFrame:
+# batches generated per row at most; a key with more is split into chunks first
+BATCH_CHUNK = 100_000
+
+
+def batch_counts(counts: DataFrame, key: str, n: str, batch: int, chunk: int = BATCH_CHUNK) -> DataFrame:
     """WIN-2 at the level that matters: rows per write batch of ``batch`` rows,
     per key, from the key's row count alone (every batch is full but the last).
-    No per-row numbering, so no window gathers a key's rows."""
-    nb = F.ceil(F.col(n) / F.lit(batch)).cast("int")
-    return counts.select(
-        key, F.col(n), F.explode(F.sequence(F.lit(0), nb - 1)).alias("batch")
-    ).select(
+    No per-row numbering, so no window gathers a key's rows.
+
+    A key's batch numbers are generated in chunks of at most ``chunk`` and the
+    chunks are spread over tasks before they are expanded, so a key holding a
+    large share of the rows never builds one huge array in one task."""
+    nb = F.ceil(F.col(n) / F.lit(batch)).cast("bigint")
+    n_chunks = F.ceil(nb / F.lit(chunk)).cast("bigint")
+    chunks = counts.select(
+        key, F.col(n), nb.alias("__nb"), F.explode(F.sequence(F.lit(0).cast("bigint"), n_chunks - 1)).alias("__c")
+    ).repartition(key, "__c")
+    first = F.col("__c") * chunk
+    last = F.least(first + chunk, F.col("__nb")) - 1
+    return chunks.select(key, F.col(n), F.explode(F.sequence(first, last)).alias("batch")).select(
         key,
-        F.col("batch"),
-        F.least(F.lit(batch).cast("bigint"), F.col(n) - F.col("batch").cast("bigint") * batch).alias("n_rows"),
+        F.col("batch").cast("int").alias("batch"),
+        F.least(F.lit(batch).cast("bigint"), F.col(n) - F.col("batch") * batch).alias("n_rows"),
     )
 
 

@@ -224,3 +224,12 @@ def test_reference_gate_chain(spark):
     checks = reference_checks(F.col("header"), F.col("version"), F.col("n"), F.col("flat"), maxpoint=10)
     got = [r[0] for r in df.select(first_reason(checks)).collect()]
     assert got == [c[-1] for c in cases]
+
+
+def test_batch_counts_chunked(spark):
+    df = spark.createDataFrame([("hot", 2_345), ("cold", 7)], "k string, n long")
+    rows = batch_counts(df, "k", "n", 10, chunk=4).collect()
+    hot = sorted((r.batch, r.n_rows) for r in rows if r.k == "hot")
+    assert [b for b, _ in hot] == list(range(235))
+    assert sum(n for _, n in hot) == 2_345 and hot[-1] == (234, 5)
+    assert [(r.batch, r.n_rows) for r in rows if r.k == "cold"] == [(0, 7)]
