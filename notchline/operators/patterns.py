@@ -10,11 +10,12 @@ top-k per run: no per-run Python, no run gathered into one task.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from notchline import constants as C
-from notchline.functions.geometry import line_distance, theta_of_bin
 from notchline.operators.partitioning import spread_if_undersplit
 
 
@@ -54,20 +55,23 @@ def hough_votes(
     ``spread``: ``"auto"`` spreads an under-split direct scan (see
     ``spread_if_undersplit``); pass False when ``points`` comes out of a shuffle."""
     vote = F.lit(True) if voting is None else F.coalesce(voting, F.lit(False))
+    # the bin angles are constants: carry (k, cos, sin) as literals, no trig per row
+    angles = [F.struct(F.lit(k).alias("theta_bin"), F.lit(math.cos(k * math.pi / bins)).alias("__cos"),
+                       F.lit(math.sin(k * math.pi / bins)).alias("__sin")) for k in range(bins)]
+    reg_cells = [F.struct(F.lit(-1).alias("theta_bin"), F.lit(0.0).alias("__cos"), F.lit(0.0).alias("__sin"))]
     src = points.select(run, x, y, vote.alias("__vote"))
     if spread == "auto":
         src = spread_if_undersplit(src, [run, x, y])
     elif spread:
         src = src.repartition(src.sparkSession.sparkContext.defaultParallelism, run, x, y)
     k = F.col("theta_bin")
-    r = line_distance(F.col(x), F.col(y), theta_of_bin(k, bins))
-    reg = [F.lit(-1)] if register else []
-    cells = F.when(
-        F.col("__vote"), F.concat(F.sequence(F.lit(0), F.lit(bins - 1)), F.array(*reg).cast("array<int>"))
-    ).otherwise(F.array(*reg).cast("array<int>"))
+    r = F.col(x) * F.col("__cos") + F.col(y) * F.col("__sin")
+    reg = reg_cells if register else []
+    cell_t = "array<struct<theta_bin:int,__cos:double,__sin:double>>"
+    cells = F.when(F.col("__vote"), F.array(*angles, *reg)).otherwise(F.array(*reg).cast(cell_t))
     real = F.col("__vote") & (k >= 0)
     return (
-        src.select(run, x, y, "__vote", F.explode(cells).alias("theta_bin"))
+        src.select(run, x, y, "__vote", F.inline(cells))
         .select(run, "theta_bin", F.when(real, bin_of(r, r_bin)).alias("r_bin"), real.alias("__real"))
         .groupBy(run, "theta_bin", "r_bin")
         .agg(F.count(F.when(F.col("__real"), F.lit(1))).alias("votes"))
