@@ -1,56 +1,115 @@
-"""History up to a time: as-of counts and the latest earlier time.
+"""History up to a time: as-of counts and latest times.
 
 The reference walks a unit's whole history for each run and keeps the rows at or
 before the run's time. A self-join per unit would build every pair of a unit's
-rows (quadratic for a busy unit), so instead:
+rows (quadratic for a busy unit), and one running window per unit would put a
+busy unit's whole history in one task. Instead the timeline of each key is cut
+into nested buckets (for timestamps: the day, then the exact time) and every
+prefix value of a time is assembled from
 
-1. history is reduced to one row per (key, time) with its count -- an aggregate
-   that combines map-side;
-2. a running sum over those distinct times gives, per (key, time), how many
-   rows are at or before it, and ``lag`` gives the previous distinct time;
-3. runs are joined back on (key, time).
+* the totals of the earlier days of its key (a window over one key's days), and
+* the running value inside its day (a window over one key-day's distinct times),
 
-Step 2 windows over distinct times per key, not over rows, so a key holding a
-large share of the rows still has at most one row per distinct time (a calendar
-day for day-resolution times).
+so each window ranges over a bounded set: the days of the span, or the distinct
+times of one key-day. Finer levels (e.g. ``by_second``) can be passed for
+timestamps with sub-second resolution. Inputs are first reduced to one row per
+(key, time) by a combining aggregate.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+Level = Callable[[Column], Column]
+
+
+def by_day(ts: Column) -> Column:
+    return F.date_trunc("day", ts)
+
+
+def by_second(ts: Column) -> Column:
+    return F.date_trunc("second", ts)
+
+
+def _levels_for(df: DataFrame, ts: str, levels: Sequence[Level] | None) -> Sequence[Level]:
+    if levels is not None:
+        return levels
+    dt = df.schema[ts].dataType
+    return (by_day,) if isinstance(dt, (T.TimestampType, T.TimestampNTZType)) else ()
 
 
-def asof_counts(history: DataFrame, key: str, ts: str) -> DataFrame:
+def _prefix(timeline: DataFrame, key: str, t: str, levels: Sequence[Level]) -> DataFrame:
+    """``timeline(key, t, __n, __h)`` (one row per key and time; ``__h`` a history
+    time or null) -> ``(key, t, n_asof, last_ts, prev_ts)``: the sum of ``__n`` at
+    or before ``t``, the max of ``__h`` at or before ``t``, and strictly before."""
+    bcols = [f"__b{i}" for i in range(len(levels))]
+    tl = timeline.withColumns({b: lv(F.col(t)) for b, lv in zip(bcols, levels)})
+    incl = (Window.unboundedPreceding, Window.currentRow)
+    excl = (Window.unboundedPreceding, -1)
+
+    w = Window.partitionBy(key, *bcols).orderBy(t)
+    out = tl.select(
+        key, t, *bcols,
+        F.sum("__n").over(w.rowsBetween(*incl)).alias("__cum"),
+        F.max("__h").over(w.rowsBetween(*incl)).alias("__last_in"),
+        F.max("__h").over(w.rowsBetween(*excl)).alias("__prev_in"),
+    )
+    n_asof, last, prev = F.col("__cum"), [F.col("__last_in")], [F.col("__prev_in")]
+    for i in range(len(levels)):
+        # earlier sibling buckets b_i inside the same (key, b_0..b_{i-1})
+        tot = tl.groupBy(key, *bcols[: i + 1]).agg(F.sum("__n").alias("__tot"), F.max("__h").alias("__hmax"))
+        wl = Window.partitionBy(key, *bcols[:i]).orderBy(bcols[i]).rowsBetween(*excl)
+        off = tot.select(
+            key, *bcols[: i + 1],
+            F.coalesce(F.sum("__tot").over(wl), F.lit(0)).alias(f"__off{i}"),
+            F.max("__hmax").over(wl).alias(f"__hb{i}"),
+        )
+        out = out.join(off, [key, *bcols[: i + 1]])
+        n_asof = n_asof + F.col(f"__off{i}")
+        last.append(F.col(f"__hb{i}"))
+        prev.append(F.col(f"__hb{i}"))
+    # times of earlier buckets are below every time of the current one: greatest()
+    # (which skips nulls) picks the right candidate
+    pick = (lambda cs: cs[0]) if len(last) == 1 else (lambda cs: F.greatest(*cs))
+    return out.select(
+        key, t, n_asof.alias("n_asof"), pick(last).alias("last_ts"), pick(prev).alias("prev_ts")
+    )
+
+
+def asof_counts(history: DataFrame, key: str, ts: str, levels: Sequence[Level] | None = None) -> DataFrame:
     """Per (key, ts) present in ``history``: ``n_asof`` = rows of the key with time
     <= ts (ties included) and ``prev_ts`` = the latest time strictly before ts."""
-    per_time = history.groupBy(key, ts).agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.partitionBy(key).orderBy(ts)
-    return per_time.select(
-        key,
-        ts,
-        F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("n_asof"),
-        F.lag(ts).over(w).alias("prev_ts"),
-    )
+    lv = _levels_for(history, ts, levels)
+    per_time = history.groupBy(key, ts).agg(F.count(F.lit(1)).alias("__n"), F.max(ts).alias("__h"))
+    return _prefix(per_time, key, ts, lv).select(key, ts, "n_asof", "prev_ts")
 
 
-def asof_join(runs: DataFrame, history: DataFrame, key: str, run_ts: str, hist_ts: str) -> DataFrame:
-    """JON-4 for runs that are not history rows themselves: attach to each run
-    the number of its key's history rows at or before the run time and the latest
-    such time. History and run times are unioned into one timeline per key so the
-    running count is evaluated at every run time."""
-    h = history.select(F.col(key).alias("__k"), F.col(hist_ts).alias("__t"), F.lit(1).alias("__h"))
-    r = runs.select(F.col(key).alias("__k"), F.col(run_ts).alias("__t"), F.lit(0).alias("__h")).distinct()
-    per_time = h.unionByName(r).groupBy("__k", "__t").agg(F.sum("__h").alias("__n"))
-    w = Window.partitionBy("__k").orderBy("__t")
-    cum = per_time.select(
-        "__k",
-        "__t",
-        F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("n_asof"),
-        F.last(F.when(F.col("__n") > 0, F.col("__t")), ignorenulls=True)
-        .over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        .alias("last_ts"),
+def asof_join(
+    runs: DataFrame,
+    history: DataFrame,
+    key: str,
+    run_ts: str,
+    hist_ts: str,
+    levels: Sequence[Level] | None = None,
+) -> DataFrame:
+    """JON-4 for runs that are not history rows themselves: attach to each run the
+    number of its key's history rows at or before the run time (``n_asof``) and
+    the latest such time (``last_ts``). Run times enter the timeline with weight 0
+    and no history time, so the prefix is evaluated at every run time."""
+    lv = _levels_for(history, hist_ts, levels)
+    h = history.select(
+        F.col(key).alias("__k"), F.col(hist_ts).alias("__t"), F.lit(1).alias("__w"), F.col(hist_ts).alias("__hv")
+    )
+    r = runs.select(
+        F.col(key).alias("__k"), F.col(run_ts).alias("__t"), F.lit(0).alias("__w"),
+        F.lit(None).cast(h.schema["__hv"].dataType).alias("__hv"),
+    )
+    timeline = h.unionByName(r).groupBy("__k", "__t").agg(
+        F.sum("__w").alias("__n"), F.max("__hv").alias("__h")
     )
-    return runs.join(
-        cum, (runs[key] == cum["__k"]) & (runs[run_ts] == cum["__t"]), "left"
-    ).drop("__k", "__t")
+    pre = _prefix(timeline, "__k", "__t", lv).select("__k", "__t", "n_asof", "last_ts")
+    return runs.join(pre, (runs[key] == pre["__k"]) & (runs[run_ts] == pre["__t"]), "left").drop("__k", "__t")

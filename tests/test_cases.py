@@ -233,3 +233,31 @@ def test_batch_counts_chunked(spark):
     assert [b for b, _ in hot] == list(range(235))
     assert sum(n for _, n in hot) == 2_345 and hot[-1] == (234, 5)
     assert [(r.batch, r.n_rows) for r in rows if r.k == "cold"] == [(0, 7)]
+
+
+def test_asof_levels_equal_brute_force(spark):
+    import datetime as dt
+    import random
+
+    from notchline.operators.history import by_day, by_second
+
+    rnd = random.Random(7)
+    base = dt.datetime(2024, 1, 1)
+    hist = [(rnd.choice("ab"), base + dt.timedelta(seconds=rnd.randrange(0, 3 * 86400, 997))) for _ in range(60)]
+    hist += [("a", hist[0][1])] * 3  # ties
+    runs = [(rnd.choice("abc"), base + dt.timedelta(seconds=rnd.randrange(0, 4 * 86400, 1009))) for _ in range(25)]
+    hdf = spark.createDataFrame(hist, "k string, ts timestamp_ntz")
+    rdf = spark.createDataFrame(runs, "k string, rt timestamp_ntz")
+    for levels in [None, (), (by_day, by_second)]:
+        got = {(r.k, r.rt): (r.n_asof, r.last_ts) for r in asof_join(rdf, hdf, "k", "rt", "ts", levels).collect()}
+        for k, t in runs:
+            before = [h for kk, h in hist if kk == k and h <= t]
+            want = (len(before) if before else (0 if any(kk == k for kk, _ in hist) else None),
+                    max(before) if before else None)
+            n, last = got[(k, t)]
+            assert (n or 0, last) == (want[0] or 0, want[1]), (k, t)
+        c = {(r.k, r.ts): (r.n_asof, r.prev_ts) for r in asof_counts(hdf, "k", "ts", levels).collect()}
+        for k, t in set(hist):
+            n = sum(1 for kk, h in hist if kk == k and h <= t)
+            earlier = [h for kk, h in hist if kk == k and h < t]
+            assert c[(k, t)] == (n, max(earlier) if earlier else None)
