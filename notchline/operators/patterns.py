@@ -173,6 +173,34 @@ def side_writer_filter(qualifier: F.Column, side: str) -> F.Column:
     return qualifier.contains(C.SIDE_BACK + C.Q_DETECTION) | qualifier.contains(C.SIDE_BACK + C.Q_COUNT)
 
 
+def pattern_table_filter(qualifier: F.Column, side: str) -> F.Column:
+    """FLT-13: summary entries the pattern-table writer keeps for ``side``:
+    qualifiers containing ``<side>y`` or ``<side>NO_y``. For the front side
+    (empty prefix) the reference's test keeps any qualifier with a ``y``, back
+    entries included (Q13); here the side is matched exactly instead."""
+    if side == C.SIDE_FRONT:
+        return ~qualifier.startswith(C.SIDE_BACK) & (
+            qualifier.startswith(C.Q_DETECTION) | qualifier.startswith("NO_y")
+        )
+    return qualifier.contains(side + C.Q_DETECTION) | qualifier.contains(side + "NO_y")
+
+
+def is_count_qualifier(qualifier: F.Column, side: str) -> F.Column:
+    """SCL-10: whole-string match of the count qualifier (``matches``)."""
+    return qualifier.rlike("^" + side + C.Q_COUNT + "$")
+
+
+INFO_KEYS_FOR_PATTERN = ("DeviceID", "InspectionStationID")
+
+
+def info_keys_filter(qualifier: F.Column) -> F.Column:
+    """FLT-13: header entries copied into the pattern table."""
+    out = F.lit(False)
+    for k in INFO_KEYS_FOR_PATTERN:
+        out = out | qualifier.contains(k)
+    return out
+
+
 def density_grid(points: DataFrame, run: str, x: str, y: str, gx: float = C.GRID_X, gy: float = C.GRID_Y) -> DataFrame:
     """AGG-11: points per run and 2-D cell (the picture of a run, as counts)."""
     return (

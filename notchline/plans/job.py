@@ -10,7 +10,8 @@ side effects):
 2. eligibility flag and side routing for the accepted runs;
 3. sinks per device (or one shared table): header map as long rows, points
    (keep-last, rendered, ``WRITE_BATCH`` rows per file), summary entries of the
-   front and back writers, and the pattern rows of attributed detections.
+   front and back writers, the pattern table (``y``) and the pattern rows of
+   attributed detections; per-stage counts are observed during the writes.
 
 Outputs are Parquet under ``--out``; with ``--all-together`` nothing is
 partitioned by device (the reference's shared-table switch).
@@ -20,14 +21,19 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from notchline import constants as C
 from notchline.functions.text import render_point, yyyymmdd
 from notchline.operators.gates import eligibility_flag, point_side, station_tag, two_sided
-from notchline.operators.patterns import side_writer_filter, summarize_runs
-from notchline.operators.sinks import keep_last, unpivot_long, write_partitioned
+from notchline.operators.patterns import (
+    info_keys_filter,
+    pattern_table_filter,
+    side_writer_filter,
+    summarize_runs,
+)
+from notchline.operators.sinks import keep_last, last_put, unpivot_long, write_partitioned
 from notchline.plans import gate_queries as G
 from notchline.plans import model
 from notchline.plans.sink_queries import POINT_HEADER, pattern_row
@@ -113,27 +119,71 @@ def summary_rows(t: Tables, analysed: DataFrame) -> DataFrame:
     )
 
 
-def run_job(spark: SparkSession, sf_dir: str, out_dir: str, all_together: bool = False) -> dict[str, str]:
+def pattern_table(summary: DataFrame, header: DataFrame, analysed: DataFrame) -> DataFrame:
+    """SNK-5 in long form, per analysed run: each side's count and detection
+    entries (FLT-13), the device and station header entries, and each side's
+    status cell after its puts -- ``1`` when the side has detections, then ``0``
+    (the later put wins, Q11)."""
+    sides = [C.SIDE_FRONT, C.SIDE_BACK]
+    keep = F.lit(False)
+    for side in sides:
+        keep = keep | pattern_table_filter(F.col("qualifier"), side)
+    entries = summary.where(keep)
+    info = header.where(info_keys_filter(F.col("qualifier")))
+    counts = summary.where(F.col("qualifier").isin(*[s + C.Q_COUNT for s in sides]))
+    status = counts.select(
+        "rowkey",
+        "device",
+        F.concat(F.regexp_replace("qualifier", C.Q_COUNT + "$", ""), F.lit(C.Q_STATUS)).alias("qualifier"),
+        last_put(
+            F.array(
+                F.struct(F.lit(1).alias("seq"), F.when(F.col("value") != "0", F.lit("1")).alias("value")),
+                F.struct(F.lit(2).alias("seq"), F.lit("0").alias("value")),
+            )
+        ).alias("value"),
+    )
+    runs = analysed.select(F.col("o_orderkey").cast("string").alias("rowkey"))
+    return entries.unionByName(info.join(runs, "rowkey", "left_semi")).unionByName(status)
+
+
+class JobResult(dict):
+    """Output paths by table name, plus ``metrics``: per-stage counts observed
+    while the tables were written (no extra pass over the data)."""
+
+    metrics: dict
+
+
+def run_job(spark: SparkSession, sf_dir: str, out_dir: str, all_together: bool = False) -> JobResult:
     t = Tables(spark, sf_dir)
     by = None if all_together else "device"
-    status = run_status(t)
+    gates = Observation("gates")
+    status = run_status(t).observe(
+        gates,
+        F.count(F.lit(1)).alias("runs"),
+        F.count(F.when(F.col("reason").isNull(), F.lit(1))).alias("accepted"),
+        F.count(F.when(F.col("reason").isNull() & F.col("flag"), F.lit(1))).alias("analysed"),
+    )
     accepted = status.where(F.col("reason").isNull())
     analysed = accepted.where(F.col("flag"))
+    header = header_rows(t, accepted)
+    summary = summary_rows(t, analysed)
     outputs = {
         "run_status": status,
-        "image_info": header_rows(t, accepted),
+        "image_info": header,
         "point_info": point_rows(t, accepted),
-        "image_summary": summary_rows(t, analysed),
+        "image_summary": summary,
+        "y": pattern_table(summary, header, analysed),
         "pattern": pattern_row(spark, sf_dir),
     }
-    paths = {}
+    result = JobResult()
     for name, df in outputs.items():
         path = f"{out_dir.rstrip('/')}/{name}"
         write_partitioned(
             df, path, by, batch=C.WRITE_BATCH if name == "point_info" else None, mode="overwrite"
         )
-        paths[name] = path
-    return paths
+        result[name] = path
+    result.metrics = dict(gates.get)
+    return result
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -143,8 +193,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--all-together", action="store_true", help="one shared table instead of one per device")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
-    for name, path in run_job(spark, args.sf, args.out, args.all_together).items():
+    result = run_job(spark, args.sf, args.out, args.all_together)
+    for name, path in result.items():
         print(name, path)
+    print("metrics", result.metrics)
 
 
 if __name__ == "__main__":

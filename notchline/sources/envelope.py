@@ -67,16 +67,22 @@ def write_envelope(files: DataFrame, path: str, fmt: str = "parquet") -> None:
     to_envelope(files).write.format(fmt).mode("overwrite").save(path)
 
 
-def read_envelope(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def read_envelope(
+    spark: SparkSession, path: str, fmt: str = "parquet", with_source: bool = False
+) -> DataFrame:
     """SRC-1/SRC-2/PRJ-1..3: read every file directly in ``path`` (not recursive,
     like the reference's listing) and flatten to ``(filename, file_contents)``
     with the contents as text. ``fmt`` is ``avro`` where that module is on the
-    classpath; the schema is the same."""
+    classpath; the schema is the same. ``with_source`` adds the path of the file
+    each record came from (``_metadata.file_path``), the reference's listing."""
     raw = spark.read.format(fmt).option("recursiveFileLookup", "false").load(path)
-    return raw.select(
+    cols = [
         F.col(f"{_LEAF}.filename").alias("filename"),
         F.col(f"{_LEAF}.file_contents").cast("string").alias("file_contents"),
-    )
+    ]
+    if with_source:
+        cols.append(F.col("_metadata.file_path").alias("source_file"))
+    return raw.select(*cols)
 
 
 def union_files(spark: SparkSession, *sources: DataFrame) -> DataFrame:

@@ -261,3 +261,13 @@ def test_asof_levels_equal_brute_force(spark):
             n = sum(1 for kk, h in hist if kk == k and h <= t)
             earlier = [h for kk, h in hist if kk == k and h < t]
             assert c[(k, t)] == (n, max(earlier) if earlier else None)
+
+
+def test_envelope_round_trip_with_source(spark, tmp_path):
+    from notchline.sources.envelope import read_envelope, write_envelope
+
+    files = spark.createDataFrame([("a.txt", "x é"), ("b.txt", None)], "filename string, file_contents string")
+    write_envelope(files, str(tmp_path / "env"))
+    got = read_envelope(spark, str(tmp_path / "env"), with_source=True).collect()
+    assert sorted((r.filename, r.file_contents) for r in got) == [("a.txt", "x é"), ("b.txt", None)]
+    assert all(r.source_file.endswith(".parquet") for r in got)

@@ -11,7 +11,7 @@ from .conftest import SF_SMALL
 def test_job_writes_every_sink(spark):
     out = scratch_path(spark, "job")
     paths = run_job(spark, SF_SMALL, out)
-    assert set(paths) == {"run_status", "image_info", "point_info", "image_summary", "pattern"}
+    assert set(paths) == {"run_status", "image_info", "point_info", "image_summary", "y", "pattern"}
     status = spark.read.parquet(paths["run_status"])
     con = duckdb.connect()
     n_orders = con.execute(f"SELECT count(*) FROM '{SF_SMALL}/orders.parquet'").fetchone()[0]
@@ -31,3 +31,11 @@ def test_job_writes_every_sink(spark):
     assert points.select("rowkey", "qualifier").distinct().count() == points.count()
     # partitioned by device: the device directories exist
     assert "device" in points.columns
+    # observed stage counts agree with the written status table
+    assert paths.metrics == {
+        "runs": n_orders, "accepted": accepted.count(), "analysed": analysed,
+    }
+    y = spark.read.parquet(paths["y"])
+    quals = {r.qualifier for r in y.select("qualifier").distinct().collect()}
+    assert {"NO_yES", "BNO_yES", "Email_Status", "BEmail_Status", "DeviceID", "InspectionStationID"} <= quals
+    assert y.where("qualifier LIKE '%Email_Status'").where("value <> '0'").count() == 0
