@@ -28,26 +28,23 @@ def band_match(
     (``|d2 - r/1000| <= off`` and the angle test) -- ``and`` binding tighter, so a
     d1 match needs no angle.
 
-    Planned as two bucketed equi-joins whose results are disjoint (the d2 leg
-    drops pairs the d1 leg already has), so their union needs no distinct and no
-    nested-loop join appears. ``off`` may name a key column carrying a per-key
-    tolerance (parameter profiles).
+    Planned as one bucketed equi-join: each arm enters twice, tagged with the
+    value of its leg (d1 or d2), and the residual applies the leg's own test; the
+    d2 leg drops pairs the d1 leg already has, so no pair appears twice and no
+    distinct is needed. One scan of each input, no nested-loop join. ``off`` may
+    name a key column carrying a per-key tolerance (parameter profiles).
     """
     det = detections.withColumn("__v", F.col("r") / C.R_UNIT_DIVISOR)
+    legs = F.array(
+        F.struct(F.lit(1).alias("__leg"), F.col("d1").alias("__w")),
+        F.struct(F.lit(2).alias("__leg"), F.col("d2").alias("__w")),
+    )
+    tagged = arms.select("*", F.inline(legs))
     tol = F.col(off) if isinstance(off, str) else F.lit(float(off))
-    d1_leg = band_join(det, arms, "__v", "d1", off, keys=keys, repeat=repeat)
     d1_hit = F.coalesce(F.abs(F.col("d1") - F.col("__v")) <= tol, F.lit(False))
-    d2_leg = band_join(
-        det,
-        arms,
-        "__v",
-        "d2",
-        off,
-        keys=keys,
-        repeat=repeat,
-        residual=angle_ok(F.col("rot"), F.col("theta")) & ~d1_hit,
-    )
-    return d1_leg.unionByName(d2_leg).drop("__v")
+    leg_ok = (F.col("__leg") == 1) | (angle_ok(F.col("rot"), F.col("theta")) & ~d1_hit)
+    out = band_join(det, tagged, "__v", "__w", off, keys=keys, repeat=repeat, residual=leg_ok)
+    return out.drop("__v", "__w", "__leg")
 
 
 def latest_per_tool(history: DataFrame, unit: str, tool: str, ts: str, asof) -> DataFrame:
