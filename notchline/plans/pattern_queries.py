@@ -104,24 +104,26 @@ SELECT p_partkey, s_suppkey FROM p JOIN s
 )
 def angle_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#26: JON-6 on its own: rotated parts x suppliers whose angle agrees with the
-    rotation or its opposite within 0.01 rad. Each direction is a bucketed band
-    join on the angle; the second leg drops pairs the first already has."""
+    rotation or its opposite within 0.01 rad, as one bucketed band join on the
+    angle over both directions of each part."""
     t = Tables(spark, sf_dir)
     tol = C.ANGLE_MATCH_TOL
     rot = F.col("rot")
     folded = F.when(rot >= 180.0, rot - 360.0).otherwise(rot)
+    legs = F.array(
+        F.struct(F.lit(1).alias("__leg"), (rot / 180.0 * pi()).alias("__a")),
+        F.struct(F.lit(2).alias("__leg"), (folded / 180.0 * pi() + pi()).alias("__a")),
+    )
     parts = (
         t.part.select("p_partkey", (F.col("p_size") * 7.2).alias("rot"))
         .where(rot.isNotNull() & (rot <= C.FREE_ROTATION_ABOVE))
-        .select("p_partkey", "rot", (rot / 180.0 * pi()).alias("a_dir"), (folded / 180.0 * pi() + pi()).alias("a_opp"))
+        .select("p_partkey", "rot", F.inline(legs))
     )
     sup = t.supplier.select("s_suppkey", (F.col("s_nationkey") * 0.25).alias("theta"))
-    direct = band_join(parts, sup, "a_dir", "theta", tol, strict=True)
-    opposite = band_join(
-        parts, sup, "a_opp", "theta", tol, strict=True,
-        residual=~angle_direct(F.col("rot"), F.col("theta"), tol),
-    )
-    return direct.unionByName(opposite).select("p_partkey", "s_suppkey")
+    # one bucketed join over both directions; the opposite leg drops pairs the
+    # direct leg already has, so each pair appears once
+    leg_ok = (F.col("__leg") == 1) | ~angle_direct(F.col("rot"), F.col("theta"), tol)
+    return band_join(parts, sup, "__a", "theta", tol, strict=True, residual=leg_ok).select("p_partkey", "s_suppkey")
 
 
 _PROFILES = [(i, 10.0 * (i + 1)) for i in range(C.PROFILE_COUNT)]
