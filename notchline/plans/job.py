@@ -154,34 +154,39 @@ class JobResult(dict):
 
 
 def run_job(spark: SparkSession, sf_dir: str, out_dir: str, all_together: bool = False) -> JobResult:
+    """Write every sink. Shared intermediates are not recomputed per output:
+    each table is written once and later stages read the written table back,
+    which also cuts the lineage (a lost executor costs a re-read, not a
+    recomputation from the raw tables)."""
     t = Tables(spark, sf_dir)
     by = None if all_together else "device"
-    gates = Observation("gates")
-    status = run_status(t).observe(
-        gates,
-        F.count(F.lit(1)).alias("runs"),
-        F.count(F.when(F.col("reason").isNull(), F.lit(1))).alias("accepted"),
-        F.count(F.when(F.col("reason").isNull() & F.col("flag"), F.lit(1))).alias("analysed"),
-    )
-    accepted = status.where(F.col("reason").isNull())
-    analysed = accepted.where(F.col("flag"))
-    header = header_rows(t, accepted)
-    summary = summary_rows(t, analysed)
-    outputs = {
-        "run_status": status,
-        "image_info": header,
-        "point_info": point_rows(t, accepted),
-        "image_summary": summary,
-        "y": pattern_table(summary, header, analysed),
-        "pattern": pattern_row(spark, sf_dir),
-    }
     result = JobResult()
-    for name, df in outputs.items():
+
+    def write(name: str, df: DataFrame) -> DataFrame:
         path = f"{out_dir.rstrip('/')}/{name}"
         write_partitioned(
             df, path, by, batch=C.WRITE_BATCH if name == "point_info" else None, mode="overwrite"
         )
         result[name] = path
+        return spark.read.schema(df.schema).parquet(path)
+
+    gates = Observation("gates")
+    status = write(
+        "run_status",
+        run_status(t).observe(
+            gates,
+            F.count(F.lit(1)).alias("runs"),
+            F.count(F.when(F.col("reason").isNull(), F.lit(1))).alias("accepted"),
+            F.count(F.when(F.col("reason").isNull() & F.col("flag"), F.lit(1))).alias("analysed"),
+        ),
+    )
+    accepted = status.where(F.col("reason").isNull())
+    analysed = accepted.where(F.col("flag"))
+    header = write("image_info", header_rows(t, accepted))
+    write("point_info", point_rows(t, accepted))
+    summary = write("image_summary", summary_rows(t, analysed))
+    write("y", pattern_table(summary, header, analysed))
+    write("pattern", pattern_row(spark, sf_dir))
     result.metrics = dict(gates.get)
     return result
 
