@@ -98,7 +98,7 @@ def band_join(
 def multi_band_join(
     left: DataFrame,
     right: DataFrame,
-    bands: Sequence[tuple[str, str, float]],
+    bands: Sequence[tuple],
     *,
     keys: Sequence[tuple[str, str]] = (),
     residual: Column | None = None,
@@ -107,23 +107,31 @@ def multi_band_join(
     """Rows with ``|l - r| <= tol`` for every ``(l, r, tol)`` in ``bands`` and
     ``left[a] == right[b]`` for every ``(a, b)`` in ``keys``.
 
-    Each band gets its own bucket; the right side is repeated into the 3^d
+    Each band gets its own bucket; the right side is repeated into the
     neighbouring bucket cells, so candidates are close in every dimension at once
     (a busy key contributes only pairs that are near in time *and* value, never
-    all of its pairs). Column names of the two sides must be distinct.
+    all of its pairs). A band given as ``(l, r, tol, "left_ge")`` promises that the
+    residual keeps only ``l >= r`` (e.g. "earlier" partners): the right side then
+    needs its own bucket and the next one only. Column names of the two sides
+    must be distinct.
     """
     lcols, rcols = [], []
     lside, rside = left, right
-    for i, (lv, rv, tol) in enumerate(bands):
+    for i, band in enumerate(bands):
+        lv, rv, tol = band[:3]
+        one_sided = len(band) > 3 and band[3] == "left_ge"
         lb, rb = f"__lb{i}", f"__rb{i}"
         lside = lside.withColumn(lb, bucket_of(F.col(lv), float(tol)))
-        rside = rside.withColumn(rb, F.explode(neighbour_buckets(F.col(rv), float(tol))))
+        b = bucket_of(F.col(rv), float(tol))
+        cells = F.array(b, b + 1) if one_sided else neighbour_buckets(F.col(rv), float(tol))
+        rside = rside.withColumn(rb, F.explode(cells))
         lcols.append(lb)
         rcols.append(rb)
     eq = [lside[a] == rside[b] for a, b in keys]
     eq += [lside[a] == rside[b] for a, b in zip(lcols, rcols)]
     cond = reduce(lambda a, b: a & b, eq)
-    for lv, rv, tol in bands:
+    for band in bands:
+        lv, rv, tol = band[:3]
         cond = cond & (F.abs(lside[lv] - rside[rv]) <= float(tol))
     if residual is not None:
         cond = cond & residual

@@ -193,7 +193,11 @@ def consolidate_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     pairs = multi_band_join(
         a, b,
-        [("a_t", "b_t", float(C.HIST_DAYS * _DAY_US)), ("a_value", "b_value", C.CONSOLIDATE_VALUE_TOL)],
+        [
+            # b is earlier than a (residual), so b's time bucket is a's or the one before
+            ("a_t", "b_t", float(C.HIST_DAYS * _DAY_US), "left_ge"),
+            ("a_value", "b_value", C.CONSOLIDATE_VALUE_TOL),
+        ],
         keys=[("a_user", "b_user")],
         residual=F.col("b_t") < F.col("a_t"),
     )

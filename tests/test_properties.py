@@ -45,6 +45,13 @@ def test_multi_band_join_equals_nested_loop(spark, a, b):
         if k == k2 and abs(t - t2) <= 3.0 and abs(v - v2) <= 2.0
     )
     assert got == want
+    # one-sided time band: only earlier partners, right side repeated into 2 cells
+    out1 = multi_band_join(
+        left, right, [("t", "t2", 3.0, "left_ge"), ("v", "v2", 2.0)], keys=[("k", "k2")],
+        residual=left["t"] >= right["t2"],
+    )
+    got1 = sorted((r.i, r.j) for r in out1.collect())
+    assert got1 == sorted((i, j) for i, j in want if a[i][1] >= b[j][1])
 
 
 words = st.text(alphabet="abAB_1", min_size=0, max_size=7)
