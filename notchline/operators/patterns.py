@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from notchline import constants as C
-from notchline.operators.partitioning import spread_if_undersplit
 
 
 def round6(v: F.Column) -> F.Column:
@@ -32,44 +31,46 @@ def bin_of(v: F.Column, width: float) -> F.Column:
     return F.floor(round6(v) / (width * 1e6))
 
 
+# A run with more points than this is "hot": it votes through the combining path
+# (partial aggregation before the shuffle) instead of being gathered in one task.
+HOT_RUN_POINTS = 1_000_000
+
+
+def _vote_cells(bins: int, register: bool) -> tuple[F.Column, F.Column]:
+    """Per point: the cells it lands in, as (theta_bin, cos, sin) structs -- the bin
+    angles are constants, so no trig runs per row -- and whether a cell is a real
+    vote (``__vote`` true and a real angle) rather than the registration cell."""
+    angles = [
+        F.struct(
+            F.lit(k).alias("theta_bin"),
+            F.lit(math.cos(k * math.pi / bins)).alias("__cos"),
+            F.lit(math.sin(k * math.pi / bins)).alias("__sin"),
+        )
+        for k in range(bins)
+    ]
+    reg = [F.struct(F.lit(-1).alias("theta_bin"), F.lit(0.0).alias("__cos"), F.lit(0.0).alias("__sin"))]
+    reg = reg if register else []
+    cell_t = "array<struct<theta_bin:int,__cos:double,__sin:double>>"
+    cells = F.when(F.col("__vote"), F.array(*angles, *reg)).otherwise(F.array(*reg).cast(cell_t))
+    return cells, F.col("__vote") & (F.col("theta_bin") >= 0)
+
+
 def hough_votes(
-    points: DataFrame,
+    src: DataFrame,
     run: str,
     x: str,
     y: str,
     bins: int = C.THETA_BINS,
     r_bin: float = C.R_BIN,
-    voting: F.Column | None = None,
     register: bool = False,
-    spread: bool | str = "auto",
 ) -> DataFrame:
-    """Votes per (run, theta_bin, r_bin). ``r`` is rounded to 6 places before
-    binning (``bin_of``). Only the three key columns leave the explode, and partial
-    aggregation collapses them before the shuffle (for a run with many points
-    most of its votes share bins, so a hot run shrinks map-side). An under-split
-    source is spread first so the 18x expansion runs on every core.
-
-    ``voting``: points where it is false do not vote. ``register``: every point
-    also lands in one zero-vote cell of its run (theta_bin -1, r_bin null), so
-    every run of ``points`` is present downstream without a second scan.
-    ``spread``: ``"auto"`` spreads an under-split direct scan (see
-    ``spread_if_undersplit``); pass False when ``points`` comes out of a shuffle."""
-    vote = F.lit(True) if voting is None else F.coalesce(voting, F.lit(False))
-    # the bin angles are constants: carry (k, cos, sin) as literals, no trig per row
-    angles = [F.struct(F.lit(k).alias("theta_bin"), F.lit(math.cos(k * math.pi / bins)).alias("__cos"),
-                       F.lit(math.sin(k * math.pi / bins)).alias("__sin")) for k in range(bins)]
-    reg_cells = [F.struct(F.lit(-1).alias("theta_bin"), F.lit(0.0).alias("__cos"), F.lit(0.0).alias("__sin"))]
-    src = points.select(run, x, y, vote.alias("__vote"))
-    if spread == "auto":
-        src = spread_if_undersplit(src, [run, x, y])
-    elif spread:
-        src = src.repartition(src.sparkSession.sparkContext.defaultParallelism, run, x, y)
-    k = F.col("theta_bin")
+    """Votes per (run, theta_bin, r_bin) over rows ``(run, x, y, __vote)``. ``r``
+    is rounded to 6 places before binning (``bin_of``). Points with ``__vote``
+    false do not vote; with ``register`` every point also lands in one zero-vote
+    cell of its run (theta_bin -1, r_bin null), so every run is present
+    downstream without a second scan."""
+    cells, real = _vote_cells(bins, register)
     r = F.col(x) * F.col("__cos") + F.col(y) * F.col("__sin")
-    reg = reg_cells if register else []
-    cell_t = "array<struct<theta_bin:int,__cos:double,__sin:double>>"
-    cells = F.when(F.col("__vote"), F.array(*angles, *reg)).otherwise(F.array(*reg).cast(cell_t))
-    real = F.col("__vote") & (k >= 0)
     return (
         src.select(run, x, y, "__vote", F.inline(cells))
         .select(run, "theta_bin", F.when(real, bin_of(r, r_bin)).alias("r_bin"), real.alias("__real"))
@@ -78,24 +79,58 @@ def hough_votes(
     )
 
 
+def split_runs(
+    points: DataFrame, run: str, x: str, y: str, voting: F.Column | None, hot_points: int
+) -> tuple[DataFrame, DataFrame]:
+    """``(normal, hot)`` point rows ``(run, x, y, __vote)``.
+
+    Normal runs are hash-partitioned by run *before* the 18x expansion: the narrow
+    points are the only thing shuffled, and voting, ranking and summarising are
+    then run-local (Spark sees the clustering and plans no further exchange).
+    Runs with more than ``hot_points`` points are split off and vote through the
+    combining path, where partial aggregation collapses them map-side. The hot set
+    is broadcast: it has at most (points / hot_points) rows."""
+    vote = F.lit(True) if voting is None else F.coalesce(voting, F.lit(False))
+    src = points.select(run, x, y, vote.alias("__vote"))
+    hot_ids = (
+        src.groupBy(run)
+        .agg(F.count(F.lit(1)).alias("__size"))
+        .where(F.col("__size") > hot_points)
+        .select(run, F.lit(True).alias("__hot"))
+    )
+    tagged = src.join(F.broadcast(hot_ids), run, "left")
+    n = max(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+            points.sparkSession.sparkContext.defaultParallelism)
+    normal = tagged.where(F.col("__hot").isNull()).drop("__hot").repartition(n, run)
+    hot = tagged.where(F.col("__hot").isNotNull()).drop("__hot")
+    return normal, hot
+
+
 def rank_bins(votes: DataFrame, run: str, top: int = C.TOP_LINES, min_votes: int | None = None) -> DataFrame:
     """The ``top`` best-voted bins per run, numbered 1.. (ties: lower theta bin,
-    then lower r bin). The rank filter lets Spark insert a per-partition group
-    limit before the shuffle. With ``min_votes`` weaker bins are dropped first;
-    without it every run keeps its best bins, and since a bin with at least
-    ``min_votes`` votes outranks every weaker one, filtering afterwards gives the
-    same lines."""
+    then lower r bin). On unclustered input the rank filter lets Spark insert a
+    per-partition group limit before the shuffle. With ``min_votes`` weaker bins
+    are dropped first; without it every run keeps its best bins, and since a bin
+    with at least ``min_votes`` votes outranks every weaker one, filtering
+    afterwards gives the same lines."""
     w = Window.partitionBy(run).orderBy(F.col("votes").desc(), F.col("theta_bin"), F.col("r_bin"))
     v = votes if min_votes is None else votes.where(F.col("votes") >= min_votes)
     return v.withColumn("line_no", F.row_number().over(w)).where(F.col("line_no") <= top)
 
 
-def detect_lines(points: DataFrame, run: str, x: str, y: str) -> DataFrame:
+def detect_lines(
+    points: DataFrame, run: str, x: str, y: str, hot_points: int = HOT_RUN_POINTS
+) -> DataFrame:
     """AGG-10: ``(run, line_no, theta_bin, r_bin, votes)``: the TOP_LINES
     best-voted bins per run with at least MIN_VOTES votes."""
-    return rank_bins(hough_votes(points, run, x, y), run, min_votes=C.MIN_VOTES).select(
-        run, "line_no", "theta_bin", "r_bin", "votes"
-    )
+
+    def lines(src: DataFrame) -> DataFrame:
+        return rank_bins(hough_votes(src, run, x, y), run, min_votes=C.MIN_VOTES).select(
+            run, "line_no", "theta_bin", "r_bin", "votes"
+        )
+
+    normal, hot = split_runs(points, run, x, y, None, hot_points)
+    return lines(normal).unionByName(lines(hot))
 
 
 def summarize_runs(
@@ -105,33 +140,37 @@ def summarize_runs(
     y: str,
     side: str = C.SIDE_FRONT,
     voting: F.Column | None = None,
-    spread: bool | str = "auto",
+    hot_points: int = HOT_RUN_POINTS,
 ) -> DataFrame:
     """AGG-4 + WIN-1 + SCL-13 in one pass: summary rows ``(run, qualifier, value)``
     for every run of ``points`` -- ``<side>NO_yES`` (line count, 0 kept) and
     ``<side>y<k>`` = ``THETA:<theta_bin>,R:<r_bin>`` per line. Only points where
     ``voting`` holds vote (the side pass); the others just register their run.
 
-    The ranked bins are already partitioned by run, so gathering a run's (at most
-    TOP_LINES) lines is a local aggregate: no second scan, no join, no shuffle."""
-    votes = hough_votes(points, run, x, y, voting=voting, register=True, spread=spread)
-    # keep qualifying bins and each run's registration cell; the latter has no
-    # votes, so it can never displace a line from the top ranks
-    kept = votes.where((F.col("votes") >= C.MIN_VOTES) | (F.col("theta_bin") < 0))
-    ranked = rank_bins(kept, run)
+    Gathering a run's (at most TOP_LINES) lines happens where its ranked bins
+    already are: no second scan, no join, no extra shuffle."""
     line = F.struct(
         F.concat(F.lit(side + C.Q_DETECTION), F.col("line_no").cast("string")).alias("qualifier"),
         F.concat(
             F.lit("THETA:"), F.col("theta_bin").cast("string"), F.lit(",R:"), F.col("r_bin").cast("string")
         ).alias("value"),
     )
-    per_run = ranked.groupBy(run).agg(
-        F.collect_list(F.when(F.col("votes") >= C.MIN_VOTES, line)).alias("__lines")
-    )
     count_row = F.struct(
         F.lit(side + C.Q_COUNT).alias("qualifier"), F.size("__lines").cast("string").alias("value")
     )
-    return per_run.select(run, F.inline(F.concat(F.array(count_row), F.col("__lines"))))
+
+    def summary(src: DataFrame) -> DataFrame:
+        votes = hough_votes(src, run, x, y, register=True)
+        # keep qualifying bins and each run's registration cell; the latter has no
+        # votes, so it can never displace a line from the top ranks
+        kept = votes.where((F.col("votes") >= C.MIN_VOTES) | (F.col("theta_bin") < 0))
+        per_run = rank_bins(kept, run).groupBy(run).agg(
+            F.collect_list(F.when(F.col("votes") >= C.MIN_VOTES, line)).alias("__lines")
+        )
+        return per_run.select(run, F.inline(F.concat(F.array(count_row), F.col("__lines"))))
+
+    normal, hot = split_runs(points, run, x, y, voting, hot_points)
+    return summary(normal).unionByName(summary(hot))
 
 
 def summary_entries(runs: DataFrame, lines: DataFrame, run: str, side: str = C.SIDE_FRONT) -> DataFrame:

@@ -104,13 +104,8 @@ def summary_rows(t: Tables, analysed: DataFrame) -> DataFrame:
     p = runs.join(model.points(t), "run_id", "left")
     side = point_side(F.col("two_sided"), F.col("is_back"))
     has_point = F.col("x").isNotNull()
-    # the points come out of the join's shuffle, already spread over its partitions
-    front = summarize_runs(
-        p, "run_id", "x", "y", C.SIDE_FRONT, voting=has_point & (side == C.SIDE_FRONT), spread=False
-    )
-    back = summarize_runs(
-        p, "run_id", "x", "y", C.SIDE_BACK, voting=has_point & (side == C.SIDE_BACK), spread=False
-    ).where(
+    front = summarize_runs(p, "run_id", "x", "y", C.SIDE_FRONT, voting=has_point & (side == C.SIDE_FRONT))
+    back = summarize_runs(p, "run_id", "x", "y", C.SIDE_BACK, voting=has_point & (side == C.SIDE_BACK)).where(
         side_writer_filter(F.col("qualifier"), C.SIDE_BACK)
     )
     devices = analysed.select(F.col("o_orderkey").alias("run_id"), "device")

@@ -271,3 +271,20 @@ def test_envelope_round_trip_with_source(spark, tmp_path):
     got = read_envelope(spark, str(tmp_path / "env"), with_source=True).collect()
     assert sorted((r.filename, r.file_contents) for r in got) == [("a.txt", "x é"), ("b.txt", None)]
     assert all(r.source_file.endswith(".parquet") for r in got)
+
+
+def test_hot_run_path_matches_normal_path(spark):
+    from notchline.operators.patterns import detect_lines, summarize_runs
+    from notchline.plans import model
+    from notchline.sources.tables import Tables
+
+    p = model.points(Tables(spark, "/root/testdata/sf0.001"))
+    for hot_points in (3, 5):  # runs above this take the combining path
+        a = detect_lines(p, "run_id", "x", "y", hot_points=hot_points)
+        b = detect_lines(p, "run_id", "x", "y", hot_points=10**9)
+        assert a.count() == b.count() > 0
+        assert a.exceptAll(b).count() == 0
+        s1 = summarize_runs(p, "run_id", "x", "y", "B", voting=F.col("is_back"), hot_points=hot_points)
+        s2 = summarize_runs(p, "run_id", "x", "y", "B", voting=F.col("is_back"), hot_points=10**9)
+        assert s1.count() == s2.count() > 0
+        assert s1.exceptAll(s2).count() == 0
