@@ -74,3 +74,33 @@ def key_of_fields(parts: Column) -> Column:
 
 def yyyymmdd(ts: Column) -> Column:
     return F.date_format(ts, "yyyyMMdd")
+
+
+# A header line: Field <name> <count> {"v1", "v2", ...}
+_FIELD_LINE = r'Field\s+(\w+)\s+\d+\s+\{([^}]*)\}'
+_QUOTED = r'"([^"]*)"'
+
+
+def header_fields(text: Column) -> Column:
+    """SCL-17: every ``Field <name> <n> {"..", ..}`` line of a file as
+    ``array<struct<name, values: array<string>>>``."""
+    names = F.regexp_extract_all(text, F.lit(_FIELD_LINE), 1)
+    bodies = F.regexp_extract_all(text, F.lit(_FIELD_LINE), 2)
+    return F.arrays_zip(
+        names.alias("name"),
+        F.transform(bodies, lambda b: F.regexp_extract_all(b, F.lit(_QUOTED), 1)).alias("values"),
+    )
+
+
+def header_map(text: Column, pick: int = -1) -> Column:
+    """The header as ``map<string,string>``: field name -> one of its values
+    (``pick``: 1-based position, negative from the end). A repeated name keeps its
+    last line (map put semantics)."""
+    f = F.filter(header_fields(text), lambda e: F.size(e["values"]) > 0)
+    # keep an entry only when no later entry has the same name (last put wins)
+    last = F.filter(
+        f, lambda e, i: ~F.exists(F.slice(f, i + 2, F.size(f) + 1), lambda o: o["name"] == e["name"])
+    )
+    return F.map_from_entries(
+        F.transform(last, lambda e: F.struct(e["name"], F.try_element_at(e["values"], F.lit(pick))))
+    )

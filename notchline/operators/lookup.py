@@ -109,3 +109,22 @@ def prefix_join(
     length (the reference gates image ids to exactly that length). The prefix is
     an equi-key, so this is a hash or sort-merge join, not a range scan per id."""
     return ids.join(index, F.substring(index[key_col], 1, id_len) == ids[id_col], how)
+
+
+def lookup_first_line(
+    runs: DataFrame,
+    key_col: str,
+    lines: DataFrame,
+    line_col: str,
+    order: Sequence[str],
+    payload: Sequence[str],
+) -> DataFrame:
+    """JON-1 / FLT-8 as one step: for each run, the payload of the first reference
+    line (by ``order``) whose text contains the run's key. Distinct keys are looked
+    up once (``substring_join`` + ``first_by``) and the answer is joined back to
+    the runs by equality, so a busy key costs one lookup. Runs whose key is found
+    nowhere keep null payload columns."""
+    keys = runs.select(F.col(key_col).alias("__key")).where(F.col("__key").isNotNull()).distinct()
+    hits = substring_join(keys, lines, "__key", line_col)
+    first = first_by(hits, ["__key"], list(order), list(payload)).drop(*order)
+    return runs.join(first, runs[key_col] == first["__key"], "left").drop("__key")

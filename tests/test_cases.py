@@ -288,3 +288,26 @@ def test_hot_run_path_matches_normal_path(spark):
         s2 = summarize_runs(p, "run_id", "x", "y", "B", voting=F.col("is_back"), hot_points=10**9)
         assert s1.count() == s2.count() > 0
         assert s1.exceptAll(s2).count() == 0
+
+
+def test_header_map(spark):
+    from notchline.functions.text import header_map
+
+    text = ('Record FileRecord\nField InspectionStationID 3 {"KLA-TENCOR", "Puma9850M", "KTPUAX0800"}\n'
+            'Field DeviceID 1 {"D42"}\nField Empty 0 {}\nField DeviceID 1 {"D43"}\n')
+    df = spark.createDataFrame([(text,)], "t string")
+    m = df.select(header_map(F.col("t")).alias("m"), header_map(F.col("t"), 2).alias("m2")).first()
+    assert m.m == {"InspectionStationID": "KTPUAX0800", "DeviceID": "D43"}
+    assert m.m2["InspectionStationID"] == "Puma9850M" and m.m2["DeviceID"] is None
+
+
+def test_lookup_first_line(spark):
+    from notchline.operators.lookup import lookup_first_line
+
+    lines = spark.createDataFrame(
+        [(0, 0, "0,NATION_10,x,x,180"), (1, 1, "1,NATION_1,x,x,90"), (2, 1, "2,OTHER,x,x,270")],
+        "line_key int, grp int, line string",
+    ).withColumn("flat", F.get(F.split("line", ","), 4).cast("int"))
+    runs = spark.createDataFrame([(7, "NATION_1"), (8, "NATION_1"), (9, "MISSING"), (10, None)], "run int, dev string")
+    got = {r.run: r.flat for r in lookup_first_line(runs, "dev", lines, "line", ["grp", "line_key"], ["flat"]).collect()}
+    assert got == {7: 180, 8: 180, 9: None, 10: None}
