@@ -52,14 +52,3 @@ def rotate_grid(x: Column, y: Column, flat: Column) -> tuple[Column, Column]:
         .otherwise(y)
     )
     return gx, gy
-
-
-def theta_of_bin(k: Column, bins: int = C.THETA_BINS) -> Column:
-    """Angle in radians of theta bin ``k`` of ``bins`` over [0, pi)."""
-    return k * pi() / float(bins)
-
-
-def line_distance(x: Column, y: Column, theta: Column) -> Column:
-    """Signed distance parameter of the line through (x, y) with normal angle theta:
-    r = x cos(theta) + y sin(theta)."""
-    return x * F.cos(theta) + y * F.sin(theta)

@@ -14,7 +14,7 @@ from notchline.plans import model
 from notchline.plans import oracle as O
 from notchline.plans.registry import query
 from notchline.session import scratch_path
-from notchline.sources.lookups import parse_arm_lines, parse_device_lines, side_eligible, with_sentinels
+from notchline.sources.lookups import parse_device_lines, read_arm_csv, side_eligible, with_sentinels
 from notchline.sources.tables import Tables
 
 # c_name is exactly this long; it plays the fixed-length image id.
@@ -65,7 +65,7 @@ def arm_table(spark: SparkSession, t: Tables) -> DataFrame:
     back through the positional parser."""
     path = scratch_path(spark, "arm_csv")
     model.arm_csv_lines(t).write.mode("overwrite").text(path)
-    return parse_arm_lines(spark.read.text(path))
+    return read_arm_csv(spark, path)
 
 
 @query(

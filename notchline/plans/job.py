@@ -29,6 +29,7 @@ from notchline.functions.text import render_point, yyyymmdd
 from notchline.operators.gates import eligibility_flag, point_side, station_tag, two_sided
 from notchline.operators.patterns import (
     info_keys_filter,
+    is_count_qualifier,
     pattern_table_filter,
     side_writer_filter,
     summarize_runs,
@@ -125,7 +126,8 @@ def pattern_table(summary: DataFrame, header: DataFrame, analysed: DataFrame) ->
         keep = keep | pattern_table_filter(F.col("qualifier"), side)
     entries = summary.where(keep)
     info = header.where(info_keys_filter(F.col("qualifier")))
-    counts = summary.where(F.col("qualifier").isin(*[s + C.Q_COUNT for s in sides]))
+    q = F.col("qualifier")
+    counts = summary.where(is_count_qualifier(q, C.SIDE_FRONT) | is_count_qualifier(q, C.SIDE_BACK))
     status = counts.select(
         "rowkey",
         "device",

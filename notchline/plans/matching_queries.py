@@ -16,7 +16,8 @@ from notchline.sources.tables import Tables
 def _candidates(t: Tables) -> DataFrame:
     det = model.detections(t)
     arm = model.arms(t).select("s_suppkey", "tool", "area", "d1", "d2", "rot")
-    # arms (suppliers) are the smaller side: they are the ones repeated into 3 buckets
+    # arms (suppliers) are the smaller side: each enters once per leg (d1, d2) and
+    # is repeated into 3 buckets; detections keep their own bucket
     return band_match(det, arm, C.OFF, repeat="right")
 
 

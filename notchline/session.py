@@ -7,7 +7,6 @@ sane defaults while a cluster keeps its own.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -87,8 +86,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder for a written table."""
     root = ensure_checkpoint_dir(spark)
     return f"{root}/tables/{name}-{uuid.uuid4().hex}"
-
-
-def local_master_from_env(default_cpus: int = 8) -> str:
-    cpus = os.environ.get("BENCH_CPUS") or str(default_cpus)
-    return f"local[{cpus}]"
