@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from notchline import constants as C
+from notchline.session import default_parallelism
 
 
 def round6(v: F.Column) -> F.Column:
@@ -99,8 +100,8 @@ def split_runs(
         .select(run, F.lit(True).alias("__hot"))
     )
     tagged = src.join(F.broadcast(hot_ids), run, "left")
-    n = max(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-            points.sparkSession.sparkContext.defaultParallelism)
+    spark = points.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), default_parallelism(spark))
     normal = tagged.where(F.col("__hot").isNull()).drop("__hot").repartition(n, run)
     hot = tagged.where(F.col("__hot").isNotNull()).drop("__hot")
     return normal, hot

@@ -53,11 +53,21 @@ def build_session(
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions have no context on the client
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
@@ -65,23 +75,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     context). Only when neither is set -- a local test run -- a private folder is
     created and registered.
     """
-    sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get(
+    sc = _context(spark)
+    configured = (sc.getConf().get("spark.checkpoint.dir") if sc else None) or spark.conf.get(
         "spark.checkpoint.dir", None
     )
     if configured:
-        current = sc.getCheckpointDir()
-        if not current:
+        if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(configured)
         return configured.rstrip("/")
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
     local = tempfile.mkdtemp(prefix="notchline-ckpt-")
+    if sc is None:
+        return local
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder for a written table."""
     root = ensure_checkpoint_dir(spark)
