@@ -13,9 +13,13 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Defaults that hold at any scale: adaptive execution re-plans joins from real
-# shuffle sizes (broadcast only when the measured side is under the threshold,
-# sort-merge otherwise), coalesces small partitions and splits skewed ones.
+# shuffle sizes, coalesces small partitions and splits skewed ones. Static
+# broadcast decisions (from the planner's size estimates, which can be far off
+# for derived tables) are switched off: a side is broadcast only when its
+# measured size is under the adaptive threshold, otherwise it is sort-merged.
 _DEFAULTS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
