@@ -81,3 +81,30 @@ def test_keep_last_is_idempotent_and_maximal(spark, rows):
     for k, s, v in rows:
         want[k] = max(want.get(k, (s, v)), (s, v))
     assert a == sorted((k, s, v) for k, (s, v) in want.items())
+
+
+@settings(**SETTINGS)
+@given(
+    rows=st.lists(st.tuples(st.one_of(st.none(), st.integers(-5, 5)), st.one_of(st.none(), st.integers(-5, 5))),
+                  min_size=1, max_size=15),
+    cuts=st.lists(st.integers(-5, 5), min_size=1, max_size=4),
+)
+def test_gates_give_the_first_firing_reason(spark, rows, cuts):
+    from pyspark.sql import functions as F
+
+    from notchline.operators.gates import first_reason
+
+    df = spark.createDataFrame(list(enumerate(rows)), "i int, a int, b int")
+    # alternate predicates on a and b; null inputs make a predicate null (not firing)
+    checks = [
+        (f"g{j}", (F.col("a") > c) if j % 2 == 0 else (F.col("b") < c)) for j, c in enumerate(cuts)
+    ]
+    got = {r.i: r.reason for r in df.select("i", first_reason(checks).alias("reason")).collect()}
+    for i, (a, b) in enumerate(rows):
+        want = None
+        for j, c in enumerate(cuts):
+            v = a if j % 2 == 0 else b
+            if v is not None and ((v > c) if j % 2 == 0 else (v < c)):
+                want = f"g{j}"
+                break
+        assert got[i] == want
