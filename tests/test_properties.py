@@ -94,7 +94,7 @@ def test_gates_give_the_first_firing_reason(spark, rows, cuts):
 
     from notchline.operators.gates import first_reason
 
-    df = spark.createDataFrame(list(enumerate(rows)), "i int, a int, b int")
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(rows)], "i int, a int, b int")
     # alternate predicates on a and b; null inputs make a predicate null (not firing)
     checks = [
         (f"g{j}", (F.col("a") > c) if j % 2 == 0 else (F.col("b") < c)) for j, c in enumerate(cuts)
