@@ -26,7 +26,10 @@ from pyspark.sql import functions as F
 
 from notchline import constants as C
 from notchline.functions.text import render_point, yyyymmdd
+from notchline.functions.geometry import pi
 from notchline.operators.gates import eligibility_flag, point_side, station_tag, two_sided
+from notchline.operators.history import asof_join
+from notchline.operators.matching import band_match
 from notchline.operators.patterns import (
     info_keys_filter,
     is_count_qualifier,
@@ -143,6 +146,65 @@ def pattern_table(summary: DataFrame, header: DataFrame, analysed: DataFrame) ->
     return entries.unionByName(info.join(runs, "rowkey", "left_semi")).unionByName(status)
 
 
+def detection_lists(t: Tables, summary: DataFrame) -> DataFrame:
+    """Per detected line of an analysed run and side: the tools whose arm
+    dimensions match the line (JON-5, side rule FLT-11) and that handled the
+    run's unit at or before the run's own time (JON-4/JON-7), latest first, with
+    their last times and areas (AGG-5). Lines come back from the written summary
+    table; a line without such tools keeps empty lists.
+
+    Stand-in units: a line's r is its bin centre scaled to the arm unit
+    (r_bin * R_BIN * 1000), its angle the bin angle."""
+    q, v = F.col("qualifier"), F.col("value")
+    lines = summary.where(q.rlike(f"^B?{C.Q_DETECTION}[0-9]+$")).select(
+        F.col("rowkey"),
+        F.when(q.startswith(C.SIDE_BACK), F.lit(C.SIDE_BACK)).otherwise(F.lit(C.SIDE_FRONT)).alias("side"),
+        F.regexp_extract(q, "([0-9]+)$", 1).cast("int").alias("k"),
+        F.regexp_extract(v, "THETA:(-?[0-9]+)", 1).cast("int").alias("theta_bin"),
+        F.regexp_extract(v, "R:(-?[0-9]+)", 1).cast("bigint").alias("r_bin"),
+    )
+    det = lines.select(
+        "rowkey", "side", "k",
+        (F.col("r_bin") * C.R_BIN * 1000.0).alias("r"),
+        (F.col("theta_bin") * pi() / float(C.THETA_BINS)).alias("theta"),
+    )
+    arms = model.arms(t).withColumnRenamed("side", "arm_side")
+    cand = band_match(det, arms.select("s_suppkey", "tool", "area", "d1", "d2", "rot", "arm_side"))
+    other = F.when(F.col("side") == C.SIDE_FRONT, F.lit(C.ARM_SIDE_BACK)).otherwise(F.lit(C.ARM_SIDE_FRONT))
+    cand = cand.where(F.col("arm_side").isNull() | (F.col("arm_side") != other))
+    runs = t.orders.select(F.col("o_orderkey").cast("string").alias("rowkey"), "o_custkey", "o_orderdate")
+    ut = lambda u, s_: F.concat_ws("#", F.col(u).cast("string"), F.col(s_).cast("string"))
+    cand = cand.join(runs, "rowkey").withColumn("__ut", ut("o_custkey", "s_suppkey"))
+    hist = model.history(t).withColumn("__ut", ut("o_custkey", "l_suppkey")).select("__ut", "l_shipdate")
+    held = asof_join(cand, hist, "__ut", "o_orderdate", "l_shipdate").where(F.col("n_asof") > 0)
+    lst = F.sort_array(F.collect_list(F.struct("last_ts", "tool", "area")), asc=False)
+    per_line = held.groupBy("rowkey", "side", "k").agg(lst.alias("__l"))
+
+    def joined(f):
+        return F.coalesce(F.array_join(F.transform("__l", f), ","), F.lit(""))
+
+    full = lines.select("rowkey", "side", "k").join(per_line, ["rowkey", "side", "k"], "left")
+    return full.select(
+        "rowkey", "side", "k",
+        joined(lambda x: x["tool"]).alias("tool_list"),
+        joined(lambda x: F.date_format(x["last_ts"], "yyyyMMdd")).alias("time_list"),
+        joined(lambda x: x["area"]).alias("area_list"),
+    )
+
+
+def list_rows(lists: DataFrame, devices: DataFrame) -> DataFrame:
+    """The per-detection lists as pattern-table rows: ``<side>domain_LIST<k>``,
+    ``<side>TIMESTAMP_LIST<k>``, ``<side>AREA_LIST<k>``."""
+    entries = F.array(*[
+        F.struct(
+            F.concat(F.col("side"), F.lit(name), F.col("k").cast("string")).alias("qualifier"),
+            F.col(col).alias("value"),
+        )
+        for name, col in ((C.Q_TOOL_LIST, "tool_list"), (C.Q_TIME_LIST, "time_list"), (C.Q_AREA_LIST, "area_list"))
+    ])
+    return lists.select("rowkey", F.inline(entries)).join(devices, "rowkey")
+
+
 class JobResult(dict):
     """Output paths by table name, plus ``metrics``: per-stage counts observed
     while the tables were written (no extra pass over the data)."""
@@ -182,7 +244,9 @@ def run_job(spark: SparkSession, sf_dir: str, out_dir: str, all_together: bool =
     header = write("image_info", header_rows(t, accepted))
     write("point_info", point_rows(t, accepted))
     summary = write("image_summary", summary_rows(t, analysed))
-    write("y", pattern_table(summary, header, analysed))
+    devices = analysed.select(F.col("o_orderkey").cast("string").alias("rowkey"), "device")
+    lists = list_rows(detection_lists(t, summary), devices)
+    write("y", pattern_table(summary, header, analysed).unionByName(lists))
     write("pattern", pattern_row(spark, sf_dir))
     result.metrics = dict(gates.get)
     return result

@@ -39,3 +39,56 @@ def test_job_writes_every_sink(spark):
     quals = {r.qualifier for r in y.select("qualifier").distinct().collect()}
     assert {"NO_yES", "BNO_yES", "Email_Status", "BEmail_Status", "DeviceID", "InspectionStationID"} <= quals
     assert y.where("qualifier LIKE '%Email_Status'").where("value <> '0'").count() == 0
+    # one tool, time and area list per detected line, aligned
+    n_lines = summary.where("qualifier RLIKE '^B?y[0-9]+$'").count()
+    for name in ("domain_LIST", "TIMESTAMP_LIST", "AREA_LIST"):
+        assert y.where(f"qualifier RLIKE '^B?{name}[0-9]+$'").count() == n_lines
+    lens = y.where("qualifier RLIKE '^B?(domain|AREA)_LIST'").selectExpr(
+        "rowkey", "regexp_replace(qualifier, '(domain|AREA)_LIST', '') AS k",
+        "size(split(value, ',')) AS n", "value = '' AS empty").groupBy("rowkey", "k").agg(
+        {"n": "max", "empty": "max"}).count()
+    assert lens == n_lines
+
+
+def test_detection_lists_match_brute_force(spark):
+    """The job's per-detection tool/time/area lists against a direct SQL form:
+    nested-loop band predicate, side rule, history at or before each run's time."""
+    from notchline.plans import oracle as O
+
+    from .conftest import SF_CHECK
+
+    out = scratch_path(spark, "job-lists")
+    paths = run_job(spark, SF_CHECK, out)
+    con = duckdb.connect()
+    for t in ("orders", "lineitem", "supplier", "nation"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_CHECK}/{t}.parquet')")
+    summ = paths["image_summary"]
+    want = con.execute(f"""
+    WITH s AS (SELECT rowkey, qualifier, value FROM read_parquet('{summ}/**/*.parquet', hive_partitioning=true)),
+    lines AS (SELECT rowkey, CASE WHEN starts_with(qualifier, 'B') THEN 'B' ELSE '' END AS side,
+        CAST(regexp_extract(qualifier, '([0-9]+)$', 1) AS INTEGER) AS k,
+        CAST(regexp_extract(value, 'THETA:(-?[0-9]+)', 1) AS INTEGER) AS tb,
+        CAST(regexp_extract(value, 'R:(-?[0-9]+)', 1) AS BIGINT) AS rb
+      FROM s WHERE regexp_matches(qualifier, '^B?y[0-9]+$')),
+    d AS (SELECT rowkey, side, k, rb * {O.D(5.0)} * {O.D(1000.0)} AS r, tb * pi() / {O.D(18)} AS theta FROM lines),
+    {O.ARM},
+    cand AS (SELECT d.rowkey, d.side, d.k, a.s_suppkey, a.tool, a.area FROM d JOIN arm a ON {O.band_cond()}
+      AND (a.side IS NULL OR a.side <> CASE WHEN d.side = '' THEN 'BACK' ELSE 'FRONT' END)),
+    held AS (SELECT c.rowkey, c.side, c.k, c.tool, c.area, max(l.l_shipdate) AS last_ts
+      FROM cand c JOIN orders r ON CAST(r.o_orderkey AS VARCHAR) = c.rowkey
+      JOIN lineitem l ON l.l_suppkey = c.s_suppkey
+      JOIN orders o ON o.o_orderkey = l.l_orderkey AND o.o_custkey = r.o_custkey
+      WHERE l.l_shipdate <= r.o_orderdate GROUP BY ALL)
+    SELECT rowkey, side || 'domain_LIST' || CAST(k AS VARCHAR) AS q,
+      string_agg(tool, ',' ORDER BY last_ts DESC, tool DESC) AS tools,
+      string_agg(strftime(last_ts, '%Y%m%d'), ',' ORDER BY last_ts DESC, tool DESC) AS times,
+      string_agg(area, ',' ORDER BY last_ts DESC, tool DESC) AS areas
+    FROM held GROUP BY ALL""").fetchall()
+    y = spark.read.parquet(paths["y"])
+    got = {}
+    for r in y.where("qualifier RLIKE '^B?(domain|TIMESTAMP|AREA)_LIST' AND value <> ''").collect():
+        kind = "tools" if "domain_LIST" in r.qualifier else "times" if "TIMESTAMP" in r.qualifier else "areas"
+        q = r.qualifier.replace("TIMESTAMP_LIST", "domain_LIST").replace("AREA_LIST", "domain_LIST")
+        got.setdefault((r.rowkey, q), {})[kind] = r.value
+    assert len(want) > 0
+    assert got == {(rk, q): {"tools": a, "times": b, "areas": c} for rk, q, a, b, c in want}
