@@ -59,11 +59,19 @@ def _prefix(timeline: DataFrame, key: str, t: str, levels: Sequence[Level]) -> D
         F.max("__h").over(w.rowsBetween(*excl)).alias("__prev_in"),
     )
     n_asof, last, prev = F.col("__cum"), [F.col("__last_in")], [F.col("__prev_in")]
+    # bucket totals come from the windowed rows themselves (a group's total is its
+    # last running count): ``out`` is already partitioned by (key, all buckets),
+    # so the finest totals need no exchange and the timeline is computed once
+    tot = out.groupBy(key, *bcols).agg(F.max("__cum").alias("__tot"), F.max("__last_in").alias("__hmax"))
+    totals = {len(levels) - 1: tot} if levels else {}
+    for i in range(len(levels) - 2, -1, -1):
+        totals[i] = totals[i + 1].groupBy(key, *bcols[: i + 1]).agg(
+            F.sum("__tot").alias("__tot"), F.max("__hmax").alias("__hmax")
+        )
     for i in range(len(levels)):
         # earlier sibling buckets b_i inside the same (key, b_0..b_{i-1})
-        tot = tl.groupBy(key, *bcols[: i + 1]).agg(F.sum("__n").alias("__tot"), F.max("__h").alias("__hmax"))
         wl = Window.partitionBy(key, *bcols[:i]).orderBy(bcols[i]).rowsBetween(*excl)
-        off = tot.select(
+        off = totals[i].select(
             key, *bcols[: i + 1],
             F.coalesce(F.sum("__tot").over(wl), F.lit(0)).alias(f"__off{i}"),
             F.max("__hmax").over(wl).alias(f"__hb{i}"),
