@@ -4,8 +4,10 @@ The reference hands each run's points to a detector whose body is not published
 and gets back lines in polar form ``(r, theta)``. Here detection is grouped
 voting in (theta, r) bins -- the Hough transform (Duda & Hart, 1972): every point
 votes once per theta bin for the r of the line through it; bins with enough
-votes are lines. On Spark that is an explode, a combining aggregate and a
-top-k per run: no per-run Python, no run gathered into one task.
+votes are lines. On Spark that is a shuffle of the narrow points by run, an
+explode, an aggregate and a top-k per run -- no per-run Python. A run is gathered
+into one task only below ``HOT_RUN_POINTS`` points; larger runs vote through the
+combining path, where partial aggregation shrinks them before any shuffle.
 """
 
 from __future__ import annotations
