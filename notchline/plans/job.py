@@ -258,7 +258,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True, help="output directory (shared storage on a cluster)")
     ap.add_argument("--all-together", action="store_true", help="one shared table instead of one per device")
     args = ap.parse_args(argv)
-    spark = SparkSession.builder.getOrCreate()
+    from notchline.session import build_session
+
+    spark = build_session(app="notchline-job")  # the launcher's settings win
     result = run_job(spark, args.sf, args.out, args.all_together)
     for name, path in result.items():
         print(name, path)

@@ -42,21 +42,29 @@ def build_session(
 ) -> SparkSession:
     """Create (or reuse) a session with the defaults above.
 
-    ``master`` and ``driver_memory`` are for local runs; on a cluster leave them
-    ``None`` and let the launcher decide.
+    With ``master`` (a local run: tests, bench) every default goes on the builder.
+    Without it (``spark-submit`` on a cluster) the launcher's settings win: after
+    the session exists, only SQL settings the launcher left unset are filled in.
     """
-    builder = SparkSession.builder.appName(app)
-    if master:
-        builder = builder.master(master)
     conf = dict(_DEFAULTS)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if driver_memory:
         conf["spark.driver.memory"] = driver_memory
     conf.update(extra or {})
-    for k, v in conf.items():
-        builder = builder.config(k, v)
-    spark = builder.getOrCreate()
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
+        for k, v in conf.items():
+            builder = builder.config(k, v)
+        spark = builder.getOrCreate()
+    else:
+        spark = builder.getOrCreate()
+        sc = _context(spark)
+        given = sc.getConf() if sc is not None else None
+        for k, v in conf.items():
+            if k.startswith("spark.sql.") and (given is None or not given.contains(k)):
+                spark.conf.set(k, v)
     sc = _context(spark)
     if sc is not None:
         sc.setLogLevel("ERROR")
