@@ -311,3 +311,19 @@ def test_lookup_first_line(spark):
     runs = spark.createDataFrame([(7, "NATION_1"), (8, "NATION_1"), (9, "MISSING"), (10, None)], "run int, dev string")
     got = {r.run: r.flat for r in lookup_first_line(runs, "dev", lines, "line", ["grp", "line_key"], ["flat"]).collect()}
     assert got == {7: 180, 8: 180, 9: None, 10: None}
+
+
+def test_write_partitioned_batches_and_devices(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    from notchline.operators.sinks import write_partitioned
+
+    df = spark.range(0, 2500).selectExpr("id", "CASE WHEN id % 2 = 0 THEN 'D1' ELSE 'D2' END AS device")
+    path = str(tmp_path / "sink")
+    write_partitioned(df.repartition(1), path, "device", batch=300)
+    files = sorted((tmp_path / "sink").rglob("*.parquet"))
+    assert {f.parent.name for f in files} == {"device=D1", "device=D2"}
+    assert all(pq.ParquetFile(f).metadata.num_rows <= 300 for f in files)
+    assert spark.read.parquet(path).count() == 2500
+    write_partitioned(df, path, "device", mode="overwrite")
+    assert spark.read.parquet(path).count() == 2500
