@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("simhash_anchor",)
+MODULES = ("repair_shards", "viterbi_count", "bpe_backtrack", "simhash_anchor")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
