@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("repair_shards", "viterbi_count", "bpe_backtrack", "simhash_anchor")
+MODULES = ("preference_chat", "repair_shards", "viterbi_count", "toxicity_knn", "bpe_backtrack", "host_lines", "simhash_anchor", "template_decon", "license_patience")
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
