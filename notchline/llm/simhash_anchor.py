@@ -180,7 +180,11 @@ def links(fps: DataFrame, bits: int = MAX_BITS, chunk: int = CHUNK) -> DataFrame
     of ``bits`` (4 at most) or fewer differing bits connect."""
     if not 0 <= bits <= 4:
         raise ValueError("the covering is built for links of 0 to 4 bits")
-    placed = fps.select("fp").mapInArrow(_replicate, "anchor long, fp long")
+    return compare_placed(fps.select("fp").mapInArrow(_replicate, "anchor long, fp long"), bits, chunk)
+
+
+def compare_placed(placed: DataFrame, bits: int, chunk: int = CHUNK) -> DataFrame:
+    """(u, v): a spanning star of every set of fingerprints (anchor, fp) that links within an anchor."""
     hot = placed.groupBy("anchor").count().where(F.col("count") > chunk).select("anchor", F.ceil(F.col("count") / chunk).cast("int").alias("salts"))
     salts = F.coalesce("salts", F.lit(1))
     own = F.pmod(F.xxhash64("fp"), salts).cast("int")
