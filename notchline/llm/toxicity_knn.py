@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from notchline.llm.common import stored, table, text_of
-from notchline.llm.pretokens import Store, encoded, pieces_of
+from notchline.llm.pretokens import Store, encoded, flat, pieces_of
 
 EXAMPLES = 8000
 VOCABULARY = 4096
@@ -99,7 +99,7 @@ def term_rows(docs: DataFrame, terms: list[str], doc_id: str, text: str) -> Data
             found = [number.get(word), *(number.get("^" + word[:n]) for n in BEGINNINGS if len(word) > n)]
             return [i for i in found if i is not None]
 
-        store = Store(lambda words: [of(w) for w in words])
+        store = Store(lambda words: flat([of(w) for w in words]))
         for rows, found, upto in encoded(batches, store, None):
             owner = np.repeat(np.arange(len(rows)), np.diff(upto))
             key, tf = np.unique(owner * max(1, len(terms)) + found, return_counts=True)
@@ -112,6 +112,22 @@ def term_rows(docs: DataFrame, terms: list[str], doc_id: str, text: str) -> Data
     return pieces_of(docs, None, doc_id, text, _words()).mapInArrow(run, schema)
 
 
+def document_counts(rows: DataFrame, n_terms: int) -> np.ndarray:
+    """In how many rows each term occurs; a task sums its own rows first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(n_terms, dtype=np.int64)
+        for b in batches:
+            counts += np.bincount(b.column(0).flatten().to_numpy(), minlength=n_terms)
+        have = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(have.astype(np.int32)), pa.array(counts[have])], names=["t", "n"])
+
+    out = np.zeros(n_terms)
+    for r in rows.select("term").mapInArrow(run, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).collect():  # a row for each vocabulary term
+        out[r.t] = r.n
+    return out
+
+
 class BlockMax:
     """Block-max inverted index over the examples' unit vectors."""
 
@@ -198,19 +214,18 @@ class Model:
         return float(np.interp(vote, self.points, self.values)), nearest
 
 
-def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", examples: int = EXAMPLES) -> tuple[Model, DataFrame]:
-    """(model, term rows of every document). ``labels`` are the rows to learn from; of a
+def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", examples: int = EXAMPLES, carry: str | None = None) -> tuple[Model, DataFrame]:
+    """(model, term rows (id, carried, term, tf) of every document). ``labels`` are the rows to learn from; of a
     doc_id with several the highest counts; nulls and other values than 0 and 1 are passed over."""
     few = stored(choose_examples(labels, doc_id, label, examples), "examples")
     # the examples are bounded by ``examples`` rows, hence the broadcast
     texts = docs.select(F.col(doc_id).alias("id"), text_of(text).alias("text")).join(F.broadcast(few), "id").dropDuplicates(["id"])
     with_text = stored(texts.select("id", "label", "text"), "example-texts")
     terms = choose_terms(with_text)
-    rows = stored(term_rows(docs, terms, doc_id, text), "terms")
-    n = rows.count()
-    df = np.zeros(len(terms))
-    for r in rows.select(F.explode("term").alias("t")).groupBy("t").count().collect():  # a row for each vocabulary term
-        df[r.t] = r["count"]
+    who = F.struct(F.col(doc_id).alias("id"), (F.col(carry) if carry else F.lit(None)).cast("string").alias("carried"))
+    found = term_rows(docs.select(who.alias("who"), F.col(text).alias("text")), terms, "who", "text")
+    rows = stored(found.select("id.id", "id.carried", "term", "tf"), "terms")
+    n, df = rows.count(), document_counts(rows, len(terms))
     idf = np.log((1 + n) / (1 + df)) + 1
     got = rows.join(F.broadcast(few), "id").dropDuplicates(["id"]).collect()
     known = {r.id: r.label for r in got}
@@ -220,29 +235,30 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     return Model(got, known, idf, weights), rows
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", examples: int = EXAMPLES) -> DataFrame:
-    """(id, score, evidence): one row for each row of ``docs``; ``evidence`` lists the
+def score_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", examples: int = EXAMPLES, carry: str | None = None) -> DataFrame:
+    """(id, carried, score, evidence): one row for each row of ``docs``; ``carried`` is the
+    value of its column ``carry`` as text, if named; ``evidence`` lists the
     nearest examples (doc_id, label, cosine), the nearest first. Null and empty texts
     get the share of label 1 among examples without vocabulary terms; without any
     labelled row of both labels every score is that share or 0; repeated rows are scored each."""
-    model, rows = train(docs, labels, doc_id, text, label, examples)
+    model, rows = train(docs, labels, doc_id, text, label, examples, carry)
     kind = docs.schema[doc_id].dataType
     evidence = T.ArrayType(T.StructType([T.StructField("doc_id", kind), T.StructField("label", T.IntegerType()), T.StructField("cosine", T.DoubleType())]))
-    schema = T.StructType([T.StructField("id", kind), T.StructField("score", T.DoubleType()), T.StructField("evidence", evidence)])
-    arrow = pa.list_(pa.struct([("doc_id", pa.from_numpy_dtype(np.int64) if isinstance(kind, T.LongType) else pa.string()), ("label", pa.int32()), ("cosine", pa.float64())]))
+    schema = T.StructType([T.StructField("id", kind), T.StructField("carried", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("evidence", evidence)])
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by examples and vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = shared.value
         for b in batches:
             scores, shown = [], []
-            term, tf = b.column(1), b.column(2)
+            shape = pa.list_(pa.struct([("doc_id", b.column(0).type), ("label", pa.int32()), ("cosine", pa.float64())]))
+            term, tf = b.column(2), b.column(3)
             off, terms, tfs = term.offsets.to_numpy(), term.values.to_numpy(), tf.values.to_numpy()
             for i in range(b.num_rows):
                 s, nearest = m.score(terms[off[i] : off[i + 1]], tfs[off[i] : off[i + 1]])
                 scores.append(s)
                 shown.append([{"doc_id": m.ids[e], "label": int(m.labels[e]), "cosine": c} for c, e in nearest])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, type=pa.float64()), pa.array(shown, type=arrow)], names=["id", "score", "evidence"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(scores, type=pa.float64()), pa.array(shown, type=shape)], names=["id", "carried", "score", "evidence"])
 
     return rows.mapInArrow(run, schema)
 
