@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from notchline.llm.common import table
-from notchline.llm.pretokens import Store, encoded, gather, pieces_of
+from notchline.llm.pretokens import Store, encoded, flat, gather, pieces_of
 
 REMEMBERED = 1_000_000
 
@@ -138,7 +138,7 @@ class Codec:
     def __init__(self, path: str, pattern: str):
         self.merges = Merges(load_ranks(path))
         self.pattern = regex.compile(pattern)
-        self.store = Store(lambda pieces: [self.merges.encode(p.encode()) for p in pieces])
+        self.store = Store(lambda pieces: flat([self.merges.encode(p.encode()) for p in pieces]))
         top = max(self.merges.bytes_of) + 1
         self.size = np.zeros(top, dtype=np.int64)
         for rank, token in self.merges.bytes_of.items():
@@ -190,9 +190,10 @@ def decode_bpe(rows: DataFrame, path: str, pattern: str) -> DataFrame:
     return rows.select("id", "ids").mapInArrow(run, T.StructType([_id_field(rows, "id"), T.StructField("data", T.BinaryType())]))
 
 
-def bpe_digests(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256): encodes every whole text, decodes
-    the ids again and digests both in the same pass, so no id list is shuffled."""
+def bpe_digests(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256, and ids if asked): encodes every whole
+    text, decodes the ids again and digests both in the same pass, so no id list is shuffled."""
+    names = ["id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids]
 
     def run(batches: Iterable[pa.RecordBatch]):
         codec = Codec.of(path, pattern)
@@ -202,9 +203,13 @@ def bpe_digests(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id"
             for s, e in zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True):
                 ids_of.append(hashlib.sha256(little[s:e]).hexdigest())
                 decoded_of.append(hashlib.sha256(codec.decode(little[s:e])).hexdigest())
-            yield pa.RecordBatch.from_arrays([rows, pa.array(np.diff(upto).astype(np.int64)), pa.array(ids_of, type=pa.string()), pa.array(decoded_of, type=pa.string())], names=["id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            columns = [rows, pa.array(np.diff(upto).astype(np.int64)), pa.array(ids_of, type=pa.string()), pa.array(decoded_of, type=pa.string())]
+            if with_ids:
+                columns.append(pa.ListArray.from_arrays(pa.array(upto, type=pa.int32()), pa.array(ids.astype(np.int32))))
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    schema = T.StructType([_id_field(docs, doc_id), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
+    kinds = [docs.schema[doc_id].dataType, T.LongType(), T.StringType(), T.StringType(), *[T.ArrayType(T.IntegerType(), False)] * with_ids]
+    schema = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)])
     return pieces_of(docs, pattern, doc_id, text).mapInArrow(run, schema)
 
 

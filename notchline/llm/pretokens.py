@@ -28,10 +28,17 @@ STORE = 1_000_000
 STEP = 1 << 19
 
 
+def flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """(all numbers one after the other, length of each list)."""
+    sizes = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
+    return np.fromiter((i for x in lists for i in x), dtype=np.uint32, count=int(sizes.sum())), sizes
+
+
 class Store:
-    """Ids of the pieces seen so far, as one pool."""
+    """Ids of the pieces seen so far, as one pool. ``encode`` gives the ids of new
+    pieces one after the other, and how many each has."""
 
-    def __init__(self, encode: Callable[[list[str]], list]):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
         self.encode, self.limit = encode, STORE
         self.clear()
 
@@ -47,16 +54,15 @@ class Store:
             self.clear()
         new = [p for p in pieces if p not in self.at]
         if new:
-            ids = self.encode(new)
-            n, sizes = len(self.at), np.fromiter(map(len, ids), dtype=np.int64, count=len(new))
-            total = int(sizes.sum())
+            ids, sizes = self.encode(new)
+            n, total = len(self.at), len(ids)
             while self.used + total > len(self.pool):
                 self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
             while n + len(new) > len(self.start):
                 self.start, self.size = (np.concatenate([x, np.empty_like(x)]) for x in (self.start, self.size))
             self.start[n : n + len(new)] = self.used + np.cumsum(sizes) - sizes
             self.size[n : n + len(new)] = sizes
-            self.pool[self.used : self.used + total] = np.fromiter((i for x in ids for i in x), dtype=np.uint32, count=total)
+            self.pool[self.used : self.used + total] = ids
             self.used += total
             self.at.update(zip(new, range(n, n + len(new)), strict=True))
         at = self.at

@@ -32,9 +32,10 @@ from pyspark.sql import types as T
 from notchline.llm.common import scratch_path, table, text_of
 from notchline.llm.pretokens import Store, encoded, pieces_of
 
-SHARD = 1 << 20
+SHARD = 1 << 18
 LEAST = 8
 ROUNDS = 5
+WORDS = 500
 #: Prime multipliers of the pair hash.
 MIX = (np.uint32(2654435761), np.uint32(2246822519))
 
@@ -56,7 +57,7 @@ def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.nda
     """(sequence, left parts, right parts, first symbol of each round) of ``ids`` below ``base``."""
     a = ids.astype(np.uint32)
     left, right, rounds, top = [], [], [], base
-    bins_log2 = max(8, min(20, len(a).bit_length()))
+    bins_log2 = max(8, min(17, len(a).bit_length()))
     for k in range(ROUNDS):
         threshold = max(LEAST, len(ids) >> 9 + 2 * k)
         if len(a) < 2 * LEAST:
@@ -157,8 +158,21 @@ class _Codec:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # in a text they are ordinary text
-        self.store = Store(lambda pieces: [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)])
+        self.store = Store(self.encode)
         self.base = self.tokenizer.get_vocab_size()
+        #: bytes of each token: a byte-level vocabulary spells a byte as one character
+        self.size = np.zeros(self.base, dtype=np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.size[i] = len(token)
+
+    def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and id counts of pre-tokens. They go to the library as the words of
+        pre-split texts; running byte lengths tell where a word's ids end."""
+        texts = [pieces[i : i + WORDS] for i in range(0, len(pieces), WORDS)]
+        got = self.tokenizer.encode_batch_fast(texts, is_pretokenized=True, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, dtype=np.uint32) for e in got])
+        ends = np.searchsorted(np.cumsum(self.size[ids]), np.cumsum([len(p.encode()) for p in pieces])) + 1
+        return ids, np.diff(ends, prepend=0)
 
     @classmethod
     def of(cls, path: str) -> _Codec:
