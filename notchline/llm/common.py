@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from notchline.session import scratch_path
 from notchline.sources.tables import table
 
-__all__ = ["table", "stored", "drop_stored", "text_of", "scratch_path"]
+__all__ = ["table", "stored", "drop_stored", "text_of", "scratch_path", "without", "id_text_key"]
+
+#: Most rows of ids (about 100 bytes each on a worker) that are broadcast.
+BROADCAST_IDS = 500_000
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -34,3 +37,17 @@ def drop_stored(df: DataFrame) -> None:
 def text_of(col: str = "text") -> Column:
     """The text column with null read as the empty text."""
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
+
+
+def without(rows: DataFrame, gone: DataFrame, on: Column, kind: str = "left_anti") -> DataFrame:
+    """``rows`` whose ``on`` (never null) is not among the values of ``gone``' only column
+    (among them, if ``kind`` is 'left_semi'). These are broadcast if they are counted to
+    be few, else the join shuffles."""
+    gone = gone.select(F.col(gone.columns[0]).alias("__gone")).distinct()
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    return rows.join(gone, on == F.col("__gone"), kind)
+
+
+def id_text_key(doc_id: str, text: str) -> Column:
+    """A string that stands for a row's id (null included) and text."""
+    return F.concat_ws("-", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), F.hex(F.xxhash64(text_of(text))))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from notchline.llm.common import stored, table, text_of
+from notchline.llm.common import id_text_key, stored, table, text_of, without
 from notchline.llm.components import connected_components
 
 SHINGLE = 4
@@ -211,6 +211,24 @@ def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return each.join(rooted.select("fp", "root").join(lowest, "root").select("fp", "component"), "fp").select("id", "fp", "component")
 
 
+def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, bits: int = MAX_BITS) -> DataFrame:
+    """``docs`` without the near-duplicates: of every group the smallest id stays. Rows
+    that repeat id and text stay once; rows without id go if their group has
+    an id, and else stay once for each text."""
+    keyed = docs.select(F.struct(F.col(doc_id).alias("id"), id_text_key(doc_id, text).alias("key")).alias("id"), F.col(text).alias("text"))
+    groups = stored(simhash_groups(keyed, "id", "text", shingle, bits), "simhash-groups")
+    # the smallest (id, key) of a group; a null id sorts first, so ids are compared apart from it
+    rows = groups.select(F.col("id.id").alias("id"), F.col("id.key").alias("key"), "component")
+    lowest = rows.groupBy("component").agg(F.min("id").alias("low"))
+    rows = stored(rows.join(lowest, "component").select("id", "key", "low"), "simhash-rows")
+    kept = without(docs, rows.where("low is not null and not low <=> id").select("key"), id_text_key(doc_id, text))
+    again = stored(rows.where("low <=> id").groupBy("key").count().where("count > 1").select("key"), "repeated-rows")
+    if again.isEmpty():
+        return kept
+    repeated = without(kept, again, id_text_key(doc_id, text), "left_semi").dropDuplicates([doc_id, text])
+    return without(kept, again, id_text_key(doc_id, text)).union(repeated)
+
+
 def hex_of(fp: str = "fp"):
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))
 
