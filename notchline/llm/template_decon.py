@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notchline.llm.common import stored, table, text_of
+from notchline.llm.common import stored, table, text_of, without
 
 WINDOW = 8
 LITERAL = 4
@@ -107,7 +107,7 @@ def alignments(docs: DataFrame, bench: DataFrame, text: str = "text", item_id: s
     spans = F.aggregate(F.transform("at", lambda p, k: F.least(F.lit(WINDOW), F.coalesce(F.get("at", k + 1) - p, F.lit(WINDOW)))), F.lit(0), lambda a, x: a + x)
     found = found.withColumn("covered", spans).join(items.select("item", "items", F.col("tokens").alias("mine"), "codes"), "item")
     found = stored(found.where(F.col("covered") >= F.least(F.lit(COVER), F.size("mine"))), "alignments")
-    again = texts.join(found.select("__key").distinct(), "__key").dropDuplicates(["__key"])
+    again = without(texts, found.select("__key"), F.col("__key"), "left_semi").dropDuplicates(["__key"])
     both = again.select("__key", tokens_of(F.col("text")).alias("theirs")).join(found, "__key")
     inside = F.array_distinct(F.flatten(F.transform("at", lambda p: F.sequence(p, p + (WINDOW - 1)))))
     both = both.withColumn("inside", inside)
@@ -136,8 +136,8 @@ def contaminated(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame, text: str = "text", item_id: str = "item_id", bench_text: str = "text") -> DataFrame:
     """The rows of ``docs``, with their columns, that hold no benchmark item."""
-    hit = alignments(docs, bench, text, item_id, bench_text).select("__key").distinct()
-    return _keyed(docs, text).join(hit, "__key", "left_anti").select(*docs.columns)
+    hit = stored(alignments(docs, bench, text, item_id, bench_text).select("__key").distinct(), "contaminated")
+    return without(_keyed(docs, text), hit, F.col("__key")).select(*docs.columns)
 
 
 def op9_template_decon(spark: SparkSession, sf_dir: str) -> DataFrame:
