@@ -79,11 +79,17 @@ R_UNIT_DIVISOR = 1000.0
 
 # Summary and pattern-table qualifier names.
 Q_COUNT = "NO_yES"
+Q_COUNT_START = "NO_y"
 Q_DETECTION = "y"
 Q_TOOL_LIST = "domain_LIST"
 Q_TIME_LIST = "TIMESTAMP_LIST"
 Q_AREA_LIST = "AREA_LIST"
 Q_STATUS = "Email_Status"
+Q_POINT = "point"
+T_THETA = "THETA:"
+T_R = ",R:"
+# Header entries copied into the pattern table.
+INFO_KEYS_FOR_PATTERN = ("DeviceID", "InspectionStationID")
 AREA_ABSENT = "null"
 
 # Sink: cells per write batch, retention of every family in seconds (360 days).
@@ -107,11 +113,10 @@ CONSOLIDATE_VALUE_TOL = 2.0
 PROFILE_COUNT = 5  # parameter sets 0..4; profile i uses OFF = 10 * (i + 1)
 
 # Hough voting for line detection: theta bins of 10 degrees over [0, 180),
-# r bins of width 5, at least 3 votes, two lines per run at most.
+# r bins of width 5, at least 3 votes.
 THETA_BINS = 18
 R_BIN = 5.0
 MIN_VOTES = 3
-TOP_LINES = 2
 
 # Density grid cells (x, y).
 GRID_X = 10.0

@@ -69,7 +69,7 @@ def point_key(text: Column) -> Column:
 
 
 def key_of_fields(parts: Column) -> Column:
-    return F.concat(F.lit("point"), F.get(parts, 0))
+    return F.concat(F.lit(C.Q_POINT), F.get(parts, 0))
 
 
 def yyyymmdd(ts: Column) -> Column:

@@ -3,22 +3,23 @@
 The reference hands each run's points to a detector whose body is not published
 and gets back lines in polar form ``(r, theta)``. Here detection is grouped
 voting in (theta, r) bins -- the Hough transform (Duda & Hart, 1972): every point
-votes once per theta bin for the r of the line through it; bins with enough
-votes are lines. On Spark that is a shuffle of the narrow points by run, an
-explode, an aggregate and a top-k per run -- no per-run Python. A run is gathered
-into one task only below ``HOT_RUN_POINTS`` points; larger runs vote through the
-combining path, where partial aggregation shrinks them before any shuffle.
+votes once per theta bin for the r of the line through it; every bin with enough
+votes is a line. On Spark that is two combining aggregates, the same for a run of
+any size: equal points are first counted, then each distinct point votes with its
+count, and votes are summed per bin. No run is gathered into one task for voting;
+what a run's numbering window sees is its lines, as many as the parameter space has bins
+(theta bins x the field's extent / r bin), however many points it has.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from notchline import constants as C
-from notchline.session import default_parallelism
 
 
 def round6(v: F.Column) -> F.Column:
@@ -34,106 +35,57 @@ def bin_of(v: F.Column, width: float) -> F.Column:
     return F.floor(round6(v) / (width * 1e6))
 
 
-# A run with more points than this is "hot": it votes through the combining path
-# (partial aggregation before the shuffle) instead of being gathered in one task.
-HOT_RUN_POINTS = 1_000_000
-
-
-def _vote_cells(bins: int, register: bool) -> tuple[F.Column, F.Column]:
-    """Per point: the cells it lands in, as (theta_bin, cos, sin) structs -- the bin
-    angles are constants, so no trig runs per row -- and whether a cell is a real
-    vote (``__vote`` true and a real angle) rather than the registration cell."""
-    angles = [
-        F.struct(
-            F.lit(k).alias("theta_bin"),
-            F.lit(math.cos(k * math.pi / bins)).alias("__cos"),
-            F.lit(math.sin(k * math.pi / bins)).alias("__sin"),
-        )
-        for k in range(bins)
-    ]
-    reg = [F.struct(F.lit(-1).alias("theta_bin"), F.lit(0.0).alias("__cos"), F.lit(0.0).alias("__sin"))]
-    reg = reg if register else []
-    cell_t = "array<struct<theta_bin:int,__cos:double,__sin:double>>"
-    cells = F.when(F.col("__vote"), F.array(*angles, *reg)).otherwise(F.array(*reg).cast(cell_t))
-    return cells, F.col("__vote") & (F.col("theta_bin") >= 0)
-
-
 def hough_votes(
-    src: DataFrame,
+    points: DataFrame,
     run: str,
     x: str,
     y: str,
+    side: F.Column | str = C.SIDE_FRONT,
+    register: Sequence[str] = (),
+    voting: F.Column | None = None,
     bins: int = C.THETA_BINS,
     r_bin: float = C.R_BIN,
-    register: bool = False,
 ) -> DataFrame:
-    """Votes per (run, theta_bin, r_bin) over rows ``(run, x, y, __vote)``. ``r``
-    is rounded to 6 places before binning (``bin_of``). Points with ``__vote``
-    false do not vote; with ``register`` every point also lands in one zero-vote
-    cell of its run (theta_bin -1, r_bin null), so every run is present
-    downstream without a second scan."""
-    cells, real = _vote_cells(bins, register)
+    """Votes per (run, side, theta_bin, r_bin). Equal points are counted first and
+    vote once with their count; the bin angles are constants, so no trig runs per
+    row; ``r`` is rounded to 6 places before binning (``bin_of``). Points where
+    ``voting`` does not hold do not vote; every run also gets one row without votes
+    (bins null) on each side of ``register``, so no second scan finds the runs."""
+    vote = F.lit(True) if voting is None else F.coalesce(voting, F.lit(False))
+    own = side if isinstance(side, F.Column) else F.lit(side)
+
+    def cell(on: F.Column, theta: F.Column, cos: F.Column, sin: F.Column) -> F.Column:
+        return F.struct(on.alias("side"), theta.alias("theta_bin"), cos.alias("__cos"), sin.alias("__sin"))
+
+    none = F.lit(None).cast("double")
+    marks = F.array(*[cell(F.lit(s), F.lit(None).cast("int"), none, none) for s in register]).cast(
+        "array<struct<side:string,theta_bin:int,__cos:double,__sin:double>>"
+    )
+    angles = F.array(*[
+        cell(F.col("__own"), F.lit(k), F.lit(math.cos(k * math.pi / bins)), F.lit(math.sin(k * math.pi / bins)))
+        for k in range(bins)
+    ])
     r = F.col(x) * F.col("__cos") + F.col(y) * F.col("__sin")
     return (
-        src.select(run, x, y, "__vote", F.inline(cells))
-        .select(run, "theta_bin", F.when(real, bin_of(r, r_bin)).alias("r_bin"), real.alias("__real"))
-        .groupBy(run, "theta_bin", "r_bin")
-        .agg(F.count(F.when(F.col("__real"), F.lit(1))).alias("votes"))
+        points.select(run, x, y, own.alias("__own"), vote.alias("__vote"))
+        .groupBy(run, x, y, "__own", "__vote")
+        .agg(F.count(F.lit(1)).alias("__w"))
+        .select(run, x, y, "__w", F.inline(F.when(F.col("__vote"), F.concat(angles, marks)).otherwise(marks)))
+        .groupBy(run, "side", "theta_bin", bin_of(r, r_bin).alias("r_bin"))
+        .agg(F.sum(F.when(F.col("theta_bin").isNull(), F.lit(0)).otherwise(F.col("__w"))).alias("votes"))
     )
 
 
-def split_runs(
-    points: DataFrame, run: str, x: str, y: str, voting: F.Column | None, hot_points: int
-) -> tuple[DataFrame, DataFrame]:
-    """``(normal, hot)`` point rows ``(run, x, y, __vote)``.
-
-    Normal runs are hash-partitioned by run *before* the 18x expansion: the narrow
-    points are the only thing shuffled, and voting, ranking and summarising are
-    then run-local (Spark sees the clustering and plans no further exchange).
-    Runs with more than ``hot_points`` points are split off and vote through the
-    combining path, where partial aggregation collapses them map-side. The hot set
-    is broadcast: it has at most (points / hot_points) rows."""
-    vote = F.lit(True) if voting is None else F.coalesce(voting, F.lit(False))
-    src = points.select(run, x, y, vote.alias("__vote"))
-    hot_ids = (
-        src.groupBy(run)
-        .agg(F.count(F.lit(1)).alias("__size"))
-        .where(F.col("__size") > hot_points)
-        .select(run, F.lit(True).alias("__hot"))
-    )
-    tagged = src.join(F.broadcast(hot_ids), run, "left")
-    spark = points.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), default_parallelism(spark))
-    normal = tagged.where(F.col("__hot").isNull()).drop("__hot").repartition(n, run)
-    hot = tagged.where(F.col("__hot").isNotNull()).drop("__hot")
-    return normal, hot
-
-
-def rank_bins(votes: DataFrame, run: str, top: int = C.TOP_LINES, min_votes: int | None = None) -> DataFrame:
-    """The ``top`` best-voted bins per run, numbered 1.. (ties: lower theta bin,
-    then lower r bin). On unclustered input the rank filter lets Spark insert a
-    per-partition group limit before the shuffle. With ``min_votes`` weaker bins
-    are dropped first; without it every run keeps its best bins, and since a bin
-    with at least ``min_votes`` votes outranks every weaker one, filtering
-    afterwards gives the same lines."""
-    w = Window.partitionBy(run).orderBy(F.col("votes").desc(), F.col("theta_bin"), F.col("r_bin"))
-    v = votes if min_votes is None else votes.where(F.col("votes") >= min_votes)
-    return v.withColumn("line_no", F.row_number().over(w)).where(F.col("line_no") <= top)
-
-
-def detect_lines(
-    points: DataFrame, run: str, x: str, y: str, hot_points: int = HOT_RUN_POINTS
-) -> DataFrame:
-    """AGG-10: ``(run, line_no, theta_bin, r_bin, votes)``: the TOP_LINES
-    best-voted bins per run with at least MIN_VOTES votes."""
+def _best_first(run: str) -> WindowSpec:
+    return Window.partitionBy(run, "side").orderBy(F.col("votes").desc(), F.col("theta_bin"), F.col("r_bin"))
 
-    def lines(src: DataFrame) -> DataFrame:
-        return rank_bins(hough_votes(src, run, x, y), run, min_votes=C.MIN_VOTES).select(
-            run, "line_no", "theta_bin", "r_bin", "votes"
-        )
 
-    normal, hot = split_runs(points, run, x, y, None, hot_points)
-    return lines(normal).unionByName(lines(hot))
+def detect_lines(points: DataFrame, run: str, x: str, y: str) -> DataFrame:
+    """AGG-10: ``(run, line_no, theta_bin, r_bin, votes)``: every bin with at least
+    MIN_VOTES votes is a line of its run, numbered from the best-voted on (ties:
+    lower theta bin, then lower r bin)."""
+    lines = hough_votes(points, run, x, y).where(F.col("votes") >= C.MIN_VOTES)
+    return lines.select(run, F.row_number().over(_best_first(run)).alias("line_no"), "theta_bin", "r_bin", "votes")
 
 
 def summarize_runs(
@@ -141,39 +93,33 @@ def summarize_runs(
     run: str,
     x: str,
     y: str,
-    side: str = C.SIDE_FRONT,
+    side: F.Column | str = C.SIDE_FRONT,
+    sides: Sequence[str] = (C.SIDE_FRONT,),
     voting: F.Column | None = None,
-    hot_points: int = HOT_RUN_POINTS,
 ) -> DataFrame:
-    """AGG-4 + WIN-1 + SCL-13 in one pass: summary rows ``(run, qualifier, value)``
-    for every run of ``points`` -- ``<side>NO_yES`` (line count, 0 kept) and
-    ``<side>y<k>`` = ``THETA:<theta_bin>,R:<r_bin>`` per line. Only points where
-    ``voting`` holds vote (the side pass); the others just register their run.
-
-    Gathering a run's (at most TOP_LINES) lines happens where its ranked bins
-    already are: no second scan, no join, no extra shuffle."""
-    line = F.struct(
-        F.concat(F.lit(side + C.Q_DETECTION), F.col("line_no").cast("string")).alias("qualifier"),
-        F.concat(
-            F.lit("THETA:"), F.col("theta_bin").cast("string"), F.lit(",R:"), F.col("r_bin").cast("string")
-        ).alias("value"),
-    )
-    count_row = F.struct(
-        F.lit(side + C.Q_COUNT).alias("qualifier"), F.size("__lines").cast("string").alias("value")
+    """AGG-4 + WIN-1 + SCL-13 in one pass over both sides: summary rows
+    ``(run, qualifier, value)`` for every run of ``points`` and side of ``sides`` --
+    ``<side>NO_yES`` (line count, 0 kept) and ``<side>y<k>`` =
+    ``THETA:<theta_bin>,R:<r_bin>`` per line. ``side`` is the side a point votes on;
+    points where ``voting`` does not hold only register their run.
+
+    The vote-less row of a run and side becomes its count row: the window that
+    numbers the lines also counts them, so lines stay rows, no list is gathered, and
+    there is one scan and no join."""
+    votes = hough_votes(points, run, x, y, side, sides, voting)
+    is_line = F.col("theta_bin").isNotNull()
+    w = _best_first(run)  # the row without votes comes last
+    ranked = votes.where((F.col("votes") >= C.MIN_VOTES) | ~is_line).select(
+        "*", F.row_number().over(w).cast("string").alias("__k"), F.count("theta_bin").over(Window.partitionBy(run, "side")).cast("string").alias("__n")
     )
+    name = F.when(is_line, F.concat(F.lit(C.Q_DETECTION), F.col("__k"))).otherwise(F.lit(C.Q_COUNT))
+    value = F.when(is_line, line_text("theta_bin", "r_bin")).otherwise(F.col("__n"))
+    return ranked.select(run, F.concat("side", name).alias("qualifier"), value.alias("value"))
 
-    def summary(src: DataFrame) -> DataFrame:
-        votes = hough_votes(src, run, x, y, register=True)
-        # keep qualifying bins and each run's registration cell; the latter has no
-        # votes, so it can never displace a line from the top ranks
-        kept = votes.where((F.col("votes") >= C.MIN_VOTES) | (F.col("theta_bin") < 0))
-        per_run = rank_bins(kept, run).groupBy(run).agg(
-            F.collect_list(F.when(F.col("votes") >= C.MIN_VOTES, line)).alias("__lines")
-        )
-        return per_run.select(run, F.inline(F.concat(F.array(count_row), F.col("__lines"))))
 
-    normal, hot = split_runs(points, run, x, y, voting, hot_points)
-    return summary(normal).unionByName(summary(hot))
+def line_text(theta: str, r: str) -> F.Column:
+    """SCL-13: a line's summary text."""
+    return F.concat(F.lit(C.T_THETA), F.col(theta).cast("string"), F.lit(C.T_R), F.col(r).cast("string"))
 
 
 def summary_entries(runs: DataFrame, lines: DataFrame, run: str, side: str = C.SIDE_FRONT) -> DataFrame:
@@ -200,9 +146,7 @@ def summary_entries(runs: DataFrame, lines: DataFrame, run: str, side: str = C.S
     entries = lines.select(
         run,
         F.concat(F.lit(side + C.Q_DETECTION), F.col("line_no").cast("string")).alias("qualifier"),
-        F.concat(
-            F.lit("THETA:"), F.col("theta_bin").cast("string"), F.lit(",R:"), F.col("r_bin").cast("string")
-        ).alias("value"),
+        line_text("theta_bin", "r_bin").alias("value"),
     )
     return counts.unionByName(entries)
 
@@ -222,9 +166,9 @@ def pattern_table_filter(qualifier: F.Column, side: str) -> F.Column:
     entries included (Q13); here the side is matched exactly instead."""
     if side == C.SIDE_FRONT:
         return ~qualifier.startswith(C.SIDE_BACK) & (
-            qualifier.startswith(C.Q_DETECTION) | qualifier.startswith("NO_y")
+            qualifier.startswith(C.Q_DETECTION) | qualifier.startswith(C.Q_COUNT_START)
         )
-    return qualifier.contains(side + C.Q_DETECTION) | qualifier.contains(side + "NO_y")
+    return qualifier.contains(side + C.Q_DETECTION) | qualifier.contains(side + C.Q_COUNT_START)
 
 
 def is_count_qualifier(qualifier: F.Column, side: str) -> F.Column:
@@ -232,13 +176,10 @@ def is_count_qualifier(qualifier: F.Column, side: str) -> F.Column:
     return qualifier.rlike("^" + side + C.Q_COUNT + "$")
 
 
-INFO_KEYS_FOR_PATTERN = ("DeviceID", "InspectionStationID")
-
-
 def info_keys_filter(qualifier: F.Column) -> F.Column:
     """FLT-13: header entries copied into the pattern table."""
     out = F.lit(False)
-    for k in INFO_KEYS_FOR_PATTERN:
+    for k in C.INFO_KEYS_FOR_PATTERN:
         out = out | qualifier.contains(k)
     return out
 

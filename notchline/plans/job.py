@@ -93,7 +93,7 @@ def point_rows(t: Tables, accepted: DataFrame) -> DataFrame:
     )
     return kept.select(
         F.col("l_orderkey").cast("string").alias("rowkey"),
-        F.concat(F.lit("point"), F.col("l_linenumber").cast("string")).alias("qualifier"),
+        F.concat(F.lit(C.Q_POINT), F.col("l_linenumber").cast("string")).alias("qualifier"),
         render_point(text, POINT_HEADER).alias("value"),
         "device",
     )
@@ -103,17 +103,17 @@ def summary_rows(t: Tables, analysed: DataFrame) -> DataFrame:
     """Front writer (all entries of the front pass) and back writer (back
     entries only) for the analysed runs; one-sided runs vote everything on the
     front and keep a zero back count. A run without points is still written
-    (count 0 on both sides): it joins as one point-less row that only registers."""
-    runs = analysed.select(F.col("o_orderkey").alias("run_id"), "two_sided")
+    (count 0 on both sides): it joins as one point-less row that only registers.
+    One pass: the side is part of the vote key."""
+    runs = analysed.select(F.col("o_orderkey").alias("run_id"), "two_sided", "device")
     p = runs.join(model.points(t), "run_id", "left")
     side = point_side(F.col("two_sided"), F.col("is_back"))
-    has_point = F.col("x").isNotNull()
-    front = summarize_runs(p, "run_id", "x", "y", C.SIDE_FRONT, voting=has_point & (side == C.SIDE_FRONT))
-    back = summarize_runs(p, "run_id", "x", "y", C.SIDE_BACK, voting=has_point & (side == C.SIDE_BACK)).where(
-        side_writer_filter(F.col("qualifier"), C.SIDE_BACK)
-    )
-    devices = analysed.select(F.col("o_orderkey").alias("run_id"), "device")
-    return front.unionByName(back).join(devices, "run_id").select(
+    both = (C.SIDE_FRONT, C.SIDE_BACK)
+    entries = summarize_runs(p, "run_id", "x", "y", side, both, voting=F.col("x").isNotNull())
+    q = F.col("qualifier")
+    # one pass: what the front writer keeps of the front entries, and the back writer of the back ones
+    kept = entries.where(side_writer_filter(q, C.SIDE_BACK) | ~q.startswith(C.SIDE_BACK))
+    return kept.join(runs.select("run_id", "device"), "run_id").select(
         F.col("run_id").cast("string").alias("rowkey"), "qualifier", "value", "device"
     )
 

@@ -32,17 +32,15 @@ def bin_sql(v: str, width: float) -> str:
 
 
 def lines_sql(src: str, name: str, where: str = "TRUE") -> str:
-    """CTEs ``{name}_v`` (votes) and ``{name}`` (top lines) over points CTE ``src``."""
+    """CTEs ``{name}_v`` (votes) and ``{name}`` (all lines) over points CTE ``src``."""
     return f"""{name}_v AS (
   SELECT run_id, CAST(k AS INTEGER) AS theta_bin,
     {bin_sql(f"x * cos(k * pi() / {D(C.THETA_BINS)}) + y * sin(k * pi() / {D(C.THETA_BINS)})", C.R_BIN)} AS r_bin
   FROM {src}, range({C.THETA_BINS}) t(k) WHERE {where}),
 {name} AS (
-  SELECT run_id, CAST(line_no AS INTEGER) AS line_no, theta_bin, r_bin, votes FROM (
-    SELECT run_id, theta_bin, r_bin, count(*) AS votes,
-      row_number() OVER (PARTITION BY run_id ORDER BY count(*) DESC, theta_bin, r_bin) AS line_no
-    FROM {name}_v GROUP BY run_id, theta_bin, r_bin HAVING count(*) >= {C.MIN_VOTES})
-  WHERE line_no <= {C.TOP_LINES})"""
+  SELECT run_id, CAST(row_number() OVER (PARTITION BY run_id ORDER BY count(*) DESC, theta_bin, r_bin) AS INTEGER)
+    AS line_no, theta_bin, r_bin, count(*) AS votes
+  FROM {name}_v GROUP BY run_id, theta_bin, r_bin HAVING count(*) >= {C.MIN_VOTES})"""
 
 
 def entries_sql(lines: str, side: str) -> str:
@@ -59,7 +57,7 @@ def _points(t: Tables) -> DataFrame:
 
 @query("detect_lines", oracle=f"WITH {POINTS_SQL}, {lines_sql('pts', 'det')}\nSELECT * FROM det")
 def detect_lines_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """#23: the two best-voted lines per run (at least MIN_VOTES points each)."""
+    """#23: every line of every run (bins with at least MIN_VOTES points), best first."""
     return detect_lines(_points(Tables(spark, sf_dir)), "run_id", "x", "y")
 
 
@@ -72,23 +70,22 @@ def summary_entries_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#24: the summary map as long rows: line count per run (0 kept) and one
     ``THETA:..,R:..`` entry per line."""
     p = _points(Tables(spark, sf_dir))
-    return summarize_runs(p, "run_id", "x", "y", C.SIDE_FRONT)
+    return summarize_runs(p, "run_id", "x", "y")
 
 
 @query(
     "summary_side_filter",
     oracle=f"""WITH {POINTS_SQL}, runs AS (SELECT DISTINCT run_id FROM pts),
-{lines_sql('pts', 'det_b', 'is_back')},
-e AS ({entries_sql('det_b', C.SIDE_BACK)})
+{lines_sql('pts', 'det_f', 'NOT is_back')}, {lines_sql('pts', 'det_b', 'is_back')},
+e AS ({entries_sql('det_f', C.SIDE_FRONT)} UNION ALL {entries_sql('det_b', C.SIDE_BACK)})
 SELECT * FROM e WHERE contains(qualifier, 'By') OR contains(qualifier, 'BNO_yES')""",
 )
 def summary_side_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """#25: what the back-side writer stores: the back pass's entries (``BNO_yES``
-    for every run, ``By<k>`` per back line). The front pass's qualifiers carry no
-    ``B`` prefix, so the back writer's filter can never keep them and that pass is
-    not computed for it."""
+    """#25: the entries of both passes, through the back-side writer's filter, which
+    drops the front pass's (their qualifiers carry no ``B`` prefix)."""
     p = _points(Tables(spark, sf_dir))
-    e = summarize_runs(p, "run_id", "x", "y", C.SIDE_BACK, voting=F.col("is_back"))
+    side = F.when(F.col("is_back"), F.lit(C.SIDE_BACK)).otherwise(F.lit(C.SIDE_FRONT))
+    e = summarize_runs(p, "run_id", "x", "y", side, (C.SIDE_FRONT, C.SIDE_BACK))
     return e.where(side_writer_filter(F.col("qualifier"), C.SIDE_BACK))
 
 

@@ -273,21 +273,21 @@ def test_envelope_round_trip_with_source(spark, tmp_path):
     assert all(r.source_file.endswith(".parquet") for r in got)
 
 
-def test_hot_run_path_matches_normal_path(spark):
+def test_all_lines_of_a_large_run_are_kept_on_both_sides(spark):
     from notchline.operators.patterns import detect_lines, summarize_runs
-    from notchline.plans import model
-    from notchline.sources.tables import Tables
-
-    p = model.points(Tables(spark, "/root/testdata/sf0.001"))
-    for hot_points in (3, 5):  # runs above this take the combining path
-        a = detect_lines(p, "run_id", "x", "y", hot_points=hot_points)
-        b = detect_lines(p, "run_id", "x", "y", hot_points=10**9)
-        assert a.count() == b.count() > 0
-        assert a.exceptAll(b).count() == 0
-        s1 = summarize_runs(p, "run_id", "x", "y", "B", voting=F.col("is_back"), hot_points=hot_points)
-        s2 = summarize_runs(p, "run_id", "x", "y", "B", voting=F.col("is_back"), hot_points=10**9)
-        assert s1.count() == s2.count() > 0
-        assert s1.exceptAll(s2).count() == 0
+
+    # 3 points at each of 40 places of one row of the field, and a run without lines
+    pts = [(1, float(x), 0.0, x % 2 == 0) for x in range(40) for _ in range(3)] + [(2, 1.0, 1.0, False)]
+    p = spark.createDataFrame(pts, "run long, x double, y double, back boolean")
+    lines = detect_lines(p, "run", "x", "y").collect()
+    assert {r.run for r in lines} == {1} and len(lines) > 18 and min(r.votes for r in lines) >= 3
+    assert sorted(r.line_no for r in lines) == list(range(1, len(lines) + 1))
+    side = F.when(F.col("back"), F.lit("B")).otherwise(F.lit(""))
+    rows = {(r.run, r.qualifier): r.value for r in summarize_runs(p, "run", "x", "y", side, ("", "B")).collect()}
+    for s, back in (("", False), ("B", True)):
+        n = detect_lines(p.where(F.col("back") == back), "run", "x", "y").where("run = 1").count()
+        assert rows[1, s + "NO_yES"] == str(n) and rows[2, s + "NO_yES"] == "0"
+        assert {q for r, q in rows if r == 1 and q.startswith(s + "y")} == {f"{s}y{k}" for k in range(1, n + 1)}
 
 
 def test_header_map(spark):
