@@ -107,7 +107,6 @@ MAXPOINT = 8
 HIST_DAYS = 3
 RETAIN_DAYS = RETENTION_SECONDS // 86400
 BATCH = 100  # the reference's 1000 would leave one batch on the test tables
-ASOF = "1999-01-01"
 ANGLE_MATCH_TOL = 0.01
 CONSOLIDATE_VALUE_TOL = 2.0
 PROFILE_COUNT = 5  # parameter sets 0..4; profile i uses OFF = 10 * (i + 1)

@@ -35,11 +35,19 @@ def by_second(ts: Column) -> Column:
     return F.date_trunc("second", ts)
 
 
+def by_prefix(ts: Column) -> Column:
+    """Bucket of a text time (``yyyymmdd...``): its first 8 characters. A prefix of
+    fixed length keeps the order of the texts."""
+    return F.substring(ts, 1, 8)
+
+
 def _levels_for(df: DataFrame, ts: str, levels: Sequence[Level] | None) -> Sequence[Level]:
     if levels is not None:
         return levels
     dt = df.schema[ts].dataType
-    return (by_day,) if isinstance(dt, (T.TimestampType, T.TimestampNTZType)) else ()
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        return (by_day,)
+    return (by_prefix,) if isinstance(dt, T.StringType) else ()
 
 
 def _prefix(timeline: DataFrame, key: str, t: str, levels: Sequence[Level]) -> DataFrame:
@@ -99,25 +107,53 @@ def asof_counts(history: DataFrame, key: str, ts: str, levels: Sequence[Level] |
 def asof_join(
     runs: DataFrame,
     history: DataFrame,
-    key: str,
+    key: str | Sequence[str],
     run_ts: str,
     hist_ts: str,
     levels: Sequence[Level] | None = None,
 ) -> DataFrame:
     """JON-4 for runs that are not history rows themselves: attach to each run the
     number of its key's history rows at or before the run time (``n_asof``) and
-    the latest such time (``last_ts``). Run times enter the timeline with weight 0
-    and no history time, so the prefix is evaluated at every run time."""
+    the latest such time (``last_ts``). ``key`` names one column or several, the same
+    in both inputs. A run whose key or time is null keeps its row, with 0 and null.
+
+    History is first reduced to one row per key and time; run rows join the timeline with
+    weight 0 and carry their columns, so a RANGE frame (ties included) gives each run its
+    value inside its bucket and nothing is joined back to the runs. The totals of
+    earlier buckets are then joined to the run rows."""
+    keys = [key] if isinstance(key, str) else list(key)
     lv = _levels_for(history, hist_ts, levels)
-    h = history.select(
-        F.col(key).alias("__k"), F.col(hist_ts).alias("__t"), F.lit(1).alias("__w"), F.col(hist_ts).alias("__hv")
-    )
-    r = runs.select(
-        F.col(key).alias("__k"), F.col(run_ts).alias("__t"), F.lit(0).alias("__w"),
-        F.lit(None).cast(h.schema["__hv"].dataType).alias("__hv"),
-    )
-    timeline = h.unionByName(r).groupBy("__k", "__t").agg(
-        F.sum("__w").alias("__n"), F.max("__hv").alias("__h")
-    )
-    pre = _prefix(timeline, "__k", "__t", lv).select("__k", "__t", "n_asof", "last_ts")
-    return runs.join(pre, (runs[key] == pre["__k"]) & (runs[run_ts] == pre["__t"]), "left").drop("__k", "__t")
+    kcols, bcols = [f"__k{i}" for i in range(len(keys))], [f"__b{i}" for i in range(len(lv))]
+    named = [F.col(k).alias(a) for k, a in zip(keys, kcols)]
+    h = history.select(*named, F.col(hist_ts).alias("__t")).dropna().groupBy(*kcols, "__t").agg(F.count(F.lit(1)).alias("__w"))
+    r = runs.select(*named, F.col(run_ts).alias("__t"), F.lit(0).cast("bigint").alias("__w"), F.struct(*runs.columns).alias("__run"))
+    h = h.withColumns({"__h": F.col("__t"), "__run": F.lit(None).cast(r.schema["__run"].dataType)})
+    r = r.withColumn("__h", F.lit(None).cast(h.schema["__h"].dataType))
+    tl = h.unionByName(r).withColumns({b: level(F.col("__t")) for b, level in zip(bcols, lv)})
+    w = Window.partitionBy(*kcols, *bcols).orderBy("__t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = tl.select("*", F.sum("__w").over(w).alias("__cum"), F.max("__h").over(w).alias("__last"))
+    out = inside.where(F.col("__run").isNotNull())
+    n_asof, last = F.col("__cum"), [F.col("__last")]
+    tot = inside.groupBy(*kcols, *bcols).agg(F.max("__cum").alias("__tot"), F.max("__last").alias("__hmax")) if lv else None
+    for i in range(len(lv) - 1, -1, -1):
+        on = [*kcols, *bcols[: i + 1]]
+        if i < len(lv) - 1:
+            tot = tot.groupBy(*on).agg(F.sum("__tot").alias("__tot"), F.max("__hmax").alias("__hmax"))
+        earlier = Window.partitionBy(*kcols, *bcols[:i]).orderBy(bcols[i]).rowsBetween(Window.unboundedPreceding, -1)
+        off = tot.select(
+            *[F.col(c).alias(f"__o{c}") for c in on],
+            F.coalesce(F.sum("__tot").over(earlier), F.lit(0)).alias(f"__off{i}"),
+            F.max("__hmax").over(earlier).alias(f"__hb{i}"),
+        )
+        same = F.lit(True)
+        for c in on:
+            same = same & F.col(c).eqNullSafe(F.col(f"__o{c}"))
+        out = out.join(off, same).drop(*[f"__o{c}" for c in on])
+        n_asof = n_asof + F.col(f"__off{i}")
+        last.append(F.col(f"__hb{i}"))
+    known = F.lit(True)
+    for c in ["__t", *kcols]:
+        known = known & F.col(c).isNotNull()
+    n_asof = F.when(known, n_asof).otherwise(F.lit(0)).alias("n_asof")
+    last_ts = F.when(known, F.greatest(*last) if len(last) > 1 else last[0]).alias("last_ts")
+    return out.select("__run.*", n_asof, last_ts)

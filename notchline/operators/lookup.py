@@ -102,13 +102,16 @@ def prefix_join(
     index: DataFrame,
     id_col: str,
     key_col: str,
-    id_len: int,
+    cut: int | str,
     how: str = "inner",
 ) -> DataFrame:
-    """SRC-7 / JON-2: index rows whose key starts with the id, for ids of a fixed
-    length (the reference gates image ids to exactly that length). The prefix is
-    an equi-key, so this is a hash or sort-merge join, not a range scan per id."""
-    return ids.join(index, F.substring(index[key_col], 1, id_len) == ids[id_col], how)
+    """SRC-7 / JON-2: index rows whose key starts with the id. ``cut`` says where the id
+    ends in the key: a separator (ids may have any length and hold none), or a
+    length where a gate has made all ids that long (the reference's image ids). The
+    prefix is an equi-key, so this is a hash or sort-merge join, not a range scan per id."""
+    key = index[key_col]
+    prefix = F.substring(key, 1, cut) if isinstance(cut, int) else F.substring_index(key, cut, 1)
+    return ids.join(index, prefix == ids[id_col], how)
 
 
 def lookup_first_line(

@@ -47,23 +47,30 @@ def band_match(
     return out.drop("__v", "__w", "__leg")
 
 
-def latest_per_tool(history: DataFrame, unit: str, tool: str, ts: str, asof) -> DataFrame:
-    """History up to ``asof`` reduced to one row per (unit, tool) with its latest
-    time. A plain aggregate: partial aggregation runs before the shuffle, so a
-    unit holding a large share of the history does not land whole in one task."""
+def within_band(off: float = C.OFF) -> F.Column:
+    """JON-5 as a test of one pair: columns ``r``, ``theta`` and ``d1``, ``d2``, ``rot``."""
+    v = F.col("r") / C.R_UNIT_DIVISOR
+    by_d2 = (F.abs(F.col("d2") - v) <= off) & angle_ok(F.col("rot"), F.col("theta"))
+    return F.coalesce(F.abs(F.col("d1") - v) <= off, F.lit(False)) | F.coalesce(by_d2, F.lit(False))
+
+
+def latest_per_tool(history: DataFrame, runs: DataFrame, unit: str, tool: str, ts: str) -> DataFrame:
+    """History of each unit up to the unit's own run time (``runs``: unit, ``run_ts``),
+    reduced to one row per (unit, tool) with its latest time. A plain aggregate:
+    partial aggregation runs before the shuffle, so a unit holding a large share of
+    the history does not land whole in one task."""
+    own = runs.select(unit, "run_ts")
     return (
-        history.where(F.col(ts) <= asof)
+        history.join(own, unit)
+        .where(F.col(ts) <= F.col("run_ts"))
         .groupBy(unit, tool)
         .agg(F.max(ts).alias("last_ts"))
     )
 
 
-def attribute(
-    candidates: DataFrame,
-    latest: DataFrame,
-    unit: str,
-    tool: str,
-) -> DataFrame:
-    """JON-7: keep a candidate (unit, tool) only when the tool is in the unit's
-    history; carry the latest time. Tool identity is equality, not substring."""
-    return candidates.join(latest, on=[unit, tool], how="inner")
+def attribute(detections: DataFrame, arms: DataFrame, held: DataFrame, on: list[str], tool: str, off: float = C.OFF) -> DataFrame:
+    """JON-7, history first: detections meet the tools of their own history (``held``, by
+    ``on``), these their arm rows (by ``tool``), and the band and angle tests of JON-5
+    are a filter. No pair exists that is not a history row, so the work grows with
+    the history. Tool identity is equality, not substring."""
+    return detections.join(held, on).join(arms, tool).where(within_band(off))

@@ -2,9 +2,10 @@
 
 * long rows ``(rowkey, qualifier, value)`` by unpivot instead of one put per cell;
 * keep-last per key as an aggregate (``max`` of a struct ordered by the
-  sequence), the equivalent of a map put or a cell overwrite;
-* write batches as ``maxRecordsPerFile`` instead of counting cells per put;
-* per-device tables as a partitioned write;
+  sequence; it plans as a sort aggregate), the equivalent of a map put or a cell overwrite;
+* a put batch has no Parquet counterpart: files are sized in bytes by the write
+  (``batch`` caps rows per file for a caller who wants it);
+* per-device tables as a partitioned write, rows rebalanced by device before it;
 * retention as a predicate on time against the newest row (a scalar subquery,
   evaluated inside the same plan).
 """
@@ -17,10 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def unpivot_long(df: DataFrame, rowkey: str, columns: Sequence[str]) -> DataFrame:
-    """SNK-2: one ``(rowkey, qualifier, value)`` row per non-null cell, values as text."""
-    cast = df.select(rowkey, *[F.col(c).cast("string").alias(c) for c in columns])
-    long = cast.unpivot([rowkey], list(columns), "qualifier", "value")
+def unpivot_long(df: DataFrame, rowkey: str, columns: Sequence[str], carry: Sequence[str] = ()) -> DataFrame:
+    """SNK-2: one ``(rowkey, qualifier, value)`` row per non-null cell, values as text,
+    with the columns of ``carry`` beside it."""
+    cast = df.select(rowkey, *carry, *[F.col(c).cast("string").alias(c) for c in columns])
+    long = cast.unpivot([rowkey, *carry], list(columns), "qualifier", "value")
+    long = long.select(rowkey, "qualifier", "value", *carry)
     return long.where(F.col("value").isNotNull())
 
 
@@ -71,7 +74,10 @@ def write_partitioned(
     table, the reference's all-together switch). Creates the table on first
     write; ``batch`` caps rows per file like the reference's put batch. A re-run
     of a whole job should pass ``mode="overwrite"``; task retries are handled by
-    the output committer either way."""
+    the output committer either way. Rows are rebalanced by ``by`` first, so a
+    directory gets files of the advisory size (a large one several), not one from every task."""
+    if by:
+        df = df.hint("rebalance", by)
     w = df.write.mode(mode).format("parquet")
     if batch:
         w = w.option("maxRecordsPerFile", batch)

@@ -37,20 +37,24 @@ def point_stats(t: Tables) -> DataFrame:
     )
 
 
-def runs_with_stats(t: Tables) -> DataFrame:
+def station_stats(t: Tables) -> DataFrame:
+    """Runs with their station and point aggregates."""
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority")
-    c = t.customer.select("c_custkey", "c_mktsegment", "c_nationkey")
     s = point_stats(t)
-    return o.join(c, o.o_custkey == c.c_custkey, "left").join(
-        s, o.o_orderkey == s.l_orderkey, "left"
-    )
+    return o.join(s, o.o_orderkey == s.l_orderkey, "left")
+
+
+def runs_with_stats(t: Tables) -> DataFrame:
+    c = t.customer.select("c_custkey", "c_mktsegment", "c_nationkey")
+    return station_stats(t).join(c, F.col("o_custkey") == F.col("c_custkey"), "left")
 
 
 def standin_version() -> F.Column:
     return F.when(F.col("o_orderkey") % 2 == 0, F.lit(C.DIALECT_NEW)).otherwise(F.lit(C.DIALECT_OLD))
 
 
-def reasons(t: Tables) -> DataFrame:
+def reason(maxpoint: int = C.MAXPOINT) -> F.Column:
+    """The first gate that fires, over ``runs_with_stats`` columns."""
     v = standin_version()
     pr = F.col("o_orderpriority")
     checks = [
@@ -58,10 +62,14 @@ def reasons(t: Tables) -> DataFrame:
         ("placeholder", (v == C.DIALECT_OLD) & (pr == "5-LOW")),
         ("missing_device", F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).isNull()),
         ("bad_id_length", F.length(F.col("o_orderkey").cast("string")) < 3),
-        ("too_many_points", F.coalesce(F.col("n_all"), F.lit(0)) > C.MAXPOINT),
+        ("too_many_points", F.coalesce(F.col("n_all"), F.lit(0)) > maxpoint),
         ("no_flat_position", F.col("c_nationkey") % 5 == 4),
     ]
-    return runs_with_stats(t).select("o_orderkey", first_reason(checks).alias("reason"))
+    return first_reason(checks)
+
+
+def reasons(t: Tables) -> DataFrame:
+    return runs_with_stats(t).select("o_orderkey", reason().alias("reason"))
 
 
 _REASON_SQL = f"""WITH pts AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey),
@@ -144,7 +152,7 @@ def station_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#20: eligibility flag (FLT-9, class sum over front points only on two-sided
     stations) and the review tag (FLT-7), per run."""
     t = Tables(spark, sf_dir)
-    r = runs_with_stats(t)
+    r = station_stats(t)
     st = F.col("o_orderpriority")
     j = F.coalesce(
         F.when(two_sided(st, TWO_SIDED), F.col("j_front")).otherwise(F.col("j_all")), F.lit(0)
@@ -172,7 +180,7 @@ def side_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#21: point count per run and side; one-sided runs put every point on the
     front and keep a zero row for the back."""
     t = Tables(spark, sf_dir)
-    r = runs_with_stats(t)
+    r = station_stats(t)
     two = two_sided(F.col("o_orderpriority"), TWO_SIDED)
     n_all = F.coalesce(F.col("n_all"), F.lit(0))
     n_back = F.coalesce(F.col("n_back"), F.lit(0))

@@ -17,9 +17,6 @@ from notchline.session import scratch_path
 from notchline.sources.lookups import parse_device_lines, read_arm_csv, side_eligible, with_sentinels
 from notchline.sources.tables import Tables
 
-# c_name is exactly this long; it plays the fixed-length image id.
-ID_LEN = 18
-
 
 @query(
     "device_lookup_first",
@@ -86,15 +83,15 @@ def arm_dimensions_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     "history_prefix_scan",
     oracle=f"""WITH {O.HIST_INDEX}
 SELECT c_custkey, count(i.value) AS n_index, min(i.value) AS min_value
-FROM customer c LEFT JOIN hidx i ON starts_with(i.index_key, c.c_name)
+FROM customer c LEFT JOIN hidx i ON starts_with(i.index_key, c.c_name || '_')
 GROUP BY c_custkey""",
 )
 def history_prefix_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """#13: index rows by key prefix (the fixed-length id), as an equi-join; count
+    """#13: index rows by key prefix (the id before the separator), as an equi-join; count
     and first value per unit, units without history kept with 0."""
     t = Tables(spark, sf_dir)
     ids = t.customer.select("c_custkey", "c_name")
-    j = prefix_join(ids, model.history_index(t), "c_name", "index_key", ID_LEN, how="left")
+    j = prefix_join(ids, model.history_index(t), "c_name", "index_key", "_", how="left")
     return j.groupBy("c_custkey").agg(
         F.count("value").alias("n_index"), F.min("value").alias("min_value")
     )
@@ -105,7 +102,7 @@ def history_prefix_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     oracle=f"""WITH {O.HIST_INDEX}, {O.HIST_ROWS}
 SELECT c.c_custkey, h.rowkey, string_split(h.rowkey, '_')[1] AS hist_time,
        string_split(h.rundata, ',')[2] AS tool, string_split(h.rundata, ',')[3] AS station
-FROM customer c JOIN hidx i ON starts_with(i.index_key, c.c_name)
+FROM customer c JOIN hidx i ON starts_with(i.index_key, c.c_name || '_')
 JOIN hrows h ON h.rowkey = i.value""",
 )
 def history_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,7 +110,7 @@ def history_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
     is missing is dropped), with time, tool and station split out of them."""
     t = Tables(spark, sf_dir)
     ids = t.customer.select("c_custkey", "c_name")
-    idx = prefix_join(ids, model.history_index(t), "c_name", "index_key", ID_LEN)
+    idx = prefix_join(ids, model.history_index(t), "c_name", "index_key", "_")
     rows = model.history_rows(t)
     j = idx.join(rows, idx["value"] == rows["rowkey"])
     run = java_split(F.col("rundata"), ",")
@@ -191,24 +188,21 @@ def area_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "latest_tool_lists",
-    oracle=f"""WITH h AS (
-  SELECT o_custkey, l_suppkey, max(l_shipdate) AS last_ts
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  WHERE l_shipdate <= TIMESTAMP '{C.ASOF}' GROUP BY o_custkey, l_suppkey)
+    oracle=f"""WITH {O.HIST_LATEST}
 SELECT o_custkey, count(*) AS n_tools,
   string_agg(CAST(l_suppkey AS VARCHAR), ',' ORDER BY last_ts DESC, l_suppkey DESC) AS tool_list,
   string_agg(strftime(last_ts, '%Y%m%d'), ',' ORDER BY last_ts DESC, l_suppkey DESC) AS time_list
-FROM h GROUP BY o_custkey""",
+FROM hist GROUP BY o_custkey""",
 )
 def latest_tool_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """#29: per unit, the tools that handled it up to ASOF, once each at their
+    """#29: per unit, the tools that handled it up to its latest run, once each at their
     latest time, latest first (ties: higher tool first), as comma text.
 
     The history is first reduced to one row per (unit, tool) by a combining
     aggregate; only then are a unit's distinct tools gathered, so a list holds at
     most one entry per tool, whatever the unit's share of the history."""
     t = Tables(spark, sf_dir)
-    latest = latest_per_tool(model.history(t), "o_custkey", "l_suppkey", "l_shipdate", model.asof_ts())
+    latest = latest_per_tool(model.history(t), model.latest_runs(t.orders), "o_custkey", "l_suppkey", "l_shipdate")
     lst = F.sort_array(F.collect_list(F.struct("last_ts", "l_suppkey")), asc=False)
     return (
         latest.groupBy("o_custkey")

@@ -9,7 +9,7 @@ side effects):
    rows with a reason, not exceptions);
 2. eligibility flag and side routing for the accepted runs;
 3. sinks per device (or one shared table): header map as long rows, points
-   (keep-last, rendered, ``WRITE_BATCH`` rows per file), summary entries of the
+   (keep-last, rendered), summary entries of the
    front and back writers, the pattern table (``y``) and the pattern rows of
    attributed detections; per-stage counts are observed during the writes.
 
@@ -29,7 +29,7 @@ from notchline.functions.text import render_point, yyyymmdd
 from notchline.functions.geometry import pi
 from notchline.operators.gates import eligibility_flag, point_side, station_tag, two_sided
 from notchline.operators.history import asof_join
-from notchline.operators.matching import band_match
+from notchline.operators.matching import attribute
 from notchline.operators.patterns import (
     info_keys_filter,
     is_count_qualifier,
@@ -37,25 +37,23 @@ from notchline.operators.patterns import (
     side_writer_filter,
     summarize_runs,
 )
-from notchline.operators.sinks import keep_last, last_put, unpivot_long, write_partitioned
+from notchline.operators.sinks import keep_last, last_put, retention_filter, unpivot_long, write_partitioned
 from notchline.plans import gate_queries as G
 from notchline.plans import model
-from notchline.plans.sink_queries import POINT_HEADER, pattern_row
-from notchline.sources.tables import Tables
+from notchline.plans.sink_queries import POINT_HEADER, pattern_rows
+from notchline.sources.tables import Tables, require_inputs
 
 
-def run_status(t: Tables) -> DataFrame:
+def run_status(t: Tables, maxpoint: int = C.MAXPOINT) -> DataFrame:
     """Per run: device, first failing gate, eligibility flag and review tag."""
-    r = G.runs_with_stats(t)
     st = F.col("o_orderpriority")
     j = F.coalesce(
         F.when(two_sided(st, G.TWO_SIDED), F.col("j_front")).otherwise(F.col("j_all")), F.lit(0)
     )
-    reasons = G.reasons(t)
-    return r.join(reasons, "o_orderkey").select(
+    return G.runs_with_stats(t).select(
         "o_orderkey",
         F.col("c_mktsegment").alias("device"),
-        "reason",
+        G.reason(maxpoint).alias("reason"),
         eligibility_flag(st, j, G.SPECIAL, G.PRODUCTION, G.MAC).alias("flag"),
         station_tag(st, st, G.TAG_ABSENT, G.TAG_PRESENT, G.TAG_TYPE).alias("tag"),
         two_sided(st, G.TWO_SIDED).alias("two_sided"),
@@ -70,9 +68,8 @@ def header_rows(t: Tables, accepted: DataFrame) -> DataFrame:
         F.col("o_orderpriority").alias("InspectionStationID"),
         yyyymmdd(F.col("o_orderdate")).alias("ConvertedTimestamp"),
     )
-    h = o.join(accepted.select("o_orderkey", F.col("device").alias("DeviceID")), "o_orderkey")
-    long = unpivot_long(h, "rowkey", ["DeviceID", "InspectionStationID", "ConvertedTimestamp"])
-    return long.join(h.select("rowkey", F.col("DeviceID").alias("device")), "rowkey")
+    h = o.join(accepted.select("o_orderkey", "device", F.col("device").alias("DeviceID")), "o_orderkey")
+    return unpivot_long(h, "rowkey", ["DeviceID", "InspectionStationID", "ConvertedTimestamp"], carry=["device"])
 
 
 def point_rows(t: Tables, accepted: DataFrame) -> DataFrame:
@@ -168,15 +165,16 @@ def detection_lists(t: Tables, summary: DataFrame) -> DataFrame:
         (F.col("r_bin") * C.R_BIN * 1000.0).alias("r"),
         (F.col("theta_bin") * pi() / float(C.THETA_BINS)).alias("theta"),
     )
+    # history first: the tools that a line's run had up to its own time, then the tests
+    runs = t.orders.select(F.col("o_orderkey").cast("string").alias("rowkey"), "o_custkey", "o_orderdate")
+    hist = model.history(t)
+    tools = hist.select("o_custkey", "l_suppkey").distinct()
+    asked = runs.join(det.select("rowkey").distinct(), "rowkey", "left_semi").join(tools, "o_custkey")
+    held = asof_join(asked, hist, ["o_custkey", "l_suppkey"], "o_orderdate", "l_shipdate").where(F.col("n_asof") > 0)
+    held = held.select("rowkey", F.col("l_suppkey").alias("s_suppkey"), "last_ts")
     arms = model.arms(t).withColumnRenamed("side", "arm_side")
-    cand = band_match(det, arms.select("s_suppkey", "tool", "area", "d1", "d2", "rot", "arm_side"))
     other = F.when(F.col("side") == C.SIDE_FRONT, F.lit(C.ARM_SIDE_BACK)).otherwise(F.lit(C.ARM_SIDE_FRONT))
-    cand = cand.where(F.col("arm_side").isNull() | (F.col("arm_side") != other))
-    runs = t.orders.select(F.col("o_orderkey").cast("string").alias("rowkey"), "o_custkey", "o_orderdate")
-    ut = lambda u, s_: F.concat_ws("#", F.col(u).cast("string"), F.col(s_).cast("string"))
-    cand = cand.join(runs, "rowkey").withColumn("__ut", ut("o_custkey", "s_suppkey"))
-    hist = model.history(t).withColumn("__ut", ut("o_custkey", "l_suppkey")).select("__ut", "l_shipdate")
-    held = asof_join(cand, hist, "__ut", "o_orderdate", "l_shipdate").where(F.col("n_asof") > 0)
+    held = attribute(det, arms, held, ["rowkey"], "s_suppkey").where(F.col("arm_side").isNull() | (F.col("arm_side") != other))
     lst = F.sort_array(F.collect_list(F.struct("last_ts", "tool", "area")), asc=False)
     per_line = held.groupBy("rowkey", "side", "k").agg(lst.alias("__l"))
 
@@ -206,40 +204,56 @@ def list_rows(lists: DataFrame, devices: DataFrame) -> DataFrame:
 
 
 class JobResult(dict):
-    """Output paths by table name, plus ``metrics``: per-stage counts observed
-    while the tables were written (no extra pass over the data)."""
+    """Output paths by table name, plus ``metrics``: counts observed while the tables
+    were written (no extra pass over the data): runs, accepted and analysed runs, and
+    the rows of every table as ``<table>_rows``."""
 
     metrics: dict
 
 
-def run_job(spark: SparkSession, sf_dir: str, out_dir: str, all_together: bool = False) -> JobResult:
+INPUTS = ["orders", "customer", "lineitem", "supplier", "nation"]
+
+
+def run_job(
+    spark: SparkSession,
+    sf_dir: str,
+    out_dir: str,
+    all_together: bool = False,
+    maxpoint: int = C.MAXPOINT,
+    retain_days: int | None = None,
+) -> JobResult:
     """Write every sink. Shared intermediates are not recomputed per output:
     each table is written once and later stages read the written table back,
     which also cuts the lineage (a lost executor costs a re-read, not a
-    recomputation from the raw tables)."""
+    recomputation from the raw tables). With ``retain_days`` only runs no older than
+    that before the newest run are accepted (SNK-8). A missing input table ends the
+    job before any work (SRC-9)."""
+    require_inputs(spark, sf_dir, INPUTS)
     t = Tables(spark, sf_dir)
     by = None if all_together else "device"
     result = JobResult()
+    result.metrics = {}
 
-    def write(name: str, df: DataFrame) -> DataFrame:
+    def write(name: str, df: DataFrame, *counts: F.Column) -> DataFrame:
         path = f"{out_dir.rstrip('/')}/{name}"
-        write_partitioned(
-            df, path, by, batch=C.WRITE_BATCH if name == "point_info" else None, mode="overwrite"
-        )
+        seen = Observation(name)
+        write_partitioned(df.observe(seen, F.count(F.lit(1)).alias(f"{name}_rows"), *counts), path, by, mode="overwrite")
         result[name] = path
+        result.metrics |= seen.get
         return spark.read.schema(df.schema).parquet(path)
 
-    gates = Observation("gates")
+    clean = F.col("reason").isNull()
     status = write(
         "run_status",
-        run_status(t).observe(
-            gates,
-            F.count(F.lit(1)).alias("runs"),
-            F.count(F.when(F.col("reason").isNull(), F.lit(1))).alias("accepted"),
-            F.count(F.when(F.col("reason").isNull() & F.col("flag"), F.lit(1))).alias("analysed"),
-        ),
+        run_status(t, maxpoint),
+        F.count(F.lit(1)).alias("runs"),
+        F.count(F.when(clean, F.lit(1))).alias("accepted"),
+        F.count(F.when(clean & F.col("flag"), F.lit(1))).alias("analysed"),
     )
-    accepted = status.where(F.col("reason").isNull())
+    accepted = status.where(clean)
+    if retain_days is not None:
+        young = retention_filter(t.orders.select("o_orderkey", "o_orderdate"), "o_orderdate", retain_days)
+        accepted = accepted.join(young.select("o_orderkey"), "o_orderkey", "left_semi")
     analysed = accepted.where(F.col("flag"))
     header = write("image_info", header_rows(t, accepted))
     write("point_info", point_rows(t, accepted))
@@ -247,8 +261,9 @@ def run_job(spark: SparkSession, sf_dir: str, out_dir: str, all_together: bool =
     devices = analysed.select(F.col("o_orderkey").cast("string").alias("rowkey"), "device")
     lists = list_rows(detection_lists(t, summary), devices)
     write("y", pattern_table(summary, header, analysed).unionByName(lists))
-    write("pattern", pattern_row(spark, sf_dir))
-    result.metrics = dict(gates.get)
+    # pattern rows of the units with an analysed run, as of the latest of these
+    analysed_runs = t.orders.join(analysed.select("o_orderkey"), "o_orderkey", "left_semi")
+    write("pattern", pattern_rows(t, model.latest_runs(analysed_runs), "inner"))
     return result
 
 
@@ -256,12 +271,14 @@ def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.split("\n")[0])
     ap.add_argument("--sf", required=True, help="directory of the input tables")
     ap.add_argument("--out", required=True, help="output directory (shared storage on a cluster)")
+    ap.add_argument("--maxpoint", type=int, default=C.MAXPOINT, help="most points of an accepted run")
+    ap.add_argument("--retain-days", type=int, help="accept only runs this young, counted from the newest")
     ap.add_argument("--all-together", action="store_true", help="one shared table instead of one per device")
     args = ap.parse_args(argv)
     from notchline.session import build_session
 
     spark = build_session(app="notchline-job")  # the launcher's settings win
-    result = run_job(spark, args.sf, args.out, args.all_together)
+    result = run_job(spark, args.sf, args.out, args.all_together, args.maxpoint, args.retain_days)
     for name, path in result.items():
         print(name, path)
     print("metrics", result.metrics)

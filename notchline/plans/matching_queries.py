@@ -32,12 +32,16 @@ def band_match_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _candidates(t).select("c_custkey", "s_suppkey")
 
 
-def attribution(t: Tables) -> DataFrame:
-    latest = latest_per_tool(
-        model.history(t), "o_custkey", "l_suppkey", "l_shipdate", model.asof_ts()
-    ).withColumnsRenamed({"o_custkey": "c_custkey", "l_suppkey": "s_suppkey"})
-    cand = _candidates(t).select("c_custkey", "s_suppkey", "tool", "area")
-    return attribute(cand, latest, "c_custkey", "s_suppkey")
+def attribution(t: Tables, runs: DataFrame) -> DataFrame:
+    """Detections with the tools that fit them and handled the unit up to the unit's own
+    run time (``runs``: one per unit, with ``run_ts``)."""
+    held = latest_per_tool(model.history(t), runs, "o_custkey", "l_suppkey", "l_shipdate").withColumnsRenamed(
+        {"o_custkey": "c_custkey", "l_suppkey": "s_suppkey"}
+    )
+    arm = model.arms(t).select("s_suppkey", "tool", "area", "d1", "d2", "rot")
+    return attribute(model.detections(t), arm, held, ["c_custkey"], "s_suppkey").select(
+        "c_custkey", "s_suppkey", "tool", "area", "last_ts"
+    )
 
 
 @query(
@@ -46,10 +50,10 @@ def attribution(t: Tables) -> DataFrame:
 SELECT c_custkey, s_suppkey, tool, area, strftime(last_ts, '%Y%m%d') AS last_time FROM attr""",
 )
 def tool_attribution_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """#30 (flagship): detections band-matched to arms, kept when the tool handled
-    the unit up to ASOF, with the tool's latest time and its area."""
+    """#30 (flagship): detections matched to the arms of the tools that handled the
+    unit up to its latest run, with the tool's latest time and its area."""
     t = Tables(spark, sf_dir)
-    return attribution(t).select(
+    return attribution(t, model.latest_runs(t.orders)).select(
         "c_custkey",
         "s_suppkey",
         "tool",

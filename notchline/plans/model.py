@@ -20,10 +20,6 @@ from notchline import constants as C
 from notchline.sources.tables import Tables
 
 
-def asof_ts():
-    return F.lit(C.ASOF).cast("timestamp_ntz")
-
-
 def detections(t: Tables) -> DataFrame:
     return t.customer.select(
         "c_custkey",
@@ -37,7 +33,7 @@ def arms(t: Tables) -> DataFrame:
     nation key (none for every fifth), side by key modulo 3 (FRONT, BACK, unset)."""
     s = t.supplier
     n = t.nation.select("n_nationkey", "n_name")
-    return s.join(n, s.s_nationkey == n.n_nationkey).select(
+    return s.join(n, s.s_nationkey == n.n_nationkey, "left").select(
         "s_suppkey",
         F.col("s_name").alias("tool"),
         F.col("n_name").alias("area"),
@@ -62,6 +58,16 @@ def history(t: Tables) -> DataFrame:
     )
 
 
+def latest_runs(runs: DataFrame) -> DataFrame:
+    """(unit, run time, station) of each unit's latest run; ``runs`` are order rows."""
+    last = F.max(F.struct("o_orderdate", "o_orderkey", "o_orderpriority")).alias("last")
+    return runs.groupBy("o_custkey").agg(last).select(
+        "o_custkey",
+        F.col("last.o_orderdate").alias("run_ts"),
+        F.col("last.o_orderpriority").alias("station"),
+    )
+
+
 def point_class() -> F.Column:
     return (
         F.when(F.col("l_returnflag") == "R", F.lit(-1))

@@ -21,7 +21,7 @@ ARM = f"""arm AS (
   SELECT s_suppkey, s_name AS tool, n_name AS area, s_acctbal AS d1, s_acctbal / {D(2)} AS d2,
          CASE WHEN s_nationkey % 5 = 0 THEN NULL ELSE s_nationkey * {D(14.4)} END AS rot,
          CASE s_suppkey % 3 WHEN 0 THEN 'FRONT' WHEN 1 THEN 'BACK' ELSE NULL END AS side
-  FROM supplier JOIN nation ON s_nationkey = n_nationkey)"""
+  FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey)"""
 
 
 def angle_ok(rot: str, theta: str, tol: float = C.ANG) -> str:
@@ -42,11 +42,17 @@ def band_cond(det: str = "d", arm: str = "a", off: str | None = None) -> str:
     )
 
 
-HIST_LATEST = f"""hist AS (
-  SELECT o_custkey, l_suppkey, max(l_shipdate) AS last_ts
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-  WHERE l_shipdate <= TIMESTAMP '{C.ASOF}'
-  GROUP BY o_custkey, l_suppkey)"""
+# the unit's own run time: its latest run
+RUNS = """runs AS (
+  SELECT o_custkey, o_orderdate AS run_ts, o_orderpriority AS station FROM orders
+  QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)"""
+
+HIST_LATEST = f"""{RUNS},
+hist AS (
+  SELECT o.o_custkey, l_suppkey, max(l_shipdate) AS last_ts
+  FROM lineitem JOIN orders o ON l_orderkey = o_orderkey JOIN runs u ON u.o_custkey = o.o_custkey
+  WHERE l_shipdate <= run_ts
+  GROUP BY o.o_custkey, l_suppkey)"""
 
 ATTR = f"""attr AS (
   SELECT d.c_custkey, a.s_suppkey, a.tool, a.area, h.last_ts

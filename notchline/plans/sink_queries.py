@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from notchline import constants as C
 from notchline.functions.text import key_of_fields, point_fields, render_fields, yyyymmdd
+from notchline.plans import model
 from notchline.plans import oracle as O
 from notchline.plans.matching_queries import attribution
 from notchline.plans.registry import query
@@ -128,20 +129,25 @@ agg AS (SELECT c_custkey, count(*) AS n,
   FROM attr GROUP BY c_custkey)
 SELECT c.c_custkey, coalesce(a.n, 0) AS n, coalesce(a.tool_list, '') AS tool_list,
   coalesce(a.time_list, '') AS time_list, coalesce(a.area_list, '') AS area_list,
-  c.c_mktsegment AS device,
+  c.c_mktsegment AS device, u.station,
   -- puts in order: '1' when there are matches, then '0' always; the later put wins
   '0' AS status
-FROM customer c LEFT JOIN agg a ON a.c_custkey = c.c_custkey""",
+FROM customer c LEFT JOIN agg a ON a.c_custkey = c.c_custkey LEFT JOIN runs u ON u.o_custkey = c.c_custkey""",
 )
 def pattern_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#35: one pattern row per unit, with or without matches: match count, the
-    tool / time / area lists in one order (latest first), device, and the status
-    cell after its two puts (the later ``0`` wins, as in the reference)."""
+    tool / time / area lists in one order (latest first), device, the station of its latest
+    run, and the status cell after its two puts (the later ``0`` wins, as in the reference)."""
     t = Tables(spark, sf_dir)
-    attr = attribution(t)
-    lst = F.sort_array(F.collect_list(F.struct("last_ts", "tool", "area")), asc=False)
-    agg = attr.groupBy("c_custkey").agg(F.count(F.lit(1)).alias("n"), lst.alias("__l"))
+    return pattern_rows(t, model.latest_runs(t.orders), "left")
+
+
+def pattern_rows(t: Tables, runs: DataFrame, how: str) -> DataFrame:
+    """Pattern rows of the units that have a run in ``runs`` (``how`` 'inner'), or of all units."""
+    lst = F.sort_array(F.collect_list(F.struct("last_ts", "tool", "area")), asc=False)  # bounded by the arms within the band
+    agg = attribution(t, runs).groupBy("c_custkey").agg(F.count(F.lit(1)).alias("n"), lst.alias("__l"))
     units = t.customer.select("c_custkey", F.col("c_mktsegment").alias("device"))
+    units = units.join(runs.select(F.col("o_custkey").alias("c_custkey"), "station"), "c_custkey", how)
     j = units.join(agg, "c_custkey", "left")
 
     def joined(f):
@@ -159,6 +165,7 @@ def pattern_row(spark: SparkSession, sf_dir: str) -> DataFrame:
         joined(lambda x: yyyymmdd(x["last_ts"])).alias("time_list"),
         joined(lambda x: x["area"]).alias("area_list"),
         "device",
+        "station",
         last_put(puts).alias("status"),
     )
 

@@ -68,7 +68,6 @@ def build_session(
     sc = _context(spark)
     if sc is not None:
         sc.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -84,8 +83,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     Read from ``spark.checkpoint.dir`` (or a directory already set on the
-    context). Only when neither is set -- a local test run -- a private folder is
-    created and registered.
+    context). Only when neither is set and the master is local -- a test run -- a
+    private folder is created and registered; on a cluster that is an error.
     """
     sc = _context(spark)
     configured = (sc.getConf().get("spark.checkpoint.dir") if sc else None) or spark.conf.get(
@@ -97,9 +96,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir().rstrip("/")
+    if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="notchline-ckpt-")
-    if sc is None:
-        return local
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")
 

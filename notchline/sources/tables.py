@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -51,3 +52,15 @@ def require_tables(spark: SparkSession, names: list[str]) -> None:
     missing = [n for n in names if not spark.catalog.tableExists(n)]
     if missing:
         raise LookupError(f"required tables missing: {', '.join(missing)}")
+
+
+def require_inputs(spark: SparkSession, sf_dir: str, names: list[str]) -> None:
+    """SRC-9 for tables named by path: fail fast, before any work, when one cannot be read."""
+    missing = []
+    for name in names:
+        try:
+            table(spark, sf_dir, name)
+        except AnalysisException:
+            missing.append(name)
+    if missing:
+        raise LookupError(f"required tables missing: {', '.join(missing)}")

@@ -18,13 +18,44 @@ from notchline.sources.lookups import parse_arm_lines, side_eligible, with_senti
 
 
 def test_substring_tools_are_not_confused(spark):
-    cand = spark.createDataFrame([(1, "A1"), (1, "A10")], "unit long, tool string")
-    hist = spark.createDataFrame([(1, "A10", "20200101")], "unit long, tool string, ts string")
-    latest = latest_per_tool(hist, "unit", "tool", "ts", F.lit("20991231"))
-    got = attribute(cand, latest, "unit", "tool").select("tool").collect()
+    det = spark.createDataFrame([(1, 5000.0, 0.0)], "unit long, r double, theta double")
+    arms = spark.createDataFrame([("A1", 5.0, None, None), ("A10", 5.0, None, None)], "tool string, d1 double, d2 double, rot double")
+    hist = spark.createDataFrame([(1, "A10", "20200101"), (1, "A1", "20300101")], "unit long, tool string, ts string")
+    runs = spark.createDataFrame([(1, "20291231")], "unit long, run_ts string")
+    held = latest_per_tool(hist, runs, "unit", "tool", "ts")
+    got = attribute(det, arms, held, ["unit"], "tool").select("tool").collect()
     assert [r.tool for r in got] == ["A10"]
 
 
+def test_history_first_attribution_equals_the_band_join(spark):
+    """The pair test on history pairs gives what the band join followed by the history join gives."""
+    from notchline.plans import model
+    from notchline.sources.tables import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    arms = model.arms(t).select("s_suppkey", "tool", "area", "d1", "d2", "rot")
+    held = model.history(t).groupBy(F.col("o_custkey").alias("c_custkey"), F.col("l_suppkey").alias("s_suppkey")).agg(F.max("l_shipdate").alias("last_ts"))
+    new = attribute(model.detections(t), arms, held, ["c_custkey"], "s_suppkey", 500.0)
+    old = band_match(model.detections(t), arms, 500.0).join(held, ["c_custkey", "s_suppkey"])
+    cols = ["c_custkey", "s_suppkey", "last_ts"]
+    assert new.count() == old.count() > 50
+    assert new.select(cols).exceptAll(old.select(cols)).count() == 0
+
+
+def test_prefix_join_by_separator_takes_ids_of_any_length(spark):
+    ids = spark.createDataFrame([("Customer#000000001",), ("Customer#1000000000",)], "image string")
+    index = spark.createDataFrame([("Customer#000000001_a", 1), ("Customer#1000000000_b", 2), ("Customer#100000000", 3)], "k string, v int")
+    got = {(r.image, r.v) for r in prefix_join(ids, index, "image", "k", "_").collect()}
+    assert got == {("Customer#000000001", 1), ("Customer#1000000000", 2)}
+
+
+def test_asof_join_by_several_keys_keeps_runs_without_key_or_time(spark):
+    hist = spark.createDataFrame([("u", 1, "20200101"), ("u", 1, "2020010112"), ("u", 2, "20200101"), (None, 1, "20200101"), ("u", 1, None)], "k string, n int, ts string")
+    runs = spark.createDataFrame([("u", 1, "2020010112", 0), ("u", 1, "20200100", 1), (None, 1, "20300101", 2), ("u", 1, None, 3), ("u", 2, "20300101", 4), ("u", 1, "20300101", 5)], "k string, n int, ts string, i int")
+    got = {r.i: (r.n_asof, r.last_ts) for r in asof_join(runs, hist, ["k", "n"], "ts", "ts").collect()}
+    assert got == {0: (2, "2020010112"), 1: (0, None), 2: (0, None), 3: (0, None), 4: (1, "20200101"), 5: (2, "2020010112")}
+
+
 def test_short_arm_row_dropped(spark):
     lines = spark.createDataFrame([("a,b,c",), ("0,AREA,x,y,TOOL",)], "value string")
     rows = parse_arm_lines(lines).collect()

@@ -31,10 +31,16 @@ def test_job_writes_every_sink(spark):
     assert points.select("rowkey", "qualifier").distinct().count() == points.count()
     # partitioned by device: the device directories exist
     assert "device" in points.columns
-    # observed stage counts agree with the written status table
-    assert paths.metrics == {
-        "runs": n_orders, "accepted": accepted.count(), "analysed": analysed,
-    }
+    # observed stage counts agree with the written tables
+    rows = {f"{n}_rows": spark.read.parquet(p).count() for n, p in paths.items()}
+    assert paths.metrics == rows | {"runs": n_orders, "accepted": accepted.count(), "analysed": analysed}
+    # pattern rows only for units with an analysed run
+    units = spark.read.parquet(f"{SF_SMALL}/orders.parquet").join(accepted.where("flag"), "o_orderkey").select("o_custkey").distinct()
+    assert pattern.count() == units.count() > 0
+    assert pattern.join(units, pattern.c_custkey == units.o_custkey, "left_anti").count() == 0
+    # rows are dealt by device before the write: a few files for each device
+    files = points.select("device", "_metadata.file_path").distinct().count()
+    assert files <= 2 * points.select("device").distinct().count()
     y = spark.read.parquet(paths["y"])
     quals = {r.qualifier for r in y.select("qualifier").distinct().collect()}
     assert {"NO_yES", "BNO_yES", "Email_Status", "BEmail_Status", "DeviceID", "InspectionStationID"} <= quals
@@ -92,3 +98,22 @@ def test_detection_lists_match_brute_force(spark):
         got.setdefault((r.rowkey, q), {})[kind] = r.value
     assert len(want) > 0
     assert got == {(rk, q): {"tools": a, "times": b, "areas": c} for rk, q, a, b, c in want}
+
+
+def test_job_ends_before_any_work_when_a_table_is_missing(spark, tmp_path):
+    import pytest
+
+    with pytest.raises(LookupError, match="supplier"):
+        for name in ("orders", "customer", "lineitem", "nation"):
+            (tmp_path / f"{name}.parquet").symlink_to(f"{SF_SMALL}/{name}.parquet")
+        run_job(spark, str(tmp_path), str(tmp_path / "out"))
+    assert not (tmp_path / "out").exists()
+
+
+def test_retention_keeps_the_young_runs(spark):
+    out = scratch_path(spark, "job-young")
+    paths = run_job(spark, SF_SMALL, out, retain_days=360)
+    newest = spark.read.parquet(f"{SF_SMALL}/orders.parquet").selectExpr("max(o_orderdate) AS m").first().m
+    info = spark.read.parquet(paths["image_info"]).where("qualifier = 'ConvertedTimestamp'")
+    assert info.count() > 0
+    assert info.selectExpr("min(value)").first()[0] >= f"{newest.replace(year=newest.year - 1):%Y%m%d}"
