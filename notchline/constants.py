@@ -17,16 +17,9 @@ DIALECT_OLD = "1.7"
 SCALE_NEW = 1000
 SCALE_OLD = 1
 
-# Header keys of the per-file header map.
-HEADER_KEYS = (
-    "domainType",
-    "DiePitchX",
-    "domainarge",
-    "DeviceID",
-    "imageID",
-    "InspectionStationID",
-    "ConvertedTimestamp",
-)
+# Header fields: the station line holds maker, equipment type and station.
+STATION_FIELD = "InspectionStationID"
+TYPE_FIELD = "domainType"
 
 # Gate literals, in gate order.
 EXCLUDED_TYPE = "CIRCL"
@@ -52,9 +45,6 @@ TAG_TYPE = "SEM"
 SIDE_FRONT = ""
 SIDE_BACK = "B"
 
-# Flat positions of the device reference (degrees of the notch).
-FLAT_POSITIONS = (0, 90, 180, 270)
-
 # Arm dimension CSV: field positions, rotation text, side words, sentinels.
 ARM_AREA_FIELD = 1
 ARM_TOOL_FIELD = 4

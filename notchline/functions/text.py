@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notchline import constants as C
@@ -92,15 +92,22 @@ def header_fields(text: Column) -> Column:
     )
 
 
-def header_map(text: Column, pick: int = -1) -> Column:
-    """The header as ``map<string,string>``: field name -> one of its values
-    (``pick``: 1-based position, negative from the end). A repeated name keeps its
-    last line (map put semantics)."""
-    f = F.filter(header_fields(text), lambda e: F.size(e["values"]) > 0)
-    # keep an entry only when no later entry has the same name (last put wins)
-    last = F.filter(
-        f, lambda e, i: ~F.exists(F.slice(f, i + 2, F.size(f) + 1), lambda o: o["name"] == e["name"])
-    )
-    return F.map_from_entries(
-        F.transform(last, lambda e: F.struct(e["name"], F.try_element_at(e["values"], F.lit(pick))))
+def with_header(df: DataFrame, text: str, out: str = "header", pick: int = -1) -> DataFrame:
+    """``df`` with the header of ``text`` as ``map<string,string>`` column ``out``: field
+    name -> one of its values (``pick``: 1-based position, negative from the end). A
+    repeated name keeps its last line (map put semantics). The station field's second
+    value of three is the equipment type, which the map holds as ``domainType``.
+
+    The text is parsed once into a column; entries are sorted by name and line, and the last
+    of each name is kept, so the cost is that of the sort, not of comparing all lines."""
+    parsed = df.withColumn("__fields", header_fields(F.col(text)))
+    value = lambda e, i: F.struct(
+        e["name"].alias("name"), i.alias("line"), F.try_element_at(e["values"], F.lit(pick)).alias("value")
     )
+    station = F.filter("__fields", lambda e: (e["name"] == C.STATION_FIELD) & (F.size(e["values"]) == 3))
+    kind = F.transform(station, lambda e, i: F.struct(F.lit(C.TYPE_FIELD).alias("name"), i.alias("line"), F.get(e["values"], 1).alias("value")))
+    filled = F.filter("__fields", lambda e: F.size(e["values"]) > 0)
+    parsed = parsed.withColumn("__sorted", F.sort_array(F.concat(F.transform(filled, value), kind)))
+    last = F.filter("__sorted", lambda e, i: ~F.coalesce(F.get("__sorted", i + 1)["name"] == e["name"], F.lit(False)))
+    entries = F.transform(last, lambda e: F.struct(e["name"], e["value"]))
+    return parsed.withColumn(out, F.map_from_entries(entries)).drop("__fields", "__sorted")

@@ -7,9 +7,14 @@ from pyspark.sql import functions as F
 
 from notchline import constants as C
 from notchline.functions.geometry import rotate_grid
-from notchline.operators.gates import eligibility_flag, first_reason, station_tag, two_sided
+from notchline.functions.text import dialect, field, java_split, with_header
+from notchline.operators.gates import eligibility_flag, first_reason, reference_checks, station_tag, two_sided
+from notchline.operators.lookup import lookup_first_line
 from notchline.plans import model
+from notchline.plans import oracle as O
 from notchline.plans.registry import query
+from notchline.session import scratch_path
+from notchline.sources.lookups import parse_device_lines
 from notchline.sources.tables import Tables
 
 # Stand-in station codes: o_orderpriority plays the station text.
@@ -219,3 +224,60 @@ def append_grid_xy(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "flat",
         gx.alias("test_x"), gy.alias("test_y"),
     )
+
+
+def device_table(spark: SparkSession, t: Tables) -> DataFrame:
+    """The device reference as a CSV file in the shared folder, read back and parsed (SRC-4)."""
+    path = scratch_path(spark, "device_csv")
+    model.device_lines(t).select("line").write.text(path)
+    lines = parse_device_lines(spark.read.text(path))
+    part = java_split(F.col("value"), ",")
+    return lines.select(
+        "value", "flat", field(part, 2).try_cast("int").alias("line_group"), field(part, 0).try_cast("int").alias("line_key")
+    )
+
+
+def text_gates(spark: SparkSession, t: Tables, maxpoint: int = C.MAXPOINT) -> DataFrame:
+    """UDF-3's first half from file texts: text -> header map -> device lookup -> gates,
+    one row per run with the header's device, type and station, the flat position
+    and the first failing gate."""
+    runs = with_header(model.file_texts(t), "text").withColumn("version", dialect(F.col("text")))
+    runs = runs.withColumn("device", F.element_at("header", F.lit("DeviceID")))
+    runs = runs.join(point_stats(t).select("l_orderkey", "n_all"), runs.o_orderkey == F.col("l_orderkey"), "left")
+    runs = lookup_first_line(runs, "device", device_table(spark, t), "value", ["line_group", "line_key"], ["flat"])
+    points = F.coalesce(F.col("n_all"), F.lit(0))
+    checks = reference_checks(F.col("header"), F.col("version"), points, F.col("flat"), maxpoint)
+    return runs.select(
+        "o_orderkey",
+        "device",
+        F.element_at("header", F.lit(C.TYPE_FIELD)).alias("type"),
+        F.element_at("header", F.lit(C.STATION_FIELD)).alias("station"),
+        "flat",
+        first_reason(checks).alias("reason"),
+    )
+
+
+@query(
+    "gates_from_text",
+    oracle=f"""WITH {O.DEVICE_LINES},
+pts AS (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey),
+r AS (SELECT o_orderkey, o_orderpriority AS station,
+    CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN '{C.EXCLUDED_TYPE}' ELSE 'SCAN' END AS type,
+    CASE WHEN c_mktsegment <> 'BUILDING' THEN CASE WHEN c_nationkey % 5 = 4 THEN 'UNLISTED-' || c_nationkey ELSE n_name END END AS device,
+    coalesce(n, 0) AS n
+  FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
+  LEFT JOIN pts ON l_orderkey = o_orderkey),
+f AS (SELECT device, arg_min(string_split(line, ',')[5]::INTEGER, (line_group, line_key)) AS flat
+  FROM (SELECT DISTINCT device FROM r) JOIN device_lines ON contains(line, device) GROUP BY device)
+SELECT o_orderkey, r.device, type, station, flat, CASE
+    WHEN o_orderkey % 2 = 0 AND (type = '{C.EXCLUDED_TYPE}' OR o_orderkey % 97 = 0) THEN 'excluded_type'
+    WHEN o_orderkey % 2 <> 0 AND station = '5-LOW' THEN 'placeholder'
+    WHEN r.device IS NULL THEN 'missing_device'
+    WHEN o_orderkey < 100 THEN 'bad_id_length'
+    WHEN n > {C.MAXPOINT} THEN 'too_many_points'
+    WHEN flat IS NULL THEN 'no_flat_position' END AS reason
+FROM r LEFT JOIN f ON f.device = r.device""",
+)
+def gates_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-2..FLT-8 on parsed file texts, with the device reference read from a CSV."""
+    return text_gates(spark, Tables(spark, sf_dir))

@@ -5,8 +5,8 @@
 Stages, each a DataFrame step planned by Catalyst (no per-file loop, no task
 side effects):
 
-1. gates: the first failing check per run, kept as a status table (rejects are
-   rows with a reason, not exceptions);
+1. gates: file text to header map to device lookup to the first failing check per run,
+   kept as a status table (rejects are rows with a reason, not exceptions);
 2. eligibility flag and side routing for the accepted runs;
 3. sinks per device (or one shared table): header map as long rows, points
    (keep-last, rendered), summary entries of the
@@ -44,18 +44,20 @@ from notchline.plans.sink_queries import POINT_HEADER, pattern_rows
 from notchline.sources.tables import Tables, require_inputs
 
 
-def run_status(t: Tables, maxpoint: int = C.MAXPOINT) -> DataFrame:
-    """Per run: device, first failing gate, eligibility flag and review tag."""
+def run_status(spark: SparkSession, t: Tables, maxpoint: int = C.MAXPOINT) -> DataFrame:
+    """Per run: device, first failing gate, eligibility flag and review tag. The gates
+    and the tag's type test read the parsed file text (``text_gates``)."""
+    gates = G.text_gates(spark, t, maxpoint).select("o_orderkey", "type", "reason")
     st = F.col("o_orderpriority")
     j = F.coalesce(
         F.when(two_sided(st, G.TWO_SIDED), F.col("j_front")).otherwise(F.col("j_all")), F.lit(0)
     )
-    return G.runs_with_stats(t).select(
+    return G.runs_with_stats(t).join(gates, "o_orderkey").select(
         "o_orderkey",
         F.col("c_mktsegment").alias("device"),
-        G.reason(maxpoint).alias("reason"),
+        "reason",
         eligibility_flag(st, j, G.SPECIAL, G.PRODUCTION, G.MAC).alias("flag"),
-        station_tag(st, st, G.TAG_ABSENT, G.TAG_PRESENT, G.TAG_TYPE).alias("tag"),
+        station_tag(st, F.col("type"), G.TAG_ABSENT, G.TAG_PRESENT, C.TAG_TYPE).alias("tag"),
         two_sided(st, G.TWO_SIDED).alias("two_sided"),
     )
 
@@ -245,7 +247,7 @@ def run_job(
     clean = F.col("reason").isNull()
     status = write(
         "run_status",
-        run_status(t, maxpoint),
+        run_status(spark, t, maxpoint),
         F.count(F.lit(1)).alias("runs"),
         F.count(F.when(clean, F.lit(1))).alias("accepted"),
         F.count(F.when(clean & F.col("flag"), F.lit(1))).alias("analysed"),

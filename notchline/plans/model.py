@@ -13,7 +13,7 @@ Each builder returns a lazy DataFrame; nothing is read until an action.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notchline import constants as C
@@ -144,6 +144,38 @@ def device_lines(t: Tables) -> DataFrame:
     )
 
 
+def file_texts(t: Tables) -> DataFrame:
+    """The header text of every run's file, ``(o_orderkey, o_orderpriority, text)``: dialect by key parity, the
+    device (nation name; none for the BUILDING segment, a name the device reference
+    lacks for every fifth nation), a 12-character image id (shorter for keys under
+    100), maker / type / station on one line, and the fields that the first gates test."""
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority")
+    c = t.customer.select("c_custkey", "c_mktsegment", "c_nationkey")
+    n = t.nation.select("n_nationkey", "n_name")
+    r = o.join(c, o.o_custkey == c.c_custkey, "left").join(n, F.col("c_nationkey") == n.n_nationkey, "left")
+    key, pr = F.col("o_orderkey"), F.col("o_orderpriority")
+
+    def line(name: str, *values: Column, when: Column | None = None) -> Column:
+        quoted = F.concat_ws(", ", *[F.concat(F.lit('"'), v, F.lit('"')) for v in values])
+        text = F.concat(F.lit(f"Field {name} {len(values)} {{"), quoted, F.lit("}"))
+        return text if when is None else F.when(when, text)
+
+    device = F.when(F.col("c_nationkey") % 5 == 4, F.concat(F.lit("UNLISTED-"), _s("c_nationkey"))).otherwise(F.col("n_name"))
+    return r.select(
+        "o_orderkey",
+        "o_orderpriority",
+        F.concat_ws(
+            "\n",
+            F.when(key % 2 == 0, F.lit(C.DIALECT_MARKER)).otherwise(F.lit("FileVersion 1 7;")),
+            line("DeviceID", device, when=F.coalesce(F.col("c_mktsegment") != "BUILDING", F.lit(False)) & device.isNotNull()),
+            line("imageID", F.when(key < 100, _s("o_orderkey")).otherwise(F.lpad(_s("o_orderkey"), C.IMAGE_ID_LENGTH, "0"))),
+            line(C.STATION_FIELD, F.lit("MAKER"), F.when(pr == "4-NOT SPECIFIED", F.lit(C.EXCLUDED_TYPE)).otherwise(F.lit("SCAN")), pr),
+            line("DiePitchX", F.when(key % 97 == 0, F.lit(C.EXCLUDED_PITCH)).otherwise(F.lit("1000"))),
+            line("domainarge", F.lit(C.PLACEHOLDER_VALUE), when=pr == "5-LOW"),
+        ).alias("text"),
+    )
+
+
 def history_index(t: Tables) -> DataFrame:
     """History index rows: key ``<c_name>_<yyyymmdd>_<orderkey>``, value = the
     history rowkey ``<yyyymmdd>_<orderkey>``."""

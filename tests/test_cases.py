@@ -322,14 +322,25 @@ def test_all_lines_of_a_large_run_are_kept_on_both_sides(spark):
 
 
 def test_header_map(spark):
-    from notchline.functions.text import header_map
+    from notchline.functions.text import with_header
 
     text = ('Record FileRecord\nField InspectionStationID 3 {"KLA-TENCOR", "Puma9850M", "KTPUAX0800"}\n'
             'Field DeviceID 1 {"D42"}\nField Empty 0 {}\nField DeviceID 1 {"D43"}\n')
-    df = spark.createDataFrame([(text,)], "t string")
-    m = df.select(header_map(F.col("t")).alias("m"), header_map(F.col("t"), 2).alias("m2")).first()
-    assert m.m == {"InspectionStationID": "KTPUAX0800", "DeviceID": "D43"}
-    assert m.m2["InspectionStationID"] == "Puma9850M" and m.m2["DeviceID"] is None
+    many = "\n".join(f'Field F{i % 900} 1 {{"{i}"}}' for i in range(3000))
+    df = spark.createDataFrame([(1, text), (2, many), (3, None), (4, "")], "i int, t string")
+    m = {r.i: r.m for r in with_header(df, "t", "m").collect()}
+    assert m[1] == {"InspectionStationID": "KTPUAX0800", "domainType": "Puma9850M", "DeviceID": "D43"}
+    assert m[2] == {f"F{k}": str(max(range(k, 3000, 900))) for k in range(900)}
+    assert m[3] is None and m[4] == {}
+    m2 = with_header(df, "t", "m", 2).where("i = 1").first().m
+    assert m2["InspectionStationID"] == "Puma9850M" and m2["DeviceID"] is None
+
+
+def test_text_gates_give_every_reason(spark):
+    from notchline.plans.gate_queries import gates_from_text
+
+    got = {r.reason for r in gates_from_text(spark, "/root/testdata/sf0.01").select("reason").distinct().collect()}
+    assert got >= {None, "excluded_type", "placeholder", "missing_device", "bad_id_length", "no_flat_position"}
 
 
 def test_lookup_first_line(spark):
