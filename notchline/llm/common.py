@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notchline.session import scratch_path
-from notchline.sources.tables import table
+from notchline.sources import tables
 
 __all__ = ["table", "stored", "drop_stored", "text_of", "scratch_path", "without", "id_text_key"]
 
@@ -14,11 +16,29 @@ __all__ = ["table", "stored", "drop_stored", "text_of", "scratch_path", "without
 BROADCAST_IDS = 500_000
 
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def importable(spark: SparkSession) -> None:
+    """Put this package's folder on the Python path of the tasks that follow, so that they
+    can import it whatever the working folder is. Where executors do not see the folder the
+    package must be shipped with the job (``--py-files``), as any other."""
+    env = spark.sparkContext.environment
+    if _ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (_ROOT, env.get("PYTHONPATH", "")) if x)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
+    return tables.table(spark, sf_dir, name)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back: the
     lineage ends at files that every executor sees, so a lost executor costs
     only its own running tasks. The path is on the result as ``stored_path``."""
     spark = df.sparkSession
+    importable(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
