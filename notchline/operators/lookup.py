@@ -53,18 +53,17 @@ def substring_join(
     haystack's grams of its own length. Column names of the two sides must not
     collide.
     """
-    lens = list(range(1, q + 1))
-    hay_grams = hay.withColumn(
-        "__g",
-        F.explode(
-            F.array_distinct(
-                F.flatten(F.array(*[
-                    F.transform(_grams(F.col(hay_col), k), lambda g: F.concat(F.lit(f"{k}:"), g))
-                    for k in lens
-                ]))
-            )
-        ),
-    )
+    # grams go with a hash of the line, not with the line: a line is fetched only for
+    # the grams that some needle is routed by (lines of one hash all come back, and
+    # the contains test decides)
+    keyed = hay.withColumn("__line", F.xxhash64(hay_col))
+    grams = F.flatten(F.array(*[
+        F.transform(_grams(F.col(hay_col), k), lambda g: F.concat(F.length(g).cast("string"), F.lit(":"), g))
+        for k in range(1, q + 1)
+    ]))
+    hay_grams = keyed.select("__line", F.explode_outer(F.array_distinct(grams)).alias("__g")).where(
+        F.col("__g").isNotNull()
+    ).distinct()
     freq = hay_grams.groupBy("__g").agg(F.count(F.lit(1)).alias("__n"))
 
     n = F.col(needle_col)
@@ -84,8 +83,9 @@ def substring_join(
     routed = needles.join(chosen, n == chosen["__needle"]).drop("__needle")
     return (
         routed.join(hay_grams, "__g")
+        .join(keyed, "__line")
         .where(F.col(hay_col).contains(F.col(needle_col)))
-        .drop("__g")
+        .drop("__g", "__line")
     )
 
 

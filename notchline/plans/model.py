@@ -49,6 +49,19 @@ def arms(t: Tables) -> DataFrame:
     )
 
 
+def arm_reference(t: Tables) -> DataFrame:
+    """The arm dimensions as the reference has them: a list of fixed length (one row per
+    nation), against which any number of detections is matched."""
+    k = F.col("n_nationkey")
+    d1 = k * 400.0 - 500.0
+    return t.nation.select(
+        "n_nationkey",
+        d1.alias("d1"),
+        (d1 / 2.0).alias("d2"),
+        F.when(k % 5 == 0, F.lit(None).cast("double")).otherwise(k * 14.4).alias("rot"),
+    )
+
+
 def history(t: Tables) -> DataFrame:
     """(unit, tool, time) rows: which tool handled which unit when."""
     li = t.lineitem.select("l_orderkey", "l_suppkey", "l_shipdate")

@@ -24,6 +24,11 @@ ARM = f"""arm AS (
   FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey)"""
 
 
+ARM_REFERENCE = f"""arm AS (
+  SELECT n_nationkey, n_nationkey * {D(400)} - {D(500)} AS d1, (n_nationkey * {D(400)} - {D(500)}) / {D(2)} AS d2,
+         CASE WHEN n_nationkey % 5 = 0 THEN NULL ELSE n_nationkey * {D(14.4)} END AS rot FROM nation)"""
+
+
 def angle_ok(rot: str, theta: str, tol: float = C.ANG) -> str:
     return (
         f"({rot} IS NULL OR {rot} > {D(C.FREE_ROTATION_ABOVE)}"

@@ -93,16 +93,18 @@ def summary_side_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     "angle_match",
     oracle=f"""WITH p AS (SELECT p_partkey, p_size * {D(7.2)} AS rot FROM part),
 s AS (SELECT s_suppkey, s_nationkey * {D(0.25)} AS theta FROM supplier)
-SELECT p_partkey, s_suppkey FROM p JOIN s
+SELECT rot, theta, count(DISTINCT p_partkey) AS n_parts, count(DISTINCT s_suppkey) AS n_suppliers FROM p JOIN s
   ON rot IS NOT NULL AND rot <= {D(C.FREE_ROTATION_ABOVE)}
  AND (abs(rot / {D(180)} * pi() - theta) < {D(C.ANGLE_MATCH_TOL)}
    OR abs((CASE WHEN rot >= {D(180)} THEN rot - {D(360)} ELSE rot END) / {D(180)} * pi() + pi() - theta)
-      < {D(C.ANGLE_MATCH_TOL)})""",
+      < {D(C.ANGLE_MATCH_TOL)})
+GROUP BY rot, theta""",
 )
 def angle_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """#26: JON-6 on its own: rotated parts x suppliers whose angle agrees with the
-    rotation or its opposite within 0.01 rad, as one bucketed band join on the
-    angle over both directions of each part."""
+    """#26: JON-6 on its own: the rotations of parts and the angles of suppliers that agree,
+    directly or opposite, within 0.01 rad, with the rows of each side. Both sides are
+    counted per value first, so rows never pair with rows; then one bucketed band
+    join on the angle over both directions of each rotation."""
     t = Tables(spark, sf_dir)
     tol = C.ANGLE_MATCH_TOL
     rot = F.col("rot")
@@ -114,13 +116,17 @@ def angle_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = (
         t.part.select("p_partkey", (F.col("p_size") * 7.2).alias("rot"))
         .where(rot.isNotNull() & (rot <= C.FREE_ROTATION_ABOVE))
-        .select("p_partkey", "rot", F.inline(legs))
+        .groupBy("rot").agg(F.count(F.lit(1)).alias("n_parts"))
+        .select("rot", "n_parts", F.inline(legs))
     )
-    sup = t.supplier.select("s_suppkey", (F.col("s_nationkey") * 0.25).alias("theta"))
+    sup = t.supplier.groupBy((F.col("s_nationkey") * 0.25).alias("theta")).agg(F.count(F.lit(1)).alias("n_suppliers"))
+    sup = sup.where(F.col("theta").isNotNull())
     # one bucketed join over both directions; the opposite leg drops pairs the
     # direct leg already has, so each pair appears once
     leg_ok = (F.col("__leg") == 1) | ~angle_direct(F.col("rot"), F.col("theta"), tol)
-    return band_join(parts, sup, "__a", "theta", tol, strict=True, residual=leg_ok).select("p_partkey", "s_suppkey")
+    return band_join(parts, sup, "__a", "theta", tol, strict=True, residual=leg_ok).select(
+        "rot", "theta", "n_parts", "n_suppliers"
+    )
 
 
 _PROFILES = [(i, 10.0 * (i + 1)) for i in range(C.PROFILE_COUNT)]
@@ -140,18 +146,18 @@ def config_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     join key, so each profile's band join is bucketed by its own tolerance."""
     t = Tables(spark, sf_dir)
     prof = F.array(*[F.struct(F.lit(i).alias("profile"), F.lit(off).alias("off")) for i, off in _PROFILES])
-    det = t.customer.select("c_custkey", ((F.col("c_acctbal") * 1000.0) / 1000.0).alias("v")).select(
-        "c_custkey", "v", F.inline(prof)
-    )
-    arm = t.supplier.select("s_suppkey", F.col("s_acctbal").alias("d1")).select("s_suppkey", "d1", F.inline(prof))
+    # rows are counted per value first: pairs are of distinct values, never of rows
+    det = t.customer.groupBy(((F.col("c_acctbal") * 1000.0) / 1000.0).alias("v")).agg(F.count(F.lit(1)).alias("n_det"))
+    arm = t.supplier.groupBy(F.col("s_acctbal").alias("d1")).agg(F.count(F.lit(1)).alias("n_arm"))
+    det, arm = det.select("v", "n_det", F.inline(prof)), arm.select("d1", "n_arm", F.inline(prof))
     hits = band_join(det, arm, "v", "d1", "off", keys=("profile", "off"))
     params = spark.createDataFrame(
         _PROFILES,
         T.StructType([T.StructField("profile", T.IntegerType()), T.StructField("off", T.DoubleType())]),
     )
     return (
-        params.select("profile", "off", F.lit(0).alias("__one"))
-        .unionByName(hits.select("profile", "off", F.lit(1).alias("__one")))
+        params.select("profile", "off", F.lit(0).cast("bigint").alias("__one"))
+        .unionByName(hits.select("profile", "off", (F.col("n_det") * F.col("n_arm")).alias("__one")))
         .groupBy("profile", "off")
         .agg(F.sum("__one").cast("bigint").alias("n_matches"))
     )
