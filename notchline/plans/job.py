@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from notchline import constants as C
 from notchline.functions.text import render_point, yyyymmdd
 from notchline.functions.geometry import pi
+from notchline.operators.consolidate import consolidate
 from notchline.operators.gates import eligibility_flag, point_side, station_tag, two_sided
 from notchline.operators.history import asof_join
 from notchline.operators.matching import attribute
@@ -145,28 +146,41 @@ def pattern_table(summary: DataFrame, header: DataFrame, analysed: DataFrame) ->
     return entries.unionByName(info.join(runs, "rowkey", "left_semi")).unionByName(status)
 
 
-def detection_lists(t: Tables, summary: DataFrame) -> DataFrame:
-    """Per detected line of an analysed run and side: the tools whose arm
-    dimensions match the line (JON-5, side rule FLT-11) and that handled the
-    run's unit at or before the run's own time (JON-4/JON-7), latest first, with
-    their last times and areas (AGG-5). Lines come back from the written summary
-    table; a line without such tools keeps empty lists.
-
-    Stand-in units: a line's r is its bin centre scaled to the arm unit
-    (r_bin * R_BIN * 1000), its angle the bin angle."""
+def line_rows(summary: DataFrame) -> DataFrame:
+    """(rowkey, side, k, r, theta) of the lines in the written summary table. Stand-in
+    units: r is the bin centre scaled to the arm unit (r_bin * R_BIN * 1000), theta the bin angle."""
     q, v = F.col("qualifier"), F.col("value")
     lines = summary.where(q.rlike(f"^B?{C.Q_DETECTION}[0-9]+$")).select(
         F.col("rowkey"),
         F.when(q.startswith(C.SIDE_BACK), F.lit(C.SIDE_BACK)).otherwise(F.lit(C.SIDE_FRONT)).alias("side"),
         F.regexp_extract(q, "([0-9]+)$", 1).cast("int").alias("k"),
-        F.regexp_extract(v, "THETA:(-?[0-9]+)", 1).cast("int").alias("theta_bin"),
-        F.regexp_extract(v, "R:(-?[0-9]+)", 1).cast("bigint").alias("r_bin"),
+        F.regexp_extract(v, C.T_THETA + "(-?[0-9]+)", 1).cast("int").alias("theta_bin"),
+        F.regexp_extract(v, C.T_R + "(-?[0-9]+)", 1).cast("bigint").alias("r_bin"),
     )
-    det = lines.select(
+    return lines.select(
         "rowkey", "side", "k",
         (F.col("r_bin") * C.R_BIN * 1000.0).alias("r"),
         (F.col("theta_bin") * pi() / float(C.THETA_BINS)).alias("theta"),
     )
+
+
+def consolidated(t: Tables, summary: DataFrame, devices: DataFrame) -> DataFrame:
+    """JON-9 per detected line: similar lines (radius within OFF arm units, angle within
+    0.3) on the same side of earlier runs of the unit, at most HIST_DAYS back."""
+    runs = t.orders.select(F.col("o_orderkey").cast("string").alias("rowkey"), "o_custkey", "o_orderdate")
+    det = line_rows(summary).join(runs, "rowkey")
+    ids = ["rowkey", "side", "k"]
+    out = consolidate(det.withColumn("on_side", F.col("side")), ids, ["o_custkey", "on_side"], "o_orderdate", "r", "theta", r_tol=C.OFF * C.R_UNIT_DIVISOR)
+    return out.join(devices, "rowkey")
+
+
+def detection_lists(t: Tables, summary: DataFrame) -> DataFrame:
+    """Per detected line of an analysed run and side: the tools whose arm
+    dimensions match the line (JON-5, side rule FLT-11) and that handled the
+    run's unit at or before the run's own time (JON-4/JON-7), latest first, with
+    their last times and areas (AGG-5). Lines come back from the written summary
+    table; a line without such tools keeps empty lists."""
+    det = line_rows(summary)
     # history first: the tools that a line's run had up to its own time, then the tests
     runs = t.orders.select(F.col("o_orderkey").cast("string").alias("rowkey"), "o_custkey", "o_orderdate")
     hist = model.history(t)
@@ -183,7 +197,7 @@ def detection_lists(t: Tables, summary: DataFrame) -> DataFrame:
     def joined(f):
         return F.coalesce(F.array_join(F.transform("__l", f), ","), F.lit(""))
 
-    full = lines.select("rowkey", "side", "k").join(per_line, ["rowkey", "side", "k"], "left")
+    full = det.select("rowkey", "side", "k").join(per_line, ["rowkey", "side", "k"], "left")
     return full.select(
         "rowkey", "side", "k",
         joined(lambda x: x["tool"]).alias("tool_list"),
@@ -263,6 +277,7 @@ def run_job(
     devices = analysed.select(F.col("o_orderkey").cast("string").alias("rowkey"), "device")
     lists = list_rows(detection_lists(t, summary), devices)
     write("y", pattern_table(summary, header, analysed).unionByName(lists))
+    write("consolidated", consolidated(t, summary, devices))
     # pattern rows of the units with an analysed run, as of the latest of these
     analysed_runs = t.orders.join(analysed.select("o_orderkey"), "o_orderkey", "left_semi")
     write("pattern", pattern_rows(t, model.latest_runs(analysed_runs), "inner"))

@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 from notchline import constants as C
 from notchline.functions.geometry import angle_direct, pi
-from notchline.operators.band_join import band_join, multi_band_join
+from notchline.operators.band_join import band_join
+from notchline.operators.consolidate import consolidate
 from notchline.operators.patterns import (
     density_grid,
     detect_lines,
@@ -163,54 +164,24 @@ def config_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_DAY_US = 86400 * 1_000_000
-_TS_FMT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
-
-
-def _micros(ts: F.Column) -> F.Column:
-    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
-
-
 @query(
     "consolidate_history",
-    oracle=f"""SELECT a.event_id, count(b.event_id) AS n_similar,
+    oracle=f"""WITH e AS (SELECT event_id, user_id, ts, value, event_id % 628 / {D(100)} AS theta FROM events)
+SELECT a.event_id, count(b.event_id) AS n_similar,
   strftime(max(b.ts), '%Y-%m-%d %H:%M:%S.%f') AS last_similar
-FROM events a LEFT JOIN events b
+FROM e a LEFT JOIN e b
   ON b.user_id = a.user_id AND b.ts < a.ts AND b.ts >= a.ts - INTERVAL {C.HIST_DAYS} DAY
- AND abs(b.value - a.value) <= {D(C.CONSOLIDATE_VALUE_TOL)}
+ AND abs(b.value - a.value) <= {D(C.CONSOLIDATE_VALUE_TOL)} AND abs(b.theta - a.theta) <= {D(C.ANGLE_TOLERANCE)}
 GROUP BY a.event_id""",
 )
 def consolidate_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """#39 (JON-9): for each detection, the same entity's detections of the
-    previous HIST_DAYS days whose value is within the tolerance: their count and
-    the latest time. A two-band (time x value) bucketed join keyed by entity,
-    then a combining aggregate; events without any keep a 0 row."""
-    e = Tables(spark, sf_dir).events.select("event_id", "user_id", "ts", "value")
-    a = e.select(
-        F.col("event_id").alias("a_id"), F.col("user_id").alias("a_user"),
-        F.col("value").alias("a_value"), _micros(F.col("ts")).alias("a_t"),
-    )
-    b = e.select(
-        F.col("user_id").alias("b_user"), F.col("ts").alias("b_ts"),
-        F.col("value").alias("b_value"), _micros(F.col("ts")).alias("b_t"),
-    )
-    pairs = multi_band_join(
-        a, b,
-        [
-            # b is earlier than a (residual), so b's time bucket is a's or the one before
-            ("a_t", "b_t", float(C.HIST_DAYS * _DAY_US), "left_ge"),
-            ("a_value", "b_value", C.CONSOLIDATE_VALUE_TOL),
-        ],
-        keys=[("a_user", "b_user")],
-        residual=F.col("b_t") < F.col("a_t"),
-    )
-    rows = a.select("a_id", F.lit(0).alias("__one"), F.lit(None).cast("timestamp_ntz").alias("b_ts")).unionByName(
-        pairs.select("a_id", F.lit(1).alias("__one"), "b_ts")
-    )
-    return rows.groupBy("a_id").agg(
-        F.sum("__one").cast("bigint").alias("n_similar"),
-        F.date_format(F.max("b_ts"), _TS_FMT).alias("last_similar"),
-    ).withColumnRenamed("a_id", "event_id")
+    previous HIST_DAYS days within the radius and the angle tolerance: their count and
+    the latest time; detections without any keep a 0 row."""
+    e = Tables(spark, sf_dir).events
+    det = e.select("event_id", "user_id", "ts", "value", ((F.col("event_id") % 628) / 100.0).alias("theta"))
+    out = consolidate(det, ["event_id"], ["user_id"], "ts", "value", "theta")
+    return out.withColumn("last_similar", F.date_format("last_similar", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
 @query(

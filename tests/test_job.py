@@ -11,7 +11,7 @@ from .conftest import SF_SMALL
 def test_job_writes_every_sink(spark):
     out = scratch_path(spark, "job")
     paths = run_job(spark, SF_SMALL, out)
-    assert set(paths) == {"run_status", "image_info", "point_info", "image_summary", "y", "pattern"}
+    assert set(paths) == {"run_status", "image_info", "point_info", "image_summary", "y", "consolidated", "pattern"}
     status = spark.read.parquet(paths["run_status"])
     con = duckdb.connect()
     n_orders = con.execute(f"SELECT count(*) FROM '{SF_SMALL}/orders.parquet'").fetchone()[0]
@@ -47,6 +47,7 @@ def test_job_writes_every_sink(spark):
     assert y.where("qualifier LIKE '%Email_Status'").where("value <> '0'").count() == 0
     # one tool, time and area list per detected line, aligned
     n_lines = summary.where("qualifier RLIKE '^B?y[0-9]+$'").count()
+    assert spark.read.parquet(paths["consolidated"]).select("rowkey", "side", "k").distinct().count() == n_lines
     for name in ("domain_LIST", "TIMESTAMP_LIST", "AREA_LIST"):
         assert y.where(f"qualifier RLIKE '^B?{name}[0-9]+$'").count() == n_lines
     lens = y.where("qualifier RLIKE '^B?(domain|AREA)_LIST'").selectExpr(
