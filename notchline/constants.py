@@ -21,6 +21,9 @@ SCALE_OLD = 1
 STATION_FIELD = "InspectionStationID"
 TYPE_FIELD = "domainType"
 
+# Header names of the grid coordinates appended to front points.
+GRID_FIELDS = ("testX", "testY")
+
 # Gate literals, in gate order.
 EXCLUDED_TYPE = "CIRCL"
 EXCLUDED_PITCH = "300000000"

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from notchline import constants as C
 from notchline.functions.text import render_point, yyyymmdd
-from notchline.functions.geometry import pi
+from notchline.functions.geometry import pi, rotate_grid
 from notchline.operators.consolidate import consolidate
 from notchline.operators.gates import eligibility_flag, point_side, station_tag, two_sided
 from notchline.operators.history import asof_join
@@ -48,7 +48,7 @@ from notchline.sources.tables import Tables, require_inputs
 def run_status(spark: SparkSession, t: Tables, maxpoint: int = C.MAXPOINT) -> DataFrame:
     """Per run: device, first failing gate, eligibility flag and review tag. The gates
     and the tag's type test read the parsed file text (``text_gates``)."""
-    gates = G.text_gates(spark, t, maxpoint).select("o_orderkey", "type", "reason")
+    gates = G.text_gates(spark, t, maxpoint).select("o_orderkey", "type", "flat", "reason")
     st = F.col("o_orderpriority")
     j = F.coalesce(
         F.when(two_sided(st, G.TWO_SIDED), F.col("j_front")).otherwise(F.col("j_all")), F.lit(0)
@@ -56,6 +56,7 @@ def run_status(spark: SparkSession, t: Tables, maxpoint: int = C.MAXPOINT) -> Da
     return G.runs_with_stats(t).join(gates, "o_orderkey").select(
         "o_orderkey",
         F.col("c_mktsegment").alias("device"),
+        "flat",
         "reason",
         eligibility_flag(st, j, G.SPECIAL, G.PRODUCTION, G.MAC).alias("flag"),
         station_tag(st, F.col("type"), G.TAG_ABSENT, G.TAG_PRESENT, C.TAG_TYPE).alias("tag"),
@@ -76,25 +77,31 @@ def header_rows(t: Tables, accepted: DataFrame) -> DataFrame:
 
 
 def point_rows(t: Tables, accepted: DataFrame) -> DataFrame:
-    """Points of accepted runs, last write per (run, point id) wins, rendered."""
+    """Points of accepted runs, last write per (run, point id) wins, rendered. Front
+    points carry their grid coordinates, turned by the run's flat position, as two more
+    fields (PRJ-5); a back point's text ends before them."""
     li = t.lineitem
-    pts = li.join(accepted.select(F.col("o_orderkey").alias("l_orderkey"), "device"), "l_orderkey")
+    runs = accepted.select(F.col("o_orderkey").alias("l_orderkey"), "device", "flat", "two_sided")
+    pts = li.join(runs, "l_orderkey").withColumn("__front", point_side(F.col("two_sided"), F.col("l_linestatus") == "O") == C.SIDE_FRONT)
     kept = keep_last(
         pts,
         ["l_orderkey", "l_linenumber"],
         ["l_shipdate", "l_partkey", "l_suppkey"],
-        ["l_returnflag", "l_linestatus", "device"],
+        ["l_returnflag", "l_linestatus", "l_quantity", "l_discount", "__front", "flat", "device"],
+    )
+    gx, gy = rotate_grid(
+        F.round("l_quantity").cast("int"), F.round(F.col("l_discount") * 100.0).cast("int"), F.coalesce("flat", F.lit(0))
     )
     text = F.concat_ws(
         " ",
         *[F.col(c).cast("string") for c in ("l_linenumber", "l_partkey", "l_suppkey")],
-        "l_returnflag",
-        "l_linestatus",
+        F.concat("l_returnflag", "l_linestatus"),
+        *[F.when(F.col("__front"), g.cast("string")) for g in (gx, gy)],
     )
     return kept.select(
         F.col("l_orderkey").cast("string").alias("rowkey"),
         F.concat(F.lit(C.Q_POINT), F.col("l_linenumber").cast("string")).alias("qualifier"),
-        render_point(text, POINT_HEADER).alias("value"),
+        render_point(text, [*POINT_HEADER, *C.GRID_FIELDS]).alias("value"),
         "device",
     )
 

@@ -1,6 +1,7 @@
 """The end-to-end job over the smallest tables."""
 
 import duckdb
+from pyspark.sql import functions as F
 
 from notchline.plans.job import run_job
 from notchline.session import scratch_path
@@ -38,6 +39,12 @@ def test_job_writes_every_sink(spark):
     units = spark.read.parquet(f"{SF_SMALL}/orders.parquet").join(accepted.where("flag"), "o_orderkey").select("o_custkey").distinct()
     assert pattern.count() == units.count() > 0
     assert pattern.join(units, pattern.c_custkey == units.o_custkey, "left_anti").count() == 0
+    # grid coordinates on front points only: every point of a one-sided run, front points of a two-sided one
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").join(accepted, F.col("l_orderkey") == F.col("o_orderkey"))
+    last = F.max(F.struct("l_shipdate", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")).alias("last")
+    front = li.groupBy("l_orderkey", "l_linenumber", "two_sided").agg(last).where("not two_sided or last.l_linestatus <> 'O'")
+    with_grid = points.where("value LIKE '%testX:%'")
+    assert 0 < with_grid.count() == with_grid.where("value RLIKE ',testX:-?[0-9]+,testY:-?[0-9]+$'").count() == front.count() < points.count()
     # rows are dealt by device before the write: a few files for each device
     files = points.select("device", "_metadata.file_path").distinct().count()
     assert files <= 2 * points.select("device").distinct().count()
