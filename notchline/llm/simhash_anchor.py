@@ -113,7 +113,7 @@ def _near(a: np.ndarray, b: np.ndarray, bits: int) -> np.ndarray:
 def linked_sets(fps: np.ndarray, bits: int, step: int = 256) -> np.ndarray:
     """For each of ``fps`` (unsigned) the index of the first member of its connected set."""
     label = np.arange(len(fps))
-    changed = True
+    changed = len(fps) > step or int(_near(fps, fps, bits).sum()) > len(fps)  # most sets hold nothing near
     while changed:
         changed = False
         for k in range(0, len(fps), step):
