@@ -44,6 +44,7 @@ NEIGHBOURS = 16
 BLOCK = 64
 BEGINNINGS = (4, 5, 6)
 FOLDS = 5
+REMEMBERED = 250_000  # words a worker keeps the terms of
 NEAREST = 0.05  # added to a distance before it divides
 
 
@@ -100,6 +101,7 @@ def term_rows(docs: DataFrame, terms: list[str], doc_id: str, text: str) -> Data
             return [i for i in found if i is not None]
 
         store = Store(lambda words: flat([of(w) for w in words]))
+        store.limit = REMEMBERED
         for rows, found, upto in encoded(batches, store, None):
             owner = np.repeat(np.arange(len(rows)), np.diff(upto))
             key, tf = np.unique(owner * max(1, len(terms)) + found, return_counts=True)
