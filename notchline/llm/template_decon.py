@@ -10,6 +10,11 @@ item) and the slots are consistent: within the cover, equal item values of one t
 go to equal document values, and different ones to different ones. So a question with other numbers
 and names is found, and a text that only shares a template is not.
 
+With ``whole`` (the query has it) more is found: (1) pieces on diagonals up to ``NEAR`` off a middle
+one add up, and a run of names is one placeholder too, so that 'Mary Ann' can stand for 'Tom'; (2)
+of slots in conflict the most frequent values stay, and the alignment counts if the
+tokens without the others still reach the cover.
+
 DataFrame functions only. Every document position is a window; the items'
 windows, if they number ``BROADCAST`` or less, are broadcast (24 bytes each), else the join shuffles.
 Slots are checked on documents with a match only. Items with fewer than ``WINDOW`` tokens
@@ -26,6 +31,7 @@ from notchline.llm.common import stored, table, text_of, without
 WINDOW = 8
 LITERAL = 4
 COVER = 13
+NEAR = 4
 BROADCAST = 1_000_000
 
 # Units of measure that stand beside a number
@@ -39,6 +45,8 @@ UNITS = [
     "%", "$", "€", "£",
 ]
 _TOKEN = r"[\p{L}\p{M}]+|[0-9]+(?:[.,:/][0-9]+)*|[%$€£]"
+_NAME = r"[\p{L}\p{M}&&[^\p{Lu}\p{Lt}]]*+[\p{Lu}\p{Lt}][\p{L}\p{M}]*+"
+_RUNS = rf"{_NAME}(?:\s+{_NAME})*+|{_TOKEN}"
 #: Placeholder codes in place of a word's hash.
 NUM, UNIT, NAME = 1, 2, 3
 
@@ -74,6 +82,21 @@ def windows_of(codes: str) -> Column:
     return F.when(n >= WINDOW, each).otherwise(F.array().cast("array<bigint>"))
 
 
+def _hashed_windows(codes: Column, width: int, seed: int) -> Column:
+    n = F.size(codes)
+    each = F.transform(F.sequence(F.lit(1), n - (width - 1)), lambda i: F.xxhash64(F.slice(codes, i, F.lit(width)), F.lit(seed)))
+    return F.when(n >= width, each).otherwise(F.array().cast("array<bigint>"))
+
+
+def _forms(df: DataFrame) -> DataFrame:
+    """Adds t0, t1 (tokens as they are, and with runs of names as one), their codes c0, c1 and windows w0, w1
+    (none in w1 if the text has no run)."""
+    df = df.withColumn("t0", tokens_of(F.col("text"))).withColumn("t1", F.regexp_extract_all("text", F.lit(_RUNS), F.lit(0)))
+    df = df.withColumn("c0", template_of("t0")).withColumn("c1", template_of("t1"))
+    none = F.array().cast("array<bigint>")
+    return df.withColumn("w0", _hashed_windows(F.col("c0"), WINDOW, 0)).withColumn("w1", F.when(F.size("t0") == F.size("t1"), none).otherwise(_hashed_windows(F.col("c1"), WINDOW, 0)))
+
+
 def _keyed(docs: DataFrame, text: str) -> DataFrame:
     """128 bits that stand for a text: equal texts share their result."""
     t = text_of(text)
@@ -93,8 +116,60 @@ def bench_items(bench: DataFrame, item_id: str, text: str) -> DataFrame:
     return one.withColumn("codes", template_of("tokens"))
 
 
-def alignments(docs: DataFrame, bench: DataFrame, text: str = "text", item_id: str = "item_id", bench_text: str = "text") -> DataFrame:
+def _consistent(pairs: Column) -> Column:
+    """Of (kind, a, b) each distinct pair with its count that no more frequent one of the
+    same a or the same b (ties: the larger a and b) is in conflict with."""
+    counted = F.transform(F.array_distinct(pairs), lambda u: F.struct(F.size(F.filter(pairs, lambda x: x == u)).alias("n"), u["kind"].alias("kind"), u["a"].alias("a"), u["b"].alias("b")))
+    rival = lambda u, v: (u["kind"] == v["kind"]) & ((u["a"] == v["a"]) | (u["b"] == v["b"])) & (v > u)
+    return F.filter(counted, lambda u: ~F.exists(counted, lambda v: rival(u, v)))
+
+
+def whole_alignments(docs: DataFrame, bench: DataFrame, text: str, item_id: str, bench_text: str) -> DataFrame:
+    """``alignments`` with neighbouring diagonals, runs of names and the consistent part of slots."""
+    b = bench.select(F.col(item_id).alias("id"), text_of(bench_text).alias("text")).where(F.size(tokens_of(F.col("text"))) > 0)
+    one = b.groupBy("text").agg(F.min("id").alias("item"), F.array_sort(F.collect_set("id")).alias("items"))
+    items = stored(_forms(one.withColumn("item", F.xxhash64("text"))), "items")
+    each = [items.select("item", F.lit(g).alias("g"), F.col(f"c{g}").alias("codes"), F.posexplode(f"w{g}").alias("ipos", "h")) for g in (0, 1)]
+    literal = F.size(F.filter(F.slice("codes", F.col("ipos") + 1, F.lit(WINDOW)), lambda c: ~_is_slot(c)))
+    wins = stored(each[0].union(each[1]).where(literal >= LITERAL).select("h", "item", "g", "ipos"), "item-windows")
+    few = wins.count() <= BROADCAST
+    texts = _keyed(docs, text).select("__key", text_of(text).alias("text"))
+    every = _forms(texts).select("__key", F.size("w0").alias("n0"), F.posexplode_outer(F.concat("w0", "w1")).alias("at", "h"))
+    hits = every.join(F.broadcast(wins) if few else wins, "h")
+    f = (F.col("at") >= F.col("n0")).cast("int")
+    hits = hits.select("__key", "item", f.alias("f"), "g", (F.col("at") - f * F.col("n0") - F.col("ipos")).alias("shift"), "ipos")
+    side = ["__key", "item", "f", "g"]
+    diagonals = hits.groupBy(*side, "shift").agg(F.array_sort(F.collect_set("ipos")).alias("at"))
+    spans = F.aggregate(F.transform("at", lambda p, k: F.least(F.lit(WINDOW), F.coalesce(F.get("at", k + 1) - p, F.lit(WINDOW)))), F.lit(0), lambda a, x: a + x)
+    least = F.least(F.lit(COVER), F.when(F.col("g") == 0, F.size("t0")).otherwise(F.size("t1")))
+    off = F.explode(F.sequence(F.lit(-NEAR), F.lit(NEAR))).alias("off")
+    around = stored(diagonals.withColumn("span", spans), "diagonals").select(*side, "shift", "at", "span", off)
+    around = around.withColumn("middle", F.col("shift") + F.col("off")).groupBy(*side, "middle").agg(F.sum("span").alias("most"), F.collect_list(F.struct(F.abs("off").alias("far"), "shift", "at")).alias("parts"))
+    found = around.join(items.select("item", "t0", "t1"), "item").where(F.col("most") >= least).select(*side, "middle", F.explode("parts").alias("part"))
+    cell = F.explode(F.array_distinct(F.flatten(F.transform("part.at", lambda p: F.sequence(p, p + (WINDOW - 1)))))).alias("ip")
+    cells = found.select(*side, "middle", cell, F.struct("part.far", "part.shift").alias("by")).groupBy(*side, "middle", "ip").agg(F.min("by").alias("by"))
+    cells = cells.groupBy(*side, "middle").agg(F.collect_list(F.struct("ip", (F.col("ip") + F.col("by.shift")).alias("pos"))).alias("cells"))
+    found = stored(cells, "alignments")
+    again = without(texts, found.select("__key"), F.col("__key"), "left_semi").dropDuplicates(["__key"])
+    theirs = again.select("__key", tokens_of(F.col("text")).alias("d0"), F.regexp_extract_all("text", F.lit(_RUNS), F.lit(0)).alias("d1"))
+    both = found.join(theirs, "__key").join(items.select("item", "items", "t0", "t1", "c0", "c1"), "item")
+    pick = lambda by, x: F.when(F.col(by) == 0, F.col(f"{x}0")).otherwise(F.col(f"{x}1"))
+    both = both.select("__key", "item", "items", "cells", least.alias("least"), pick("f", "d").alias("theirs"), pick("g", "t").alias("mine"), pick("g", "c").alias("codes"))
+    value = lambda c, p: F.lower(F.regexp_replace(F.get(c, p), r"\s+", " "))
+    slots = F.filter("cells", lambda c: _is_slot(F.get("codes", c["ip"])))
+    both = both.withColumn("pairs", F.transform(slots, lambda c: F.struct(F.get("codes", c["ip"]).alias("kind"), value("mine", c["ip"]).alias("a"), value("theirs", c["pos"]).alias("b"))))
+    both = both.withColumn("good", _consistent(F.col("pairs")))
+    # two pieces that overlap in the document count its tokens once
+    cover = F.least(F.size("cells"), F.size(F.array_distinct(F.transform("cells", lambda c: c["pos"]))))
+    kept = F.aggregate("good", F.lit(0), lambda a, x: a + x["n"])
+    both = both.withColumn("covered", cover - F.size("pairs") + kept).where(F.col("covered") >= F.col("least"))
+    return both.select("__key", "item", "items", "covered", F.size("good").alias("n_slots"))
+
+
+def alignments(docs: DataFrame, bench: DataFrame, text: str = "text", item_id: str = "item_id", bench_text: str = "text", whole: bool = False) -> DataFrame:
     """(__key, item, items, covered, n_slots): consistent alignments of enough cover."""
+    if whole:
+        return whole_alignments(docs, bench, text, item_id, bench_text)
     items = stored(bench_items(bench, item_id, bench_text), "items")
     wins = items.withColumn("windows", windows_of("codes")).select("item", "codes", F.posexplode_outer("windows").alias("ipos", "h"))
     literal = F.size(F.filter(F.slice("codes", F.col("ipos") + 1, F.lit(WINDOW)), lambda c: ~_is_slot(c)))
@@ -122,26 +197,26 @@ def alignments(docs: DataFrame, bench: DataFrame, text: str = "text", item_id: s
     return both.where(one_way("a") & one_way("b")).select("__key", "item", "items", "covered", F.size("pairs").alias("n_slots"))
 
 
-def contaminated(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", bench_text: str = "text") -> DataFrame:
+def contaminated(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", bench_text: str = "text", whole: bool = False) -> DataFrame:
     """(id, contaminated, n_items, covered, items): one row for each row of ``docs``;
     ``items`` are the benchmark ids found, ascending, ``covered`` the most item tokens covered.
     Null and empty texts hold nothing; null items are passed over; an empty benchmark
     finds nothing; repeated rows are judged each."""
-    hit = alignments(docs, bench, text, item_id, bench_text)
+    hit = alignments(docs, bench, text, item_id, bench_text, whole)
     flags = hit.groupBy("__key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"), F.max("covered").alias("covered"))
     rows = _keyed(docs, text).select(F.col(doc_id).alias("id"), "__key").join(flags, "__key", "left")
     items = F.coalesce("items", F.array().cast(flags.schema["items"].dataType))
     return rows.select("id", (F.size(items) > 0).alias("contaminated"), F.size(items).alias("n_items"), F.coalesce("covered", F.lit(0)).alias("covered"), items.alias("items"))
 
 
-def drop_contaminated(docs: DataFrame, bench: DataFrame, text: str = "text", item_id: str = "item_id", bench_text: str = "text") -> DataFrame:
+def drop_contaminated(docs: DataFrame, bench: DataFrame, text: str = "text", item_id: str = "item_id", bench_text: str = "text", whole: bool = False) -> DataFrame:
     """The rows of ``docs``, with their columns, that hold no benchmark item."""
-    hit = stored(alignments(docs, bench, text, item_id, bench_text).select("__key").distinct(), "contaminated")
+    hit = stored(alignments(docs, bench, text, item_id, bench_text, whole).select("__key").distinct(), "contaminated")
     return without(_keyed(docs, text), hit, F.col("__key")).select(*docs.columns)
 
 
 def op9_template_decon(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).withColumnRenamed("id", "doc_id")
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), whole=True).withColumnRenamed("id", "doc_id")
 
 
 QUERIES = {"op9_template_decon": op9_template_decon}

@@ -101,3 +101,16 @@ def test_empty_tables(spark):
     assert D.contaminated(df, b).collect() == []
     one = spark.createDataFrame([(1, ITEM, 1, "x", "y")], DOCS)
     assert [r.contaminated for r in D.contaminated(one, b).collect()] == [False]
+
+
+def test_whole_search_conflicts_and_shifts(spark):
+    """One of two equal names changed, a name of two words for one, an inserted word."""
+    noise = "lorem ipsum dolor sit amet " * 3
+    other = ITEM.replace("Tom", "Mary Ann").replace("12", "450").replace("30", "8.5")
+    rows = [(0, ITEM.replace("then Tom", "then Peter")), (1, noise + other), (2, ITEM.replace("more apples", "more big apples").replace("7 apples", "7 small apples")), (3, noise), (4, " ".join(ITEM.split()[:11])), (5, ITEM.replace("30", "12"))]
+    df = spark.createDataFrame([(d, t, 1, "x", "y") for d, t in rows], DOCS)
+    b = spark.createDataFrame([(7, ITEM, "z"), (8, ITEM, "z"), (9, None, "z")], BENCH)
+    got = {r.id: r for r in D.contaminated(df, b, whole=True).collect()}
+    assert [got[d].contaminated for d in range(6)] == [True, True, True, False, False, True]
+    assert got[0]["items"] == [7, 8] and got[0].covered == len(tokens(ITEM)) - 1
+    assert D.drop_contaminated(df, b, whole=True).count() == 2
