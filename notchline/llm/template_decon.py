@@ -13,12 +13,13 @@ and names is found, and a text that only shares a template is not.
 With ``whole`` (the query has it) more is found: (1) pieces on diagonals up to ``NEAR`` off a middle
 one add up, and a run of names is one placeholder too, so that 'Mary Ann' can stand for 'Tom'; (2)
 of slots in conflict the most frequent values stay, and the alignment counts if the
-tokens without the others still reach the cover.
+tokens without the others still reach the cover; (3) whatever the template, ``COVER`` item tokens in a row
+(or the whole of a shorter item, however short) that stand word for word in the text, in any case.
 
 DataFrame functions only. Every document position is a window; the items'
 windows, if they number ``BROADCAST`` or less, are broadcast (24 bytes each), else the join shuffles.
 Slots are checked on documents with a match only. Items with fewer than ``WINDOW`` tokens
-have no window and are not searched; windows with fewer than ``LITERAL`` plain words are no evidence.
+have no template window and are found word for word only; windows with fewer than ``LITERAL`` plain words are no template evidence.
 """
 
 from __future__ import annotations
@@ -49,6 +50,8 @@ _NAME = r"[\p{L}\p{M}&&[^\p{Lu}\p{Lt}]]*+[\p{Lu}\p{Lt}][\p{L}\p{M}]*+"
 _RUNS = rf"{_NAME}(?:\s+{_NAME})*+|{_TOKEN}"
 #: Placeholder codes in place of a word's hash.
 NUM, UNIT, NAME = 1, 2, 3
+#: The form of windows compared word for word; 0 and 1 are templates without and with runs of names.
+VERBATIM = 2
 
 
 def tokens_of(text: Column) -> Column:
@@ -90,9 +93,10 @@ def _hashed_windows(codes: Column, width: int, seed: int) -> Column:
 
 def _forms(df: DataFrame) -> DataFrame:
     """Adds t0, t1 (tokens as they are, and with runs of names as one), their codes c0, c1 and windows w0, w1
-    (none in w1 if the text has no run)."""
+    (none in w1 if the text has no run); ``words``: hashes of the tokens without regard to case (ß is ss)."""
     df = df.withColumn("t0", tokens_of(F.col("text"))).withColumn("t1", F.regexp_extract_all("text", F.lit(_RUNS), F.lit(0)))
     df = df.withColumn("c0", template_of("t0")).withColumn("c1", template_of("t1"))
+    df = df.withColumn("words", F.transform("t0", lambda t: F.xxhash64(F.replace(F.lower(t), F.lit("ß"), F.lit("ss")))))
     none = F.array().cast("array<bigint>")
     return df.withColumn("w0", _hashed_windows(F.col("c0"), WINDOW, 0)).withColumn("w1", F.when(F.size("t0") == F.size("t1"), none).otherwise(_hashed_windows(F.col("c1"), WINDOW, 0)))
 
@@ -131,19 +135,32 @@ def whole_alignments(docs: DataFrame, bench: DataFrame, text: str, item_id: str,
     items = stored(_forms(one.withColumn("item", F.xxhash64("text"))), "items")
     each = [items.select("item", F.lit(g).alias("g"), F.col(f"c{g}").alias("codes"), F.posexplode(f"w{g}").alias("ipos", "h")) for g in (0, 1)]
     literal = F.size(F.filter(F.slice("codes", F.col("ipos") + 1, F.lit(WINDOW)), lambda c: ~_is_slot(c)))
-    wins = stored(each[0].union(each[1]).where(literal >= LITERAL).select("h", "item", "g", "ipos"), "item-windows")
+    wins = each[0].union(each[1]).where(literal >= LITERAL).select("h", "item", "g", "ipos")
+    lengths = sorted(r.n for r in items.select(F.least(F.lit(COVER), F.size("t0")).alias("n")).distinct().collect())  # COVER of them at most
+    for n in lengths:  # word for word: g is VERBATIM
+        mine = items.where(F.size("t0") == n if n < COVER else F.size("t0") >= n)
+        wins = wins.union(mine.select(F.posexplode(_hashed_windows(F.col("words"), n, n)).alias("ipos", "h"), "item").select("h", "item", F.lit(VERBATIM).alias("g"), "ipos"))
+    wins = stored(wins, "item-windows")
     few = wins.count() <= BROADCAST
     texts = _keyed(docs, text).select("__key", text_of(text).alias("text"))
-    every = _forms(texts).select("__key", F.size("w0").alias("n0"), F.posexplode_outer(F.concat("w0", "w1")).alias("at", "h"))
+    ends = F.array(F.size("w0"), F.size("w0") + F.size("w1"))
+    verbatim = [_hashed_windows(F.col("words"), n, n) for n in lengths]
+    every = _forms(texts).select("__key", ends.alias("ends"), F.posexplode_outer(F.concat("w0", "w1", *verbatim)).alias("at", "h"))
     hits = every.join(F.broadcast(wins) if few else wins, "h")
-    f = (F.col("at") >= F.col("n0")).cast("int")
-    hits = hits.select("__key", "item", f.alias("f"), "g", (F.col("at") - f * F.col("n0") - F.col("ipos")).alias("shift"), "ipos")
+    f = F.when(F.col("at") < F.col("ends")[0], 0).when(F.col("at") < F.col("ends")[1], 1).otherwise(VERBATIM)
+    start = F.when(f == 0, 0).when(f == 1, F.col("ends")[0]).otherwise(F.col("ends")[1])
+    # positions of verbatim windows count from the first one of any length: a diagonal of one item has one length
+    hits = hits.select("__key", "item", f.alias("f"), "g", (F.col("at") - start - F.col("ipos")).alias("shift"), "ipos").where((F.col("f") == VERBATIM) == (F.col("g") == VERBATIM))
     side = ["__key", "item", "f", "g"]
-    diagonals = hits.groupBy(*side, "shift").agg(F.array_sort(F.collect_set("ipos")).alias("at"))
-    spans = F.aggregate(F.transform("at", lambda p, k: F.least(F.lit(WINDOW), F.coalesce(F.get("at", k + 1) - p, F.lit(WINDOW)))), F.lit(0), lambda a, x: a + x)
+    diagonals = hits.groupBy(*side, "shift").agg(F.array_sort(F.collect_set("ipos")).alias("at")).join(items.select("item", F.size("t0").alias("n")), "item")
+    width = F.when(F.col("g") == VERBATIM, F.least(F.lit(COVER), F.col("n"))).otherwise(WINDOW)
+    spans = F.aggregate(F.transform("at", lambda p, k: F.least(width, F.coalesce(F.get("at", k + 1) - p, width))), F.lit(0), lambda a, x: a + x)
+    diagonals = stored(diagonals.withColumn("span", spans).drop("n"), "diagonals")
+    exact = diagonals.where(F.col("g") == VERBATIM).groupBy("__key", "item").agg(F.max("span").alias("covered"))
+    exact = exact.join(items.select("item", "items"), "item").select("__key", "item", "items", "covered", F.lit(0).alias("n_slots"))
     least = F.least(F.lit(COVER), F.when(F.col("g") == 0, F.size("t0")).otherwise(F.size("t1")))
     off = F.explode(F.sequence(F.lit(-NEAR), F.lit(NEAR))).alias("off")
-    around = stored(diagonals.withColumn("span", spans), "diagonals").select(*side, "shift", "at", "span", off)
+    around = diagonals.where(F.col("g") != VERBATIM).select(*side, "shift", "at", "span", off)
     around = around.withColumn("middle", F.col("shift") + F.col("off")).groupBy(*side, "middle").agg(F.sum("span").alias("most"), F.collect_list(F.struct(F.abs("off").alias("far"), "shift", "at")).alias("parts"))
     found = around.join(items.select("item", "t0", "t1"), "item").where(F.col("most") >= least).select(*side, "middle", F.explode("parts").alias("part"))
     cell = F.explode(F.array_distinct(F.flatten(F.transform("part.at", lambda p: F.sequence(p, p + (WINDOW - 1)))))).alias("ip")
@@ -163,7 +180,7 @@ def whole_alignments(docs: DataFrame, bench: DataFrame, text: str, item_id: str,
     cover = F.least(F.size("cells"), F.size(F.array_distinct(F.transform("cells", lambda c: c["pos"]))))
     kept = F.aggregate("good", F.lit(0), lambda a, x: a + x["n"])
     both = both.withColumn("covered", cover - F.size("pairs") + kept).where(F.col("covered") >= F.col("least"))
-    return both.select("__key", "item", "items", "covered", F.size("good").alias("n_slots"))
+    return both.select("__key", "item", "items", "covered", F.size("good").alias("n_slots")).union(exact)
 
 
 def alignments(docs: DataFrame, bench: DataFrame, text: str = "text", item_id: str = "item_id", bench_text: str = "text", whole: bool = False) -> DataFrame:

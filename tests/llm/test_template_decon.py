@@ -114,3 +114,14 @@ def test_whole_search_conflicts_and_shifts(spark):
     assert [got[d].contaminated for d in range(6)] == [True, True, True, False, False, True]
     assert got[0]["items"] == [7, 8] and got[0].covered == len(tokens(ITEM)) - 1
     assert D.drop_contaminated(df, b, whole=True).count() == 2
+
+
+def test_whole_search_word_for_word(spark):
+    """Copies in other case, short items and items of names and numbers alone."""
+    dense = "Anna Berta 12 Carla 13 Dora 14 Emil 15 Fritz 16 Gerda 17 Hans 18"
+    rows = [(0, ITEM.upper()), (1, ITEM.lower()), (2, "Well: WHO wrote Faust? Someone"), (3, "who wrote it: Faust"), (4, "so " + dense.lower()), (5, "x " + " ".join(ITEM.lower().split()[5:18])), (6, "x " + " ".join(ITEM.lower().split()[5:17])), (7, "Straße eins"), (8, None)]
+    df = spark.createDataFrame([(d, t, 1, "x", "y") for d, t in rows], DOCS)
+    b = spark.createDataFrame([(1, ITEM, "z"), (2, "Who wrote Faust?", "z"), (3, dense, "z"), (4, "", "z"), (5, "STRASSE EINS", "z")], BENCH)
+    got = {r.id: (list(r["items"]), r.covered) for r in D.contaminated(df, b, whole=True).collect()}
+    n = len(tokens(ITEM))
+    assert got == {0: ([1], n), 1: ([1], n), 2: ([2], 3), 3: ([], 0), 4: ([3], len(tokens(dense))), 5: ([1], 13), 6: ([], 0), 7: ([5], 2), 8: ([], 0)}
