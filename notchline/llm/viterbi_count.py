@@ -9,11 +9,11 @@ added in 64-bit floats; at each end, of equal scores the longest last piece wins
 character that is no piece of its own costs the lowest score less 10 and comes last;
 it counts as its UTF-8 bytes (byte fallback).
 
-Spaces become U+2581 (one that stands in the text is the same) and one is put in front of a text that is not empty. No
-vocabulary piece has another character before a U+2581, so the best path of a text
-is that of its segments (spaces, then other characters) one after the other; the scores
-are whole numbers, whose sums are exact, so ties fall alike. Each distinct segment of a batch
-is scored once.
+Spaces become U+2581 (one that stands in the text is the same) and one is put in front of a text that is not empty. If no
+vocabulary piece has another character before a U+2581, the best path of a text
+is that of its segments (spaces, then other characters) one after the other; if the scores
+are whole numbers too, whose sums are exact, ties fall alike. Each distinct segment of a batch
+is scored once then. For all other vocabularies the same programming runs over the whole text.
 """
 
 from __future__ import annotations
@@ -42,16 +42,17 @@ def load_vocabulary(path: str) -> list[tuple[str, float]]:
     return [(model.id_to_piece(i), model.get_score(i)) for i in range(model.get_piece_size())]
 
 
+def segmented(vocabulary: list[tuple[str, float]]) -> bool:
+    """Whether a text may be scored segment by segment."""
+    return all(s == int(s) and SPACE not in p.lstrip(SPACE) for p, s in vocabulary)
+
+
 class Counter:
     """Scores and counts segments; one for each vocabulary in a Python worker."""
 
     _open: dict[str, Counter] = {}
 
     def __init__(self, vocabulary: list[tuple[str, float]]):
-        if any(SPACE in p.lstrip(SPACE) for p, _ in vocabulary):
-            raise ValueError("a piece has a space after another character: segments are not independent")
-        if any(s != int(s) for _, s in vocabulary):
-            raise ValueError("scores must be whole numbers: other sums depend on where a text is cut")
         self.pieces = ahocorasick.Automaton()
         for piece, score in vocabulary:
             if piece:
@@ -96,10 +97,18 @@ class Counter:
         return tuple(np.array([seen[s][k] for s in segments], dtype=(np.float64, np.int64)[k]) for k in (0, 1))
 
 
+    def of_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``of_segments``, for whole texts: none is remembered."""
+        got = [self.best(t.replace(" ", SPACE)) for t in texts]
+        return tuple(np.array([x[k] for x in got], dtype=(np.float64, np.int64)[k]) for k in (0, 1))
+
+
 def token_counts(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n_tokens, score) of every row's whole text. Null and empty texts have 0
     tokens and score 0; repeated rows are counted each; other columns are not read."""
 
+    cut_up = segmented(load_vocabulary(path))
+
     def run(batches: Iterable[pa.RecordBatch]):
         counter = Counter.of(path)
         for b in batches:
@@ -108,15 +117,19 @@ def token_counts(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str =
             while row < b.num_rows:
                 end = max(row + 1, int(np.searchsorted(off, off[row] + STEP, side="right")) - 1)
                 found = b.column(1).values.slice(int(off[row]), int(off[end] - off[row])).dictionary_encode()
-                score, count = counter.of_segments(found.dictionary.to_pylist())
+                score, count = (counter.of_segments if cut_up else counter.of_texts)(found.dictionary.to_pylist())
                 at = found.indices.to_numpy(zero_copy_only=False)
                 cut = off[row : end + 1] - off[row]
                 n, s = (np.diff(np.concatenate([[0], np.cumsum(x[at])])[cut]) for x in (count, score))
+                if not cut_up:  # one piece a text or none: its score as it is, without sums of floats
+                    s = np.zeros(end - row)
+                    s[np.diff(cut) > 0] = score[at]
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(row, end - row), pa.array(n), pa.array(s)], names=["id", "n_tokens", "score"])
                 row = end
 
     schema = T.StructType([T.StructField("id", docs.schema[doc_id].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("score", T.DoubleType())])
-    segments = F.regexp_extract_all(F.concat(F.lit(" "), F.translate("text", SPACE, " ")), F.lit(SEGMENTS), F.lit(0))
+    spaced = F.concat(F.lit(" "), F.translate("text", SPACE, " "))
+    segments = F.regexp_extract_all(spaced, F.lit(SEGMENTS), F.lit(0)) if cut_up else F.array(spaced)
     split = F.when(F.col("text") == "", F.array().cast("array<string>")).otherwise(segments)
     return pieces_of(docs, None, doc_id, text, split).select("id", "pieces").mapInArrow(run, schema)
 

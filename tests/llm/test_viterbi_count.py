@@ -52,3 +52,27 @@ def test_scores_and_ties_by_brute_force():
 
 def test_empty_table(spark):
     assert V.token_counts(spark.createDataFrame([], "doc_id long, text string"), P.path("piece_bpe_32k.model")).collect() == []
+
+
+def test_float_scores_and_inner_spaces_equal_the_library(spark, tmp_path):
+    import sentencepiece
+
+    rng = np.random.default_rng(10)
+    for _ in range(300):
+        pieces = {"".join(rng.choice(list("ab" + V.SPACE), rng.integers(1, 5))) for _ in range(9)} | {"a", "b", V.SPACE}
+        vocab = [("<unk>", 0.0)] + [(p, -float(rng.random() * 5)) for p in sorted(pieces)]
+        assert not V.segmented(vocab)
+        text = "".join(rng.choice(list("ab" + V.SPACE), rng.integers(1, 40)))
+        assert V.Counter(vocab).best(text)[1] == len(Tokenizer(models.Unigram(vocab, unk_id=0)).encode(text).ids), (vocab, text)
+    words = ["".join(rng.choice(list("etaoinsh"), rng.integers(1, 9))) for _ in range(300)]
+    lines = [" ".join(rng.choice(words, 12)) for _ in range(400)]
+    prefix = str(tmp_path / "uni")
+    sentencepiece.SentencePieceTrainer.train(sentence_iterator=iter(lines), model_prefix=prefix, model_type="unigram", vocab_size=500, byte_fallback=True, hard_vocab_limit=False, minloglevel=2)
+    vocab = V.load_vocabulary(prefix + ".model")
+    library = Tokenizer(models.Unigram(vocab, unk_id=0, byte_fallback=True))
+    texts = [*ODD, *lines[:100], None, " ".join(lines)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    got = {r.id: r for r in V.token_counts(df, prefix + ".model").collect()}
+    assert [got[i].n_tokens for i in range(len(texts))] == [count(library, t or "") for t in texts]
+    counter = V.Counter(vocab)
+    assert all(got[i].score == (counter.best(V.SPACE + t.replace(" ", V.SPACE))[0] if t else 0.0) for i, t in enumerate(texts))
