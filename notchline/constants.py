@@ -95,7 +95,15 @@ RETENTION_SECONDS = 31104000
 
 OFF = 50.0  # band tolerance (the reference's dOffset)
 ANG = ANGLE_TOLERANCE
-MAXLINE = 5
+MAXLINE = 5  # lines shown of a file of the newer dialect
+MAXLINE_OLD = 4  # and of the older
+# Lines read of a run's file, by dialect (the reference's maxline18 and maxline17).
+LINE_CAP_NEW = 24
+LINE_CAP_OLD = 20
+# The stand-in files' point list, the line that ends a list, and a first line put before every text.
+POINT_LIST = "PointList"
+END_OF_LIST = "EndOfList"
+FILE_MARK = "#file"
 MAXPOINT = 8
 HIST_DAYS = 3
 RETAIN_DAYS = RETENTION_SECONDS // 86400

@@ -40,10 +40,15 @@ def dialect_scale(version: Column) -> Column:
     return F.when(version == C.DIALECT_NEW, F.lit(C.SCALE_NEW)).otherwise(F.lit(C.SCALE_OLD))
 
 
-def first_lines(text: Column, n: int) -> Column:
+def first_lines(text: Column, n: int | Column) -> Column:
     """SRT-2: the first ``n`` lines of a text as an array (the whole text is split,
-    so the line count stays available beside it)."""
-    return F.slice(F.split(text, "\n"), 1, n)
+    so the line count stays available beside it). ``n`` may differ by row."""
+    return F.slice(F.split(text, "\n"), F.lit(1), n if isinstance(n, Column) else F.lit(n))
+
+
+def first_lines_text(text: Column, n: Column) -> Column:
+    """The first ``n`` lines of a text as text."""
+    return F.call_function("substring_index", text, F.lit("\n"), n)
 
 
 def point_fields(text: Column, n: int) -> Column:
@@ -59,6 +64,12 @@ def render_fields(parts: Column, names: Sequence[str]) -> Column:
     return F.concat_ws(",", *[F.concat(F.lit(f"{n}:"), F.get(parts, i)) for i, n in enumerate(names)])
 
 
+def render_named(names: Column, fields: Column) -> Column:
+    """SCL-14 with names out of the data: ``name:value`` pairs joined by commas, as many as there are fields."""
+    pairs = F.zip_with(F.slice(names, F.lit(1), F.size(fields)), fields, lambda n, v: F.concat(n, F.lit(":"), v))
+    return F.array_join(pairs, ",")
+
+
 def render_point(text: Column, names: Sequence[str]) -> Column:
     return render_fields(point_fields(text, len(names)), names)
 

@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from notchline import constants as C
 from notchline.functions.geometry import rotate_grid
-from notchline.functions.text import dialect, field, java_split, with_header
+from notchline.functions.text import field, java_split
 from notchline.operators.gates import eligibility_flag, first_reason, reference_checks, station_tag, two_sided
 from notchline.operators.lookup import lookup_first_line
 from notchline.plans import model
 from notchline.plans import oracle as O
+from notchline.plans.parsed import FIELDS, ParsedFiles
 from notchline.plans.registry import query
 from notchline.session import scratch_path
 from notchline.sources.lookups import parse_device_lines
@@ -237,22 +238,19 @@ def device_table(spark: SparkSession, t: Tables) -> DataFrame:
     )
 
 
-def text_gates(spark: SparkSession, t: Tables, maxpoint: int = C.MAXPOINT) -> DataFrame:
-    """UDF-3's first half from file texts: text -> header map -> device lookup -> gates,
-    one row per run with the header's device, type and station, the flat position
-    and the first failing gate."""
-    runs = with_header(model.file_texts(t), "text").withColumn("version", dialect(F.col("text")))
-    runs = runs.withColumn("device", F.element_at("header", F.lit("DeviceID")))
-    runs = runs.join(point_stats(t).select("l_orderkey", "n_all"), runs.o_orderkey == F.col("l_orderkey"), "left")
-    runs = lookup_first_line(runs, "device", device_table(spark, t), "value", ["line_group", "line_key"], ["flat"])
-    points = F.coalesce(F.col("n_all"), F.lit(0))
-    checks = reference_checks(F.col("header"), F.col("version"), points, F.col("flat"), maxpoint)
+def text_gates(spark: SparkSession, t: Tables, parsed: ParsedFiles, maxpoint: int = C.MAXPOINT) -> DataFrame:
+    """UDF-3's first half from parsed files: header fields -> device lookup -> gates,
+    one row per run with the header's device, type and station, the flat position,
+    the point counts and class sums, and the first failing gate."""
+    runs = lookup_first_line(parsed.facts(), "DeviceID", device_table(spark, t), "value", ["line_group", "line_key"], ["flat"])
+    header = F.create_map(*[x for f in FIELDS for x in (F.lit(f), F.col(f))])
+    checks = reference_checks(header, F.col("version"), F.col("n_all"), F.col("flat"), maxpoint)
     return runs.select(
         "o_orderkey",
-        "device",
-        F.element_at("header", F.lit(C.TYPE_FIELD)).alias("type"),
-        F.element_at("header", F.lit(C.STATION_FIELD)).alias("station"),
-        "flat",
+        F.col("DeviceID").alias("device"),
+        F.col(C.TYPE_FIELD).alias("type"),
+        F.col(C.STATION_FIELD).alias("station"),
+        "flat", "n_all", "n_back", "j_all", "j_front",
         first_reason(checks).alias("reason"),
     )
 
@@ -279,5 +277,34 @@ SELECT o_orderkey, r.device, type, station, flat, CASE
 FROM r LEFT JOIN f ON f.device = r.device""",
 )
 def gates_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FLT-2..FLT-8 on parsed file texts, with the device reference read from a CSV."""
-    return text_gates(spark, Tables(spark, sf_dir))
+    """FLT-2..FLT-8 on parsed file texts, with the device reference read from a CSV. Texts are
+    parsed once into a stored table; the gates and the device lookup read that."""
+    t = Tables(spark, sf_dir)
+    return text_gates(spark, t, ParsedFiles(spark, t)).select("o_orderkey", "device", "type", "station", "flat", "reason")
+
+
+# lines of a run's file before its first point
+_HEAD_SQL = """9 + CASE WHEN c_mktsegment <> 'BUILDING' AND n_name IS NOT NULL THEN 1 ELSE 0 END
+    + CASE WHEN o_orderpriority = '5-LOW' THEN 1 ELSE 0 END"""
+
+
+@query(
+    "points_from_text",
+    oracle=f"""WITH pts AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_partkey, l_suppkey, l_linenumber) AS place
+  FROM lineitem),
+kept AS (SELECT p.*, CASE WHEN o_orderkey % 2 = 0 THEN {C.SCALE_NEW} ELSE {C.SCALE_OLD} END AS scale
+  FROM pts p JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey
+  WHERE place + {_HEAD_SQL} <= CASE WHEN o_orderkey % 2 = 0 THEN {C.LINE_CAP_NEW} ELSE {C.LINE_CAP_OLD} END),
+one AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY place DESC) AS rn FROM kept)
+SELECT l_orderkey AS o_orderkey, 'point' || l_linenumber AS qualifier,
+  'ID:' || l_linenumber || ',PART:' || l_partkey || ',SUPP:' || l_suppkey || ',FLAG:' || l_returnflag || l_linestatus
+    || ',X:' || CAST(CAST(CAST(l_quantity AS DECIMAL(20,6)) / scale AS DECIMAL(20,6)) AS VARCHAR)
+    || ',Y:' || CAST(CAST(CAST(l_discount * 100 AS DECIMAL(20,6)) / scale AS DECIMAL(20,6)) AS VARCHAR) AS value,
+  round(l_quantity, 6) AS x, round(l_discount * 100, 6) AS y, l_returnflag || l_linestatus AS flag
+FROM one WHERE rn = 1""",
+)
+def points_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCL-17, FLT-6, SNK-3: every run's points out of its file text: the lines of its point list up to the
+    dialect's line cap, the last of an id, as name:value text and as scaled numbers."""
+    points = ParsedFiles(spark, Tables(spark, sf_dir)).last_points()
+    return points.select("o_orderkey", F.col("name").alias("qualifier"), "value", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"), "flag")

@@ -110,21 +110,24 @@ def version_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "cap_lines",
-    oracle=f"""WITH s AS (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents),
-e AS (SELECT doc_id, parts, unnest(range(1, least(len(parts), {C.MAXLINE}) + 1)) AS line_no FROM s)
+    oracle=f"""WITH s AS (SELECT doc_id, string_split(text, chr(10)) AS parts,
+  CASE WHEN contains(text, '{STANDIN_MARKER}') THEN {C.MAXLINE} ELSE {C.MAXLINE_OLD} END AS cap FROM documents),
+e AS (SELECT doc_id, parts, unnest(range(1, least(len(parts), cap) + 1)) AS line_no FROM s)
 SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, parts[line_no] AS line,
   CAST(length(parts[line_no]) AS INTEGER) AS line_len, CAST(len(parts) AS INTEGER) AS n_lines
 FROM e""",
 )
 def cap_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """#7: the first MAXLINE lines of every file, numbered from 1, with the
+    """#7: the first lines of every file, as many as its dialect's cap, numbered from 1, with the
     file's total line count beside them."""
     d = Tables(spark, sf_dir).documents
     lines = F.split(F.col("text"), "\n")
+    new = dialect(F.col("text"), STANDIN_MARKER) == C.DIALECT_NEW
+    cap = F.when(new, F.lit(C.MAXLINE)).otherwise(F.lit(C.MAXLINE_OLD))
     return d.select(
         "doc_id",
         F.size(lines).alias("n_lines"),
-        F.posexplode(first_lines(F.col("text"), C.MAXLINE)).alias("pos", "line"),
+        F.posexplode(first_lines(F.col("text"), cap)).alias("pos", "line"),
     ).select(
         "doc_id",
         (F.col("pos") + 1).alias("line_no"),

@@ -5,13 +5,14 @@
 Stages, each a DataFrame step planned by Catalyst (no per-file loop, no task
 side effects):
 
-1. gates: file text to header map to device lookup to the first failing check per run,
-   kept as a status table (rejects are rows with a reason, not exceptions);
-2. eligibility flag and side routing for the accepted runs;
-3. sinks per device (or one shared table): header map as long rows, points
+1. parse: every file text once, into stored rows of header fields and listed points;
+2. gates: parsed rows to device lookup to the first failing check per run,
+   kept as a status table (rejects are rows with a reason, not exceptions), with the
+   eligibility flag and side routing of the accepted runs;
+3. sinks per device (or one shared table): header fields as long rows, points
    (keep-last, rendered), summary entries of the
    front and back writers, the pattern table (``y``) and the pattern rows of
-   attributed detections; per-stage counts are observed during the writes.
+   attributed detections; per-stage times and counts are taken during the writes.
 
 Outputs are Parquet under ``--out``; with ``--all-together`` nothing is
 partitioned by device (the reference's shared-table switch).
@@ -20,17 +21,18 @@ partitioned by device (the reference's shared-table switch).
 from __future__ import annotations
 
 import argparse
+import time
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from notchline import constants as C
-from notchline.functions.text import render_point, yyyymmdd
 from notchline.functions.geometry import pi, rotate_grid
 from notchline.operators.consolidate import consolidate
 from notchline.operators.gates import eligibility_flag, point_side, station_tag, two_sided
 from notchline.operators.history import asof_join
-from notchline.operators.matching import attribute
+from notchline.operators.matching import band_match
 from notchline.operators.patterns import (
     info_keys_filter,
     is_count_qualifier,
@@ -38,82 +40,63 @@ from notchline.operators.patterns import (
     side_writer_filter,
     summarize_runs,
 )
-from notchline.operators.sinks import keep_last, last_put, retention_filter, unpivot_long, write_partitioned
+from notchline.operators.sinks import last_put, retention_filter, upsert, write_partitioned
 from notchline.plans import gate_queries as G
 from notchline.plans import model
-from notchline.plans.sink_queries import POINT_HEADER, pattern_rows
+from notchline.plans.parsed import ParsedFiles
+from notchline.plans.sink_queries import pattern_rows
+from notchline.session import scratch_path
+from notchline.sources import folders
 from notchline.sources.tables import Tables, require_inputs
 
 
-def run_status(spark: SparkSession, t: Tables, maxpoint: int = C.MAXPOINT) -> DataFrame:
-    """Per run: device, first failing gate, eligibility flag and review tag. The gates
-    and the tag's type test read the parsed file text (``text_gates``)."""
-    gates = G.text_gates(spark, t, maxpoint).select("o_orderkey", "type", "flat", "reason")
-    st = F.col("o_orderpriority")
-    j = F.coalesce(
-        F.when(two_sided(st, G.TWO_SIDED), F.col("j_front")).otherwise(F.col("j_all")), F.lit(0)
-    )
-    return G.runs_with_stats(t).join(gates, "o_orderkey").select(
+def run_status(spark: SparkSession, t: Tables, parsed: ParsedFiles, maxpoint: int = C.MAXPOINT) -> DataFrame:
+    """Per run, all of it from the parsed file: device, first failing gate, eligibility flag
+    and review tag. One aggregate over the parsed rows, and the device lookup."""
+    st = F.col("station")
+    two = two_sided(st, G.TWO_SIDED)
+    j = F.when(two, F.col("j_front")).otherwise(F.col("j_all"))
+    return G.text_gates(spark, t, parsed, maxpoint).select(
         "o_orderkey",
-        F.col("c_mktsegment").alias("device"),
+        "device",
         "flat",
         "reason",
         eligibility_flag(st, j, G.SPECIAL, G.PRODUCTION, G.MAC).alias("flag"),
         station_tag(st, F.col("type"), G.TAG_ABSENT, G.TAG_PRESENT, C.TAG_TYPE).alias("tag"),
-        two_sided(st, G.TWO_SIDED).alias("two_sided"),
+        two.alias("two_sided"),
     )
 
 
-def header_rows(t: Tables, accepted: DataFrame) -> DataFrame:
-    """The header map of each accepted run as long rows (rowkey = run id)."""
-    o = t.orders.select(
-        F.col("o_orderkey").cast("string").alias("rowkey"),
-        "o_orderkey",
-        F.col("o_orderpriority").alias("InspectionStationID"),
-        yyyymmdd(F.col("o_orderdate")).alias("ConvertedTimestamp"),
+def header_rows(parsed: ParsedFiles, accepted: DataFrame) -> DataFrame:
+    """SNK-2: every header field of each accepted run as a long row (rowkey = run id)."""
+    runs = accepted.select("o_orderkey", "device")
+    return parsed.fields().join(runs, "o_orderkey").select(
+        F.col("o_orderkey").cast("string").alias("rowkey"), F.col("name").alias("qualifier"), "value", "device"
     )
-    h = o.join(accepted.select("o_orderkey", "device", F.col("device").alias("DeviceID")), "o_orderkey")
-    return unpivot_long(h, "rowkey", ["DeviceID", "InspectionStationID", "ConvertedTimestamp"], carry=["device"])
 
 
-def point_rows(t: Tables, accepted: DataFrame) -> DataFrame:
-    """Points of accepted runs, last write per (run, point id) wins, rendered. Front
+def point_rows(parsed: ParsedFiles, accepted: DataFrame) -> DataFrame:
+    """Points of accepted runs as their files list them, last line per (run, point id) wins. Front
     points carry their grid coordinates, turned by the run's flat position, as two more
-    fields (PRJ-5); a back point's text ends before them."""
-    li = t.lineitem
-    runs = accepted.select(F.col("o_orderkey").alias("l_orderkey"), "device", "flat", "two_sided")
-    pts = li.join(runs, "l_orderkey").withColumn("__front", point_side(F.col("two_sided"), F.col("l_linestatus") == "O") == C.SIDE_FRONT)
-    kept = keep_last(
-        pts,
-        ["l_orderkey", "l_linenumber"],
-        ["l_shipdate", "l_partkey", "l_suppkey"],
-        ["l_returnflag", "l_linestatus", "l_quantity", "l_discount", "__front", "flat", "device"],
-    )
-    gx, gy = rotate_grid(
-        F.round("l_quantity").cast("int"), F.round(F.col("l_discount") * 100.0).cast("int"), F.coalesce("flat", F.lit(0))
-    )
-    text = F.concat_ws(
-        " ",
-        *[F.col(c).cast("string") for c in ("l_linenumber", "l_partkey", "l_suppkey")],
-        F.concat("l_returnflag", "l_linestatus"),
-        *[F.when(F.col("__front"), g.cast("string")) for g in (gx, gy)],
-    )
-    return kept.select(
-        F.col("l_orderkey").cast("string").alias("rowkey"),
-        F.concat(F.lit(C.Q_POINT), F.col("l_linenumber").cast("string")).alias("qualifier"),
-        render_point(text, [*POINT_HEADER, *C.GRID_FIELDS]).alias("value"),
-        "device",
+    fields (PRJ-5)."""
+    runs = accepted.select("o_orderkey", "device", "flat", "two_sided")
+    pts = parsed.last_points().join(runs, "o_orderkey")
+    front = point_side(F.col("two_sided"), model.flag_is_back(F.col("flag"))) == C.SIDE_FRONT
+    gx, gy = rotate_grid(F.round("x").cast("int"), F.round("y").cast("int"), F.coalesce("flat", F.lit(0)))
+    grid = [F.when(front, F.concat(F.lit(f"{name}:"), g.cast("string"))) for name, g in zip(C.GRID_FIELDS, (gx, gy), strict=True)]
+    return pts.select(
+        F.col("o_orderkey").cast("string").alias("rowkey"), F.col("name").alias("qualifier"), F.concat_ws(",", "value", *grid).alias("value"), "device"
     )
 
 
-def summary_rows(t: Tables, analysed: DataFrame) -> DataFrame:
+def summary_rows(parsed: ParsedFiles, analysed: DataFrame) -> DataFrame:
     """Front writer (all entries of the front pass) and back writer (back
     entries only) for the analysed runs; one-sided runs vote everything on the
     front and keep a zero back count. A run without points is still written
     (count 0 on both sides): it joins as one point-less row that only registers.
     One pass: the side is part of the vote key."""
     runs = analysed.select(F.col("o_orderkey").alias("run_id"), "two_sided", "device")
-    p = runs.join(model.points(t), "run_id", "left")
+    p = runs.join(parsed.points(), "run_id", "left")
     side = point_side(F.col("two_sided"), F.col("is_back"))
     both = (C.SIDE_FRONT, C.SIDE_BACK)
     entries = summarize_runs(p, "run_id", "x", "y", side, both, voting=F.col("x").isNotNull())
@@ -186,18 +169,18 @@ def detection_lists(t: Tables, summary: DataFrame) -> DataFrame:
     dimensions match the line (JON-5, side rule FLT-11) and that handled the
     run's unit at or before the run's own time (JON-4/JON-7), latest first, with
     their last times and areas (AGG-5). Lines come back from the written summary
-    table; a line without such tools keeps empty lists."""
-    det = line_rows(summary)
-    # history first: the tools that a line's run had up to its own time, then the tests
+    table; a line without such tools keeps empty lists. Pairs of a run and a tool exist
+    only where the tool's arm fits one of the run's lines."""
     runs = t.orders.select(F.col("o_orderkey").cast("string").alias("rowkey"), "o_custkey", "o_orderdate")
+    det = line_rows(summary).join(runs, "rowkey")
     hist = model.history(t)
-    tools = hist.select("o_custkey", "l_suppkey").distinct()
-    asked = runs.join(det.select("rowkey").distinct(), "rowkey", "left_semi").join(tools, "o_custkey")
-    held = asof_join(asked, hist, ["o_custkey", "l_suppkey"], "o_orderdate", "l_shipdate").where(F.col("n_asof") > 0)
-    held = held.select("rowkey", F.col("l_suppkey").alias("s_suppkey"), "last_ts")
-    arms = model.arms(t).withColumnRenamed("side", "arm_side")
+    # a line meets only the arms of its unit's tools that lie within its band; these pairs are then dated
+    arms = model.arms(t).withColumnsRenamed({"side": "arm_side", "s_suppkey": "l_suppkey"})
+    own = hist.select("o_custkey", "l_suppkey").distinct().join(arms, "l_suppkey")
     other = F.when(F.col("side") == C.SIDE_FRONT, F.lit(C.ARM_SIDE_BACK)).otherwise(F.lit(C.ARM_SIDE_FRONT))
-    held = attribute(det, arms, held, ["rowkey"], "s_suppkey").where(F.col("arm_side").isNull() | (F.col("arm_side") != other))
+    fits = band_match(det, own, keys=("o_custkey",)).where(F.col("arm_side").isNull() | (F.col("arm_side") != other))
+    fits = fits.select("rowkey", "o_custkey", "o_orderdate", "side", "k", "l_suppkey", "tool", "area")
+    held = asof_join(fits, hist, ["o_custkey", "l_suppkey"], "o_orderdate", "l_shipdate").where(F.col("n_asof") > 0)
     lst = F.sort_array(F.collect_list(F.struct("last_ts", "tool", "area")), asc=False)
     per_line = held.groupBy("rowkey", "side", "k").agg(lst.alias("__l"))
 
@@ -229,13 +212,26 @@ def list_rows(lists: DataFrame, devices: DataFrame) -> DataFrame:
 class JobResult(dict):
     """Output paths by table name, plus ``metrics``: counts observed while the tables
     were written (no extra pass over the data): runs, accepted and analysed runs, and
-    the rows of every table as ``<table>_rows``."""
+    the rows of every table as ``<table>_rows``; and ``stages``, the path of the table of stage times."""
 
     metrics: dict
+    stages: str
 
 
 INPUTS = ["orders", "customer", "lineitem", "supplier", "nation"]
 
+#: What names a row of each table, for puts into tables of an earlier run.
+ROW_KEYS = {
+    "run_status": ["o_orderkey"],
+    "image_info": ["rowkey", "qualifier"],
+    "point_info": ["rowkey", "qualifier"],
+    "image_summary": ["rowkey", "qualifier"],
+    "y": ["rowkey", "qualifier"],
+    "consolidated": ["rowkey", "side", "k"],
+    "pattern": ["c_custkey"],
+}
+STAGES = "launch string, stage string, started timestamp, seconds double, n_rows long"
+
 
 def run_job(
     spark: SparkSession,
@@ -244,31 +240,62 @@ def run_job(
     all_together: bool = False,
     maxpoint: int = C.MAXPOINT,
     retain_days: int | None = None,
+    put: bool = False,
 ) -> JobResult:
-    """Write every sink. Shared intermediates are not recomputed per output:
+    """Write every sink. File texts are parsed once into a stored table that gates, header rows,
+    points and detection read. Shared intermediates are not recomputed per output:
     each table is written once and later stages read the written table back,
     which also cuts the lineage (a lost executor costs a re-read, not a
     recomputation from the raw tables). With ``retain_days`` only runs no older than
     that before the newest run are accepted (SNK-8). A missing input table ends the
-    job before any work (SRC-9)."""
+    job before any work (SRC-9).
+
+    With ``put`` the rows are put into the tables that earlier launches wrote to ``out_dir``
+    (SNK-6, SNK-7): a cell written again replaces the old one, only the touched devices'
+    partitions are written again, and all else stays. Without it the tables are replaced.
+    A later stage then reads this launch's own rows from the scratch folder, not the whole table.
+
+    CTL-3: the time and the rows of every stage are appended to ``stage_metrics``."""
     require_inputs(spark, sf_dir, INPUTS)
     t = Tables(spark, sf_dir)
     by = None if all_together else "device"
     result = JobResult()
     result.metrics = {}
+    root = out_dir.rstrip("/")
+    times: list[tuple] = []
+    launch = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S.%f")
+    own = scratch_path(spark, "job")
+
+    def timed(stage: str, work, n_rows=lambda: None):
+        started, clock = datetime.now(timezone.utc), time.monotonic()
+        out = work()
+        times.append((launch, stage, started, time.monotonic() - clock, n_rows()))
+        return out
 
     def write(name: str, df: DataFrame, *counts: F.Column) -> DataFrame:
-        path = f"{out_dir.rstrip('/')}/{name}"
+        path = f"{root}/{name}"
         seen = Observation(name)
-        write_partitioned(df.observe(seen, F.count(F.lit(1)).alias(f"{name}_rows"), *counts), path, by, mode="overwrite")
+        rows = df.observe(seen, F.count(F.lit(1)).alias(f"{name}_rows"), *counts)
+
+        def work() -> DataFrame:
+            if not put:
+                write_partitioned(rows, path, by, mode="overwrite")
+                return spark.read.schema(df.schema).parquet(path)
+            write_partitioned(rows, f"{own}/{name}", by)
+            mine = spark.read.schema(df.schema).parquet(f"{own}/{name}")
+            upsert(mine, path, ROW_KEYS[name], by)
+            return mine
+
+        back = timed(name, work, lambda: seen.get[f"{name}_rows"])
         result[name] = path
         result.metrics |= seen.get
-        return spark.read.schema(df.schema).parquet(path)
+        return back
 
+    parsed = timed("parse", lambda: ParsedFiles(spark, t, f"{own}/parsed"))
     clean = F.col("reason").isNull()
     status = write(
         "run_status",
-        run_status(spark, t, maxpoint),
+        run_status(spark, t, parsed, maxpoint),
         F.count(F.lit(1)).alias("runs"),
         F.count(F.when(clean, F.lit(1))).alias("accepted"),
         F.count(F.when(clean & F.col("flag"), F.lit(1))).alias("analysed"),
@@ -278,16 +305,19 @@ def run_job(
         young = retention_filter(t.orders.select("o_orderkey", "o_orderdate"), "o_orderdate", retain_days)
         accepted = accepted.join(young.select("o_orderkey"), "o_orderkey", "left_semi")
     analysed = accepted.where(F.col("flag"))
-    header = write("image_info", header_rows(t, accepted))
-    write("point_info", point_rows(t, accepted))
-    summary = write("image_summary", summary_rows(t, analysed))
+    header = write("image_info", header_rows(parsed, accepted))
+    write("point_info", point_rows(parsed, accepted))
+    summary = write("image_summary", summary_rows(parsed, analysed))
     devices = analysed.select(F.col("o_orderkey").cast("string").alias("rowkey"), "device")
     lists = list_rows(detection_lists(t, summary), devices)
     write("y", pattern_table(summary, header, analysed).unionByName(lists))
     write("consolidated", consolidated(t, summary, devices))
     # pattern rows of the units with an analysed run, as of the latest of these
-    analysed_runs = t.orders.join(analysed.select("o_orderkey"), "o_orderkey", "left_semi")
+    analysed_runs = t.orders.join(analysed.select("o_orderkey", "device"), "o_orderkey")
     write("pattern", pattern_rows(t, model.latest_runs(analysed_runs), "inner"))
+    result.stages = f"{root}/stage_metrics"
+    spark.createDataFrame(times, STAGES).coalesce(1).write.mode("append").parquet(result.stages)  # a row a stage
+    folders.delete(spark, own)
     return result
 
 
@@ -297,15 +327,17 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True, help="output directory (shared storage on a cluster)")
     ap.add_argument("--maxpoint", type=int, default=C.MAXPOINT, help="most points of an accepted run")
     ap.add_argument("--retain-days", type=int, help="accept only runs this young, counted from the newest")
+    ap.add_argument("--put", action="store_true", help="put into the tables of earlier launches instead of replacing them")
     ap.add_argument("--all-together", action="store_true", help="one shared table instead of one per device")
     args = ap.parse_args(argv)
     from notchline.session import build_session
 
     spark = build_session(app="notchline-job")  # the launcher's settings win
-    result = run_job(spark, args.sf, args.out, args.all_together, args.maxpoint, args.retain_days)
+    result = run_job(spark, args.sf, args.out, args.all_together, args.maxpoint, args.retain_days, args.put)
     for name, path in result.items():
         print(name, path)
     print("metrics", result.metrics)
+    print("stages", result.stages)
 
 
 if __name__ == "__main__":

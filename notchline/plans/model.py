@@ -72,12 +72,15 @@ def history(t: Tables) -> DataFrame:
 
 
 def latest_runs(runs: DataFrame) -> DataFrame:
-    """(unit, run time, station) of each unit's latest run; ``runs`` are order rows."""
-    last = F.max(F.struct("o_orderdate", "o_orderkey", "o_orderpriority")).alias("last")
+    """(unit, run time, station) of each unit's latest run; ``runs`` are order rows. A column
+    ``device`` of theirs comes along."""
+    more = ["device"] if "device" in runs.columns else []
+    last = F.max(F.struct("o_orderdate", "o_orderkey", "o_orderpriority", *more)).alias("last")
     return runs.groupBy("o_custkey").agg(last).select(
         "o_custkey",
         F.col("last.o_orderdate").alias("run_ts"),
         F.col("last.o_orderpriority").alias("station"),
+        *[F.col(f"last.{c}").alias(c) for c in more],
     )
 
 
@@ -157,15 +160,39 @@ def device_lines(t: Tables) -> DataFrame:
     )
 
 
+POINT_COLUMNS = ("ID", "PART", "SUPP", "FLAG", "X", "Y")
+
+
+def point_texts(t: Tables) -> DataFrame:
+    """``(l_orderkey, n, points)``: every run's point list as the lines of its file, in the order of
+    (time, part, supplier, id). Coordinates are in thousandths for runs of the newer dialect, in
+    units for the others. One value a run, as a file's text is: bounded by the file."""
+    scale = F.when(F.col("l_orderkey") % 2 == 0, F.lit(C.SCALE_NEW)).otherwise(F.lit(C.SCALE_OLD))
+
+    def number(v: Column) -> Column:
+        return _s((v.cast("decimal(20,6)") / scale).cast("decimal(20,6)"))
+
+    line = F.concat_ws(
+        " ",
+        _s("l_linenumber"), _s("l_partkey"), _s("l_suppkey"), F.concat("l_returnflag", "l_linestatus"),
+        number(F.col("l_quantity")), number(F.col("l_discount") * 100.0),
+    )
+    entry = F.struct("l_shipdate", "l_partkey", "l_suppkey", "l_linenumber", line.alias("line"))
+    per_run = t.lineitem.select("l_orderkey", entry.alias("e")).groupBy("l_orderkey").agg(F.sort_array(F.collect_list("e")).alias("l"))
+    return per_run.select("l_orderkey", F.size("l").alias("n"), F.array_join(F.col("l.line"), "\n").alias("points"))
+
+
 def file_texts(t: Tables) -> DataFrame:
-    """The header text of every run's file, ``(o_orderkey, o_orderpriority, text)``: dialect by key parity, the
+    """Every run's file, ``(o_orderkey, text)``: dialect by key parity, the
     device (nation name; none for the BUILDING segment, a name the device reference
     lacks for every fifth nation), a 12-character image id (shorter for keys under
-    100), maker / type / station on one line, and the fields that the first gates test."""
-    o = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority")
+    100), maker / type / station on one line, the fields that the first gates test, the
+    run's time; then a list of one count and the list of the run's points."""
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate")
     c = t.customer.select("c_custkey", "c_mktsegment", "c_nationkey")
     n = t.nation.select("n_nationkey", "n_name")
     r = o.join(c, o.o_custkey == c.c_custkey, "left").join(n, F.col("c_nationkey") == n.n_nationkey, "left")
+    r = r.join(point_texts(t), F.col("o_orderkey") == F.col("l_orderkey"), "left")
     key, pr = F.col("o_orderkey"), F.col("o_orderpriority")
 
     def line(name: str, *values: Column, when: Column | None = None) -> Column:
@@ -176,7 +203,6 @@ def file_texts(t: Tables) -> DataFrame:
     device = F.when(F.col("c_nationkey") % 5 == 4, F.concat(F.lit("UNLISTED-"), _s("c_nationkey"))).otherwise(F.col("n_name"))
     return r.select(
         "o_orderkey",
-        "o_orderpriority",
         F.concat_ws(
             "\n",
             F.when(key % 2 == 0, F.lit(C.DIALECT_MARKER)).otherwise(F.lit("FileVersion 1 7;")),
@@ -185,10 +211,26 @@ def file_texts(t: Tables) -> DataFrame:
             line(C.STATION_FIELD, F.lit("MAKER"), F.when(pr == "4-NOT SPECIFIED", F.lit(C.EXCLUDED_TYPE)).otherwise(F.lit("SCAN")), pr),
             line("DiePitchX", F.when(key % 97 == 0, F.lit(C.EXCLUDED_PITCH)).otherwise(F.lit("1000"))),
             line("domainarge", F.lit(C.PLACEHOLDER_VALUE), when=pr == "5-LOW"),
+            line("ConvertedTimestamp", F.date_format("o_orderdate", "yyyyMMdd")),
+            F.lit("List SummaryList 2 { KIND COUNT }"),
+            F.concat(F.lit("points "), _s(F.coalesce("n", F.lit(0)))),
+            F.lit(C.END_OF_LIST),
+            F.lit(f"List {C.POINT_LIST} {len(POINT_COLUMNS)} {{ {' '.join(POINT_COLUMNS)} }}"),
+            F.col("points"),
+            F.lit(C.END_OF_LIST),
         ).alias("text"),
     )
 
 
+def flag_class(flag: Column) -> Column:
+    """Class number of a point's flag text: R -1, A 1, else 0."""
+    return F.when(flag.startswith("R"), F.lit(-1)).when(flag.startswith("A"), F.lit(1)).otherwise(F.lit(0))
+
+
+def flag_is_back(flag: Column) -> Column:
+    return F.coalesce(flag.endswith("O"), F.lit(False))
+
+
 def history_index(t: Tables) -> DataFrame:
     """History index rows: key ``<c_name>_<yyyymmdd>_<orderkey>``, value = the
     history rowkey ``<yyyymmdd>_<orderkey>``."""

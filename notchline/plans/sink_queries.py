@@ -17,8 +17,10 @@ from notchline.operators.sinks import (
     batch_counts,
     keep_last,
     last_put,
+    retained,
     retention_filter,
     unpivot_long,
+    upsert,
     write_partitioned,
 )
 from notchline.sources.tables import Tables
@@ -143,11 +145,13 @@ def pattern_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pattern_rows(t: Tables, runs: DataFrame, how: str) -> DataFrame:
-    """Pattern rows of the units that have a run in ``runs`` (``how`` 'inner'), or of all units."""
+    """Pattern rows of the units that have a run in ``runs`` (``how`` 'inner'), or of all units. The
+    device is that of the run where ``runs`` has one, else the unit's."""
     lst = F.sort_array(F.collect_list(F.struct("last_ts", "tool", "area")), asc=False)  # bounded by the arms within the band
     agg = attribution(t, runs).groupBy("c_custkey").agg(F.count(F.lit(1)).alias("n"), lst.alias("__l"))
-    units = t.customer.select("c_custkey", F.col("c_mktsegment").alias("device"))
-    units = units.join(runs.select(F.col("o_custkey").alias("c_custkey"), "station"), "c_custkey", how)
+    of_run = ["device"] if "device" in runs.columns else []
+    units = t.customer.select("c_custkey", *[F.col("c_mktsegment").alias("device")] * (not of_run))
+    units = units.join(runs.select(F.col("o_custkey").alias("c_custkey"), "station", *of_run), "c_custkey", how)
     j = units.join(agg, "c_custkey", "left")
 
     def joined(f):
@@ -217,3 +221,41 @@ def retention_filter_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey", "o_orderdate")
     kept = retention_filter(o, "o_orderdate", C.RETAIN_DAYS)
     return kept.select("o_orderkey", "o_custkey", yyyymmdd(F.col("o_orderdate")).alias("order_time"))
+
+
+_CELL = "SELECT user_id, event_type, value, ts, event_id, CASE WHEN event_id % 3 = 0 AND event_type <> 'view' THEN 2 ELSE 1 END AS run FROM events"
+
+
+@query(
+    "upsert_runs",
+    oracle=f"""SELECT user_id, event_type, value, event_id, run FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY run DESC, ts DESC, event_id DESC) AS rn FROM ({_CELL}))
+WHERE rn = 1""",
+)
+def upsert_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-6, SNK-7 across runs: cells (entity, kind) put into a table partitioned by kind, by two
+    runs; the second run's cell wins over the first's, inside a run the latest. Kind ``view`` is not touched by the
+    second run, so its partition is neither read nor written again."""
+    e = Tables(spark, sf_dir).events.select("user_id", "event_type", "value", "ts", "event_id")
+    second = (F.col("event_id") % 3 == 0) & (F.col("event_type") != "view")
+    path = scratch_path(spark, "upsert")
+    for run, rows in ((1, e.where(~second)), (2, e.where(second))):
+        upsert(rows.withColumn("run", F.lit(run)), path, ["user_id"], "event_type", ["ts", "event_id"])
+    schema = e.withColumn("run", F.lit(0)).schema
+    return spark.read.schema(schema).parquet(path).select("user_id", "event_type", "value", "event_id", "run")
+
+
+@query(
+    "retention_partitions",
+    oracle=f"""SELECT o_orderkey, o_custkey, strftime(o_orderdate, '%Y%m%d') AS order_time FROM orders
+WHERE o_orderdate >= (SELECT max(o_orderdate) FROM orders) - INTERVAL {C.RETAIN_DAYS} DAY""",
+)
+def retention_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK-8 as a partition drop: runs written by month; months past the retention go as
+    directories, and the rest is read with a partition filter."""
+    o = Tables(spark, sf_dir).orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    rows = o.withColumn("month", F.trunc("o_orderdate", "month"))
+    path = scratch_path(spark, "by_month")
+    write_partitioned(rows, path, "month")
+    kept = retained(spark, path, rows.schema, "month", "o_orderdate", C.RETAIN_DAYS)
+    return kept.select("o_orderkey", "o_custkey", yyyymmdd(F.col("o_orderdate")).alias("order_time"))
