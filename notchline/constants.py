@@ -110,7 +110,6 @@ RETAIN_DAYS = RETENTION_SECONDS // 86400
 BATCH = 100  # the reference's 1000 would leave one batch on the test tables
 ANGLE_MATCH_TOL = 0.01
 CONSOLIDATE_VALUE_TOL = 2.0
-PROFILE_COUNT = 5  # parameter sets 0..4; profile i uses OFF = 10 * (i + 1)
 
 # Hough voting for line detection: theta bins of 10 degrees over [0, 180),
 # r bins of width 5, at least 3 votes.
@@ -121,3 +120,6 @@ MIN_VOTES = 3
 # Density grid cells (x, y).
 GRID_X = 10.0
 GRID_Y = 2.0
+# and of the finest picture, at several resolutions.
+FINE_X = 2.0
+FINE_Y = 0.5

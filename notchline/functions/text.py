@@ -88,37 +88,35 @@ def yyyymmdd(ts: Column) -> Column:
 
 
 # A header line: Field <name> <count> {"v1", "v2", ...}
-_FIELD_LINE = r'Field\s+(\w+)\s+\d+\s+\{([^}]*)\}'
+_FIELD_LINE = r'(?m)^[ \t]*Field[ \t]+(\w+)[ \t]+\d+[ \t]+\{([^}]*)\}'
 _QUOTED = r'"([^"]*)"'
-
-
-def header_fields(text: Column) -> Column:
-    """SCL-17: every ``Field <name> <n> {"..", ..}`` line of a file as
-    ``array<struct<name, values: array<string>>>``."""
-    names = F.regexp_extract_all(text, F.lit(_FIELD_LINE), 1)
-    bodies = F.regexp_extract_all(text, F.lit(_FIELD_LINE), 2)
-    return F.arrays_zip(
-        names.alias("name"),
-        F.transform(bodies, lambda b: F.regexp_extract_all(b, F.lit(_QUOTED), 1)).alias("values"),
-    )
+# A list from its opening line to its end, to the next list or to the end of the text.
+_LIST = rf"(?ms)^List\s.*?(?:^{C.END_OF_LIST}[ \t]*\r?$|(?=^List\s)|\z)"
 
 
 def with_header(df: DataFrame, text: str, out: str = "header", pick: int = -1) -> DataFrame:
-    """``df`` with the header of ``text`` as ``map<string,string>`` column ``out``: field
-    name -> one of its values (``pick``: 1-based position, negative from the end). A
+    """SCL-17: ``df`` with the header of ``text`` as ``map<string,string>`` column ``out``: the
+    ``Field <name> <n> {"..", ..}`` lines outside lists, name -> one of its values (``pick``: 1-based
+    position, negative from the end; lines without any value are left out). A
     repeated name keeps its last line (map put semantics). The station field's second
-    value of three is the equipment type, which the map holds as ``domainType``.
+    value of three is the equipment type, which the map holds as ``domainType``. A null text has a null map.
 
-    The text is parsed once into a column; entries are sorted by name and line, and the last
-    of each name is kept, so the cost is that of the sort, not of comparing all lines."""
-    parsed = df.withColumn("__fields", header_fields(F.col(text)))
-    value = lambda e, i: F.struct(
-        e["name"].alias("name"), i.alias("line"), F.try_element_at(e["values"], F.lit(pick)).alias("value")
+    Names and values are two passes over the text outside lists; a name's last line is the
+    first of the lines in reverse."""
+    fields = df.withColumn("__header", F.regexp_replace(text, _LIST, ""))
+    lines = fields.withColumn("__names", F.reverse(F.regexp_extract_all("__header", F.lit(_FIELD_LINE), F.lit(1)))).withColumn(
+        "__values", F.transform(F.reverse(F.regexp_extract_all("__header", F.lit(_FIELD_LINE), F.lit(2))), lambda b: F.regexp_extract_all(b, F.lit(_QUOTED), F.lit(1)))
     )
-    station = F.filter("__fields", lambda e: (e["name"] == C.STATION_FIELD) & (F.size(e["values"]) == 3))
-    kind = F.transform(station, lambda e, i: F.struct(F.lit(C.TYPE_FIELD).alias("name"), i.alias("line"), F.get(e["values"], 1).alias("value")))
-    filled = F.filter("__fields", lambda e: F.size(e["values"]) > 0)
-    parsed = parsed.withColumn("__sorted", F.sort_array(F.concat(F.transform(filled, value), kind)))
-    last = F.filter("__sorted", lambda e, i: ~F.coalesce(F.get("__sorted", i + 1)["name"] == e["name"], F.lit(False)))
-    entries = F.transform(last, lambda e: F.struct(e["name"], e["value"]))
-    return parsed.withColumn(out, F.map_from_entries(entries)).drop("__fields", "__sorted")
+
+    def extended(name: Column, values: Column) -> Column:
+        """The line's entry, and that of the type."""
+        own = F.struct(name.alias("name"), F.try_element_at(values, F.lit(pick)).alias("value"))
+        kind = F.struct(F.lit(C.TYPE_FIELD).alias("name"), F.get(values, F.lit(1)).alias("value"))
+        none = F.array().cast("array<struct<name:string,value:string>>")
+        station = (name == C.STATION_FIELD) & (F.size(values) == 3)
+        return F.when(F.size(values) == 0, none).when(station, F.array(kind, own)).otherwise(F.array(own))
+
+    entries = lines.withColumn("__entries", F.flatten(F.zip_with("__names", "__values", extended)))
+    named = entries.withColumn("__all", F.col("__entries.name")).withColumn("__once", F.array_distinct("__all"))
+    last = F.transform("__once", lambda n: F.get(F.col("__entries"), F.array_position("__all", n).cast("int") - 1)["value"])
+    return named.withColumn(out, F.map_from_arrays("__once", last)).drop("__header", "__names", "__values", "__entries", "__all", "__once")

@@ -8,8 +8,8 @@ opens, and the pieces are exploded to lines: each line comes out beside the
 header of its own piece -- the last block header before it -- so no line waits for
 another, nothing is shuffled, and a text is read once.
 
-Every line keeps its place ``(block, pos)``, so "a later line wins" is a
-combining aggregate afterwards (``keep_last``).
+The header stays one value a file, a map; lines of lists keep their place ``(block, pos)``, so "a
+later line wins" is a combining aggregate afterwards (``keep_last``).
 """
 
 from __future__ import annotations
@@ -18,14 +18,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notchline import constants as C
-from notchline.functions.text import dialect, dialect_scale, first_lines_text, java_trim, render_named
+from notchline.functions.text import dialect, dialect_scale, first_lines_text, java_trim, render_named, with_header
 
-_FIELD = r"^\s*Field\s+(\w+)\s+\d+\s+\{([^}]*)\}"
 _OPEN = r"^List\s+(\w+)"
 _NAMES = r"\{([^}]*)\}"
-_QUOTED = r'"([^"]*)"'
 
-KIND_FILE, KIND_FIELD, KIND_POINT = "file", "field", "point"
+KIND_FILE, KIND_POINT = "file", "point"
 
 
 def block_lines(files: DataFrame, text: str) -> DataFrame:
@@ -65,65 +63,53 @@ def line_cap(version: Column) -> Column:
 def parse_files(files: DataFrame, key: str, text: str, points: str = C.POINT_LIST) -> DataFrame:
     """SCL-17, FLT-6, SNK-3: the rows of every file's text, each text read once.
 
-    Output ``(key, version, kind, block, pos, name, value, x, y, flag)``:
+    Output ``(key, version, kind, header, block, pos, name, value, x, y, flag)``:
 
-    * kind ``file``: one row a file (also for a null or empty text), with its dialect;
-    * kind ``field``: a header field and its last value; the station line's second value of
-      three comes as a field of its own, the equipment type;
+    * kind ``file``: one row a file (also for a null or empty text), with its dialect and its
+      header map;
     * kind ``point``: a line of the list ``points``, split into as many fields as the list
       has columns (the last takes the rest): ``name`` is ``point<first field>``, ``value`` its ``column:field`` pairs,
       ``x`` and ``y`` the numbers under ``X`` and ``Y`` times the dialect's scale (null where
       they are no numbers) and ``flag`` the text under ``FLAG``.
 
-    Lines past the dialect's cap are not read. Repeated names and point ids are all there, in order."""
+    Lines past the dialect's cap are not read. Repeated point ids are all there, in order."""
     version = dialect(F.col(text))
     # the marker line opens the cut text, so that every file has a row of its own
     capped = F.concat(F.lit(C.FILE_MARK + "\n"), F.coalesce(first_lines_text(F.col(text), line_cap(version)), F.lit("")))
-    lines = block_lines(files.select(F.col(key), version.alias("version"), capped.alias("__text")), "__text")
+    cut = with_header(files.select(F.col(key), version.alias("version"), capped.alias("__text")), "__text")
+    lines = block_lines(cut, "__text")
     is_file = (F.col("block") == 0) & (F.col("pos") == 0)
-    is_point = F.col("list") == points
-    parsed = lines.select(
+    is_point = (F.col("list") == points) & (java_trim(F.col("line")) != "")
+    parsed = lines.where(is_file | is_point).select(
         key, "version", "block", "pos", "names",
-        F.when(is_file, F.lit(KIND_FILE)).when(F.col("list").isNull(), F.lit(KIND_FIELD)).when(is_point & (java_trim(F.col("line")) != ""), F.lit(KIND_POINT)).alias("kind"),
-        F.when(F.col("list").isNull(), F.regexp_extract("line", _FIELD, 1)).alias("__name"),
-        F.when(F.col("list").isNull(), F.regexp_extract_all(F.regexp_extract("line", _FIELD, 2), F.lit(_QUOTED), F.lit(1))).alias("__values"),
+        F.when(is_file, F.lit(KIND_FILE)).otherwise(F.lit(KIND_POINT)).alias("kind"),
+        F.when(is_file, F.col("header")).alias("header"),
         F.when(is_point, F.split(java_trim(F.col("line")), r"\s+", F.size("names"))).alias("__fields"),
-    ).where((F.col("kind") != KIND_FIELD) | ((F.col("__name") != "") & (F.size("__values") > 0)))
-    values, fields, names = F.col("__values"), F.col("__fields"), F.col("names")
-    no_text, no_number = F.lit(None).cast("string"), F.lit(None).cast("double")
+    )
+    fields, names = F.col("__fields"), F.col("names")
     scale = dialect_scale(F.col("version"))
 
     def number(name: str) -> Column:
-        return (column_of(names, fields, name).try_cast("decimal(24,9)") * scale).cast("double")
-
-    def row(name: Column, value: Column, x: Column, y: Column, flag: Column) -> Column:
-        return F.struct(name.alias("name"), value.alias("value"), x.alias("x"), y.alias("y"), flag.alias("flag"))
-
-    point = row(F.concat(F.lit(C.Q_POINT), F.get(fields, F.lit(0))), render_named(names, fields), number("X"), number("Y"), column_of(names, fields, "FLAG"))
-    field = row(F.col("__name"), F.try_element_at(values, F.lit(-1)), no_number, no_number, no_text)
-    kind_of_station = row(F.lit(C.TYPE_FIELD), F.get(values, F.lit(1)), no_number, no_number, no_text)
-    is_field = F.col("kind") == KIND_FIELD
-    station = is_field & (F.col("__name") == C.STATION_FIELD) & (F.size(values) == 3)
-    rows = F.when(station, F.array(field, kind_of_station)).when(is_field, F.array(field)).when(F.col("kind") == KIND_POINT, F.array(point)).otherwise(F.array(row(no_text, no_text, no_number, no_number, no_text)))
-    return parsed.select(key, "version", "kind", "block", "pos", F.inline(rows))
-
-
-def run_facts(parsed: DataFrame, key: str, fields: tuple[str, ...], cls: Column, back: Column) -> DataFrame:
-    """One row a file from its parsed rows, by one combining aggregate: ``version``, the last value of each of
-    the header ``fields`` (columns of these names), the number of points ``n_all`` and
-    ``n_back``, and the sums of ``cls`` over all and over front points (``j_all``, ``j_front``)."""
-    place = F.struct("block", "pos")
-    point = F.col("kind") == KIND_POINT
-
-    def last(name: str) -> Column:
-        mine = (F.col("kind") == KIND_FIELD) & (F.col("name") == name)
-        return F.max_by(F.when(mine, F.col("value")), F.when(mine, place)).alias(name)
-
-    return parsed.groupBy(key).agg(
-        F.max("version").alias("version"),
-        *[last(f) for f in fields],
-        F.count(F.when(point, F.lit(1))).alias("n_all"),
-        F.count(F.when(point & back, F.lit(1))).alias("n_back"),
-        F.coalesce(F.sum(F.when(point, cls)), F.lit(0)).cast("bigint").alias("j_all"),
-        F.coalesce(F.sum(F.when(point & ~back, cls)), F.lit(0)).cast("bigint").alias("j_front"),
+        # in whole millionths, so that 0.017 thousands are 17 and not a digit off
+        return F.floor(column_of(names, fields, name).try_cast("double") * scale * 1e6 + 0.5) / 1e6
+
+    return parsed.select(
+        key, "version", "kind", "header", "block", "pos",
+        F.concat(F.lit(C.Q_POINT), F.get(fields, F.lit(0))).alias("name"), render_named(names, fields).alias("value"),
+        number("X").alias("x"), number("Y").alias("y"), column_of(names, fields, "FLAG").alias("flag"),
+    )
+
+
+def run_facts(parsed: DataFrame, key: str, cls: Column, back: Column) -> DataFrame:
+    """One row a file from its parsed rows: ``version``, ``header``, the number of points ``n_all`` and
+    ``n_back``, and the sums of ``cls`` over all and over front points (``j_all``, ``j_front``). Points are counted by
+    a combining aggregate of numbers before they meet the files."""
+    stats = parsed.where(F.col("kind") == KIND_POINT).groupBy(key).agg(
+        F.count(F.lit(1)).alias("n_all"),
+        F.count(F.when(back, F.lit(1))).alias("n_back"),
+        F.sum(cls).cast("bigint").alias("j_all"),
+        F.sum(F.when(~back, cls)).cast("bigint").alias("j_front"),
     )
+    files = parsed.where(F.col("kind") == KIND_FILE).select(key, "version", "header")
+    counts = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n_all", "n_back", "j_all", "j_front")]
+    return files.join(stats, key, "left").select(key, "version", "header", *counts)

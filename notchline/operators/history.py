@@ -3,9 +3,13 @@
 The reference walks a unit's whole history for each run and keeps the rows at or
 before the run's time. A self-join per unit would build every pair of a unit's
 rows (quadratic for a busy unit), and one running window per unit would put a
-busy unit's whole history in one task. Instead the timeline of each key is cut
-into nested buckets (for timestamps: the day, then the exact time) and every
-prefix value of a time is assembled from
+busy unit's whole history in one task. Instead the timelines are dealt by ranges
+of (key, time) and run range by range (``prefix.running``): a key, or a single day of a
+key, may hold any share of the rows.
+
+Where a key's buckets are known to be small, ``levels`` names them and no table is
+written: the timeline of each key is cut into nested buckets (for timestamps: the day, then
+the exact time) and every prefix value of a time is assembled from
 
 * the totals of the earlier days of its key (a window over one key's days), and
 * the running value inside its day (a window over one key-day's distinct times),
@@ -22,7 +26,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from notchline.operators.prefix import MAX, SUM, running
 
 Level = Callable[[Column], Column]
 
@@ -41,15 +46,6 @@ def by_prefix(ts: Column) -> Column:
     return F.substring(ts, 1, 8)
 
 
-def _levels_for(df: DataFrame, ts: str, levels: Sequence[Level] | None) -> Sequence[Level]:
-    if levels is not None:
-        return levels
-    dt = df.schema[ts].dataType
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return (by_day,)
-    return (by_prefix,) if isinstance(dt, T.StringType) else ()
-
-
 def _prefix(timeline: DataFrame, key: str, t: str, levels: Sequence[Level]) -> DataFrame:
     """``timeline(key, t, __n, __h)`` (one row per key and time; ``__h`` a history
     time or null) -> ``(key, t, n_asof, last_ts, prev_ts)``: the sum of ``__n`` at
@@ -99,9 +95,11 @@ def _prefix(timeline: DataFrame, key: str, t: str, levels: Sequence[Level]) -> D
 def asof_counts(history: DataFrame, key: str, ts: str, levels: Sequence[Level] | None = None) -> DataFrame:
     """Per (key, ts) present in ``history``: ``n_asof`` = rows of the key with time
     <= ts (ties included) and ``prev_ts`` = the latest time strictly before ts."""
-    lv = _levels_for(history, ts, levels)
     per_time = history.groupBy(key, ts).agg(F.count(F.lit(1)).alias("__n"), F.max(ts).alias("__h"))
-    return _prefix(per_time, key, ts, lv).select(key, ts, "n_asof", "prev_ts")
+    if levels is not None:
+        return _prefix(per_time, key, ts, levels).select(key, ts, "n_asof", "prev_ts")
+    done = running(per_time, [key], [ts], {"n_asof": (SUM, "__n", True), "prev_ts": (MAX, "__h", False)})
+    return done.select(key, ts, "n_asof", "prev_ts")
 
 
 def asof_join(
@@ -118,26 +116,41 @@ def asof_join(
     in both inputs. A run whose key or time is null keeps its row, with 0 and null.
 
     History is first reduced to one row per key and time; run rows join the timeline with
-    weight 0 and carry their columns, so a RANGE frame (ties included) gives each run its
-    value inside its bucket and nothing is joined back to the runs. The totals of
-    earlier buckets are then joined to the run rows."""
+    weight 0, behind the history row of their own time, and carry their columns, so nothing is
+    joined back to the runs. With ``levels`` a RANGE frame (ties included) gives each run its value
+    inside its bucket, and the totals of earlier buckets are joined to the run rows."""
     keys = [key] if isinstance(key, str) else list(key)
-    lv = _levels_for(history, hist_ts, levels)
-    kcols, bcols = [f"__k{i}" for i in range(len(keys))], [f"__b{i}" for i in range(len(lv))]
+    kcols = [f"__k{i}" for i in range(len(keys))]
     named = [F.col(k).alias(a) for k, a in zip(keys, kcols)]
     h = history.select(*named, F.col(hist_ts).alias("__t")).dropna().groupBy(*kcols, "__t").agg(F.count(F.lit(1)).alias("__w"))
     r = runs.select(*named, F.col(run_ts).alias("__t"), F.lit(0).cast("bigint").alias("__w"), F.struct(*runs.columns).alias("__run"))
     h = h.withColumns({"__h": F.col("__t"), "__run": F.lit(None).cast(r.schema["__run"].dataType)})
     r = r.withColumn("__h", F.lit(None).cast(h.schema["__h"].dataType))
-    tl = h.unionByName(r).withColumns({b: level(F.col("__t")) for b, level in zip(bcols, lv)})
+    tl = h.unionByName(r)
+    known = F.lit(True)
+    for c in ["__t", *kcols]:
+        known = known & F.col(c).isNotNull()
+
+    def result(out: DataFrame, n_asof: Column, last_ts: Column) -> DataFrame:
+        return out.select("__run.*", F.when(known, n_asof).otherwise(F.lit(0)).alias("n_asof"), F.when(known, last_ts).alias("last_ts"))
+
+    if levels is None:
+        # runs of one key and time, however many, are dealt by a hash of their columns
+        placed = tl.withColumns({"__late": F.col("__run").isNotNull(), "__tie": F.xxhash64("__run")})
+        order = ["__t", "__late", "__tie"]
+        done = running(placed, kcols, order, {"__cum": (SUM, "__w", True), "__last": (MAX, "__h", True)})
+        return result(done.where("__late"), F.col("__cum"), F.col("__last"))
+
+    bcols = [f"__b{i}" for i in range(len(levels))]
+    tl = tl.withColumns({b: level(F.col("__t")) for b, level in zip(bcols, levels)})
     w = Window.partitionBy(*kcols, *bcols).orderBy("__t").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     inside = tl.select("*", F.sum("__w").over(w).alias("__cum"), F.max("__h").over(w).alias("__last"))
     out = inside.where(F.col("__run").isNotNull())
     n_asof, last = F.col("__cum"), [F.col("__last")]
-    tot = inside.groupBy(*kcols, *bcols).agg(F.max("__cum").alias("__tot"), F.max("__last").alias("__hmax")) if lv else None
-    for i in range(len(lv) - 1, -1, -1):
+    tot = inside.groupBy(*kcols, *bcols).agg(F.max("__cum").alias("__tot"), F.max("__last").alias("__hmax")) if levels else None
+    for i in range(len(levels) - 1, -1, -1):
         on = [*kcols, *bcols[: i + 1]]
-        if i < len(lv) - 1:
+        if i < len(levels) - 1:
             tot = tot.groupBy(*on).agg(F.sum("__tot").alias("__tot"), F.max("__hmax").alias("__hmax"))
         earlier = Window.partitionBy(*kcols, *bcols[:i]).orderBy(bcols[i]).rowsBetween(Window.unboundedPreceding, -1)
         off = tot.select(
@@ -151,9 +164,4 @@ def asof_join(
         out = out.join(off, same).drop(*[f"__o{c}" for c in on])
         n_asof = n_asof + F.col(f"__off{i}")
         last.append(F.col(f"__hb{i}"))
-    known = F.lit(True)
-    for c in ["__t", *kcols]:
-        known = known & F.col(c).isNotNull()
-    n_asof = F.when(known, n_asof).otherwise(F.lit(0)).alias("n_asof")
-    last_ts = F.when(known, F.greatest(*last) if len(last) > 1 else last[0]).alias("last_ts")
-    return out.select("__run.*", n_asof, last_ts)
+    return result(out, n_asof, F.greatest(*last) if len(last) > 1 else last[0])

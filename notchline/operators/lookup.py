@@ -31,11 +31,8 @@ def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], payload:
 
 
 def _grams(s: Column, k: int) -> Column:
-    """All substrings of length ``k`` (1-based positions); empty when shorter."""
-    return F.when(
-        F.length(s) >= k,
-        F.transform(F.sequence(F.lit(1), F.length(s) - k + 1), lambda i: F.substring(s, i, k)),
-    ).otherwise(F.array().cast("array<string>"))
+    """All substrings of length ``k``; none when shorter. A look-ahead finds them in one pass."""
+    return F.regexp_extract_all(s, F.lit(f"(?s)(?=(.{{{k}}}))"), F.lit(1))
 
 
 def substring_join(
@@ -53,27 +50,31 @@ def substring_join(
     haystack's grams of its own length. Column names of the two sides must not
     collide.
     """
-    # grams go with a hash of the line, not with the line: a line is fetched only for
-    # the grams that some needle is routed by (lines of one hash all come back, and
-    # the contains test decides)
-    keyed = hay.withColumn("__line", F.xxhash64(hay_col))
-    grams = F.flatten(F.array(*[
-        F.transform(_grams(F.col(hay_col), k), lambda g: F.concat(F.length(g).cast("string"), F.lit(":"), g))
-        for k in range(1, q + 1)
-    ]))
-    hay_grams = keyed.select("__line", F.explode_outer(F.array_distinct(grams)).alias("__g")).where(
-        F.col("__g").isNotNull()
-    ).distinct()
-    freq = hay_grams.groupBy("__g").agg(F.count(F.lit(1)).alias("__n"))
-
     n = F.col(needle_col)
-    # choose one gram per distinct needle value, then route every needle row by it
     distinct = needles.select(n.alias("__needle")).where(
         F.col("__needle").isNotNull() & (F.length("__needle") > 0)
     ).distinct()
     ng = distinct.select(
         "__needle", F.explode(candidate_grams_of(F.col("__needle"), q)).alias("__g")
     )
+    # grams go with a hash of the line, not with the line: a line is fetched only for
+    # the grams that some needle is routed by (lines of one hash all come back, and
+    # the contains test decides). Only grams that some needle has leave a line, and grams
+    # shorter than q are looked for only where a needle is that short
+    keyed = hay.withColumn("__line", F.xxhash64(hay_col))
+
+    def tagged(k: int) -> Column:
+        grams = F.transform(F.array_distinct(_grams(F.col(hay_col), k)), lambda g: F.concat(F.lit(f"{k}:"), g))
+        if k == q:
+            return grams
+        asked = distinct.agg(F.coalesce(F.max((F.length("__needle") == k).cast("int")), F.lit(0))).scalar()
+        return F.when(asked == 1, grams).otherwise(F.array().cast("array<string>"))
+
+    every = keyed.select("__line", F.explode(F.flatten(F.array(*[tagged(k) for k in range(1, q + 1)]))).alias("__g"))
+    hay_grams = every.join(ng.select("__g").distinct(), "__g", "left_semi").distinct()
+    freq = hay_grams.groupBy("__g").agg(F.count(F.lit(1)).alias("__n"))
+
+    # choose one gram per distinct needle value, then route every needle row by it
     # grams absent from the haystack count 0: the needle can match nothing then
     chosen = (
         ng.join(freq, "__g", "left")

@@ -30,7 +30,7 @@ def round6(v: F.Column) -> F.Column:
     return F.floor(v * 1e6 + 0.5)
 
 
-def bin_of(v: F.Column, width: float) -> F.Column:
+def bin_of(v: F.Column, width: float | F.Column) -> F.Column:
     """Bin number ``floor(round6(v) / width)`` computed on micro-units."""
     return F.floor(round6(v) / (width * 1e6))
 
@@ -195,3 +195,89 @@ def density_grid(points: DataFrame, run: str, x: str, y: str, gx: float = C.GRID
         .groupBy(run, "gx", "gy")
         .agg(F.count(F.lit(1)).alias("n_points"))
     )
+
+
+# ---- peaks of the vote grid, parameter sets, pictures at several resolutions ------
+
+
+def line_peaks(points: DataFrame, run: str, x: str, y: str, bins: int = C.THETA_BINS) -> DataFrame:
+    """AGG-10, one physical line as one detection: ``(run, peak_no, theta_bin, r_bin, votes)``, the bins
+    with at least MIN_VOTES votes that no neighbour beats. Neighbours are up to one bin away
+    in angle and radius; past the last angle comes the first again with the radius' sign changed
+    (bin b is then -b-1). A neighbour beats a bin by more votes or, with as many, by the lower angle
+    bin, then the lower radius bin.
+
+    No join: every bin sends its votes to itself and its eight neighbours, and the greatest that
+    arrives at a bin is its own where it is a peak -- one combining aggregate."""
+    cells = hough_votes(points, run, x, y, bins=bins).where(F.col("votes") >= C.MIN_VOTES)
+    sent = []
+    for dt in (-1, 0, 1):
+        theta = F.col("theta_bin") + dt
+        over = (theta < 0) | (theta >= bins)
+        for dr in (-1, 0, 1):
+            r = F.when(over, -F.col("r_bin") - 1).otherwise(F.col("r_bin")) + dr
+            sent.append(F.struct(F.pmod(theta, F.lit(bins)).alias("to_theta"), r.alias("to_r")))
+    rank = F.struct("votes", (-F.col("theta_bin")).alias("t"), (-F.col("r_bin")).alias("r"))
+    arrived = cells.select(run, rank.alias("rank"), F.inline(F.array(*sent)))
+    best = arrived.groupBy(run, "to_theta", "to_r").agg(F.max("rank").alias("best"))
+    peak = best.where((F.col("best.t") == -F.col("to_theta")) & (F.col("best.r") == -F.col("to_r")))
+    named = peak.select(run, F.col("to_theta").cast("int").alias("theta_bin"), F.col("to_r").alias("r_bin"), F.col("best.votes").alias("votes"))
+    w = Window.partitionBy(run).orderBy(F.col("votes").desc(), "theta_bin", "r_bin")
+    return named.select(run, F.row_number().over(w).alias("peak_no"), "theta_bin", "r_bin", "votes")
+
+
+def profile_table(properties: DataFrame) -> DataFrame:
+    """SRC-6 for detection: one row a parameter set, ``(profile, angles, r_bin, least_votes, offset)``, from
+    its ``key=value`` rows; a set without one of the keys has its default."""
+
+    def of(key: str, kind: str, default: float) -> F.Column:
+        value = F.max(F.when(F.col("key") == key, F.col("value")))
+        return F.coalesce(value.try_cast(kind), F.lit(default).cast(kind)).alias(key)
+
+    return properties.groupBy("profile").agg(of("angles", "int", C.THETA_BINS), of("r_bin", "double", C.R_BIN), of("least_votes", "bigint", C.MIN_VOTES), of("offset", "double", C.OFF))
+
+
+def profile_lines(points: DataFrame, profiles: DataFrame, run: str, x: str, y: str) -> DataFrame:
+    """AGG-10 under every parameter set: ``(profile, run, line_no, theta_bin, r_bin, votes)``. Angle count,
+    radius bin and least votes come from the rows of ``profiles``: their angles make one small table, which
+    every distinct point meets as an array (a scalar subquery), so the votes are exploded from data. Work and rows grow with
+    the sum of the sets' angle counts."""
+    theta = F.col("k") * F.lit(math.pi) / F.col("angles")
+    angles = profiles.select("profile", "angles", "r_bin", "least_votes", F.explode(F.sequence(F.lit(0), F.col("angles") - 1)).alias("k"))
+    entry = F.struct("profile", F.col("k").alias("theta_bin"), F.cos(theta).alias("__cos"), F.sin(theta).alias("__sin"), F.col("r_bin").alias("__width"), "least_votes")
+    table = angles.agg(F.collect_list(entry).alias("a")).scalar()  # as many entries as the sets have angles
+    distinct = points.groupBy(run, x, y).agg(F.count(F.lit(1)).alias("__w"))
+    r = F.col(x) * F.col("__cos") + F.col(y) * F.col("__sin")
+    votes = (
+        distinct.select(run, x, y, "__w", table.alias("__a")).select(run, x, y, "__w", F.inline("__a"))
+        .groupBy("profile", run, "theta_bin", "least_votes", bin_of(r, F.col("__width")).alias("r_bin"))
+        .agg(F.sum("__w").alias("votes"))
+        .where(F.col("votes") >= F.col("least_votes"))
+    )
+    w = Window.partitionBy("profile", run).orderBy(F.col("votes").desc(), "theta_bin", "r_bin")
+    return votes.select("profile", run, F.row_number().over(w).alias("line_no"), "theta_bin", "r_bin", "votes")
+
+
+Z_BITS = 16  # bits of a cell number on each axis
+
+
+def z_order(gx: F.Column, gy: F.Column, bits: int = Z_BITS) -> F.Column:
+    """The cell's place on the Z-order curve: the bits of both numbers in turn (x the lower)."""
+
+    def spread(v: F.Column) -> F.Column:
+        v = v.bitwiseAND(F.lit((1 << bits) - 1))
+        for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+            v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
+        return v
+
+    return spread(gx.cast("bigint")).bitwiseOR(F.shiftleft(spread(gy.cast("bigint")), 1))
+
+
+def density_levels(points: DataFrame, run: str, x: str, y: str, gx: float, gy: float, levels: int) -> DataFrame:
+    """AGG-11 at several resolutions: ``(run, level, cell, n_points)``. Level 0 has cells of ``gx`` by ``gy``; a
+    cell of the next level is four of the last, whose Z-order numbers are its own number and two bits more, so
+    points are counted once, in the finest cells, and these counts are rolled up by their numbers'
+    leading bits in one combining aggregate. Cell numbers are taken modulo 2^16 on each axis."""
+    finest = points.select(run, z_order(bin_of(F.col(x), gx), bin_of(F.col(y), gy)).alias("cell")).groupBy(run, "cell").agg(F.count(F.lit(1)).alias("n_points"))
+    up = F.array(*[F.struct(F.lit(k).alias("level"), F.shiftright("cell", 2 * k).alias("at")) for k in range(levels)])
+    return finest.select(run, "n_points", F.inline(up)).groupBy(run, "level", F.col("at").alias("cell")).agg(F.sum("n_points").alias("n_points"))

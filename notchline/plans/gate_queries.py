@@ -12,7 +12,7 @@ from notchline.operators.gates import eligibility_flag, first_reason, reference_
 from notchline.operators.lookup import lookup_first_line
 from notchline.plans import model
 from notchline.plans import oracle as O
-from notchline.plans.parsed import FIELDS, ParsedFiles
+from notchline.plans.parsed import ParsedFiles
 from notchline.plans.registry import query
 from notchline.session import scratch_path
 from notchline.sources.lookups import parse_device_lines
@@ -238,18 +238,19 @@ def device_table(spark: SparkSession, t: Tables) -> DataFrame:
     )
 
 
-def text_gates(spark: SparkSession, t: Tables, parsed: ParsedFiles, maxpoint: int = C.MAXPOINT) -> DataFrame:
-    """UDF-3's first half from parsed files: header fields -> device lookup -> gates,
+def text_gates(spark: SparkSession, t: Tables, facts: DataFrame, maxpoint: int = C.MAXPOINT) -> DataFrame:
+    """UDF-3's first half from parsed files (``facts``): header fields -> device lookup -> gates,
     one row per run with the header's device, type and station, the flat position,
     the point counts and class sums, and the first failing gate."""
-    runs = lookup_first_line(parsed.facts(), "DeviceID", device_table(spark, t), "value", ["line_group", "line_key"], ["flat"])
-    header = F.create_map(*[x for f in FIELDS for x in (F.lit(f), F.col(f))])
+    header = F.col("header")
+    runs = facts.withColumn("device", F.element_at(header, F.lit("DeviceID")))
+    runs = lookup_first_line(runs, "device", device_table(spark, t), "value", ["line_group", "line_key"], ["flat"])
     checks = reference_checks(header, F.col("version"), F.col("n_all"), F.col("flat"), maxpoint)
     return runs.select(
         "o_orderkey",
-        F.col("DeviceID").alias("device"),
-        F.col(C.TYPE_FIELD).alias("type"),
-        F.col(C.STATION_FIELD).alias("station"),
+        "device",
+        F.element_at(header, F.lit(C.TYPE_FIELD)).alias("type"),
+        F.element_at(header, F.lit(C.STATION_FIELD)).alias("station"),
         "flat", "n_all", "n_back", "j_all", "j_front",
         first_reason(checks).alias("reason"),
     )
@@ -280,7 +281,7 @@ def gates_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT-2..FLT-8 on parsed file texts, with the device reference read from a CSV. Texts are
     parsed once into a stored table; the gates and the device lookup read that."""
     t = Tables(spark, sf_dir)
-    return text_gates(spark, t, ParsedFiles(spark, t)).select("o_orderkey", "device", "type", "station", "flat", "reason")
+    return text_gates(spark, t, ParsedFiles(spark, t).facts()).select("o_orderkey", "device", "type", "station", "flat", "reason")
 
 
 # lines of a run's file before its first point

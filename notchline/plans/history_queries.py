@@ -14,6 +14,7 @@ from notchline.plans import model
 from notchline.plans import oracle as O
 from notchline.plans.registry import query
 from notchline.session import scratch_path
+from notchline.sources.history_store import store_history
 from notchline.sources.lookups import parse_device_lines, read_arm_csv, side_eligible, with_sentinels
 from notchline.sources.tables import Tables
 
@@ -123,6 +124,28 @@ def history_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+HISTORY_BUCKETS = 16  # for the test tables; see KeyedTable.write
+
+
+@query(
+    "history_store_fetch",
+    oracle=f"""WITH {O.HIST_INDEX}, {O.HIST_ROWS}
+SELECT c.c_custkey, count(i.value) AS n_index, count(h.rowkey) AS n_rows, min(h.rowkey) AS first_row
+FROM customer c LEFT JOIN hidx i ON starts_with(i.index_key, c.c_name || '_')
+LEFT JOIN hrows h ON h.rowkey = i.value GROUP BY c.c_custkey""",
+)
+def history_store_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-7, SRC-8 on a stored history: per unit the index entries under its id and the rows
+    these lead to. Index and rows are written bucketed by their keys; neither is shuffled when asked."""
+    t = Tables(spark, sf_dir)
+    index, rows = store_history(model.history_index(t), "index_key", model.history_rows(t), "rowkey", "_", HISTORY_BUCKETS)
+    ids = t.customer.select("c_custkey", "c_name")
+    found = index.of(ids, "c_name", "left").select("c_custkey", "value")
+    return rows.of(found, "value", "left").groupBy("c_custkey").agg(
+        F.count("value").alias("n_index"), F.count("rowkey").alias("n_rows"), F.min("rowkey").alias("first_row")
+    )
+
+
 @query(
     "history_asof",
     oracle="""SELECT r.o_orderkey,
@@ -164,6 +187,46 @@ def history_asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "history_asof_text",
+    oracle="""WITH h AS (SELECT o_custkey AS k, strftime(l_shipdate, '%Y%m%d') || '_' || l_linenumber AS ts
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT r.o_orderkey,
+  (SELECT count(*) FROM h WHERE h.k = r.o_custkey AND h.ts <= strftime(r.o_orderdate, '%Y%m%d') || '_4') AS n_hist,
+  (SELECT max(h.ts) FROM h WHERE h.k = r.o_custkey AND h.ts <= strftime(r.o_orderdate, '%Y%m%d') || '_4') AS last_time
+FROM orders r""",
+)
+def history_asof_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCL-9: JON-4 on times that are texts, as history row keys are (``yyyymmdd_<n>``), compared as texts."""
+    t = Tables(spark, sf_dir)
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    runs = o.select("o_orderkey", "o_custkey", F.concat(yyyymmdd(F.col("o_orderdate")), F.lit("_4")).alias("run_time"))
+    li = t.lineitem.select("l_orderkey", F.concat(yyyymmdd(F.col("l_shipdate")), F.lit("_"), F.col("l_linenumber").cast("string")).alias("hist_time"))
+    hist = li.join(o, li.l_orderkey == o.o_orderkey).select("o_custkey", "hist_time")
+    return asof_join(runs, hist, "o_custkey", "run_time", "hist_time").select(
+        "o_orderkey", F.col("n_asof").cast("bigint").alias("n_hist"), F.col("last_ts").alias("last_time")
+    )
+
+
+@query(
+    "substring_lookup_parts",
+    oracle="""WITH lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
+words AS (SELECT DISTINCT lower(p_brand) AS needle FROM part WHERE p_brand IS NOT NULL
+  UNION SELECT DISTINCT substr(text, 1, 12) FROM benchmark WHERE length(text) >= 12)
+SELECT needle, count(*) AS n_lines, count(DISTINCT doc_id) AS n_docs, min(doc_id) AS first_doc
+FROM words JOIN lines ON contains(line, needle) GROUP BY needle""",
+)
+def substring_lookup_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JON-1 under load: which lines of the document files contain a key, for keys from tables that
+    grow (brands, and the beginnings of benchmark items): lines and documents per key, and the first document."""
+    t = Tables(spark, sf_dir)
+    lines = t.documents.select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
+    brands = t.part.select(F.lower("p_brand").alias("needle"))
+    starts = t.benchmark.where(F.length("text") >= 12).select(F.substring("text", 1, 12).alias("needle"))
+    hits = substring_join(brands.unionByName(starts).distinct(), lines, "needle", "line")
+    return hits.groupBy("needle").agg(F.count(F.lit(1)).alias("n_lines"), F.count_distinct("doc_id").alias("n_docs"), F.min("doc_id").alias("first_doc"))
+
+
 @query(
     "area_lookup",
     oracle=f"""WITH {O.ARM_LINES}, {O.ARM_PARSED},

@@ -56,7 +56,7 @@ def run_status(spark: SparkSession, t: Tables, parsed: ParsedFiles, maxpoint: in
     st = F.col("station")
     two = two_sided(st, G.TWO_SIDED)
     j = F.when(two, F.col("j_front")).otherwise(F.col("j_all"))
-    return G.text_gates(spark, t, parsed, maxpoint).select(
+    return G.text_gates(spark, t, parsed.facts(), maxpoint).select(
         "o_orderkey",
         "device",
         "flat",

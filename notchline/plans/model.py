@@ -13,10 +13,11 @@ Each builder returns a lazy DataFrame; nothing is read until an action.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notchline import constants as C
+from notchline.sources import folders
 from notchline.sources.tables import Tables
 
 
@@ -231,6 +232,16 @@ def flag_is_back(flag: Column) -> Column:
     return F.coalesce(flag.endswith("O"), F.lit(False))
 
 
+def parameter_files(spark: SparkSession, t: Tables, folder: str) -> str:
+    """The parameter sets as files ``ParamConfig<i>.properties`` in ``folder``, one for each region
+    (the reference has five): angle count, radius bin, least votes and band tolerance."""
+    for r in t.region.select("r_regionkey", "r_name").collect():  # one small file each
+        k = r.r_regionkey
+        lines = [f"# {r.r_name}", f"angles={6 + 2 * k}", f"r_bin = {4.0 + k}", "", f"least_votes={3 + k % 2}", f"offset={10.0 * (k + 1)}"]
+        folders.write_text(spark, f"{folder}/ParamConfig{k}.properties", "\n".join(lines) + "\n")
+    return folder
+
+
 def history_index(t: Tables) -> DataFrame:
     """History index rows: key ``<c_name>_<yyyymmdd>_<orderkey>``, value = the
     history rowkey ``<yyyymmdd>_<orderkey>``."""

@@ -5,16 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notchline import constants as C
-from notchline.operators.blocks import KIND_FIELD, KIND_FILE, KIND_POINT, parse_files, run_facts
+from notchline.operators.blocks import KIND_FILE, KIND_POINT, parse_files, run_facts
 from notchline.operators.sinks import keep_last
 from notchline.plans import model
 from notchline.session import scratch_path
 from notchline.sources.tables import Tables
 
 KEY = "o_orderkey"
-#: Header fields that gates, flags and outputs ask for.
-FIELDS = ("DeviceID", "imageID", C.STATION_FIELD, C.TYPE_FIELD, "DiePitchX", "domainarge", "ConvertedTimestamp")
 
 
 class ParsedFiles:
@@ -31,13 +28,13 @@ class ParsedFiles:
         return self.spark.read.schema(self.schema).parquet(self.path).where(F.col("kind").isin(*kinds))
 
     def facts(self) -> DataFrame:
-        """One row a run: dialect, header fields, point counts and class sums."""
+        """One row a run: dialect, header map, point counts and class sums."""
         flag = F.col("flag")
-        return run_facts(self.rows(KIND_FILE, KIND_FIELD, KIND_POINT), KEY, FIELDS, F.abs(model.flag_class(flag)), model.flag_is_back(flag))
+        return run_facts(self.rows(KIND_FILE, KIND_POINT), KEY, F.abs(model.flag_class(flag)), model.flag_is_back(flag))
 
     def fields(self) -> DataFrame:
-        """(key, name, value) of every header field, the last of a name."""
-        return keep_last(self.rows(KIND_FIELD), [KEY, "name"], ["block", "pos"], ["value"]).select(KEY, "name", "value")
+        """(key, name, value) of every header field."""
+        return self.rows(KIND_FILE).select(KEY, F.explode("header").alias("name", "value"))
 
     def points(self) -> DataFrame:
         """(run_id, x, y, is_back) of every point line."""

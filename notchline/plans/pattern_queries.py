@@ -4,21 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from notchline import constants as C
 from notchline.functions.geometry import angle_direct, pi
-from notchline.operators.band_join import band_join
-from notchline.operators.consolidate import consolidate
+from notchline.operators.band_join import band_counts, band_join
+from notchline.operators.consolidate import consolidate, micros, near_groups
 from notchline.operators.patterns import (
     density_grid,
+    density_levels,
     detect_lines,
+    line_peaks,
+    profile_lines,
+    profile_table,
+    round6,
     side_writer_filter,
     summarize_runs,
 )
 from notchline.plans import model
 from notchline.plans.oracle import D
 from notchline.plans.registry import query
+from notchline.session import scratch_path
+from notchline.sources.lookups import read_properties
 from notchline.sources.tables import Tables
 
 # ---- SQL builders -------------------------------------------------------------
@@ -130,40 +136,82 @@ def angle_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_PROFILES = [(i, 10.0 * (i + 1)) for i in range(C.PROFILE_COUNT)]
+PROFILES_SQL = """p AS (SELECT CAST(r_regionkey AS INTEGER) AS profile, CAST(6 + 2 * r_regionkey AS INTEGER) AS angles,
+  CAST(4 + r_regionkey AS DOUBLE) AS r_bin, 3 + r_regionkey % 2 AS least_votes, CAST(10 * (r_regionkey + 1) AS DOUBLE) AS off FROM region)"""
+
+
+def profiles(spark: SparkSession, t: Tables) -> DataFrame:
+    """SRC-6: the parameter sets, read back from their files."""
+    return profile_table(read_properties(spark, model.parameter_files(spark, t, scratch_path(spark, "params"))))
 
 
 @query(
     "config_profiles",
-    oracle=f"""WITH p AS (SELECT CAST(i AS INTEGER) AS profile, CAST(10 * (i + 1) AS DOUBLE) AS off
-           FROM range({C.PROFILE_COUNT}) t(i)),
+    oracle=f"""WITH {PROFILES_SQL},
 m AS (SELECT p.profile, count(*) AS n FROM p, customer c, supplier s
       WHERE abs(s.s_acctbal - c.c_acctbal * {D(1000)} / {D(1000)}) <= p.off GROUP BY p.profile)
 SELECT p.profile, p.off, coalesce(m.n, 0) AS n_matches FROM p LEFT JOIN m ON m.profile = p.profile""",
 )
 def config_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """#10: detections run against each of the five parameter sets: profile i
-    uses tolerance 10(i+1); count of d1 matches per profile. The profile is a
-    join key, so each profile's band join is bucketed by its own tolerance."""
+    """#10: detections run against each of the five parameter sets, read from their files: count
+    of d1 matches within the set's tolerance. Each side is counted by bucket (half a tolerance
+    wide) and value first: buckets up to one apart match whole, so their counts multiply;
+    only buckets two and three apart, at the edge of the tolerance, compare values."""
     t = Tables(spark, sf_dir)
-    prof = F.array(*[F.struct(F.lit(i).alias("profile"), F.lit(off).alias("off")) for i, off in _PROFILES])
-    # rows are counted per value first: pairs are of distinct values, never of rows
-    det = t.customer.groupBy(((F.col("c_acctbal") * 1000.0) / 1000.0).alias("v")).agg(F.count(F.lit(1)).alias("n_det"))
-    arm = t.supplier.groupBy(F.col("s_acctbal").alias("d1")).agg(F.count(F.lit(1)).alias("n_arm"))
-    det, arm = det.select("v", "n_det", F.inline(prof)), arm.select("d1", "n_arm", F.inline(prof))
-    hits = band_join(det, arm, "v", "d1", "off", keys=("profile", "off"))
-    params = spark.createDataFrame(
-        _PROFILES,
-        T.StructType([T.StructField("profile", T.IntegerType()), T.StructField("off", T.DoubleType())]),
-    )
+    sets = profiles(spark, t).select("profile", F.col("offset").alias("off"))
+    table = sets.agg(F.collect_list(F.struct("profile", "off")).alias("a")).scalar()  # an entry a parameter set
+    det = t.customer.groupBy(((F.col("c_acctbal") * 1000.0) / 1000.0).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    arm = t.supplier.groupBy(F.col("s_acctbal").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    det, arm = (x.select("v", "n", table.alias("__p")).select("v", "n", F.inline("__p")) for x in (det, arm))
+    hits = band_counts(det, arm, "profile", "v", "n", "off")
     return (
-        params.select("profile", "off", F.lit(0).cast("bigint").alias("__one"))
-        .unionByName(hits.select("profile", "off", (F.col("n_det") * F.col("n_arm")).alias("__one")))
+        sets.select("profile", "off", F.lit(0).cast("bigint").alias("n_pairs"))
+        .unionByName(hits.select("profile", "off", "n_pairs"))
         .groupBy("profile", "off")
-        .agg(F.sum("__one").cast("bigint").alias("n_matches"))
+        .agg(F.sum("n_pairs").cast("bigint").alias("n_matches"))
     )
 
 
+@query(
+    "profile_lines",
+    oracle=f"""WITH {POINTS_SQL}, {PROFILES_SQL},
+v AS (SELECT profile, run_id, least_votes, CAST(k AS INTEGER) AS theta_bin,
+    CAST(floor(floor((x * cos(k * pi() / angles) + y * sin(k * pi() / angles)) * {D(1e6)} + {D(0.5)}) / (r_bin * {D(1e6)})) AS BIGINT) AS r_bin
+  FROM pts, (SELECT *, unnest(range(angles)) AS k FROM p)),
+g AS (SELECT profile, run_id, theta_bin, r_bin, count(*) AS votes FROM v
+  GROUP BY profile, run_id, theta_bin, r_bin, least_votes HAVING count(*) >= least_votes)
+SELECT profile, run_id, CAST(row_number() OVER (PARTITION BY profile, run_id ORDER BY votes DESC, theta_bin, r_bin) AS INTEGER) AS line_no,
+  theta_bin, r_bin, votes FROM g""",
+)
+def profile_lines_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-6, JON-10: the lines of every run under each of the five parameter sets; the files
+    decide the number of angles, the radius bin and the least votes."""
+    t = Tables(spark, sf_dir)
+    return profile_lines(_points(t), profiles(spark, t), "run_id", "x", "y")
+
+
+_WRAP = C.THETA_BINS - 1
+
+
+@query(
+    "line_peaks",
+    oracle=f"""WITH {POINTS_SQL}, {lines_sql('pts', 'det')},
+near AS (SELECT d.run_id, d.theta_bin, d.r_bin, d.votes, a.dt, b.dr,
+    (d.theta_bin + a.dt + {C.THETA_BINS}) % {C.THETA_BINS} AS t2,
+    CASE WHEN d.theta_bin + a.dt BETWEEN 0 AND {_WRAP} THEN d.r_bin ELSE -d.r_bin - 1 END + b.dr AS r2
+  FROM det d, (VALUES (-1), (0), (1)) a(dt), (VALUES (-1), (0), (1)) b(dr)),
+beaten AS (SELECT DISTINCT n.run_id, n.theta_bin, n.r_bin FROM near n JOIN det o
+  ON o.run_id = n.run_id AND o.theta_bin = n.t2 AND o.r_bin = n.r2
+  WHERE (o.votes, -o.theta_bin, -o.r_bin) > (n.votes, -n.theta_bin, -n.r_bin))
+SELECT run_id, CAST(row_number() OVER (PARTITION BY run_id ORDER BY votes DESC, theta_bin, r_bin) AS INTEGER) AS peak_no,
+  theta_bin, r_bin, votes
+FROM det d WHERE NOT EXISTS (SELECT 1 FROM beaten b WHERE b.run_id = d.run_id AND b.theta_bin = d.theta_bin AND b.r_bin = d.r_bin)""",
+)
+def line_peaks_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-10: the peaks of every run's vote grid, one for each physical line."""
+    return line_peaks(_points(Tables(spark, sf_dir)), "run_id", "x", "y")
+
+
 @query(
     "consolidate_history",
     oracle=f"""WITH e AS (SELECT event_id, user_id, ts, value, event_id % 628 / {D(100)} AS theta FROM events)
@@ -184,6 +232,48 @@ def consolidate_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("last_similar", F.date_format("last_similar", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
 
+_GROUP_DIMS = f"""SELECT event_id, user_id, event_id % 2 AS side, epoch_us(ts) AS t,
+  CAST(floor(value * {D(1e6)} + {D(0.5)}) AS BIGINT) AS r, event_id % 628 AS a FROM events"""
+
+
+@query(
+    "consolidate_groups",
+    oracle=f"""WITH RECURSIVE e AS ({_GROUP_DIMS}),
+link AS (SELECT x.event_id AS i, y.event_id AS j FROM e x JOIN e y ON x.user_id = y.user_id AND x.side = y.side
+  AND abs(x.t - y.t) <= {C.HIST_DAYS * 86_400_000_000} AND abs(x.r - y.r) <= {int(C.CONSOLIDATE_VALUE_TOL * 1e6)} AND abs(x.a - y.a) <= 30),
+reach(i, j) AS (SELECT event_id, event_id FROM e UNION SELECT r.i, l.j FROM reach r JOIN link l ON l.i = r.j)
+SELECT i AS event_id, min(j) AS group_id, count(*) AS group_size FROM reach GROUP BY i""",
+)
+def consolidate_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JON-9 as groups: detections of one entity and side that are reachable over steps near in time,
+    radius and angle; the group's id is its least detection."""
+    e = Tables(spark, sf_dir).events
+    det = e.select(
+        "event_id", "user_id", (F.col("event_id") % 2).alias("side"), micros(F.col("ts")).alias("t"),
+        round6(F.col("value")).cast("bigint").alias("r"), (F.col("event_id") % 628).alias("a"),
+    )
+    day = 86_400_000_000
+    return near_groups(det, "event_id", ["user_id", "side"], [("t", C.HIST_DAYS * day), ("r", int(C.CONSOLIDATE_VALUE_TOL * 1e6)), ("a", 30)])
+
+
+LEVELS = 4
+_Z_SQL = "CAST(" + " + ".join(f"(((gx >> {i}) & 1) << {2 * i}) + (((gy >> {i}) & 1) << {2 * i + 1})" for i in range(16)) + " AS BIGINT)"
+
+
+@query(
+    "density_levels",
+    oracle=f"""WITH {POINTS_SQL},
+c AS (SELECT run_id, {bin_sql("x", C.FINE_X)} AS gx, {bin_sql("y", C.FINE_Y)} AS gy FROM pts),
+l AS (SELECT run_id, CAST(k AS INTEGER) AS level, gx >> k AS gx, gy >> k AS gy FROM c, range({LEVELS}) t(k))
+SELECT run_id, level, {_Z_SQL} AS cell,
+  count(*) AS n_points
+FROM l GROUP BY ALL""",
+)
+def density_levels_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-11 at several resolutions: point counts per run in Z-order cells of four levels."""
+    return density_levels(_points(Tables(spark, sf_dir)), "run_id", "x", "y", C.FINE_X, C.FINE_Y, LEVELS)
+
+
 @query(
     "density_grid",
     oracle=f"""WITH {POINTS_SQL}

@@ -91,3 +91,30 @@ def union_files(spark: SparkSession, *sources: DataFrame) -> DataFrame:
     for s in sources:
         out = out.unionByName(s.select("filename", "file_contents"))
     return out
+
+
+def read_with_rejects(spark: SparkSession, path: str, fmt: str = "parquet") -> tuple[DataFrame, DataFrame]:
+    """SRC-1, CTL-2: ``(records, rejects)`` of a folder that may hold damaged files.
+
+    ``records`` are ``(source_file, filename, file_contents)`` of all records that can be read and have a name and
+    contents. ``rejects`` are rows ``(source_file, filename, reason)``: ``unreadable`` for a file
+    without any readable record, ``no file name`` or ``no contents`` for a record. A damaged
+    file never ends the job. The listing of the folder is itself a scan (names, no
+    contents), and the two meet by file name. Files of no bytes are not listed by Spark: they hold
+    nothing and are no rejects."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(path).select(
+        F.regexp_extract("path", "[^/]+$", 0).alias("source_file")
+    )
+    reader = spark.read.format(fmt).schema(ENVELOPE_SCHEMA).option("recursiveFileLookup", "false").option("ignoreCorruptFiles", "true")
+    raw = reader.load(path).select(
+        F.col("_metadata.file_name").alias("source_file"),
+        F.col(f"{_LEAF}.filename").alias("filename"),
+        F.col(f"{_LEAF}.file_contents").cast("string").alias("file_contents"),
+    )
+    reason = F.when(F.col("filename").isNull(), F.lit("no file name")).when(F.col("file_contents").isNull(), F.lit("no contents"))
+    records = raw.where(reason.isNull())
+    bad_records = raw.where(reason.isNotNull()).select("source_file", "filename", reason.alias("reason"))
+    bad_files = listed.join(raw.select("source_file").distinct(), "source_file", "left_anti").select(
+        "source_file", F.lit(None).cast("string").alias("filename"), F.lit("unreadable").alias("reason")
+    )
+    return records, bad_files.unionByName(bad_records)

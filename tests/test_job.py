@@ -125,3 +125,46 @@ def test_retention_keeps_the_young_runs(spark):
     info = spark.read.parquet(paths["image_info"]).where("qualifier = 'ConvertedTimestamp'")
     assert info.count() > 0
     assert info.selectExpr("min(value)").first()[0] >= f"{newest.replace(year=newest.year - 1):%Y%m%d}"
+
+
+def test_devices_and_header_come_from_the_texts(spark):
+    out = scratch_path(spark, "job-header")
+    paths = run_job(spark, SF_SMALL, out)
+    names = {r[0] for r in spark.read.parquet(f"{SF_SMALL}/nation.parquet").select("n_name").collect()}
+    for name in ("run_status", "image_info", "point_info", "image_summary", "y", "consolidated", "pattern"):
+        devices = {r[0] for r in spark.read.parquet(paths[name]).where("device IS NOT NULL").select("device").distinct().collect()}
+        assert devices and (devices <= names or name == "run_status")
+    info = spark.read.parquet(paths["image_info"])
+    assert {r[0] for r in info.select("qualifier").distinct().collect()} == {"DeviceID", "imageID", "InspectionStationID", "domainType", "DiePitchX", "domainarge", "ConvertedTimestamp"}
+    assert info.where("qualifier = 'DeviceID' AND value <> device").count() == 0
+
+
+def test_stage_times_are_stored(spark):
+    out = scratch_path(spark, "job-times")
+    for _ in range(2):
+        paths = run_job(spark, SF_SMALL, out)
+    rows = spark.read.parquet(paths.stages).collect()
+    assert len({r.launch for r in rows}) == 2
+    last = {r.stage: r for r in rows if r.launch == max(x.launch for x in rows)}
+    assert set(last) == {"parse", *paths} and all(r.seconds > 0 for r in rows)
+    assert {s: r.n_rows for s, r in last.items() if s != "parse"} == {n: paths.metrics[f"{n}_rows"] for n in paths}
+    assert last["parse"].started < last["run_status"].started < last["pattern"].started
+
+
+def test_a_second_launch_puts_into_the_tables_of_the_first(spark, tmp_path):
+    """The first launch sees the older half of the runs, the second all: the tables end as after one launch of all,
+    and a cell that only the first wrote stays."""
+    out, whole = scratch_path(spark, "job-put"), scratch_path(spark, "job-whole")
+    half = tmp_path / "half"
+    half.mkdir()
+    for name in ("customer", "lineitem", "nation", "supplier"):
+        (half / f"{name}.parquet").symlink_to(f"{SF_SMALL}/{name}.parquet")
+    spark.read.parquet(f"{SF_SMALL}/orders.parquet").where("o_orderkey % 2 = 0").write.parquet(str(half / "orders.parquet"))
+    run_job(spark, str(half), out, put=True)
+    first = spark.read.parquet(f"{out}/point_info").count()
+    run_job(spark, SF_SMALL, out, put=True)
+    run_job(spark, SF_SMALL, whole)
+    for name in ("run_status", "image_info", "point_info", "image_summary"):
+        a, b = spark.read.parquet(f"{out}/{name}"), spark.read.parquet(f"{whole}/{name}")
+        assert a.count() == b.count() > 0 and a.select(b.columns).exceptAll(b).count() == 0
+    assert first < spark.read.parquet(f"{out}/point_info").count()
