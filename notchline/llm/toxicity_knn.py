@@ -4,28 +4,30 @@ Exact TF-IDF cosine between every text and labelled examples, over a block-max
 inverted index of the examples; the votes of the ``NEIGHBOURS`` nearest, weighted by
 distance and calibrated, give the score, and the neighbours are its evidence.
 
-Terms are words (runs of letters, lower case) and their beginnings of 4 to 6 letters.
-The vocabulary is the terms whose document counts differ between the two labels
-(chi-square of ``CHI2`` or more, at most ``VOCABULARY`` of them, the highest first);
-a text's vector is (1 + ln tf) * idf over these, of length one. Document counts for idf are
-of all documents.
+Terms are words (runs of letters, lower case), all that the examples hold. A text's vector is
+(1 + ln tf) * idf * (1 + chi2), of length one: chi2 is the chi-square of the term's document counts
+among examples of the two labels, so a term that goes with a label weighs more and none is left out.
+Document counts for idf are of all documents.
 
 What is bounded: the examples, ``EXAMPLES`` labelled rows at most (half of each
-label, those with the smallest hash of their id), and the vocabulary. Index and
-vocabulary are model parameters of bounded size; all else runs over every row.
-
-Index: examples are ordered by their heaviest term and cut into blocks of ``BLOCK``;
-each block has its postings and, for every term, the highest weight in the block.
-A text's weights times these give an upper bound of its cosine with any example of the
-block; blocks are read by falling bound until no bound reaches the k-th best cosine found.
-
-Calibration: each example is scored against the others (leave one out), and
-isotonic regression maps votes to the share of label 1, every label weighted by its true
+label, those with the smallest hash of their id), and with them the vocabulary, the words of their
+texts. Index and vocabulary are model parameters of this size; all else runs over every row.
+
+Index: examples are ordered by their heaviest term and cut into blocks of ``BLOCK``; a posting list is
+cut by block, and each part has the highest weight in it. A text's weights times these give an
+upper bound of its cosine with any example of the block. The blocks with the highest bounds are
+read first; then all whose bound reaches the k-th best cosine found. Terms of many examples are kept as
+columns of a matrix instead of lists (the same sums, in one product a block), and texts are scored
+``BATCH`` at a time.
+
+Calibration: each example is scored against the others (leave one out, a stage over the
+examples), and isotonic regression maps votes to the share of label 1, every label weighted by its true
 count. A text without any vocabulary term gets that share among examples without one.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,16 +37,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from notchline.llm.common import stored, table, text_of
-from notchline.llm.pretokens import Store, encoded, flat, pieces_of
+from notchline.llm.pretokens import STEP
 
 EXAMPLES = 8000
-VOCABULARY = 4096
-CHI2 = 42.0  # p = 1e-10: about 1e-5 chance terms among 1e5 tested
 NEIGHBOURS = 16
 BLOCK = 64
-BEGINNINGS = (4, 5, 6)
+BATCH = 64  # texts scored at once
+FIRST = 2  # blocks read first
+DENSE = 256  # most terms kept as columns, those of the most examples
 FOLDS = 5
-REMEMBERED = 250_000  # words a worker keeps the terms of
+REMEMBERED = 20_000  # texts a worker keeps the neighbours of, for copies
 NEAREST = 0.05  # added to a distance before it divides
 
 
@@ -57,16 +59,6 @@ def _words(text: str = "text") -> Column:
     return F.regexp_extract_all(F.lower(F.col(text)), F.lit(r"\p{L}+"), F.lit(0))
 
 
-def _terms(words: Column) -> Column:
-    """Distinct terms of a text: words, and '^' with the beginning of longer words."""
-
-
-    def beginnings(n: int) -> Column:
-        return F.transform(F.filter(words, lambda w: F.length(w) > n), lambda w: F.concat(F.lit("^"), F.substring(w, 1, n)))
-
-    return F.array_distinct(F.concat(words, *(beginnings(n) for n in BEGINNINGS)))
-
-
 def choose_examples(labels: DataFrame, doc_id: str, label: str, bound: int) -> DataFrame:
     """(id, label): at most ``bound`` rows, half of each label, by the hash of their id."""
     one = labels.groupBy(F.col(doc_id).alias("id")).agg(F.max(label).cast("int").alias("label")).where("id is not null and label in (0, 1)")
@@ -74,44 +66,46 @@ def choose_examples(labels: DataFrame, doc_id: str, label: str, bound: int) -> D
     return half[0].union(half[1])
 
 
-def choose_terms(examples: DataFrame, chi2: float = CHI2, bound: int = VOCABULARY) -> list[str]:
-    """The vocabulary from examples (id, label, text)."""
+def choose_terms(examples: DataFrame) -> tuple[list[str], np.ndarray]:
+    """All terms of the examples (id, label, text), in order, and the chi-square of each; 0 where
+    there is only one label or a term is in every example."""
     sizes = {r.label: r["count"] for r in examples.groupBy("label").count().collect()}
-    n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
-    if not n0 or not n1:
-        return []
-    counts = examples.select("label", F.explode_outer(_terms(_words())).alias("term")).where("term is not null").groupBy("term").agg(F.sum("label").cast("double").alias("a"), F.sum(1 - F.col("label")).cast("double").alias("b"))
-    a, b = F.col("a"), F.col("b")
-    total, seen = n0 + n1, a + b
-    cross = a * (n0 - b) - b * (n1 - a)
-    score = cross * cross * total / (float(n1) * n0 * seen * (total - seen))
-    scored = counts.where(a + b < total).withColumn("chi2", score).where(F.col("chi2") >= chi2)
-    return [r.term for r in scored.orderBy(F.desc("chi2"), "term").limit(bound).collect()]
+    n1, n0 = float(sizes.get(1, 0)), float(sizes.get(0, 0))
+    words = examples.select("label", F.explode(F.array_distinct(_words())).alias("term"))
+    counts = words.groupBy("term").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")).toArrow()  # bounded by the examples
+    terms = counts.column("term").to_pylist()
+    order = sorted(range(len(terms)), key=terms.__getitem__)
+    a, b = (counts.column(c).to_numpy().astype(float)[order] for c in ("a", "b"))
+    cross, rest = a * (n0 - b) - b * (n1 - a), n1 * n0 * (a + b) * (n1 + n0 - a - b)
+    chi2 = np.divide(cross * cross * (n1 + n0), rest, out=np.zeros(len(terms)), where=rest > 0)
+    return [terms[i] for i in order], chi2
 
 
 def term_rows(docs: DataFrame, terms: list[str], doc_id: str, text: str) -> DataFrame:
     """(id, term, tf): for every row the numbers of its vocabulary terms, ascending, and
     how often each occurs. One pass over all texts."""
+    shared = docs.sparkSession.sparkContext.broadcast(terms)  # bounded by the examples
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = {t: i for i, t in enumerate(terms)}
-
-        def of(word: str) -> list[int]:
-            found = [number.get(word), *(number.get("^" + word[:n]) for n in BEGINNINGS if len(word) > n)]
-            return [i for i in found if i is not None]
-
-        store = Store(lambda words: flat([of(w) for w in words]))
-        store.limit = REMEMBERED
-        for rows, found, upto in encoded(batches, store, None):
-            owner = np.repeat(np.arange(len(rows)), np.diff(upto))
-            key, tf = np.unique(owner * max(1, len(terms)) + found, return_counts=True)
-            row, term = np.divmod(key, max(1, len(terms)))
-            off = pa.array(np.searchsorted(row, np.arange(len(rows) + 1)), type=pa.int32())
-            yield pa.RecordBatch.from_arrays([rows, *(pa.ListArray.from_arrays(off, pa.array(x, type=pa.int32())) for x in (term, tf))], names=["id", "term", "tf"])
+        number = {t: i for i, t in enumerate(shared.value)}
+        for b in batches:
+            off = b.column(1).offsets.to_numpy().astype(np.int64)
+            s = 0
+            while s < b.num_rows:  # runs of rows with about STEP words
+                e = max(s + 1, int(np.searchsorted(off, off[s] + STEP, side="right")) - 1)
+                words = b.column(1).values.slice(int(off[s]), int(off[e] - off[s])).dictionary_encode()
+                known = np.fromiter((number.get(w, -1) for w in words.dictionary.to_pylist()), dtype=np.int64, count=len(words.dictionary))
+                found = known[words.indices.to_numpy(zero_copy_only=False)]
+                owner = np.repeat(np.arange(e - s), np.diff(off[s : e + 1]))
+                key, tf = np.unique((owner * max(1, len(number)) + found)[found >= 0], return_counts=True)
+                row, term = np.divmod(key, max(1, len(number)))
+                upto = pa.array(np.searchsorted(row, np.arange(e - s + 1)), type=pa.int32())
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(s, e - s), *(pa.ListArray.from_arrays(upto, pa.array(x, type=pa.int32())) for x in (term, tf))], names=["id", "term", "tf"])
+                s = e
 
     ints = T.ArrayType(T.IntegerType(), False)
     schema = T.StructType([T.StructField("id", docs.schema[doc_id].dataType), T.StructField("term", ints), T.StructField("tf", ints)])
-    return pieces_of(docs, None, doc_id, text, _words()).mapInArrow(run, schema)
+    return docs.select(F.col(f"`{doc_id}`").alias("id"), text_of(f"`{text}`").alias("text")).select("id", _words().alias("words")).mapInArrow(run, schema)
 
 
 def document_counts(rows: DataFrame, n_terms: int) -> np.ndarray:
@@ -125,44 +119,94 @@ def document_counts(rows: DataFrame, n_terms: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(have.astype(np.int32)), pa.array(counts[have])], names=["t", "n"])
 
     out = np.zeros(n_terms)
-    for r in rows.select("term").mapInArrow(run, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).collect():  # a row for each vocabulary term
-        out[r.t] = r.n
+    got = rows.select("term").mapInArrow(run, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()  # a row for each vocabulary term
+    out[got.column("t").to_numpy()] = got.column("n").to_numpy()
     return out
 
 
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[i], ..., start[i] + size[i] - 1 for all i, one after the other."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
 class BlockMax:
     """Block-max inverted index over the examples' unit vectors."""
 
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int = BLOCK):
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int, block: int = BLOCK, dense: int = DENSE):
         lead = [(int(t[np.argmax(w)]), -float(w.max())) for t, w in vectors]
-        self.order = sorted(range(len(vectors)), key=lambda i: (lead[i], i))
-        n_blocks = -(-len(vectors) // block)
-        self.highest = np.zeros((n_terms, n_blocks), dtype=np.float32)
-        self.blocks = []
-        for b in range(n_blocks):
-            members = self.order[b * block : (b + 1) * block]
-            own = np.unique(np.concatenate([vectors[i][0] for i in members]))
-            weights = np.zeros((len(own), len(members)))
-            for k, i in enumerate(members):
-                weights[np.searchsorted(own, vectors[i][0]), k] = vectors[i][1]
-            self.highest[own, b] = weights.max(axis=1)
-            self.blocks.append((own, weights, np.array(members)))
+        order = sorted(range(len(vectors)), key=lambda i: (lead[i], i))
+        self.block, self.n_blocks = block, -(-len(vectors) // block)
+        self.example = np.array(order, dtype=np.int64)  # by place
+        self.place = np.empty(len(order), dtype=np.int64)
+        self.place[self.example] = np.arange(len(order))
+        place = np.repeat(np.arange(len(order)), [len(vectors[i][0]) for i in order])
+        term, weight = (np.concatenate([vectors[i][k] for i in order]) for k in (0, 1))
+        by_term = np.argsort(term, kind="stable")
+        term, place, weight = term[by_term].astype(np.int64), place[by_term], weight[by_term]
+        often = np.bincount(term, minlength=n_terms)
+        top = np.argsort(-often, kind="stable")[:dense]
+        self.column = np.full(n_terms, -1, dtype=np.int64)
+        top = top[often[top] > len(order) // 16]
+        self.column[top] = np.arange(len(top))
+        wide = self.column[term] >= 0
+        self.matrix = np.zeros((self.n_blocks * block, len(top)))
+        self.matrix[place[wide], self.column[term[wide]]] = weight[wide]
+        term, self.at, self.weight = term[~wide], place[~wide], weight[~wide]
+        first = np.flatnonzero((np.diff(term, prepend=-1) != 0) | (np.diff(self.at // block, prepend=-1) != 0))  # parts of lists
+        self.start, self.size = first, np.diff(np.append(first, len(term)))
+        self.part_block = self.at[first] // block
+        self.part_max = np.maximum.reduceat(self.weight, first) if len(first) else np.empty(0)
+        self.parts = np.searchsorted(term[first], np.arange(n_terms + 1))
+        self.column_max = self.matrix.reshape(self.n_blocks, block, len(top)).max(axis=1).T
+
+    def search(self, off: np.ndarray, term: np.ndarray, weight: np.ndarray, k: int, but: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, cosine, example) of the k examples with the highest cosine above 0 of every query, best first,
+        ties by the smaller number; query i has the terms off[i]:off[i + 1]; example ``but[i]`` is left out."""
+        n, nb, width = len(off) - 1, self.n_blocks, self.n_blocks * self.block
+        row, column = np.repeat(np.arange(n), np.diff(off)), self.column[term]
+        wide = column >= 0
+        dense = np.zeros((n, self.matrix.shape[1]))
+        dense[row[wide], column[wide]] = weight[wide]
+        row, term, weight = row[~wide], term[~wide], weight[~wide]
+        size = self.parts[term + 1] - self.parts[term]
+        part = _ranges(self.parts[term], size)
+        of, own = np.repeat(row, size), np.repeat(weight, size)
+        block = self.part_block[part]
+        bound = dense @ self.column_max + np.bincount(of * nb + block, weights=own * self.part_max[part], minlength=n * nb).reshape(n, nb)
+        cosine = np.zeros((n, width))
+
+        def read(wanted: np.ndarray) -> None:
+            for b in np.flatnonzero(wanted.any(axis=0)).tolist():
+                here = np.flatnonzero(wanted[:, b])
+                cosine[here, b * self.block : (b + 1) * self.block] = dense[here] @ self.matrix[b * self.block : (b + 1) * self.block].T
+            keep = wanted[of, block]
+            chosen = part[keep]
+            size = self.size[chosen]
+            at = _ranges(self.start[chosen], size)
+            sums = np.bincount(np.repeat(of[keep] * width, size) + self.at[at], weights=np.repeat(own[keep], size) * self.weight[at], minlength=n * width)
+            cosine.ravel()[:] += sums
+            if but is not None:
+                cosine[np.arange(n), self.place[but]] = 0
+
+        first = np.zeros((n, nb), dtype=bool)
+        first[np.repeat(np.arange(n), min(FIRST, nb)), np.argpartition(-bound, min(FIRST, nb) - 1, axis=1)[:, :FIRST].ravel()] = True
+        first &= bound > 0
+        read(first)
+        kth = min(k, width)
+        read((bound > 0) & ~first & (bound + 1e-9 >= np.partition(cosine, width - kth, axis=1)[:, width - kth, None]))
+        cosine = cosine.round(12)
+        least = np.partition(cosine, width - kth, axis=1)[:, width - kth, None]
+        query, place = np.nonzero((cosine >= least) & (cosine > 0))
+        value, example = cosine[query, place], self.example[place]
+        order = np.lexsort((example, -value, query))
+        query, value, example = query[order], value[order], example[order]
+        rank = np.arange(len(query)) - np.searchsorted(query, query)
+        return query[rank < k], value[rank < k], example[rank < k]
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int, but: int = -1) -> list[tuple[float, int]]:
-        """The k examples with the highest cosine above 0, as (cosine, example), ties
-        by the smaller number; ``but`` is left out."""
-        bound = weight @ self.highest[term]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or len(best) == k and bound[b] + 1e-5 < best[-1][0]:
-                break
-            own, weights, members = self.blocks[b]
-            at = np.searchsorted(own, term)
-            here = (at < len(own)) & (own[np.minimum(at, len(own) - 1)] == term)
-            cosine = weight[here] @ weights[at[here]]
-            good = np.flatnonzero((cosine > 0) & (members != but))
-            best = sorted([*best, *zip(cosine[good].round(12).tolist(), members[good].tolist(), strict=True)], key=lambda x: (-x[0], x[1]))[:k]
-        return best
+        """``search`` for one query, as (cosine, example)."""
+        _, value, example = self.search(np.array([0, len(term)]), np.asarray(term, dtype=np.int64), weight, k, np.array([but]) if but >= 0 else None)
+        return list(zip(value.tolist(), example.tolist(), strict=True))
 
 
 def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -180,61 +224,101 @@ def isotonic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, n
 
 
 class Model:
-    """Examples, idf and calibration; ``score`` is used in tasks."""
-
-    def __init__(self, rows: list, labels: dict, idf: np.ndarray, weights: tuple[float, float], k: int = NEIGHBOURS):
-        self.idf, self.k = idf, k
-        have = sorted((r for r in rows if len(r.term)), key=lambda r: r.id)
-        self.ids, self.labels = [r.id for r in have], np.array([labels[r.id] for r in have], dtype=np.float64)
-        vectors = [self.unit(np.array(r.term), np.array(r.tf)) for r in have]
-        self.index = BlockMax(vectors, len(idf)) if have else None
-        none = [labels[r.id] for r in rows if not len(r.term)]
+    """Examples, term weights and, once ``fit``, calibration; used in tasks."""
+
+    def __init__(self, ids: list, labels: list, vectors: list[tuple[np.ndarray, np.ndarray]], idf: np.ndarray, weights: tuple[float, float], k: int = NEIGHBOURS):
+        self.idf, self.k, self.weights = idf, k, weights
+        have = sorted((i for i in range(len(ids)) if len(vectors[i][0])), key=lambda i: ids[i])
+        self.ids, self.labels = [ids[i] for i in have], np.array([labels[i] for i in have], dtype=np.float64)
+        self.number = {d: i for i, d in enumerate(self.ids)}
+        self.index = BlockMax([self.unit(*vectors[i]) for i in have], len(idf)) if have else None
+        none = [labels[i] for i in range(len(ids)) if not len(vectors[i][0])]
         ones, zeros = sum(none) * weights[1], (len(none) - sum(none)) * weights[0]
         self.without = ones / (ones + zeros) if none else 0.0
-        votes = [self.vote(self.index.nearest(t, w, k, but=i)) for i, (t, w) in enumerate(vectors)]
-        known = np.array([v is not None for v in votes], dtype=bool)
-        x = np.array([v for v in votes if v is not None])
-        y = self.labels[known]
-        self.points, self.values = isotonic(x, y, np.where(y == 1, weights[1], weights[0]))
+        self.points, self.values = np.empty(0), np.empty(0)
 
     def unit(self, term: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         w = (1 + np.log(tf)) * self.idf[term]
         return term, w / np.sqrt((w * w).sum())
 
-    def vote(self, nearest: list[tuple[float, int]]) -> float | None:
-        if not nearest:
-            return None
-        cosine, at = np.array([c for c, _ in nearest]), [i for _, i in nearest]
+    def neighbours(self, off: np.ndarray, term: np.ndarray, tf: np.ndarray, but: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``BlockMax.search`` for rows of terms, ``BATCH`` at a time."""
+        out = []
+        if self.index:
+            w = (1 + np.log(tf)) * self.idf[term]
+            row = np.repeat(np.arange(len(off) - 1), np.diff(off))
+            w /= np.sqrt(np.bincount(row, weights=w * w, minlength=len(off) - 1))[row]
+            for s in range(0, len(off) - 1, BATCH):
+                part = off[s : s + BATCH + 1]
+                where = slice(int(part[0]), int(part[-1]))
+                query, value, example = self.index.search(part - part[0], term[where], w[where], self.k, None if but is None else but[s : s + BATCH])
+                out.append((query + s, value, example))
+        return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.empty(0, dtype=np.int64), np.empty(0), np.empty(0, dtype=np.int64))
+
+    def votes(self, n: int, query: np.ndarray, cosine: np.ndarray, example: np.ndarray) -> np.ndarray:
+        """The vote of each of ``n`` queries; -1 without neighbours."""
         w = 1 / (np.maximum(0, 1 - cosine) + NEAREST)
-        return round(float((w * self.labels[at]).sum() / w.sum()), 9)
+        total = np.bincount(query, weights=w, minlength=n)
+        return np.divide(np.bincount(query, weights=w * self.labels[example], minlength=n), total, out=np.full(n, -1.0), where=total > 0).round(9)
+
+    def fit(self, number: np.ndarray, vote: np.ndarray) -> None:
+        """Calibrate on the examples' votes."""
+        known = vote >= 0
+        y = self.labels[number[known]]
+        self.points, self.values = isotonic(vote[known], y, np.where(y == 1, self.weights[1], self.weights[0]))
 
-    def score(self, term: np.ndarray, tf: np.ndarray) -> tuple[float, list[tuple[float, int]]]:
-        nearest = self.index.nearest(*self.unit(term, tf), self.k) if len(term) and self.index else []
-        vote = self.vote(nearest)
-        if vote is None or not len(self.points):
-            return self.without, nearest
-        return float(np.interp(vote, self.points, self.values)), nearest
+    def scores(self, vote: np.ndarray) -> np.ndarray:
+        if not len(self.points):
+            return np.full(len(vote), self.without)
+        return np.where(vote < 0, self.without, np.interp(vote, self.points, self.values))
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", examples: int = EXAMPLES, carry: str | None = None) -> tuple[Model, DataFrame]:
     """(model, term rows (id, carried, term, tf) of every document). ``labels`` are the rows to learn from; of a
-    doc_id with several the highest counts; nulls and other values than 0 and 1 are passed over."""
+    doc_id with several the highest counts; nulls and other values than 0 and 1 are passed over. Of an example with
+    several texts the least is taken."""
     few = stored(choose_examples(labels, doc_id, label, examples), "examples")
     # the examples are bounded by ``examples`` rows, hence the broadcast
-    texts = docs.select(F.col(doc_id).alias("id"), text_of(text).alias("text")).join(F.broadcast(few), "id").dropDuplicates(["id"])
-    with_text = stored(texts.select("id", "label", "text"), "example-texts")
-    terms = choose_terms(with_text)
-    who = F.struct(F.col(doc_id).alias("id"), (F.col(carry) if carry else F.lit(None)).cast("string").alias("carried"))
-    found = term_rows(docs.select(who.alias("who"), F.col(text).alias("text")), terms, "who", "text")
+    texts = docs.select(F.col(f"`{doc_id}`").alias("id"), text_of(f"`{text}`").alias("text")).join(F.broadcast(few), "id")
+    with_text = stored(texts.groupBy("id", "label").agg(F.min("text").alias("text")), "example-texts")
+    terms, chi2 = choose_terms(with_text)
+    who = F.struct(F.col(f"`{doc_id}`").alias("id"), (F.col(f"`{carry}`") if carry else F.lit(None)).cast("string").alias("carried"))
+    found = term_rows(docs.select(who.alias("who"), F.col(f"`{text}`").alias("text")), terms, "who", "text")
     rows = stored(found.select("id.id", "id.carried", "term", "tf"), "terms")
     n, df = rows.count(), document_counts(rows, len(terms))
-    idf = np.log((1 + n) / (1 + df)) + 1
-    got = rows.join(F.broadcast(few), "id").dropDuplicates(["id"]).collect()
-    known = {r.id: r.label for r in got}
-    true = {r.label: r["count"] for r in labels.groupBy(F.col(label).cast("int").alias("label")).count().collect()}
+    idf = (np.log((1 + n) / (1 + df)) + 1) * (1 + chi2)
+    chosen = stored(term_rows(with_text, terms, "id", "text"), "example-terms")
+    got = chosen.toArrow().combine_chunks()  # bounded by the examples
+    known = {r.id: r.label for r in with_text.select("id", "label").collect()}
+    ids = got.column("id").to_pylist()
+    vectors = [(t.values.to_numpy().astype(np.int64), f.values.to_numpy()) for t, f in zip(*(got.column(c) for c in ("term", "tf")), strict=True)]
+    true = {r.label: r["count"] for r in labels.groupBy(F.col(f"`{label}`").cast("int").alias("label")).count().collect()}
     have = [sum(v == k for v in known.values()) for k in (0, 1)]
     weights = tuple(true.get(k, 0) / have[k] if have[k] else 0.0 for k in (0, 1))
-    return Model(got, known, idf, weights), rows
+    model = Model(ids, [known[i] for i in ids], vectors, idf, weights)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m: Model = shared.value
+        for b in batches:
+            number = np.array([m.number.get(i, -1) for i in b.column(0).to_pylist()], dtype=np.int64)
+            off, term, tf = _flat(b.column(1), b.column(2), number >= 0)
+            number = number[number >= 0]
+            vote = m.votes(len(number), *m.neighbours(off, term, tf, number))
+            yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(vote)], names=["number", "vote"])
+
+    votes = chosen.select("id", "term", "tf").repartition(docs.sparkSession.sparkContext.defaultParallelism).mapInArrow(left_out, "number long, vote double").toArrow()
+    shared.destroy()
+    model.fit(votes.column("number").to_numpy(), votes.column("vote").to_numpy())
+    return model, rows
+
+
+def _flat(term: pa.ListArray, tf: pa.ListArray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(offsets, terms, counts) of the chosen rows."""
+    off = term.offsets.to_numpy().astype(np.int64)
+    size = np.diff(off)[rows]
+    at = _ranges(off[:-1][rows], size)
+    return np.concatenate([[0], np.cumsum(size)]), term.values.to_numpy()[at].astype(np.int64), tf.values.to_numpy()[at]
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", examples: int = EXAMPLES, carry: str | None = None) -> DataFrame:
@@ -247,20 +331,34 @@ def score_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
     kind = docs.schema[doc_id].dataType
     evidence = T.ArrayType(T.StructType([T.StructField("doc_id", kind), T.StructField("label", T.IntegerType()), T.StructField("cosine", T.DoubleType())]))
     schema = T.StructType([T.StructField("id", kind), T.StructField("carried", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("evidence", evidence)])
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by examples and vocabulary
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the examples
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model = shared.value
+        seen: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
+        names = labels_of = None
         for b in batches:
-            scores, shown = [], []
-            shape = pa.list_(pa.struct([("doc_id", b.column(0).type), ("label", pa.int32()), ("cosine", pa.float64())]))
-            term, tf = b.column(2), b.column(3)
-            off, terms, tfs = term.offsets.to_numpy(), term.values.to_numpy(), tf.values.to_numpy()
-            for i in range(b.num_rows):
-                s, nearest = m.score(terms[off[i] : off[i + 1]], tfs[off[i] : off[i + 1]])
-                scores.append(s)
-                shown.append([{"doc_id": m.ids[e], "label": int(m.labels[e]), "cosine": c} for c, e in nearest])
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(scores, type=pa.float64()), pa.array(shown, type=shape)], names=["id", "carried", "score", "evidence"])
+            if names is None:
+                names, labels_of = pa.array(m.ids, type=b.column(0).type), pa.array(m.labels.astype(np.int32))
+            off, terms, tfs = _flat(b.column(2), b.column(3), np.ones(b.num_rows, dtype=bool))
+            keys = [hashlib.blake2b(terms[s:e].tobytes() + tfs[s:e].tobytes(), digest_size=16).digest() for s, e in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
+            if len(seen) > REMEMBERED:
+                seen.clear()
+            new = {key: i for i, key in reversed(list(enumerate(keys))) if key not in seen}
+            at = np.array(sorted(new.values()), dtype=np.int64)
+            size = np.diff(off)[at]
+            where = _ranges(off[:-1][at], size)
+            query, cosine, example = m.neighbours(np.concatenate([[0], np.cumsum(size)]), terms[where], tfs[where])
+            cut = np.searchsorted(query, np.arange(len(at) + 1)).tolist()
+            seen |= {keys[i]: (cosine[s:e], example[s:e]) for i, s, e in zip(at.tolist(), cut[:-1], cut[1:], strict=True)}
+            found = [seen[key] for key in keys]
+            count = np.array([len(c) for c, _ in found], dtype=np.int64)
+            cosine, example = np.concatenate([c for c, _ in found]), np.concatenate([e for _, e in found])
+            score = m.scores(m.votes(b.num_rows, np.repeat(np.arange(b.num_rows), count), cosine, example))
+            picked = pa.array(example, type=pa.int64())
+            shown = pa.StructArray.from_arrays([names.take(picked), labels_of.take(picked), pa.array(cosine)], names=["doc_id", "label", "cosine"])
+            upto = pa.array(np.concatenate([[0], np.cumsum(count)]), type=pa.int32())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(score), pa.ListArray.from_arrays(upto, shown)], names=["id", "carried", "score", "evidence"])
 
     return rows.mapInArrow(run, schema)
 

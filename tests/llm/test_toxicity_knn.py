@@ -73,9 +73,44 @@ def test_held_out_accuracy_and_cosines(spark):
         norm = math.sqrt(sum(v * v for v in w.values()))
         vec[r.id] = {t: v / norm for t, v in w.items()}
     for i in list(out)[:80]:
-        cosine = Counter({j: round(sum(v * vec[j].get(t, 0) for t, v in vec[i].items()), 9) for j in model.ids})
-        want = sorted((c for c in cosine.values() if c > 0), reverse=True)[: X.NEIGHBOURS]
-        assert [round(e.cosine, 9) for e in out[i].evidence] == want
+        cosine = Counter({j: sum(v * vec[j].get(t, 0) for t, v in vec[i].items()) for j in model.ids})
+        want = sorted((c for c in cosine.values() if c > 1e-9), reverse=True)[: X.NEIGHBOURS]
+        got = [e.cosine for e in out[i].evidence]
+        assert len(got) == len(want) and np.allclose(got, want, rtol=0, atol=1e-9)
+        # the score from these neighbours, and the calibration by brute force over the examples
+        near = sorted(((-round(c, 12), j) for j, c in cosine.items() if c > 1e-12))[: X.NEIGHBOURS]
+        if len(near) < 2 or near[-1][0] != min((-round(c, 12) for j, c in cosine.items() if (-round(c, 12), j) not in near), default=None):
+            w = [1 / (max(0, 1 + c) + X.NEAREST) for c, _ in near]
+            vote = round(sum(a * truth[j] for a, (_, j) in zip(w, near, strict=True)) / sum(w), 9)
+            assert abs(out[i].score - float(np.interp(vote, model.points, model.values))) < 1e-6
+    assert model.values.min() >= 0 and model.values.max() <= 1 and len(set(np.round(model.values, 6))) > 1
+
+
+def test_no_term_is_left_out(spark):
+    rows, labels = corpus(120)
+    df, lab = spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model, found = X.train(df, lab)
+    words = {w.lower() for _, t, *_ in rows for w in t.split()}
+    assert len(model.idf) == len(words) and (model.idf > 0).all()
+    assert all(len(r.term) == len({w.lower() for w in rows[r.id][1].split()}) for r in found.collect())
+
+
+def test_search_in_batches_equals_one_by_one_and_dense_equals_lists():
+    rng = np.random.default_rng(8)
+    vectors = []
+    for _ in range(500):
+        t = np.sort(rng.choice(200, rng.integers(1, 40), replace=False, p=(lambda p: p / p.sum())(1 / np.arange(1, 201))))
+        w = rng.random(len(t)) + 0.1
+        vectors.append((t, w / np.sqrt((w * w).sum())))
+    off = np.concatenate([[0], np.cumsum([len(t) for t, _ in vectors])])
+    term, weight = (np.concatenate([v[k] for v in vectors]) for k in (0, 1))
+    got = []
+    for dense in (0, 20, 256):
+        index = X.BlockMax(vectors, 200, block=16, dense=dense)
+        q, c, e = index.search(off, term, weight, 8, np.arange(500))
+        got.append([(int(a), round(float(b), 9)) for a, b in zip(q, c, strict=True)])
+        assert all([x for x, _ in index.nearest(*vectors[i], 8, but=i)] == c[q == i].tolist() for i in range(0, 500, 50))
+    assert got[0] == got[1] == got[2]
 
 
 def test_nulls_empty_texts_repeats_and_labels_that_cannot_be_used(spark):
