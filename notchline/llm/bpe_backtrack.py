@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from notchline.llm.common import table
 from notchline.llm.pretokens import Store, encoded, flat, gather, pieces_of
 
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000  # pairs, of about 150 bytes each
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -59,7 +59,7 @@ class Merges:
                 left, right = self._last_merge(token, rank)
                 self.parts[rank] = (left, right)
                 self.merged[left, right] = rank
-        self.known: dict[tuple[int, int], bool] = {}
+        self.known: dict[int, bool] = {}
 
     def _last_merge(self, token: bytes, rank: int) -> tuple[int, int]:
         """The two tokens left of ``token`` when all merges of a lower rank are done."""
@@ -72,7 +72,7 @@ class Merges:
         return self.ranks[parts[0]], self.ranks[parts[1]]
 
     def beside(self, left: int, right: int) -> bool:
-        key = (left, right)
+        key = left << 32 | right
         if (known := self.known.get(key)) is None:
             known = self._beside(left, right)
             if len(self.known) >= REMEMBERED:

@@ -4,7 +4,7 @@ A tokenizer that works on pre-tokens gives every occurrence of a piece the same
 ids, so a text's ids are its pieces' ids in order. Spark's regular expressions
 split the text; a task looks up the distinct pieces of each batch (Arrow's
 dictionary encoding) and gathers the ids with numpy, so Python code runs for
-distinct pieces only. What a worker remembers is bounded by ``STORE``.
+distinct pieces only. What a worker remembers is bounded by ``STORE`` bytes.
 
 Splitting patterns use character classes whose members differ between Unicode
 versions. Texts with a character outside ``KNOWN`` (where the versions agree) go
@@ -24,7 +24,8 @@ from notchline.llm.common import text_of
 
 #: Characters whose classes are the same in every Unicode version in use.
 KNOWN = r"\x{0}-\x{24F}\x{2010}-\x{2027}\x{2030}-\x{205E}\x{3041}-\x{3096}\x{30A1}-\x{30FA}\x{4E00}-\x{9FA5}"
-STORE = 1_000_000
+STORE = 64 << 20  # bytes, about
+PIECE = 150  # bytes that a remembered piece takes besides its characters and ids
 STEP = 1 << 19
 
 
@@ -44,15 +45,17 @@ class Store:
 
     def clear(self) -> None:
         self.at: dict[str, int] = {}
+        self.held = 0
         self.pool = np.empty(1 << 16, dtype=np.uint32)
         self.start, self.size = np.empty(1 << 14, dtype=np.int64), np.empty(1 << 14, dtype=np.int64)
         self.used = 0
 
     def numbers(self, pieces: list[str]) -> np.ndarray:
         """The number of each piece; new ones are encoded first."""
-        if len(self.at) + len(pieces) > self.limit:
-            self.clear()
         new = [p for p in pieces if p not in self.at]
+        if new and self.held > self.limit:
+            self.clear()
+            new = pieces
         if new:
             ids, sizes = self.encode(new)
             n, total = len(self.at), len(ids)
@@ -64,6 +67,7 @@ class Store:
             self.size[n : n + len(new)] = sizes
             self.pool[self.used : self.used + total] = ids
             self.used += total
+            self.held += PIECE * len(new) + sum(map(len, new)) + 4 * total
             self.at.update(zip(new, range(n, n + len(new)), strict=True))
         at = self.at
         return np.fromiter((at[p] for p in pieces), dtype=np.int64, count=len(pieces))
@@ -75,13 +79,16 @@ def gather(pool: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return pool[np.repeat(start - before, size) + np.arange(int(size.sum()))]
 
 
-def pieces_of(docs: DataFrame, pattern: str | None, doc_id: str, text: str, split: Column | None = None) -> DataFrame:
+def pieces_of(docs: DataFrame, pattern: str | None, doc_id: str, text: str, split: Column | None = None, added: list[str] | None = None) -> DataFrame:
     """(id, pieces, whole): pieces of the text by ``pattern`` (or by ``split``, an array
-    expression over ``text``); ``whole`` has the texts that the tokenizer must split."""
+    expression over ``text``); ``whole`` has the texts that the tokenizer must split, such as those that hold one of
+    its ``added`` tokens. A text of as many bytes as characters is ASCII and needs no look at its characters."""
     src = docs.select(F.col(doc_id).alias("id"), text_of(text).alias("text"))
     if split is not None:
         return src.select("id", split.alias("pieces"), F.lit(None).cast("string").alias("whole"))
-    odd = F.col("text").rlike(f"[^{KNOWN}]")
+    odd = (F.octet_length("text") != F.length("text")) & F.col("text").rlike(f"[^{KNOWN}]")
+    for token in added or []:
+        odd = odd | F.col("text").contains(token)
     found = F.regexp_extract_all("text", F.lit("(?U)" + pattern), F.lit(0))
     none = F.array().cast("array<string>")
     return src.select("id", F.when(odd, none).otherwise(found).alias("pieces"), F.when(odd, F.col("text")).alias("whole"))

@@ -3,7 +3,9 @@
 A shard holds the ids of consecutive documents, about ``SHARD`` of them (a document is
 never cut). Re-Pair replaces frequent pairs of neighbours by new symbols, again and
 again: a round replaces every pair that occurs at least as often as the round's
-threshold, then the threshold falls, until pairs under ``LEAST`` occurrences are left.
+threshold, then the threshold falls to ``LEAST``, and rounds go on until no pair is left that can be
+replaced that often. Rounds find pairs by hash bins, each round by another hash; a round
+that finds none is repeated by sorting, which misses none, before the shard is done.
 A shard stores its rules (left and right part, by ascending symbol), the first symbol of each
 round, the length of every rule's expansion, and the remaining sequence in bit
 planes. Lengths make it possible to decode any run of ids alone: running sums of
@@ -11,7 +13,8 @@ the lengths tell which symbols of the sequence cover the run.
 
 The file format is Parquet with one row a shard (Spark's commit protocol makes the write
 whole when executors are lost). Shards follow in ascending id order: rows are range-partitioned
-and sorted by id, ties by text; null ids come first. ``start`` of a document is the number of ids before it:
+and sorted by id, ties by text as far as ``TIES`` characters tell; null ids come first. Rows of one id, or without one, are
+dealt over as many tasks as they need. ``start`` of a document is the number of ids before it:
 the sum of the partitions before (as many rows as there are partitions), of the
 shards before it in its partition, and of the documents before it in its shard.
 """
@@ -30,20 +33,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from notchline.llm.common import scratch_path, table, text_of
-from notchline.llm.pretokens import Store, encoded, pieces_of
+from notchline.llm.pretokens import Store, encoded, gather, pieces_of
 
 SHARD = 1 << 18
 LEAST = 8
-ROUNDS = 5
+TIES = 16
 WORDS = 500
 #: Prime multipliers of the pair hash.
 MIX = (np.uint32(2654435761), np.uint32(2246822519))
 
 
-def _pairs_of(a: np.ndarray, bins_log2: int, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+def _by_hash(a: np.ndarray, bins_log2: int, threshold: int, turn: int) -> tuple[np.ndarray, np.ndarray]:
     """(places whose pair occurs ``threshold`` times or more, bin of each). Of pairs that
     share a hash bin one is looked at in this round, the others in later ones."""
-    bins = (a[:-1] * MIX[0] ^ a[1:] * MIX[1]) >> np.uint32(32 - bins_log2)
+    bins = ((a[:-1] ^ np.uint32(turn * 40503)) * MIX[0] ^ a[1:] * MIX[1]) >> np.uint32(32 - bins_log2)
     holder = np.zeros(1 << bins_log2, dtype=np.uint32)
     holder[bins] = np.arange(len(bins), dtype=np.uint32)
     first = holder[bins]
@@ -53,50 +56,69 @@ def _pairs_of(a: np.ndarray, bins_log2: int, threshold: int) -> tuple[np.ndarray
     return at, bins[at]
 
 
+def _by_sort(a: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same of all pairs, numbered instead of binned."""
+    pair = a[:-1].astype(np.uint64) << np.uint64(32) | a[1:]
+    order = np.argsort(pair, kind="stable")
+    ranked = pair[order]
+    first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
+    size = np.diff(np.append(first, len(ranked)))
+    number = np.repeat(np.where(size >= threshold, np.cumsum(size >= threshold) - 1, -1), size)
+    at = order[number >= 0]
+    back = np.argsort(at, kind="stable")
+    return at[back], number[number >= 0][back]
+
+
 def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(sequence, left parts, right parts, first symbol of each round) of ``ids`` below ``base``."""
     a = ids.astype(np.uint32)
     left, right, rounds, top = [], [], [], base
     bins_log2 = max(8, min(17, len(a).bit_length()))
-    for k in range(ROUNDS):
-        threshold = max(LEAST, len(ids) >> 9 + 2 * k)
-        if len(a) < 2 * LEAST:
-            break
-        at, bins = _pairs_of(a, bins_log2, threshold)
-        if not len(at):
-            continue
+    threshold, turn, sort = max(LEAST, len(ids) >> 9), 0, False
+    while len(a) >= 2 * LEAST:
+        at, kind = _by_sort(a, threshold) if sort else _by_hash(a, bins_log2, threshold, turn)
+        turn += 1
         run = np.maximum.accumulate(np.where(np.diff(at, prepend=-2) > 1, np.arange(len(at)), 0))
         free = (np.arange(len(at)) - run) % 2 == 0  # of places that overlap, every second one
-        at, bins = at[free], bins[free]
-        uses = np.bincount(bins, minlength=1 << bins_log2)
+        at, kind = at[free], kind[free]
+        uses = np.bincount(kind)
         used = uses >= LEAST // 2
-        at, bins = at[used[bins]], bins[used[bins]]
+        chosen = used[kind]
+        at, kind = at[chosen], kind[chosen]
         if not len(at):
+            if threshold > LEAST:
+                threshold = max(LEAST, threshold >> 2)
+            elif sort:
+                break
+            else:
+                sort = True
             continue
         symbol = np.cumsum(used, dtype=np.int64) - 1 + top
         where = np.zeros(len(used), dtype=np.int64)
-        where[bins] = at
+        where[kind] = at
         left.append(a[where[used]])
         right.append(a[where[used] + 1])
         rounds.append(top)
         top += int(used.sum())
-        a[at] = symbol[bins]
+        a[at] = symbol[kind]
         a = np.delete(a, at + 1)
+        threshold, sort = max(LEAST, threshold >> 2), False
     empty = np.empty(0, dtype=np.uint32)
     return a, np.concatenate([empty, *left]), np.concatenate([empty, *right]), np.array(rounds, dtype=np.uint32)
 
 
 def expand(sequence: np.ndarray, left: np.ndarray, right: np.ndarray, rounds: np.ndarray, base: int) -> np.ndarray:
-    """The ids of a sequence: the symbols of each round, the last first, become their two parts."""
-    a = sequence
-    for first in rounds[::-1].tolist():
-        at = np.flatnonzero(a >= first)
-        rule = a[at] - np.uint32(base)
-        out = np.repeat(a, 1 + (a >= first))
-        to = at + np.arange(len(at))
-        out[to], out[to + 1] = left[rule], right[rule]
-        a = out
-    return a
+    """The ids of a sequence: the expansions of all rules, round by round from those before, in one
+    pool, and the sequence's symbols out of it."""
+    size = np.concatenate([np.ones(base, dtype=np.int64), lengths_of(left, right, rounds, base)])
+    pool = np.empty(int(size.sum()), dtype=np.uint32)
+    pool[:base] = np.arange(base)
+    start = np.cumsum(size) - size
+    for s, e in zip(rounds.tolist(), [*rounds[1:].tolist(), base + len(left)], strict=False):
+        parts = np.stack([left[s - base : e - base], right[s - base : e - base]], axis=1).ravel()
+        whole = gather(pool, start[parts], size[parts])
+        pool[start[s] : start[s] + len(whole)] = whole
+    return gather(pool, start[sequence], size[sequence])
 
 
 def lengths_of(left: np.ndarray, right: np.ndarray, rounds: np.ndarray, base: int) -> np.ndarray:
@@ -157,7 +179,6 @@ class _Codec:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # in a text they are ordinary text
         self.store = Store(self.encode)
         self.base = self.tokenizer.get_vocab_size()
         #: bytes of each token: a byte-level vocabulary spells a byte as one character
@@ -183,10 +204,18 @@ class _Codec:
     def whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
+    @staticmethod
+    def added(path: str) -> list[str]:
+        """The tokens that the library takes out of a text before it splits it."""
+        from tokenizers import Tokenizer
+
+        return [t.content for t in Tokenizer.from_file(path).get_added_tokens_decoder().values()]
+
 
 def write_shards(docs: DataFrame, out: str, tokenizer: str, pattern: str, end_id: int = 0, doc_id: str = "doc_id", text: str = "text", shard: int = SHARD) -> None:
     """Encode every whole text with the tokenizer file ``tokenizer`` (whose byte-level
-    splitting is ``pattern``), append ``end_id`` to each document, and write shards to
+    splitting is ``pattern``) as the library does by default (a text that holds one of its added tokens is encoded
+    whole by it), append ``end_id`` to each document, and write shards to
     ``out``. A null text counts as empty (its only id is ``end_id``), repeated rows are
     written each, other columns are not read, an empty table gives no shards."""
 
@@ -227,8 +256,10 @@ def write_shards(docs: DataFrame, out: str, tokenizer: str, pattern: str, end_id
     kind = docs.schema[doc_id].dataType
     schema = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("seq", T.IntegerType()), *(T.StructField(c, T.LongType()) for c in ("before", "n_tokens", "n_symbols", "base")), T.StructField("doc_ids", T.ArrayType(kind)), T.StructField("doc_tokens", T.ArrayType(T.LongType())), *(T.StructField(c, T.BinaryType()) for c in _BINARY)])
     src = docs.select(F.col(doc_id).alias("id"), text_of(text).alias("text"))
-    ordered = src.repartitionByRange("id").sortWithinPartitions("id", "text")
-    pieces_of(ordered, pattern, "id", "text").mapInArrow(run, schema).write.parquet(out)
+    # rows that are alike up to here are dealt by their hash, and equal rows by their number
+    spread = [F.substring("text", 1, TIES), F.xxhash64("text"), F.monotonically_increasing_id() % 1024]
+    ordered = src.withColumns({f"__{i}": c for i, c in enumerate(spread)}).repartitionByRange("id", "__0", "__1", "__2").sortWithinPartitions("id", "__0", "text")
+    pieces_of(ordered, pattern, "id", "text", added=_Codec.added(tokenizer)).mapInArrow(run, schema).write.parquet(out)
 
 
 def _shards(b: pa.RecordBatch) -> Iterator[tuple[dict, Shard]]:

@@ -28,10 +28,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from notchline.llm.common import table
-from notchline.llm.pretokens import STEP, STORE, pieces_of
+from notchline.llm.pretokens import STEP, pieces_of
 
 SPACE = "▁"
 SEGMENTS = " *[^ ]+| +"
+KEPT = 1_000_000  # segments a worker remembers
 
 
 def load_vocabulary(path: str) -> list[tuple[str, float]]:
@@ -89,7 +90,7 @@ class Counter:
 
     def of_segments(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
         seen = self.seen
-        if len(seen) + len(segments) > STORE:
+        if len(seen) + len(segments) > KEPT:
             seen.clear()
         for s in segments:
             if s not in seen:

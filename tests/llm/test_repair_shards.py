@@ -35,8 +35,7 @@ def test_round_trip_and_runs(n, k):
 @pytest.mark.parametrize("shard", [R.SHARD, 40])
 def test_documents(spark, tmp_path, shard):
     tok = Tokenizer.from_file(PATH)
-    tok.encode_special_tokens = True
-    texts = [*ODD, "<|endoftext|> x", *(f"some words and number {i} " * (i % 40) for i in range(200))]
+    texts = [*ODD, "<|endoftext|> x", "a <|endoftext|> b", "<|endoftext|>", "<|endoftext", *(f"some words and number {i} " * (i % 40) for i in range(200))]
     rows = [(i * 3, t, 5) for i, t in enumerate(texts)] + [(-4, None, 5), (None, "null id", 5), (9, "tie a", 5), (9, "tie a", 5)]
     df = spark.createDataFrame(rows, "doc_id long, text string, part int").repartition(5)
     out = str(tmp_path / "shards")
@@ -57,3 +56,29 @@ def test_empty_table(spark, tmp_path):
     out = str(tmp_path / "none")
     R.write_shards(spark.createDataFrame([], "doc_id long, text string"), out, PATH, P.PATTERN)
     assert R.read_documents(spark, out).collect() == []
+
+
+def test_no_pair_is_left_that_occurs_often():
+    rng = np.random.default_rng(6)
+    words = [rng.integers(0, 300, 40) for _ in range(30)]
+    for ids in (np.concatenate([words[i] for i in rng.integers(0, 30, 900)]), np.tile(np.arange(50), 400), np.zeros(5000, dtype=np.int64), rng.integers(0, 9, 30000)):
+        seq, left, right, rounds = R.compress(ids.astype(np.uint32), 300)
+        assert (R.expand(seq, left, right, rounds, 300) == ids).all()
+        pairs, n = np.unique(np.stack([seq[:-1], seq[1:]]), axis=1, return_counts=True)
+        apart = pairs[0] != pairs[1]  # of a run of one symbol every second place can be replaced
+        assert not len(n) or n[apart].max(initial=0) < R.LEAST and n[~apart].max(initial=0) < 2 * R.LEAST
+
+
+def test_one_id_is_dealt_over_many_tasks(spark, tmp_path):
+    out = str(tmp_path / "hot")
+    rows = [(None if i % 2 else 7, f"text {i % 5} " * 20) for i in range(4000)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        R.write_shards(spark.createDataFrame(rows, "doc_id long, text string").repartition(8), out, PATH, P.PATTERN)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sizes = [r.n for r in spark.read.parquet(out).selectExpr("part", "size(doc_ids) AS n").groupBy("part").sum("n").withColumnRenamed("sum(n)", "n").collect()]
+    assert len(sizes) >= 6 and max(sizes) < 1500
+    got = sorted((r.start, r.n_tokens, r.id) for r in R.read_documents(spark, out).collect())
+    assert len(got) == 4000 and [r[2] for r in got] == [None] * 2000 + [7] * 2000
+    assert all(a[0] + a[1] == b[0] for a, b in zip(got, got[1:], strict=False))
