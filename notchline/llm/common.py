@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from notchline.session import scratch_path
 from notchline.sources import tables
 
-__all__ = ["table", "stored", "drop_stored", "text_of", "scratch_path", "without", "id_text_key"]
+__all__ = ["table", "stored", "drop_stored", "text_of", "scratch_path", "without", "id_text_key", "named", "every", "fresh"]
 
 #: Most rows of ids (about 100 bytes each on a worker) that are broadcast.
 BROADCAST_IDS = 500_000
@@ -54,20 +54,39 @@ def drop_stored(df: DataFrame) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def named(name: str) -> Column:
+    """The column of this very name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def every(df: DataFrame) -> list[Column]:
+    """All columns of ``df``."""
+    return [named(c) for c in df.columns]
+
+
+def fresh(name: str, *frames: DataFrame) -> str:
+    """``name``, longer as needed not to be a column of ``frames`` (in any case)."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_of(col: str = "text") -> Column:
     """The text column with null read as the empty text."""
-    return F.coalesce(F.col(col).cast("string"), F.lit(""))
+    return F.coalesce((F.col(col) if col.startswith("`") else named(col)).cast("string"), F.lit(""))
 
 
 def without(rows: DataFrame, gone: DataFrame, on: Column, kind: str = "left_anti") -> DataFrame:
     """``rows`` whose ``on`` (never null) is not among the values of ``gone``' only column
     (among them, if ``kind`` is 'left_semi'). These are broadcast if they are counted to
     be few, else the join shuffles."""
-    gone = gone.select(F.col(gone.columns[0]).alias("__gone")).distinct()
+    name = fresh("__gone", rows)
+    gone = gone.select(named(gone.columns[0]).alias(name)).distinct()
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    return rows.join(gone, on == F.col("__gone"), kind)
+    return rows.join(gone, on == F.col(name), kind)
 
 
 def id_text_key(doc_id: str, text: str) -> Column:
     """A string that stands for a row's id (null included) and text."""
-    return F.concat_ws("-", F.coalesce(F.col(doc_id).cast("string"), F.lit("null")), F.hex(F.xxhash64(text_of(text))))
+    return F.concat_ws("-", F.coalesce(named(doc_id).cast("string"), F.lit("null")), F.hex(F.xxhash64(text_of(text))))

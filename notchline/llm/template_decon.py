@@ -10,16 +10,23 @@ item) and the slots are consistent: within the cover, equal item values of one t
 go to equal document values, and different ones to different ones. So a question with other numbers
 and names is found, and a text that only shares a template is not.
 
-With ``whole`` (the query has it) more is found: (1) pieces on diagonals up to ``NEAR`` off a middle
+With ``whole`` (the query and the pipeline have it) more is found: (1) pieces on diagonals up to ``NEAR`` off a middle
 one add up, and a run of names is one placeholder too, so that 'Mary Ann' can stand for 'Tom'; (2)
 of slots in conflict the most frequent values stay, and the alignment counts if the
 tokens without the others still reach the cover; (3) whatever the template, ``COVER`` item tokens in a row
-(or the whole of a shorter item, however short) that stand word for word in the text, in any case.
+(or the whole of a shorter item of ``SMALLEST`` tokens or more) that stand word for word in the text, in any case.
 
-DataFrame functions only. Every document position is a window; the items'
-windows, if they number ``BROADCAST`` or less, are broadcast (24 bytes each), else the join shuffles.
+The whole search first finds the texts that can hold anything at all. Whatever is found rests on a run of ``WINDOW``
+template tokens or of ``COVER`` words that item and text share, and such a run holds a gram of about half its length that
+begins at a multiple of that length in the text. So a text is hashed at every fourth template place and at every
+seventh word only, against all grams of the items; texts without a common gram are done, and the windows
+of every place are made for the others alone.
+
+DataFrame functions only. The items' grams and windows, if they number ``BROADCAST`` or less, are broadcast
+(24 bytes each), else the join shuffles. Texts are tokenised once; the form with runs of names comes from the tokens.
 Slots are checked on documents with a match only. Items with fewer than ``WINDOW`` tokens
 have no template window and are found word for word only; windows with fewer than ``LITERAL`` plain words are no template evidence.
+Items of one word are not searched: they would mark every text with the word. Columns of any name are left as they are.
 """
 
 from __future__ import annotations
@@ -27,13 +34,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notchline.llm.common import stored, table, text_of, without
+from notchline.llm.common import every, named, stored, table, text_of, without
 
 WINDOW = 8
 LITERAL = 4
 COVER = 13
 NEAR = 4
+SMALLEST = 2
 BROADCAST = 1_000_000
+SALTS = 16  # a hot text's rows are joined in so many parts
 
 # Units of measure that stand beside a number
 UNITS = [
@@ -46,8 +55,6 @@ UNITS = [
     "%", "$", "€", "£",
 ]
 _TOKEN = r"[\p{L}\p{M}]+|[0-9]+(?:[.,:/][0-9]+)*|[%$€£]"
-_NAME = r"[\p{L}\p{M}&&[^\p{Lu}\p{Lt}]]*+[\p{Lu}\p{Lt}][\p{L}\p{M}]*+"
-_RUNS = rf"{_NAME}(?:\s+{_NAME})*+|{_TOKEN}"
 #: Placeholder codes in place of a word's hash.
 NUM, UNIT, NAME = 1, 2, 3
 #: The form of windows compared word for word; 0 and 1 are templates without and with runs of names.
@@ -65,14 +72,15 @@ def _is_num(t: Column) -> Column:
 def template_of(tokens: str) -> Column:
     """Codes of the tokens column: a placeholder's number, or the hash of the word."""
     col = F.col(tokens)
+    both = F.transform(col, lambda t: F.struct(t.alias("t"), F.lower(t).alias("low")))  # lower case is made once a token
 
-    def code(t: Column, i: Column) -> Column:
+    def code(x: Column, i: Column) -> Column:
+        t, low = x["t"], x["low"]
         beside = _is_num(F.get(col, i - 1)) | _is_num(F.get(col, i + 1))
-        low = F.lower(t)
         unit = (F.length(t) <= 8) & low.isin(UNITS)
-        return F.when(_is_num(t), F.lit(NUM).cast("long")).when(unit & beside, F.lit(UNIT).cast("long")).when(low != t, F.lit(NAME).cast("long")).otherwise(F.xxhash64(low))
+        return F.when(_is_num(t), F.lit(NUM).cast("long")).when(beside & unit, F.lit(UNIT).cast("long")).when(low != t, F.lit(NAME).cast("long")).otherwise(F.xxhash64(low))
 
-    return F.transform(col, code)
+    return F.transform(both, code)
 
 
 def _is_slot(code: Column) -> Column:
@@ -91,20 +99,62 @@ def _hashed_windows(codes: Column, width: int, seed: int) -> Column:
     return F.when(n >= width, each).otherwise(F.array().cast("array<bigint>"))
 
 
+def _coded(df: DataFrame) -> DataFrame:
+    """Adds t0 (tokens), c0 (their codes), c1 (codes with each run of names as one) and ``words``: hashes of the
+    tokens without regard to case (ß is ss)."""
+    df = df.withColumn("t0", tokens_of(F.col("text"))).withColumn("c0", template_of("t0"))
+    goes_on = lambda c, i: (c == NAME) & F.coalesce(F.get("c0", i - 1) == NAME, F.lit(False))
+    df = df.withColumn("c1", F.filter("c0", lambda c, i: ~goes_on(c, i)))
+    return df.withColumn("words", F.transform("t0", lambda t: F.xxhash64(F.replace(F.lower(t), F.lit("ß"), F.lit("ss")))))
+
+
 def _forms(df: DataFrame) -> DataFrame:
-    """Adds t0, t1 (tokens as they are, and with runs of names as one), their codes c0, c1 and windows w0, w1
-    (none in w1 if the text has no run); ``words``: hashes of the tokens without regard to case (ß is ss)."""
-    df = df.withColumn("t0", tokens_of(F.col("text"))).withColumn("t1", F.regexp_extract_all("text", F.lit(_RUNS), F.lit(0)))
-    df = df.withColumn("c0", template_of("t0")).withColumn("c1", template_of("t1"))
-    df = df.withColumn("words", F.transform("t0", lambda t: F.xxhash64(F.replace(F.lower(t), F.lit("ß"), F.lit("ss")))))
+    """``_coded`` with t1 (tokens with each run of names as one) and the windows w0, w1 of both forms (none in w1 if the
+    text has no run)."""
+    df = _coded(df)
+    begins = lambda i: ~((F.get("c0", i) == NAME) & F.coalesce(F.get("c0", i - 1) == NAME, F.lit(False)))
+    places = F.when(F.size("c0") > 0, F.sequence(F.lit(0), F.size("c0") - 1)).otherwise(F.array().cast("array<int>"))
+    df = df.withColumn("__at", F.filter(places, begins))
+    piece = lambda s, k: F.array_join(F.slice("t0", s + 1, F.coalesce(F.get("__at", k + 1), F.size("t0")) - s), " ")
+    df = df.withColumn("t1", F.transform("__at", piece)).drop("__at")
     none = F.array().cast("array<bigint>")
     return df.withColumn("w0", _hashed_windows(F.col("c0"), WINDOW, 0)).withColumn("w1", F.when(F.size("t0") == F.size("t1"), none).otherwise(_hashed_windows(F.col("c1"), WINDOW, 0)))
 
 
-def _keyed(docs: DataFrame, text: str) -> DataFrame:
+def _grams(codes: Column, width: int, seed: int, step: int = 1) -> Column:
+    """Hashes of the grams of ``width`` codes that begin at multiples of ``step``."""
+    n = F.size(codes)
+    each = F.transform(F.sequence(F.lit(1), n - (width - 1), F.lit(step)), lambda i: F.xxhash64(F.slice(codes, i, F.lit(width)), F.lit(seed)))
+    return F.when(n >= width, each).otherwise(F.array().cast("array<bigint>"))
+
+
+def _half(n: int) -> int:
+    """The longest gram that every run of ``n`` holds at a multiple of its length."""
+    return (n + 1) // 2
+
+
+def possible(texts: DataFrame, items: DataFrame, lengths: list[int]) -> DataFrame:
+    """(__key) of the texts (__key, text) that share a gram with an item; see the module."""
+    width = _half(WINDOW)
+    grams = [items.select(F.explode(_grams(F.col(c), width, -1)).alias("h")) for c in ("c0", "c1")]
+    for n in lengths:
+        mine = items.where(F.size("t0") == n if n < COVER else F.size("t0") >= n)
+        grams.append(mine.select(F.explode(_grams(F.col("words"), _half(n), n)).alias("h")))
+    known = grams[0]
+    for g in grams[1:]:
+        known = known.union(g)
+    known = stored(known.distinct(), "item-grams")
+    few = known.count() <= BROADCAST
+    runs = F.when(F.size("c0") == F.size("c1"), F.array().cast("array<bigint>")).otherwise(_grams(F.col("c1"), width, -1, width))
+    own = F.concat(_grams(F.col("c0"), width, -1, width), runs, *[_grams(F.col("words"), _half(n), n, _half(n)) for n in lengths])
+    each = _coded(texts).select("__key", F.explode_outer(own).alias("h"))
+    return each.join(F.broadcast(known) if few else known, "h", "left_semi").select("__key").distinct()
+
+
+def _key(text: str) -> Column:
     """128 bits that stand for a text: equal texts share their result."""
     t = text_of(text)
-    return docs.withColumn("__key", F.concat_ws("-", F.hex(F.xxhash64(t)), F.hex(F.xxhash64(t, F.lit(1)))))
+    return F.concat_ws("-", F.hex(F.xxhash64(t)), F.hex(F.xxhash64(t, F.lit(1))))
 
 
 def _windows(df: DataFrame, *keep: str) -> DataFrame:
@@ -115,7 +165,7 @@ def _windows(df: DataFrame, *keep: str) -> DataFrame:
 
 def bench_items(bench: DataFrame, item_id: str, text: str) -> DataFrame:
     """(item, items, tokens, codes): one row for each distinct token list, ``items`` its ids."""
-    b = bench.select(F.col(item_id).alias("id"), tokens_of(text_of(text)).alias("tokens")).where(F.size("tokens") >= WINDOW)
+    b = bench.select(named(item_id).alias("id"), tokens_of(text_of(text)).alias("tokens")).where(F.size("tokens") >= WINDOW)
     one = b.groupBy("tokens").agg(F.min("id").alias("item"), F.array_sort(F.collect_set("id")).alias("items"))
     return one.withColumn("codes", template_of("tokens"))
 
@@ -130,7 +180,7 @@ def _consistent(pairs: Column) -> Column:
 
 def whole_alignments(docs: DataFrame, bench: DataFrame, text: str, item_id: str, bench_text: str) -> DataFrame:
     """``alignments`` with neighbouring diagonals, runs of names and the consistent part of slots."""
-    b = bench.select(F.col(item_id).alias("id"), text_of(bench_text).alias("text")).where(F.size(tokens_of(F.col("text"))) > 0)
+    b = bench.select(named(item_id).alias("id"), text_of(bench_text).alias("text")).where(F.size(tokens_of(F.col("text"))) >= SMALLEST)
     one = b.groupBy("text").agg(F.min("id").alias("item"), F.array_sort(F.collect_set("id")).alias("items"))
     items = stored(_forms(one.withColumn("item", F.xxhash64("text"))), "items")
     each = [items.select("item", F.lit(g).alias("g"), F.col(f"c{g}").alias("codes"), F.posexplode(f"w{g}").alias("ipos", "h")) for g in (0, 1)]
@@ -142,11 +192,12 @@ def whole_alignments(docs: DataFrame, bench: DataFrame, text: str, item_id: str,
         wins = wins.union(mine.select(F.posexplode(_hashed_windows(F.col("words"), n, n)).alias("ipos", "h"), "item").select("h", "item", F.lit(VERBATIM).alias("g"), "ipos"))
     wins = stored(wins, "item-windows")
     few = wins.count() <= BROADCAST
-    texts = _keyed(docs, text).select("__key", text_of(text).alias("text"))
+    texts = docs.select(_key(text).alias("__key"), text_of(text).alias("text"))
+    texts = without(texts, stored(possible(texts, items, lengths), "possible"), F.col("__key"), "left_semi")
     ends = F.array(F.size("w0"), F.size("w0") + F.size("w1"))
     verbatim = [_hashed_windows(F.col("words"), n, n) for n in lengths]
-    every = _forms(texts).select("__key", ends.alias("ends"), F.posexplode_outer(F.concat("w0", "w1", *verbatim)).alias("at", "h"))
-    hits = every.join(F.broadcast(wins) if few else wins, "h")
+    places = _forms(texts).select("__key", ends.alias("ends"), F.posexplode_outer(F.concat("w0", "w1", *verbatim)).alias("at", "h"))
+    hits = places.join(F.broadcast(wins) if few else wins, "h")
     f = F.when(F.col("at") < F.col("ends")[0], 0).when(F.col("at") < F.col("ends")[1], 1).otherwise(VERBATIM)
     start = F.when(f == 0, 0).when(f == 1, F.col("ends")[0]).otherwise(F.col("ends")[1])
     # positions of verbatim windows count from the first one of any length: a diagonal of one item has one length
@@ -168,7 +219,7 @@ def whole_alignments(docs: DataFrame, bench: DataFrame, text: str, item_id: str,
     cells = cells.groupBy(*side, "middle").agg(F.collect_list(F.struct("ip", (F.col("ip") + F.col("by.shift")).alias("pos"))).alias("cells"))
     found = stored(cells, "alignments")
     again = without(texts, found.select("__key"), F.col("__key"), "left_semi").dropDuplicates(["__key"])
-    theirs = again.select("__key", tokens_of(F.col("text")).alias("d0"), F.regexp_extract_all("text", F.lit(_RUNS), F.lit(0)).alias("d1"))
+    theirs = _forms(again).select("__key", F.col("t0").alias("d0"), F.col("t1").alias("d1"))
     both = found.join(theirs, "__key").join(items.select("item", "items", "t0", "t1", "c0", "c1"), "item")
     pick = lambda by, x: F.when(F.col(by) == 0, F.col(f"{x}0")).otherwise(F.col(f"{x}1"))
     both = both.select("__key", "item", "items", "cells", least.alias("least"), pick("f", "d").alias("theirs"), pick("g", "t").alias("mine"), pick("g", "c").alias("codes"))
@@ -192,7 +243,7 @@ def alignments(docs: DataFrame, bench: DataFrame, text: str = "text", item_id: s
     literal = F.size(F.filter(F.slice("codes", F.col("ipos") + 1, F.lit(WINDOW)), lambda c: ~_is_slot(c)))
     wins = stored(wins.where(literal >= LITERAL).select("h", "item", "ipos"), "item-windows")
     few = wins.count() <= BROADCAST
-    texts = _keyed(docs, text).select("__key", text_of(text).alias("text"))
+    texts = docs.select(_key(text).alias("__key"), text_of(text).alias("text"))
     hits = _windows(texts, "__key").join(F.broadcast(wins) if few else wins, "h")
     # repeated texts repeat their hits: distinct window positions per diagonal
     found = hits.groupBy("__key", "item", (F.col("pos") - F.col("ipos")).alias("shift")).agg(F.array_sort(F.collect_set("ipos")).alias("at"))
@@ -221,15 +272,19 @@ def contaminated(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text
     finds nothing; repeated rows are judged each."""
     hit = alignments(docs, bench, text, item_id, bench_text, whole)
     flags = hit.groupBy("__key").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"), F.max("covered").alias("covered"))
-    rows = _keyed(docs, text).select(F.col(doc_id).alias("id"), "__key").join(flags, "__key", "left")
+    # a third of all rows may be one text: its rows are dealt over SALTS parts, and the few flags repeated in each
+    flags = flags.withColumn("__salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+    rows = docs.select(named(doc_id).alias("id"), _key(text).alias("__key"), (F.monotonically_increasing_id() % SALTS).cast("int").alias("__salt"))
+    rows = rows.join(flags, ["__key", "__salt"], "left")
     items = F.coalesce("items", F.array().cast(flags.schema["items"].dataType))
     return rows.select("id", (F.size(items) > 0).alias("contaminated"), F.size(items).alias("n_items"), F.coalesce("covered", F.lit(0)).alias("covered"), items.alias("items"))
 
 
 def drop_contaminated(docs: DataFrame, bench: DataFrame, text: str = "text", item_id: str = "item_id", bench_text: str = "text", whole: bool = False) -> DataFrame:
-    """The rows of ``docs``, with their columns, that hold no benchmark item."""
+    """The rows of ``docs``, with their columns, that hold no benchmark item. Null and empty texts stay; rows of
+    one text go or stay together."""
     hit = stored(alignments(docs, bench, text, item_id, bench_text, whole).select("__key").distinct(), "contaminated")
-    return without(_keyed(docs, text), hit, F.col("__key")).select(*docs.columns)
+    return without(docs, hit, _key(text)).select(*every(docs))
 
 
 def op9_template_decon(spark: SparkSession, sf_dir: str) -> DataFrame:
