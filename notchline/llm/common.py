@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from notchline.session import scratch_path
 from notchline.sources import tables
 
-__all__ = ["table", "stored", "drop_stored", "text_of", "scratch_path", "without", "id_text_key", "named", "every", "fresh"]
+__all__ = ["table", "stored", "drop_stored", "swept", "text_of", "scratch_path", "without", "id_text_key", "named", "every", "fresh"]
 
 #: Most rows of ids (about 100 bytes each on a worker) that are broadcast.
 BROADCAST_IDS = 500_000
@@ -46,6 +47,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return back
 
 
+def swept(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more; else
+    they stay on the executors' disks until the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def drop_stored(df: DataFrame) -> None:
     """Delete a table made by ``stored`` (once nothing reads it any more)."""
     spark: SparkSession = df.sparkSession
