@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from notchline.llm.common import stored, table, text_of
+from notchline.llm.common import drop_stored, stored, swept, table, text_of
 from notchline.llm.pretokens import STEP
 
 EXAMPLES = 8000
@@ -139,10 +139,12 @@ class BlockMax:
         self.example = np.array(order, dtype=np.int64)  # by place
         self.place = np.empty(len(order), dtype=np.int64)
         self.place[self.example] = np.arange(len(order))
-        place = np.repeat(np.arange(len(order)), [len(vectors[i][0]) for i in order])
-        term, weight = (np.concatenate([vectors[i][k] for i in order]) for k in (0, 1))
+        place = np.repeat(np.arange(len(order), dtype=np.int32), [len(vectors[i][0]) for i in order])
+        term = np.concatenate([vectors[i][0].astype(np.int32) for i in order])
         by_term = np.argsort(term, kind="stable")
-        term, place, weight = term[by_term].astype(np.int64), place[by_term], weight[by_term]
+        term, place = term[by_term], place[by_term]
+        weight = np.concatenate([vectors[i][1] for i in order])[by_term]
+        del by_term
         often = np.bincount(term, minlength=n_terms)
         top = np.argsort(-often, kind="stable")[:dense]
         self.column = np.full(n_terms, -1, dtype=np.int64)
@@ -154,6 +156,7 @@ class BlockMax:
         term, self.at, self.weight = term[~wide], place[~wide], weight[~wide]
         first = np.flatnonzero((np.diff(term, prepend=-1) != 0) | (np.diff(self.at // block, prepend=-1) != 0))  # parts of lists
         self.start, self.size = first, np.diff(np.append(first, len(term)))
+        self.start, self.size = self.start.astype(np.int32), self.size.astype(np.int32)
         self.part_block = self.at[first] // block
         self.part_max = np.maximum.reduceat(self.weight, first) if len(first) else np.empty(0)
         self.parts = np.searchsorted(term[first], np.arange(n_terms + 1))
@@ -188,12 +191,15 @@ class BlockMax:
             if but is not None:
                 cosine[np.arange(n), self.place[but]] = 0
 
+        best = np.argpartition(-bound, min(FIRST, nb) - 1, axis=1)[:, :FIRST]
         first = np.zeros((n, nb), dtype=bool)
-        first[np.repeat(np.arange(n), min(FIRST, nb)), np.argpartition(-bound, min(FIRST, nb) - 1, axis=1)[:, :FIRST].ravel()] = True
+        np.put_along_axis(first, best, True, axis=1)
         first &= bound > 0
         read(first)
         kth = min(k, width)
-        read((bound > 0) & ~first & (bound + 1e-9 >= np.partition(cosine, width - kth, axis=1)[:, width - kth, None]))
+        seen = np.take_along_axis(cosine.reshape(n, nb, self.block), best[:, :, None], axis=1).reshape(n, -1)
+        least = np.partition(seen, seen.shape[1] - kth, axis=1)[:, seen.shape[1] - kth, None] if kth <= seen.shape[1] else 0.0
+        read((bound > 0) & ~first & (bound + 1e-9 >= least))
         cosine = cosine.round(12)
         least = np.partition(cosine, width - kth, axis=1)[:, width - kth, None]
         query, place = np.nonzero((cosine >= least) & (cosine > 0))
@@ -326,7 +332,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
     value of its column ``carry`` as text, if named; ``evidence`` lists the
     nearest examples (doc_id, label, cosine), the nearest first. Null and empty texts
     get the share of label 1 among examples without vocabulary terms; without any
-    labelled row of both labels every score is that share or 0; repeated rows are scored each."""
+    labelled row of both labels every score is that share or 0; repeated rows are scored each. Once the result is
+    written, its ``release()`` frees the model on the executors and deletes the stored terms."""
     model, rows = train(docs, labels, doc_id, text, label, examples, carry)
     kind = docs.schema[doc_id].dataType
     evidence = T.ArrayType(T.StructType([T.StructField("doc_id", kind), T.StructField("label", T.IntegerType()), T.StructField("cosine", T.DoubleType())]))
@@ -360,7 +367,9 @@ def score_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
             upto = pa.array(np.concatenate([[0], np.cumsum(count)]), type=pa.int32())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(score), pa.ListArray.from_arrays(upto, shown)], names=["id", "carried", "score", "evidence"])
 
-    return rows.mapInArrow(run, schema)
+    out = rows.mapInArrow(run, schema)
+    out.release = lambda: (shared.destroy(), drop_stored(rows), swept(docs.sparkSession))
+    return out
 
 
 def op5_toxicity_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
