@@ -66,21 +66,23 @@ def tokens_of(text: Column) -> Column:
 
 
 def _is_num(t: Column) -> Column:
-    return F.coalesce((t >= "0") & (t < ":"), F.lit(False))
+    return F.coalesce(F.ascii(t).between(48, 57), F.lit(False))
 
 
 def template_of(tokens: str) -> Column:
     """Codes of the tokens column: a placeholder's number, or the hash of the word."""
     col = F.col(tokens)
-    both = F.transform(col, lambda t: F.struct(t.alias("t"), F.lower(t).alias("low")))  # lower case is made once a token
 
-    def code(x: Column, i: Column) -> Column:
-        t, low = x["t"], x["low"]
+    def word(t: Column) -> Column:
+        return F.when(F.lower(t) != t, F.lit(NAME).cast("long")).otherwise(F.xxhash64(t))
+
+    def code(t: Column, i: Column) -> Column:
         beside = _is_num(F.get(col, i - 1)) | _is_num(F.get(col, i + 1))
-        unit = (F.length(t) <= 8) & low.isin(UNITS)
-        return F.when(_is_num(t), F.lit(NUM).cast("long")).when(beside & unit, F.lit(UNIT).cast("long")).when(low != t, F.lit(NAME).cast("long")).otherwise(F.xxhash64(low))
+        unit = beside & (F.length(t) <= 8) & F.lower(t).isin(UNITS)
+        return F.when(_is_num(t), F.lit(NUM).cast("long")).when(unit, F.lit(UNIT).cast("long")).otherwise(word(t))
 
-    return F.transform(both, code)
+    # without a number there is no unit either, and less to ask of every token
+    return F.when(F.exists(col, _is_num), F.transform(col, code)).otherwise(F.transform(col, word))
 
 
 def _is_slot(code: Column) -> Column:
@@ -105,7 +107,9 @@ def _coded(df: DataFrame) -> DataFrame:
     df = df.withColumn("t0", tokens_of(F.col("text"))).withColumn("c0", template_of("t0"))
     goes_on = lambda c, i: (c == NAME) & F.coalesce(F.get("c0", i - 1) == NAME, F.lit(False))
     df = df.withColumn("c1", F.filter("c0", lambda c, i: ~goes_on(c, i)))
-    return df.withColumn("words", F.transform("t0", lambda t: F.xxhash64(F.replace(F.lower(t), F.lit("ß"), F.lit("ss")))))
+    sharp = F.col("text").contains("ß") | F.col("text").contains("ẞ")
+    plain = F.transform("t0", lambda t: F.xxhash64(F.lower(t)))
+    return df.withColumn("words", F.when(sharp, F.transform("t0", lambda t: F.xxhash64(F.replace(F.lower(t), F.lit("ß"), F.lit("ss"))))).otherwise(plain))
 
 
 def _forms(df: DataFrame) -> DataFrame:
@@ -230,8 +234,10 @@ def whole_alignments(docs: DataFrame, bench: DataFrame, text: str, item_id: str,
     # two pieces that overlap in the document count its tokens once
     cover = F.least(F.size("cells"), F.size(F.array_distinct(F.transform("cells", lambda c: c["pos"]))))
     kept = F.aggregate("good", F.lit(0), lambda a, x: a + x["n"])
-    both = both.withColumn("covered", cover - F.size("pairs") + kept).where(F.col("covered") >= F.col("least"))
-    return both.select("__key", "item", "items", "covered", F.size("good").alias("n_slots")).union(exact)
+    judged = both.select("__key", "item", "items", (cover - F.size("pairs") + kept).alias("covered"), F.size("good").alias("n_slots"), "least")
+    # written before it is filtered: a filter here would become the join's and work all of this out again for each slot
+    judged = stored(judged, "judged").where(F.col("covered") >= F.col("least")).drop("least")
+    return judged.union(exact)
 
 
 def alignments(docs: DataFrame, bench: DataFrame, text: str = "text", item_id: str = "item_id", bench_text: str = "text", whole: bool = False) -> DataFrame:
