@@ -40,6 +40,13 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], payload:
     return df.groupBy(*keys).agg(m).select(*keys, *[F.col(f"__last.{c}").alias(c) for c in (*order, *payload)])
 
 
+def map_of(df: DataFrame, keys: Sequence[str], name: str, value: str) -> DataFrame:
+    """AGG-8: one row per ``keys`` with the map of its (name, value) pairs, names ascending. Names must be
+    unique per key (``keep_last``) and not null. The map is one value: bounded by the names of a key."""
+    pairs = F.sort_array(F.collect_list(F.struct(F.col(name), F.col(value))))
+    return df.groupBy(*keys).agg(F.map_from_entries(pairs).alias("map"))
+
+
 def last_put(puts: Column) -> Column:
     """Row-local last-wins over an array of ``struct(seq, value)`` puts; null
     values are puts that did not happen."""

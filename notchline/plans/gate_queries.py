@@ -16,7 +16,7 @@ from notchline.plans.parsed import ParsedFiles
 from notchline.plans.registry import query
 from notchline.session import scratch_path
 from notchline.sources.lookups import parse_device_lines
-from notchline.sources.tables import Tables
+from notchline.sources.tables import Tables, missing_reason
 
 # Stand-in station codes: o_orderpriority plays the station text.
 SPECIAL = ("URGENT",)
@@ -309,3 +309,16 @@ def points_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     dialect's line cap, the last of an id, as name:value text and as scaled numbers."""
     points = ParsedFiles(spark, Tables(spark, sf_dir)).last_points()
     return points.select("o_orderkey", F.col("name").alias("qualifier"), "value", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"), "flag")
+
+
+@query(
+    "missing_table_reason",
+    oracle="""SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 1 THEN 'missing_table imagehist' END AS reason FROM orders""",
+)
+def missing_table_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC-9 as a gate (reason 7): runs of the older dialect ask for a history table that is not there and get
+    that as their reason; the others' tables are there."""
+    t = Tables(spark, sf_dir)
+    there, absent = (missing_reason(spark, sf_dir, names) for names in (["orders", "lineitem"], ["orders", "imagehist"]))
+    old = standin_version() == C.DIALECT_OLD
+    return t.orders.select("o_orderkey", F.when(old, absent).otherwise(there).alias("reason"))

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from notchline import constants as C
 from notchline.functions.text import field, java_split, yyyymmdd
+from notchline.operators.consolidate import micros
 from notchline.operators.history import asof_counts, asof_join
 from notchline.operators.lookup import first_by, prefix_join, substring_join
 from notchline.operators.matching import latest_per_tool
+from notchline.operators.prefix import SUM, running
 from notchline.plans import model
 from notchline.plans import oracle as O
 from notchline.plans.registry import query
@@ -277,3 +279,19 @@ def latest_tool_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.array_join(F.transform("__l", lambda x: yyyymmdd(x["last_ts"])), ",").alias("time_list"),
         )
     )
+
+
+@query(
+    "latest_tool_ranks",
+    oracle=f"""WITH {O.HIST_LATEST}
+SELECT o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY last_ts DESC, l_suppkey DESC) AS rank, l_suppkey,
+  strftime(last_ts, '%Y%m%d') AS last_time FROM hist""",
+)
+def latest_tool_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-5 as rows: per unit its tools up to its latest run, ranked from the latest on. No list is gathered: the rank is
+    a running count over ranges, so a unit may have any number of tools; a sink renders text from the rows."""
+    t = Tables(spark, sf_dir)
+    latest = latest_per_tool(model.history(t), model.latest_runs(t.orders), "o_custkey", "l_suppkey", "l_shipdate")
+    keyed = latest.withColumns({"__one": F.lit(1), "__back": -micros(F.col("last_ts")), "__tool": -F.col("l_suppkey")})
+    ranked = running(keyed, ["o_custkey"], ["__back", "__tool"], {"rank": (SUM, "__one", True)})
+    return ranked.select("o_custkey", F.col("rank").cast("bigint").alias("rank"), "l_suppkey", yyyymmdd(F.col("last_ts")).alias("last_time"))

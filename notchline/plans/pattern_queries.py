@@ -13,7 +13,10 @@ from notchline.operators.patterns import (
     density_grid,
     density_levels,
     detect_lines,
+    info_keys_filter,
+    is_count_qualifier,
     line_peaks,
+    pattern_table_filter,
     profile_lines,
     profile_table,
     round6,
@@ -96,6 +99,30 @@ def summary_side_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.where(side_writer_filter(F.col("qualifier"), C.SIDE_BACK))
 
 
+@query(
+    "pattern_table_entries",
+    oracle=f"""WITH {POINTS_SQL}, runs AS (SELECT DISTINCT run_id FROM pts),
+{lines_sql('pts', 'det_f', 'NOT is_back')}, {lines_sql('pts', 'det_b', 'is_back')},
+e AS ({entries_sql('det_f', C.SIDE_FRONT)} UNION ALL {entries_sql('det_b', C.SIDE_BACK)}),
+h AS (SELECT o_orderkey AS run_id, 'InspectionStationID' AS qualifier, o_orderpriority AS value FROM orders)
+SELECT run_id, qualifier, value, qualifier IN ('NO_yES', 'BNO_yES') AS is_count FROM e
+UNION ALL SELECT run_id, qualifier, value, false AS is_count FROM h""",
+)
+def pattern_table_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-13, SCL-10: what the pattern-table writer keeps of all entries of a run: each side's counts and
+    lines, and the header entries it names; a count is a whole match of the qualifier."""
+    t = Tables(spark, sf_dir)
+    side = F.when(F.col("is_back"), F.lit(C.SIDE_BACK)).otherwise(F.lit(C.SIDE_FRONT))
+    e = summarize_runs(_points(t), "run_id", "x", "y", side, (C.SIDE_FRONT, C.SIDE_BACK))
+    head = t.orders.select(
+        F.col("o_orderkey").alias("run_id"),
+        F.inline(F.array(*[F.struct(F.lit(n).alias("qualifier"), F.col(c).cast("string").alias("value")) for n, c in (("InspectionStationID", "o_orderpriority"), ("ConvertedTimestamp", "o_orderdate"))])),
+    )
+    q = F.col("qualifier")
+    kept = e.where(pattern_table_filter(q, C.SIDE_FRONT) | pattern_table_filter(q, C.SIDE_BACK)).unionByName(head.where(info_keys_filter(q)))
+    return kept.select("run_id", "qualifier", "value", (is_count_qualifier(q, C.SIDE_FRONT) | is_count_qualifier(q, C.SIDE_BACK)).alias("is_count"))
+
+
 @query(
     "angle_match",
     oracle=f"""WITH p AS (SELECT p_partkey, p_size * {D(7.2)} AS rot FROM part),

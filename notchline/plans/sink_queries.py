@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 
 from notchline import constants as C
 from notchline.functions.text import key_of_fields, point_fields, render_fields, yyyymmdd
+from notchline.operators.gates import eligibility_flag, two_sided
+from notchline.plans import gate_queries as G
 from notchline.plans import model
 from notchline.plans import oracle as O
 from notchline.plans.matching_queries import attribution
@@ -17,6 +19,7 @@ from notchline.operators.sinks import (
     batch_counts,
     keep_last,
     last_put,
+    map_of,
     retained,
     retention_filter,
     unpivot_long,
@@ -259,3 +262,50 @@ def retention_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_partitioned(rows, path, "month")
     kept = retained(spark, path, rows.schema, "month", "o_orderdate", C.RETAIN_DAYS)
     return kept.select("o_orderkey", "o_custkey", yyyymmdd(F.col("o_orderdate")).alias("order_time"))
+
+
+_STATION_JOB = f"""flags AS (
+  SELECT o.*, CASE WHEN coalesce(CASE WHEN contains(o_orderpriority, 'HIGH') THEN j_front ELSE j_all END, 0) > 0
+      AND NOT contains(o_orderpriority, 'HIGH') THEN false
+    ELSE contains(o_orderpriority, 'URGENT') OR contains(o_orderpriority, 'HIGH') OR contains(o_orderpriority, 'MEDIUM') END AS flag
+  FROM orders o LEFT JOIN (SELECT l_orderkey, sum(abs({G._CLS})) AS j_all,
+      sum(CASE WHEN l_linestatus <> 'O' THEN abs({G._CLS}) ELSE 0 END) AS j_front FROM lineitem GROUP BY l_orderkey) ON l_orderkey = o_orderkey),
+runs AS (SELECT o_custkey, o_orderdate AS run_ts, o_orderpriority AS station FROM flags WHERE flag
+  QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)"""
+
+
+@query(
+    "pattern_row_flagged",
+    oracle=f"""WITH {O.DET}, {O.ARM}, {O.HIST_LATEST.replace(O.RUNS, _STATION_JOB)}, {O.ATTR},
+agg AS (SELECT c_custkey, count(*) AS n,
+  string_agg(tool, ',' ORDER BY last_ts DESC, tool DESC) AS tool_list,
+  string_agg(strftime(last_ts, '%Y%m%d'), ',' ORDER BY last_ts DESC, tool DESC) AS time_list,
+  string_agg(area, ',' ORDER BY last_ts DESC, tool DESC) AS area_list FROM attr GROUP BY c_custkey)
+SELECT c.c_custkey, coalesce(a.n, 0) AS n, coalesce(a.tool_list, '') AS tool_list, coalesce(a.time_list, '') AS time_list,
+  coalesce(a.area_list, '') AS area_list, c.c_mktsegment AS device, u.station, '0' AS status
+FROM customer c JOIN runs u ON u.o_custkey = c.c_custkey LEFT JOIN agg a ON a.c_custkey = c.c_custkey""",
+)
+def pattern_row_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-14: pattern rows of the units with a run that is eligible for analysis, as of the
+    latest such run."""
+    t = Tables(spark, sf_dir)
+    st = F.col("o_orderpriority")
+    j = F.coalesce(F.when(two_sided(st, G.TWO_SIDED), F.col("j_front")).otherwise(F.col("j_all")), F.lit(0))
+    runs = t.orders.join(G.point_stats(t), F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    flagged = runs.where(eligibility_flag(st, j, G.SPECIAL, G.PRODUCTION, G.MAC)).select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    return pattern_rows(t, model.latest_runs(flagged), "inner")
+
+
+@query(
+    "grouped_point_map",
+    oracle="""SELECT l_orderkey, count(*) AS n, string_agg('point' || l_linenumber || '=' || l_partkey, ';' ORDER BY 'point' || l_linenumber) AS points
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) AS rn FROM lineitem)
+WHERE rn = 1 GROUP BY l_orderkey""",
+)
+def grouped_point_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG-8: the points of every run as one map, point id to part, the last put of an id; shown as text."""
+    li = Tables(spark, sf_dir).lineitem
+    kept = keep_last(li, ["l_orderkey", "l_linenumber"], ["l_shipdate", "l_partkey", "l_suppkey"], ["l_quantity"])
+    named = kept.select("l_orderkey", F.concat(F.lit(C.Q_POINT), F.col("l_linenumber").cast("string")).alias("name"), F.col("l_partkey").cast("string").alias("value"))
+    entries = F.transform(F.map_entries("map"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return map_of(named, ["l_orderkey"], "name", "value").select("l_orderkey", F.size("map").cast("bigint").alias("n"), F.array_join(entries, ";").alias("points"))

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = (
     "region",
@@ -54,6 +55,18 @@ def require_tables(spark: SparkSession, names: list[str]) -> None:
         raise LookupError(f"required tables missing: {', '.join(missing)}")
 
 
+def missing_reason(spark: SparkSession, sf_dir: str, names: list[str]) -> Column:
+    """SRC-9 as a gate: the reason of every row that needs the tables ``names`` when one cannot be
+    read (``missing_table`` and its name, the first of them), else null. Looked up once a launch, for
+    the answer is the same for every file of it."""
+    for name in names:
+        try:
+            spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        except AnalysisException:
+            return F.lit(f"missing_table {name}")
+    return F.lit(None).cast("string")
+
+
 def require_inputs(spark: SparkSession, sf_dir: str, names: list[str]) -> None:
     """SRC-9 for tables named by path: fail fast, before any work, when one cannot be read."""
     missing = []

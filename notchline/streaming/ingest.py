@@ -41,7 +41,8 @@ def file_stream(
 
 
 def file_facts(files: DataFrame, marker: str = C.DIALECT_MARKER, maxline: int = C.MAXLINE) -> DataFrame:
-    """Per-file routing facts (works on a stream or a batch DataFrame)."""
+    """Per-file routing facts, the beginning of the text, and the text itself (works on a
+    stream or a batch DataFrame)."""
     text = F.col("file_contents")
     lines = F.split(text, "\n")
     version = dialect(text, marker)
@@ -52,6 +53,7 @@ def file_facts(files: DataFrame, marker: str = C.DIALECT_MARKER, maxline: int =
         F.size(lines).alias("n_lines"),
         F.length(text).alias("n_chars"),
         F.array_join(F.slice(lines, 1, maxline), "\n").alias("head"),
+        "file_contents",
     )
 
 
