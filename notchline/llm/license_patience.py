@@ -28,8 +28,9 @@ from notchline.llm.pretokens import STEP, pieces_of
 
 COVERAGE = 0.85
 SPREAD = 2
+GROUP = 62  # templates a row of bits
 
-# Short notices of public licenses, as their owners word them
+# Notices and texts of public licenses, as their owners word them
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "Apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
@@ -43,6 +44,16 @@ TEMPLATES = {
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
     "all-rights-reserved": "All rights reserved",
+    "BSD-3-text": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    "MPL-2.0-header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "GPL-2.0-header": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "LGPL-2.1-header": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.",
+    "AGPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details.",
+    "EPL-2.0-header": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.",
+    "BSL-1.0-header": "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at https://www.boost.org/LICENSE_1_0.txt)",
+    "Zlib-text": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution.",
+    "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
 }
 
 
@@ -91,25 +102,32 @@ def align(text: list[str], template: list[str]) -> list[tuple[int, int]]:
 
 
 class Scanner:
-    """Templates, and which of them have a word."""
+    """Templates, any number of them, and which of them have a word."""
 
     def __init__(self, templates: dict[str, str], coverage: float):
         self.names = list(templates)
         self.words = [words(t) for t in templates.values()]
-        if not all(self.words) or len(self.names) > 63:
-            raise ValueError("1 to 63 templates with a word each")
+        if not all(self.words):
+            raise ValueError("every template needs a word")
         self.need = [int(np.ceil(coverage * len(w) - 1e-9)) for w in self.words]
         self.mask: dict[str, int] = {}
         for k, ws in enumerate(self.words):
             for w in ws:
                 self.mask[w] = self.mask.get(w, 0) | 1 << k
 
+    def masks_of(self, vocabulary: list[str]) -> np.ndarray:
+        """Which templates have each word: a row of 62 bits for every 62 templates."""
+        have = [self.mask.get(w, 0) for w in vocabulary]
+        return np.array([[m >> s & (1 << GROUP) - 1 for m in have] for s in range(0, len(self.names), GROUP)], dtype=np.int64).reshape(-1, len(have))
+
     def candidates(self, masks: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(template, start, end) of regions of ``masks``; ``ends``: where each word's text ends."""
-        has = np.flatnonzero(masks)
-        own, stop = masks[has], ends[has]
+        """(template, start, end) of regions of ``masks`` (as of ``masks_of``, by word place); ``ends``: where each word's text ends."""
+        groups = [(np.flatnonzero(m), m) for m in np.atleast_2d(masks)]
+        groups = [(has, m[has], ends[has]) for has, m in groups]
         for k, ws in enumerate(self.words):
-            at, upto = has[own >> k & 1 == 1], stop[own >> k & 1 == 1]
+            has, own, stop = groups[k // GROUP]
+            mine = own >> k % GROUP & 1 == 1
+            at, upto = has[mine], stop[mine]
             if len(at) < self.need[k]:
                 continue
             reach = np.minimum(at + SPREAD * len(ws), upto)
@@ -180,7 +198,7 @@ def scan_licenses(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", t
                 end = max(row + 1, int(np.searchsorted(off, off[row] + STEP, side="right")) - 1)
                 enc = b.column(1).values.slice(int(off[row]), int(off[end] - off[row])).dictionary_encode()
                 names, at = enc.dictionary, enc.indices.to_numpy(zero_copy_only=False)
-                masks = np.fromiter((scanner.mask.get(w, 0) for w in names.to_pylist()), dtype=np.int64, count=len(names))[at]
+                masks = scanner.masks_of(names.to_pylist())[:, at]
                 cut = off[row : end + 1] - off[row]
                 ends = np.repeat(cut[1:], np.diff(cut))
                 hits: dict[int, list] = {}

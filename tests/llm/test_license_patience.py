@@ -82,3 +82,71 @@ def test_documents(spark):
 
 def test_empty_table(spark):
     assert L.scan_licenses(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def slow_align(a, b, i=0, j=0):
+    """Patience alignment as defined, recursively: equal ends, then the unique common words in rising order."""
+    if not a or not b:
+        return []
+    if a[0] == b[0]:
+        return [(i, j), *slow_align(a[1:], b[1:], i + 1, j + 1)]
+    if a[-1] == b[-1]:
+        return [*slow_align(a[:-1], b[:-1], i, j), (i + len(a) - 1, j + len(b) - 1)]
+    both = [(x, b.index(w)) for x, w in enumerate(a) if a.count(w) == 1 == b.count(w)]
+    best = [[]]  # all rising subsequences of the greatest length
+    for p in both:
+        best += [[*q, p] for q in best if not q or q[-1][1] < p[1]]
+    most = max(map(len, best))
+    if not most:
+        return []
+    out = []
+    for chain in [q for q in best if len(q) == most]:
+        edges = [(-1, -1), *chain, (len(a), len(b))]
+        got = [(i + x, j + y) for x, y in chain]
+        for (x, y), (u, v) in zip(edges, edges[1:], strict=False):
+            got += slow_align(a[x + 1 : u], b[y + 1 : v], i + x + 1, j + y + 1)
+        out.append(sorted(got))
+    if len(out) > 1:
+        raise LookupError("several chains of the greatest length")
+    return out[0]
+
+
+def test_alignment_equals_the_definition():
+    rng = np.random.default_rng(9)
+    same = 0
+    for _ in range(1500):
+        a, b = (rng.choice(list("abcdefghij"), rng.integers(0, 11)).tolist() for _ in range(2))
+        try:
+            want = slow_align(a, b)
+        except LookupError:  # any of them is a patience alignment
+            continue
+        same += 1
+        assert L.align(a, b) == sorted(want)
+    assert same > 700
+
+
+def test_scan_equals_a_scan_of_the_whole_text(spark):
+    """Candidate regions and bit masks against every template tried on whole texts; more templates than a row of bits."""
+    rng = np.random.default_rng(12)
+    vocab = [f"w{i}" for i in range(30)]
+    templates = {f"t{k:03}": " ".join(rng.choice(vocab, rng.integers(3, 12))) for k in range(150)}
+    rows = []
+    for i in range(60):
+        ws = rng.choice(vocab, rng.integers(0, 50)).tolist()
+        for _ in range(rng.integers(0, 3)):
+            at = int(rng.integers(0, len(ws) + 1))
+            ws[at:at] = templates[f"t{int(rng.integers(0, 150)):03}"].split()
+        rows.append((i, " ".join(ws), "c", 1))
+    s = L.Scanner(templates, L.COVERAGE)
+    want = {}
+    for i, text, *_ in rows:
+        found = [(k, x, y, c) for k in range(150) for x, y, c in s.hits(k, text.split())]
+        kept = []
+        for k, x, y, c in sorted(found, key=lambda h: (-round(h[3] * len(s.words[h[0]])), -h[3], s.names[h[0]], h[1])):
+            if all(y <= x2 or y2 <= x for _, x2, y2, _ in kept):
+                kept.append((k, x, y, c))
+        want[i] = sorted((x, y, s.names[k], round(c, 9)) for k, x, y, c in kept)
+    got = L.scan_licenses(spark.createDataFrame(rows, DOCS), templates=templates).collect()
+    assert {r.id: sorted((x.start, x.end, x.license, round(x.coverage, 9)) for x in r.licenses) for r in got} == want
+    assert sum(map(len, want.values())) > 60
+    assert {x.license for r in got for x in r.licenses} & {f"t{k:03}" for k in range(124, 150)}
