@@ -96,6 +96,9 @@ def summarize_runs(
     side: F.Column | str = C.SIDE_FRONT,
     sides: Sequence[str] = (C.SIDE_FRONT,),
     voting: F.Column | None = None,
+    bins: int = C.THETA_BINS,
+    r_bin: float = C.R_BIN,
+    least_votes: int = C.MIN_VOTES,
 ) -> DataFrame:
     """AGG-4 + WIN-1 + SCL-13 in one pass over both sides: summary rows
     ``(run, qualifier, value)`` for every run of ``points`` and side of ``sides`` --
@@ -106,10 +109,10 @@ def summarize_runs(
     The vote-less row of a run and side becomes its count row: the window that
     numbers the lines also counts them, so lines stay rows, no list is gathered, and
     there is one scan and no join."""
-    votes = hough_votes(points, run, x, y, side, sides, voting)
+    votes = hough_votes(points, run, x, y, side, sides, voting, bins, r_bin)
     is_line = F.col("theta_bin").isNotNull()
     w = _best_first(run)  # the row without votes comes last
-    ranked = votes.where((F.col("votes") >= C.MIN_VOTES) | ~is_line).select(
+    ranked = votes.where((F.col("votes") >= least_votes) | ~is_line).select(
         "*", F.row_number().over(w).cast("string").alias("__k"), F.count("theta_bin").over(Window.partitionBy(run, "side")).cast("string").alias("__n")
     )
     name = F.when(is_line, F.concat(F.lit(C.Q_DETECTION), F.col("__k"))).otherwise(F.lit(C.Q_COUNT))

@@ -24,7 +24,7 @@ import argparse
 import time
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from notchline import constants as C
@@ -37,6 +37,7 @@ from notchline.operators.patterns import (
     info_keys_filter,
     is_count_qualifier,
     pattern_table_filter,
+    profile_table,
     side_writer_filter,
     summarize_runs,
 )
@@ -47,6 +48,7 @@ from notchline.plans.parsed import ParsedFiles
 from notchline.plans.sink_queries import pattern_rows
 from notchline.session import scratch_path
 from notchline.sources import folders
+from notchline.sources.lookups import read_properties
 from notchline.sources.tables import Tables, require_inputs
 
 
@@ -89,17 +91,19 @@ def point_rows(parsed: ParsedFiles, accepted: DataFrame) -> DataFrame:
     )
 
 
-def summary_rows(parsed: ParsedFiles, analysed: DataFrame) -> DataFrame:
+def summary_rows(parsed: ParsedFiles, analysed: DataFrame, detection: Row) -> DataFrame:
     """Front writer (all entries of the front pass) and back writer (back
     entries only) for the analysed runs; one-sided runs vote everything on the
     front and keep a zero back count. A run without points is still written
     (count 0 on both sides): it joins as one point-less row that only registers.
-    One pass: the side is part of the vote key."""
+    One pass: the side is part of the vote key. ``detection``: the parameter set."""
     runs = analysed.select(F.col("o_orderkey").alias("run_id"), "two_sided", "device")
     p = runs.join(parsed.points(), "run_id", "left")
     side = point_side(F.col("two_sided"), F.col("is_back"))
     both = (C.SIDE_FRONT, C.SIDE_BACK)
-    entries = summarize_runs(p, "run_id", "x", "y", side, both, voting=F.col("x").isNotNull())
+    entries = summarize_runs(
+        p, "run_id", "x", "y", side, both, F.col("x").isNotNull(), detection.angles, detection.r_bin, detection.least_votes
+    )
     q = F.col("qualifier")
     # one pass: what the front writer keeps of the front entries, and the back writer of the back ones
     kept = entries.where(side_writer_filter(q, C.SIDE_BACK) | ~q.startswith(C.SIDE_BACK))
@@ -136,9 +140,9 @@ def pattern_table(summary: DataFrame, header: DataFrame, analysed: DataFrame) ->
     return entries.unionByName(info.join(runs, "rowkey", "left_semi")).unionByName(status)
 
 
-def line_rows(summary: DataFrame) -> DataFrame:
+def line_rows(summary: DataFrame, detection: Row) -> DataFrame:
     """(rowkey, side, k, r, theta) of the lines in the written summary table. Stand-in
-    units: r is the bin centre scaled to the arm unit (r_bin * R_BIN * 1000), theta the bin angle."""
+    units: r is the bin's edge scaled to the arm unit (r_bin * width * 1000), theta the bin angle."""
     q, v = F.col("qualifier"), F.col("value")
     lines = summary.where(q.rlike(f"^B?{C.Q_DETECTION}[0-9]+$")).select(
         F.col("rowkey"),
@@ -149,22 +153,22 @@ def line_rows(summary: DataFrame) -> DataFrame:
     )
     return lines.select(
         "rowkey", "side", "k",
-        (F.col("r_bin") * C.R_BIN * 1000.0).alias("r"),
-        (F.col("theta_bin") * pi() / float(C.THETA_BINS)).alias("theta"),
+        (F.col("r_bin") * detection.r_bin * 1000.0).alias("r"),
+        (F.col("theta_bin") * pi() / float(detection.angles)).alias("theta"),
     )
 
 
-def consolidated(t: Tables, summary: DataFrame, devices: DataFrame) -> DataFrame:
+def consolidated(t: Tables, summary: DataFrame, devices: DataFrame, detection: Row) -> DataFrame:
     """JON-9 per detected line: similar lines (radius within OFF arm units, angle within
     0.3) on the same side of earlier runs of the unit, at most HIST_DAYS back."""
     runs = t.orders.select(F.col("o_orderkey").cast("string").alias("rowkey"), "o_custkey", "o_orderdate")
-    det = line_rows(summary).join(runs, "rowkey")
+    det = line_rows(summary, detection).join(runs, "rowkey")
     ids = ["rowkey", "side", "k"]
-    out = consolidate(det.withColumn("on_side", F.col("side")), ids, ["o_custkey", "on_side"], "o_orderdate", "r", "theta", r_tol=C.OFF * C.R_UNIT_DIVISOR)
+    out = consolidate(det.withColumn("on_side", F.col("side")), ids, ["o_custkey", "on_side"], "o_orderdate", "r", "theta", r_tol=detection.offset * C.R_UNIT_DIVISOR)
     return out.join(devices, "rowkey")
 
 
-def detection_lists(t: Tables, summary: DataFrame) -> DataFrame:
+def detection_lists(t: Tables, summary: DataFrame, detection: Row) -> DataFrame:
     """Per detected line of an analysed run and side: the tools whose arm
     dimensions match the line (JON-5, side rule FLT-11) and that handled the
     run's unit at or before the run's own time (JON-4/JON-7), latest first, with
@@ -172,13 +176,13 @@ def detection_lists(t: Tables, summary: DataFrame) -> DataFrame:
     table; a line without such tools keeps empty lists. Pairs of a run and a tool exist
     only where the tool's arm fits one of the run's lines."""
     runs = t.orders.select(F.col("o_orderkey").cast("string").alias("rowkey"), "o_custkey", "o_orderdate")
-    det = line_rows(summary).join(runs, "rowkey")
+    det = line_rows(summary, detection).join(runs, "rowkey")
     hist = model.history(t)
     # a line meets only the arms of its unit's tools that lie within its band; these pairs are then dated
     arms = model.arms(t).withColumnsRenamed({"side": "arm_side", "s_suppkey": "l_suppkey"})
     own = hist.select("o_custkey", "l_suppkey").distinct().join(arms, "l_suppkey")
     other = F.when(F.col("side") == C.SIDE_FRONT, F.lit(C.ARM_SIDE_BACK)).otherwise(F.lit(C.ARM_SIDE_FRONT))
-    fits = band_match(det, own, keys=("o_custkey",)).where(F.col("arm_side").isNull() | (F.col("arm_side") != other))
+    fits = band_match(det, own, detection.offset, keys=("o_custkey",)).where(F.col("arm_side").isNull() | (F.col("arm_side") != other))
     fits = fits.select("rowkey", "o_custkey", "o_orderdate", "side", "k", "l_suppkey", "tool", "area")
     held = asof_join(fits, hist, ["o_custkey", "l_suppkey"], "o_orderdate", "l_shipdate").where(F.col("n_asof") > 0)
     lst = F.sort_array(F.collect_list(F.struct("last_ts", "tool", "area")), asc=False)
@@ -218,6 +222,16 @@ class JobResult(dict):
     stages: str
 
 
+def parameter_set(spark: SparkSession, params: str | None, profile: int) -> Row:
+    """SRC-6: one parameter set, a row, from the files in ``params``; the defaults without a folder."""
+    if params is None:
+        return Row(profile=profile, angles=C.THETA_BINS, r_bin=C.R_BIN, least_votes=C.MIN_VOTES, offset=C.OFF)
+    found = profile_table(read_properties(spark, params)).where(F.col("profile") == profile).first()
+    if found is None:
+        raise LookupError(f"no parameter set {profile} in {params}")
+    return found
+
+
 INPUTS = ["orders", "customer", "lineitem", "supplier", "nation"]
 
 #: What names a row of each table, for puts into tables of an earlier run.
@@ -241,6 +255,8 @@ def run_job(
     maxpoint: int = C.MAXPOINT,
     retain_days: int | None = None,
     put: bool = False,
+    params: str | None = None,
+    profile: int = 0,
 ) -> JobResult:
     """Write every sink. File texts are parsed once into a stored table that gates, header rows,
     points and detection read. Shared intermediates are not recomputed per output:
@@ -255,6 +271,9 @@ def run_job(
     partitions are written again, and all else stays. Without it the tables are replaced.
     A later stage then reads this launch's own rows from the scratch folder, not the whole table.
 
+    SRC-6: with ``params``, a folder of parameter files, set ``profile`` of it decides angle count, radius bin,
+    least votes and band tolerance of the detection; without it the defaults hold.
+
     CTL-3: the time and the rows of every stage are appended to ``stage_metrics``."""
     require_inputs(spark, sf_dir, INPUTS)
     t = Tables(spark, sf_dir)
@@ -291,6 +310,7 @@ def run_job(
         result.metrics |= seen.get
         return back
 
+    detection = parameter_set(spark, params, profile)
     parsed = timed("parse", lambda: ParsedFiles(spark, t, f"{own}/parsed"))
     clean = F.col("reason").isNull()
     status = write(
@@ -307,11 +327,11 @@ def run_job(
     analysed = accepted.where(F.col("flag"))
     header = write("image_info", header_rows(parsed, accepted))
     write("point_info", point_rows(parsed, accepted))
-    summary = write("image_summary", summary_rows(parsed, analysed))
+    summary = write("image_summary", summary_rows(parsed, analysed, detection))
     devices = analysed.select(F.col("o_orderkey").cast("string").alias("rowkey"), "device")
-    lists = list_rows(detection_lists(t, summary), devices)
+    lists = list_rows(detection_lists(t, summary, detection), devices)
     write("y", pattern_table(summary, header, analysed).unionByName(lists))
-    write("consolidated", consolidated(t, summary, devices))
+    write("consolidated", consolidated(t, summary, devices, detection))
     # pattern rows of the units with an analysed run, as of the latest of these
     analysed_runs = t.orders.join(analysed.select("o_orderkey", "device"), "o_orderkey")
     write("pattern", pattern_rows(t, model.latest_runs(analysed_runs), "inner"))
@@ -327,13 +347,15 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--out", required=True, help="output directory (shared storage on a cluster)")
     ap.add_argument("--maxpoint", type=int, default=C.MAXPOINT, help="most points of an accepted run")
     ap.add_argument("--retain-days", type=int, help="accept only runs this young, counted from the newest")
+    ap.add_argument("--params", help="folder of parameter files")
+    ap.add_argument("--profile", type=int, default=0, help="the parameter set of these that detection uses")
     ap.add_argument("--put", action="store_true", help="put into the tables of earlier launches instead of replacing them")
     ap.add_argument("--all-together", action="store_true", help="one shared table instead of one per device")
     args = ap.parse_args(argv)
     from notchline.session import build_session
 
     spark = build_session(app="notchline-job")  # the launcher's settings win
-    result = run_job(spark, args.sf, args.out, args.all_together, args.maxpoint, args.retain_days, args.put)
+    result = run_job(spark, args.sf, args.out, args.all_together, args.maxpoint, args.retain_days, args.put, args.params, args.profile)
     for name, path in result.items():
         print(name, path)
     print("metrics", result.metrics)

@@ -168,3 +168,30 @@ def test_a_second_launch_puts_into_the_tables_of_the_first(spark, tmp_path):
         a, b = spark.read.parquet(f"{out}/{name}"), spark.read.parquet(f"{whole}/{name}")
         assert a.count() == b.count() > 0 and a.select(b.columns).exceptAll(b).count() == 0
     assert first < spark.read.parquet(f"{out}/point_info").count()
+
+
+def test_parameter_files_drive_the_detection(spark):
+    import pytest
+
+    from notchline.operators.patterns import summarize_runs
+    from notchline.plans import model
+    from notchline.plans.job import parameter_set
+    from notchline.sources.tables import Tables
+
+    t = Tables(spark, SF_SMALL)
+    params = model.parameter_files(spark, t, scratch_path(spark, "params"))
+    sets = [parameter_set(spark, params, k) for k in range(5)]
+    assert [(s.angles, s.r_bin, s.least_votes, s.offset) for s in sets] == [(6 + 2 * k, 4.0 + k, 3 + k % 2, 10.0 * (k + 1)) for k in range(5)]
+    with pytest.raises(LookupError):
+        parameter_set(spark, params, 9)
+    out = scratch_path(spark, "job-params")
+    paths = run_job(spark, SF_SMALL, out, params=params, profile=3)
+    plain = run_job(spark, SF_SMALL, scratch_path(spark, "job-plain"))
+    got = spark.read.parquet(paths["image_summary"]).select("rowkey", "qualifier", "value")
+    assert got.exceptAll(spark.read.parquet(plain["image_summary"]).select("rowkey", "qualifier", "value")).count() > 0
+    # the same as summarising the runs of one side by these numbers
+    runs = spark.read.parquet(paths["run_status"]).where("reason IS NULL AND flag AND NOT two_sided").select(F.col("o_orderkey").alias("run_id"))
+    pts = runs.join(model.points(t), "run_id")
+    want = summarize_runs(pts, "run_id", "x", "y", bins=12, r_bin=7.0, least_votes=4).select(F.col("run_id").cast("string").alias("rowkey"), "qualifier", "value")
+    mine = got.where("NOT qualifier LIKE 'B%'").join(pts.select(F.col("run_id").cast("string").alias("rowkey")).distinct(), "rowkey", "left_semi").select("rowkey", "qualifier", "value")
+    assert want.count() == mine.count() > 0 and want.exceptAll(mine).count() == 0
