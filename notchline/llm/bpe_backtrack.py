@@ -30,10 +30,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from notchline.llm.common import table
+from notchline.llm.common import table, tidy
 from notchline.llm.pretokens import Store, encoded, flat, gather, pieces_of
 
-REMEMBERED = 400_000  # pairs, of about 150 bytes each
+REMEMBERED = 250_000  # pairs, of about 150 bytes each
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -175,7 +175,7 @@ def encode_bpe(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id",
             yield pa.RecordBatch.from_arrays([rows, lists], names=["id", "ids"])
 
     schema = T.StructType([_id_field(docs, doc_id), T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
-    return pieces_of(docs, pattern, doc_id, text).mapInArrow(run, schema)
+    return pieces_of(docs, pattern, doc_id, text).mapInArrow(tidy(run), schema)
 
 
 def decode_bpe(rows: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -187,7 +187,7 @@ def decode_bpe(rows: DataFrame, path: str, pattern: str) -> DataFrame:
             data = [codec.decode(x.values.to_numpy()) if x.is_valid else b"" for x in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(data, type=pa.binary())], names=["id", "data"])
 
-    return rows.select("id", "ids").mapInArrow(run, T.StructType([_id_field(rows, "id"), T.StructField("data", T.BinaryType())]))
+    return rows.select("id", "ids").mapInArrow(tidy(run), T.StructType([_id_field(rows, "id"), T.StructField("data", T.BinaryType())]))
 
 
 def bpe_digests(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
@@ -210,7 +210,7 @@ def bpe_digests(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id"
 
     kinds = [docs.schema[doc_id].dataType, T.LongType(), T.StringType(), T.StringType(), *[T.ArrayType(T.IntegerType(), False)] * with_ids]
     schema = T.StructType([T.StructField(n, k) for n, k in zip(names, kinds, strict=True)])
-    return pieces_of(docs, pattern, doc_id, text).mapInArrow(run, schema)
+    return pieces_of(docs, pattern, doc_id, text).mapInArrow(tidy(run), schema)
 
 
 def op6_bpe_backtrack(spark: SparkSession, sf_dir: str) -> DataFrame:

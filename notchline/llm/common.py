@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import os
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notchline.session import scratch_path
 from notchline.sources import tables
 
-__all__ = ["table", "stored", "drop_stored", "swept", "text_of", "scratch_path", "without", "id_text_key", "named", "every", "fresh"]
+__all__ = ["table", "stored", "drop_stored", "swept", "tidy", "text_of", "scratch_path", "without", "id_text_key", "named", "every", "fresh"]
 
 #: Most rows of ids (about 100 bytes each on a worker) that are broadcast.
 BROADCAST_IDS = 500_000
@@ -20,10 +24,31 @@ BROADCAST_IDS = 500_000
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+#: Rows of an Arrow batch, where the session does not say: texts may be long.
+BATCH_ROWS = 2000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def tidy(run: Callable) -> Callable:
+    """``run`` (a function of Arrow batches) that gives memory back to the system when a task
+    ends: a Python worker lives on, and what its allocators keep would add up over stages."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return go
+
+
 def importable(spark: SparkSession) -> None:
     """Put this package's folder on the Python path of the tasks that follow, so that they
-    can import it whatever the working folder is. Where executors do not see the folder the
+    can import it whatever the working folder is, and keep Arrow batches small. Where executors do not see the folder the
     package must be shipped with the job (``--py-files``), as any other."""
+    if spark.conf.get(_BATCH) == "10000" and not spark.sparkContext.getConf().contains(_BATCH):  # Spark's default
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     env = spark.sparkContext.environment
     if _ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (_ROOT, env.get("PYTHONPATH", "")) if x)

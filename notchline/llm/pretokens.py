@@ -24,7 +24,7 @@ from notchline.llm.common import text_of
 
 #: Characters whose classes are the same in every Unicode version in use.
 KNOWN = r"\x{0}-\x{24F}\x{2010}-\x{2027}\x{2030}-\x{205E}\x{3041}-\x{3096}\x{30A1}-\x{30FA}\x{4E00}-\x{9FA5}"
-STORE = 64 << 20  # bytes, about
+STORE = 48 << 20  # bytes, about
 PIECE = 150  # bytes that a remembered piece takes besides its characters and ids
 STEP = 1 << 19
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from notchline.llm.common import id_text_key, stored, table, text_of, without
+from notchline.llm.common import id_text_key, stored, table, text_of, tidy, without
 from notchline.llm.components import connected_components
 
 SHINGLE = 4
@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.frombuffer(fps, dtype=">i8").astype("<i8"))], names=["id", "fp"])
 
     src = docs.select(F.col(doc_id).alias("id"), text_of(text).alias("text"))
-    return src.mapInArrow(run, T.StructType([T.StructField("id", src.schema["id"].dataType), T.StructField("fp", T.LongType())]))
+    return src.mapInArrow(tidy(run), T.StructType([T.StructField("id", src.schema["id"].dataType), T.StructField("fp", T.LongType())]))
 
 
 def _error_patterns() -> np.ndarray:
@@ -180,7 +180,7 @@ def links(fps: DataFrame, bits: int = MAX_BITS, chunk: int = CHUNK) -> DataFrame
     of ``bits`` (4 at most) or fewer differing bits connect."""
     if not 0 <= bits <= 4:
         raise ValueError("the covering is built for links of 0 to 4 bits")
-    return compare_placed(fps.select("fp").mapInArrow(_replicate, "anchor long, fp long"), bits, chunk)
+    return compare_placed(fps.select("fp").mapInArrow(tidy(_replicate), "anchor long, fp long"), bits, chunk)
 
 
 def compare_placed(placed: DataFrame, bits: int, chunk: int = CHUNK) -> DataFrame:
@@ -194,7 +194,7 @@ def compare_placed(placed: DataFrame, bits: int, chunk: int = CHUNK) -> DataFram
         .select("anchor", "salt", (F.col("salt") != F.col("own")).cast("int").alias("role"), "fp")
     )
     together = dealt.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt", "role")
-    return together.mapInArrow(_compare(bits), "u long, v long")
+    return together.mapInArrow(tidy(_compare(bits)), "u long, v long")
 
 
 def simhash_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, bits: int = MAX_BITS) -> DataFrame:

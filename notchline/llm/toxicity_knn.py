@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from notchline.llm.common import drop_stored, stored, swept, table, text_of
+from notchline.llm.common import drop_stored, stored, swept, table, text_of, tidy
 from notchline.llm.pretokens import STEP
 
 EXAMPLES = 8000
@@ -105,7 +105,7 @@ def term_rows(docs: DataFrame, terms: list[str], doc_id: str, text: str) -> Data
 
     ints = T.ArrayType(T.IntegerType(), False)
     schema = T.StructType([T.StructField("id", docs.schema[doc_id].dataType), T.StructField("term", ints), T.StructField("tf", ints)])
-    return docs.select(F.col(f"`{doc_id}`").alias("id"), text_of(f"`{text}`").alias("text")).select("id", _words().alias("words")).mapInArrow(run, schema)
+    return docs.select(F.col(f"`{doc_id}`").alias("id"), text_of(f"`{text}`").alias("text")).select("id", _words().alias("words")).mapInArrow(tidy(run), schema)
 
 
 def document_counts(rows: DataFrame, n_terms: int) -> np.ndarray:
@@ -119,7 +119,7 @@ def document_counts(rows: DataFrame, n_terms: int) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(have.astype(np.int32)), pa.array(counts[have])], names=["t", "n"])
 
     out = np.zeros(n_terms)
-    got = rows.select("term").mapInArrow(run, "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()  # a row for each vocabulary term
+    got = rows.select("term").mapInArrow(tidy(run), "t int, n long").groupBy("t").agg(F.sum("n").alias("n")).toArrow()  # a row for each vocabulary term
     out[got.column("t").to_numpy()] = got.column("n").to_numpy()
     return out
 
@@ -313,7 +313,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
             vote = m.votes(len(number), *m.neighbours(off, term, tf, number))
             yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(vote)], names=["number", "vote"])
 
-    votes = chosen.select("id", "term", "tf").repartition(docs.sparkSession.sparkContext.defaultParallelism).mapInArrow(left_out, "number long, vote double").toArrow()
+    votes = chosen.select("id", "term", "tf").repartition(docs.sparkSession.sparkContext.defaultParallelism).mapInArrow(tidy(left_out), "number long, vote double").toArrow()
     shared.destroy()
     model.fit(votes.column("number").to_numpy(), votes.column("vote").to_numpy())
     return model, rows
@@ -367,7 +367,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
             upto = pa.array(np.concatenate([[0], np.cumsum(count)]), type=pa.int32())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(score), pa.ListArray.from_arrays(upto, shown)], names=["id", "carried", "score", "evidence"])
 
-    out = rows.mapInArrow(run, schema)
+    out = rows.mapInArrow(tidy(run), schema)
     out.release = lambda: (shared.destroy(), drop_stored(rows), swept(docs.sparkSession))
     return out
 
