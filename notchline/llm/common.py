@@ -35,14 +35,19 @@ def tidy(run: Callable) -> Callable:
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):  # not every C library has it
-            ctypes.CDLL(None).malloc_trim(0)
+        give_back()
 
     return go
 
 
+def give_back() -> None:
+    """Return what this process' allocators keep to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def importable(spark: SparkSession) -> None:
     """Put this package's folder on the Python path of the tasks that follow, so that they
     can import it whatever the working folder is, and keep Arrow batches small. Where executors do not see the folder the
@@ -59,14 +64,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tables.table(spark, sf_dir, name)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back: the
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+    """Write ``df`` as Parquet (tables of texts are better off with zstd) under ``spark.checkpoint.dir`` and read it back: the
     lineage ends at files that every executor sees, so a lost executor costs
     only its own running tasks. The path is on the result as ``stored_path``."""
     spark = df.sparkSession
     importable(spark)
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     back.stored_path = path
     return back
@@ -75,7 +80,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def swept(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of plans that nothing refers to any more; else
     they stay on the executors' disks until the driver happens to collect its garbage."""
-    gc.collect()
+    give_back()
     spark.sparkContext._jvm.System.gc()
 
 

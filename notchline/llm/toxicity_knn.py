@@ -302,6 +302,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     have = [sum(v == k for v in known.values()) for k in (0, 1)]
     weights = tuple(true.get(k, 0) / have[k] if have[k] else 0.0 for k in (0, 1))
     model = Model(ids, [known[i] for i in ids], vectors, idf, weights)
+    del got, vectors
+    swept(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
