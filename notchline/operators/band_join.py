@@ -114,6 +114,9 @@ def multi_band_join(
     residual keeps only ``l >= r`` (e.g. "earlier" partners): the right side then
     needs its own bucket and the next one only. Column names of the two sides
     must be distinct.
+
+    The repeated side is never broadcast: Spark's estimate does not see the repeats (3 to the
+    number of bands), and a broadcast table is built on the driver.
     """
     lcols, rcols = [], []
     lside, rside = left, right
@@ -135,7 +138,7 @@ def multi_band_join(
         cond = cond & (F.abs(lside[lv] - rside[rv]) <= float(tol))
     if residual is not None:
         cond = cond & residual
-    out = lside.join(rside, cond, how)
+    out = lside.join(rside.hint("merge"), cond, how)
     return out.drop(*lcols, *rcols)
 
 
