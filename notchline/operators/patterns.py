@@ -4,11 +4,12 @@ The reference hands each run's points to a detector whose body is not published
 and gets back lines in polar form ``(r, theta)``. Here detection is grouped
 voting in (theta, r) bins -- the Hough transform (Duda & Hart, 1972): every point
 votes once per theta bin for the r of the line through it; every bin with enough
-votes is a line. On Spark that is two combining aggregates, the same for a run of
-any size: equal points are first counted, then each distinct point votes with its
-count, and votes are summed per bin. No run is gathered into one task for voting;
-what a run's numbering window sees is its lines, as many as the parameter space has bins
-(theta bins x the field's extent / r bin), however many points it has.
+votes is a line. On Spark that is two combining aggregates: equal points are first
+counted, then each distinct point votes with its count, and votes are summed per bin. Points are
+dealt by run into tasks of bounded size, where their votes stay (``groups``). No run larger than a task is
+gathered for voting: its votes are shuffled by bin. What a run's numbering window sees is its
+lines, as many as the parameter space has bins (theta bins x the field's extent / r bin), however
+many points it has.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from notchline import constants as C
+from notchline.operators.groups import within_groups
 
 
 def round6(v: F.Column) -> F.Column:
@@ -84,8 +86,12 @@ def detect_lines(points: DataFrame, run: str, x: str, y: str) -> DataFrame:
     """AGG-10: ``(run, line_no, theta_bin, r_bin, votes)``: every bin with at least
     MIN_VOTES votes is a line of its run, numbered from the best-voted on (ties:
     lower theta bin, then lower r bin)."""
-    lines = hough_votes(points, run, x, y).where(F.col("votes") >= C.MIN_VOTES)
-    return lines.select(run, F.row_number().over(_best_first(run)).alias("line_no"), "theta_bin", "r_bin", "votes")
+
+    def work(p: DataFrame) -> DataFrame:
+        lines = hough_votes(p, run, x, y).where(F.col("votes") >= C.MIN_VOTES)
+        return lines.select(run, F.row_number().over(_best_first(run)).alias("line_no"), "theta_bin", "r_bin", "votes")
+
+    return within_groups(points.select(run, x, y), run, work, C.THETA_BINS)
 
 
 def summarize_runs(
@@ -108,16 +114,22 @@ def summarize_runs(
 
     The vote-less row of a run and side becomes its count row: the window that
     numbers the lines also counts them, so lines stay rows, no list is gathered, and
-    there is one scan and no join."""
-    votes = hough_votes(points, run, x, y, side, sides, voting, bins, r_bin)
+    there is no join."""
     is_line = F.col("theta_bin").isNotNull()
     w = _best_first(run)  # the row without votes comes last
-    ranked = votes.where((F.col("votes") >= least_votes) | ~is_line).select(
-        "*", F.row_number().over(w).cast("string").alias("__k"), F.count("theta_bin").over(Window.partitionBy(run, "side")).cast("string").alias("__n")
-    )
     name = F.when(is_line, F.concat(F.lit(C.Q_DETECTION), F.col("__k"))).otherwise(F.lit(C.Q_COUNT))
     value = F.when(is_line, line_text("theta_bin", "r_bin")).otherwise(F.col("__n"))
-    return ranked.select(run, F.concat("side", name).alias("qualifier"), value.alias("value"))
+    own = side if isinstance(side, F.Column) else F.lit(side)
+    vote = F.lit(True) if voting is None else voting
+
+    def work(p: DataFrame) -> DataFrame:
+        votes = hough_votes(p, run, x, y, F.col("__side"), sides, F.col("__voting"), bins, r_bin)
+        ranked = votes.where((F.col("votes") >= least_votes) | ~is_line).select(
+            "*", F.row_number().over(w).cast("string").alias("__k"), F.count("theta_bin").over(Window.partitionBy(run, "side")).cast("string").alias("__n")
+        )
+        return ranked.select(run, F.concat("side", name).alias("qualifier"), value.alias("value"))
+
+    return within_groups(points.select(run, x, y, own.alias("__side"), vote.alias("__voting")), run, work, bins + len(sides))
 
 
 def line_text(theta: str, r: str) -> F.Column:
@@ -212,7 +224,6 @@ def line_peaks(points: DataFrame, run: str, x: str, y: str, bins: int = C.THETA_
 
     No join: every bin sends its votes to itself and its eight neighbours, and the greatest that
     arrives at a bin is its own where it is a peak -- one combining aggregate."""
-    cells = hough_votes(points, run, x, y, bins=bins).where(F.col("votes") >= C.MIN_VOTES)
     sent = []
     for dt in (-1, 0, 1):
         theta = F.col("theta_bin") + dt
@@ -221,12 +232,17 @@ def line_peaks(points: DataFrame, run: str, x: str, y: str, bins: int = C.THETA_
             r = F.when(over, -F.col("r_bin") - 1).otherwise(F.col("r_bin")) + dr
             sent.append(F.struct(F.pmod(theta, F.lit(bins)).alias("to_theta"), r.alias("to_r")))
     rank = F.struct("votes", (-F.col("theta_bin")).alias("t"), (-F.col("r_bin")).alias("r"))
-    arrived = cells.select(run, rank.alias("rank"), F.inline(F.array(*sent)))
-    best = arrived.groupBy(run, "to_theta", "to_r").agg(F.max("rank").alias("best"))
-    peak = best.where((F.col("best.t") == -F.col("to_theta")) & (F.col("best.r") == -F.col("to_r")))
-    named = peak.select(run, F.col("to_theta").cast("int").alias("theta_bin"), F.col("to_r").alias("r_bin"), F.col("best.votes").alias("votes"))
     w = Window.partitionBy(run).orderBy(F.col("votes").desc(), "theta_bin", "r_bin")
-    return named.select(run, F.row_number().over(w).alias("peak_no"), "theta_bin", "r_bin", "votes")
+
+    def work(p: DataFrame) -> DataFrame:
+        cells = hough_votes(p, run, x, y, bins=bins).where(F.col("votes") >= C.MIN_VOTES)
+        arrived = cells.select(run, rank.alias("rank"), F.inline(F.array(*sent)))
+        best = arrived.groupBy(run, "to_theta", "to_r").agg(F.max("rank").alias("best"))
+        peak = best.where((F.col("best.t") == -F.col("to_theta")) & (F.col("best.r") == -F.col("to_r")))
+        named = peak.select(run, F.col("to_theta").cast("int").alias("theta_bin"), F.col("to_r").alias("r_bin"), F.col("best.votes").alias("votes"))
+        return named.select(run, F.row_number().over(w).alias("peak_no"), "theta_bin", "r_bin", "votes")
+
+    return within_groups(points.select(run, x, y), run, work, bins)
 
 
 def profile_table(properties: DataFrame) -> DataFrame:
@@ -248,17 +264,22 @@ def profile_lines(points: DataFrame, profiles: DataFrame, run: str, x: str, y: s
     theta = F.col("k") * F.lit(math.pi) / F.col("angles")
     angles = profiles.select("profile", "angles", "r_bin", "least_votes", F.explode(F.sequence(F.lit(0), F.col("angles") - 1)).alias("k"))
     entry = F.struct("profile", F.col("k").alias("theta_bin"), F.cos(theta).alias("__cos"), F.sin(theta).alias("__sin"), F.col("r_bin").alias("__width"), "least_votes")
-    table = angles.agg(F.collect_list(entry).alias("a")).scalar()  # as many entries as the sets have angles
-    distinct = points.groupBy(run, x, y).agg(F.count(F.lit(1)).alias("__w"))
+    table = angles.agg(F.collect_list(entry).alias("a"))  # as many entries as the sets have angles
+    votes_each = angles.count()
     r = F.col(x) * F.col("__cos") + F.col(y) * F.col("__sin")
-    votes = (
-        distinct.select(run, x, y, "__w", table.alias("__a")).select(run, x, y, "__w", F.inline("__a"))
-        .groupBy("profile", run, "theta_bin", "least_votes", bin_of(r, F.col("__width")).alias("r_bin"))
-        .agg(F.sum("__w").alias("votes"))
-        .where(F.col("votes") >= F.col("least_votes"))
-    )
     w = Window.partitionBy("profile", run).orderBy(F.col("votes").desc(), "theta_bin", "r_bin")
-    return votes.select("profile", run, F.row_number().over(w).alias("line_no"), "theta_bin", "r_bin", "votes")
+
+    def work(p: DataFrame) -> DataFrame:
+        distinct = p.groupBy(run, x, y).agg(F.count(F.lit(1)).alias("__w"))
+        votes = (
+            distinct.select(run, x, y, "__w", table.scalar().alias("__a")).select(run, x, y, "__w", F.inline("__a"))
+            .groupBy("profile", run, "theta_bin", "least_votes", bin_of(r, F.col("__width")).alias("r_bin"))
+            .agg(F.sum("__w").alias("votes"))
+            .where(F.col("votes") >= F.col("least_votes"))
+        )
+        return votes.select("profile", run, F.row_number().over(w).alias("line_no"), "theta_bin", "r_bin", "votes")
+
+    return within_groups(points.select(run, x, y), run, work, max(1, votes_each))
 
 
 Z_BITS = 16  # bits of a cell number on each axis
@@ -281,6 +302,10 @@ def density_levels(points: DataFrame, run: str, x: str, y: str, gx: float, gy: f
     cell of the next level is four of the last, whose Z-order numbers are its own number and two bits more, so
     points are counted once, in the finest cells, and these counts are rolled up by their numbers'
     leading bits in one combining aggregate. Cell numbers are taken modulo 2^16 on each axis."""
-    finest = points.select(run, z_order(bin_of(F.col(x), gx), bin_of(F.col(y), gy)).alias("cell")).groupBy(run, "cell").agg(F.count(F.lit(1)).alias("n_points"))
     up = F.array(*[F.struct(F.lit(k).alias("level"), F.shiftright("cell", 2 * k).alias("at")) for k in range(levels)])
-    return finest.select(run, "n_points", F.inline(up)).groupBy(run, "level", F.col("at").alias("cell")).agg(F.sum("n_points").alias("n_points"))
+
+    def work(p: DataFrame) -> DataFrame:
+        finest = p.groupBy(run, "cell").agg(F.count(F.lit(1)).alias("n_points"))
+        return finest.select(run, "n_points", F.inline(up)).groupBy(run, "level", F.col("at").alias("cell")).agg(F.sum("n_points").alias("n_points"))
+
+    return within_groups(points.select(run, z_order(bin_of(F.col(x), gx), bin_of(F.col(y), gy)).alias("cell")), run, work, levels)
