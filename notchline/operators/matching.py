@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from notchline import constants as C
 from notchline.functions.geometry import angle_ok
 from notchline.operators.band_join import band_join
+from notchline.operators.groups import within_groups
+
+STEPS = 4  # a history row is held by so many steps of a task at once: sorts and aggregates
 
 
 def band_match(
@@ -56,16 +59,16 @@ def within_band(off: float = C.OFF) -> F.Column:
 
 def latest_per_tool(history: DataFrame, runs: DataFrame, unit: str, tool: str, ts: str) -> DataFrame:
     """History of each unit up to the unit's own run time (``runs``: unit, ``run_ts``),
-    reduced to one row per (unit, tool) with its latest time. A plain aggregate:
-    partial aggregation runs before the shuffle, so a unit holding a large share of
-    the history does not land whole in one task."""
+    reduced to one row per (unit, tool) with its latest time. Units are dealt into tasks of
+    bounded size, where the join, the aggregate and what follows by unit take place; the
+    history of a larger unit is shuffled by (unit, tool), after partial aggregation, and does
+    not land whole in one task."""
     own = runs.select(unit, "run_ts")
-    return (
-        history.join(own, unit)
-        .where(F.col(ts) <= F.col("run_ts"))
-        .groupBy(unit, tool)
-        .agg(F.max(ts).alias("last_ts"))
-    )
+
+    def work(h: DataFrame) -> DataFrame:
+        return h.join(own, unit).where(F.col(ts) <= F.col("run_ts")).groupBy(unit, tool).agg(F.max(ts).alias("last_ts"))
+
+    return within_groups(history.select(unit, tool, ts), unit, work, STEPS)
 
 
 def attribute(detections: DataFrame, arms: DataFrame, held: DataFrame, on: list[str], tool: str, off: float = C.OFF) -> DataFrame:
