@@ -7,10 +7,12 @@ the first line that contains the key. Here the lookup runs once for all keys:
   (``min`` of a struct), so it combines map-side and never gathers a key's rows
   into one task;
 * ``substring_join`` finds every (needle, haystack) pair where the haystack
-  text contains the needle, exactly, through an equi-join on one q-gram of the
-  needle -- its rarest one in the haystack -- followed by the real ``contains``
-  check. No nested-loop or cartesian join is planned; candidate pairs are only
-  the haystack rows sharing that gram.
+  text contains the needle, exactly, through an equi-join on pieces of the
+  needle, followed by the real ``contains`` check. No nested-loop or cartesian join is
+  planned; candidate pairs are only the haystack rows sharing a piece. Needles of 7 characters or
+  more are met at pieces of 5 characters cut at every third place of the haystack: wherever
+  such a needle stands, one of its first three pieces is among them. A shorter
+  needle is met at one gram, its rarest one in the haystack.
 """
 
 from __future__ import annotations
@@ -21,6 +23,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Q = 3
+STEP, PIECE = 3, 5  # pieces of the haystack: one at every STEP-th place
+LONG = STEP - 1 + PIECE  # a needle as long holds a whole piece wherever it stands
+#: Up to so many different needles, the table of their pieces (three each) is broadcast; more are joined by a shuffle.
+BROADCAST_NEEDLES = 200_000
 
 
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str], payload: Sequence[str]) -> DataFrame:
@@ -45,57 +51,57 @@ def substring_join(
     """All pairs of ``needles`` x ``hay`` rows with ``hay_col`` containing
     ``needle_col`` (case-sensitive). Empty or null needles match nothing.
 
-    Each needle of length >= q is routed by its rarest q-gram (frequency counted
-    over the haystack); a shorter needle is routed by itself against the
-    haystack's grams of its own length. Column names of the two sides must not
-    collide.
+    Long needles are routed by their first pieces (see above). Of the others, each of length
+    >= q is routed by its rarest q-gram (frequency counted over the haystack), a shorter one
+    by itself against the haystack's grams of its own length. Column names of the two
+    sides must not collide.
     """
     n = F.col(needle_col)
     distinct = needles.select(n.alias("__needle")).where(
         F.col("__needle").isNotNull() & (F.length("__needle") > 0)
     ).distinct()
-    ng = distinct.select(
-        "__needle", F.explode(candidate_grams_of(F.col("__needle"), q)).alias("__g")
-    )
-    # grams go with a hash of the line, not with the line: a line is fetched only for
-    # the grams that some needle is routed by (lines of one hash all come back, and
-    # the contains test decides). Only grams that some needle has leave a line, and grams
-    # shorter than q are looked for only where a needle is that short
-    keyed = hay.withColumn("__line", F.xxhash64(hay_col))
+    # how many needles there are of each length below LONG, and of the others: 7 rows
+    sizes = {r.k: r.n for r in distinct.groupBy(F.least(F.length("__needle"), F.lit(LONG)).alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    few = sum(sizes.values()) <= BROADCAST_NEEDLES
 
-    def tagged(k: int) -> Column:
-        grams = F.transform(F.array_distinct(_grams(F.col(hay_col), k)), lambda g: F.concat(F.lit(f"{k}:"), g))
-        if k == q:
-            return grams
-        asked = distinct.agg(F.coalesce(F.max((F.length("__needle") == k).cast("int")), F.lit(0))).scalar()
-        return F.when(asked == 1, grams).otherwise(F.array().cast("array<string>"))
-
-    every = keyed.select("__line", F.explode(F.flatten(F.array(*[tagged(k) for k in range(1, q + 1)]))).alias("__g"))
-    hay_grams = every.join(ng.select("__g").distinct(), "__g", "left_semi").distinct()
-    freq = hay_grams.groupBy("__g").agg(F.count(F.lit(1)).alias("__n"))
-
-    # choose one gram per distinct needle value, then route every needle row by it
-    # grams absent from the haystack count 0: the needle can match nothing then
-    chosen = (
-        ng.join(freq, "__g", "left")
-        .groupBy("__needle")
-        .agg(F.min_by("__g", F.struct(F.coalesce(F.col("__n"), F.lit(0)), F.col("__g"))).alias("__g"))
-    )
-    routed = needles.join(chosen, n == chosen["__needle"]).drop("__needle")
+    def pieces(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if few else df
+
+    # pieces go with a hash of the line, not with the line: a line is fetched only once for a needle
+    # that may be in it (lines of one hash all come back, and the contains test decides)
+    keyed = hay.withColumn("__line", F.xxhash64(hay_col))
+    found = distinct.select("__needle", F.lit(0).cast("bigint").alias("__line")).limit(0)
+    if LONG in sizes:
+        firsts = F.array(*[F.substring("__needle", 1 + i, PIECE) for i in range(STEP)])
+        own = distinct.where(F.length("__needle") >= LONG).select("__needle", F.explode(F.array_distinct(firsts)).alias("__g"))
+        cut = F.regexp_extract_all(F.col(hay_col), F.lit(f"(?s)(?=(.{{{PIECE}}})).{{{STEP}}}"), F.lit(1))
+        found = keyed.select("__line", F.explode(cut).alias("__g")).join(pieces(own), "__g").select("__needle", "__line").distinct()
+    short = sorted(k for k in sizes if k < LONG)
+    if short:
+        ng = distinct.where(F.length("__needle") < LONG).select("__needle", F.explode(candidate_grams_of(F.col("__needle"), q)).alias("__g"))
+        every = F.flatten(F.array(*[_grams(F.col(hay_col), k) for k in sorted({min(k, q) for k in short})]))
+        grams = keyed.select("__line", F.explode(F.array_distinct(every)).alias("__g"))
+        freq = grams.join(pieces(ng.select("__g").distinct()), "__g", "left_semi").groupBy("__g").agg(F.count(F.lit(1)).alias("__n"))
+        # choose one gram per distinct needle value, then route the needle by it
+        # grams absent from the haystack count 0: the needle can match nothing then
+        chosen = (
+            ng.join(freq, "__g", "left")
+            .groupBy("__needle")
+            .agg(F.min_by("__g", F.struct(F.coalesce(F.col("__n"), F.lit(0)), F.col("__g"))).alias("__g"))
+        )
+        found = found.unionByName(grams.join(pieces(chosen), "__g").select("__needle", "__line").distinct())
     return (
-        routed.join(hay_grams, "__g")
+        needles.join(found, n == found["__needle"])
         .join(keyed, "__line")
         .where(F.col(hay_col).contains(F.col(needle_col)))
-        .drop("__g", "__line")
+        .drop("__needle", "__line")
     )
 
 
 def candidate_grams_of(n: Column, q: int = Q) -> Column:
-    """Routing grams of a needle: its q-grams, or itself when shorter than q,
-    each tagged with its length."""
-    own = F.array(F.concat(F.length(n).cast("string"), F.lit(":"), n))
-    longg = F.transform(_grams(n, q), lambda g: F.concat(F.lit(f"{q}:"), g))
-    return F.when(F.length(n) >= q, longg).otherwise(own)
+    """Routing grams of a needle: its q-grams, or itself when shorter than q. Grams of
+    different lengths differ, so lengths need no tag."""
+    return F.when(F.length(n) >= q, _grams(n, q)).otherwise(F.array(n))
 
 
 def prefix_join(

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from notchline.operators import groups
+from notchline.operators import groups, lookup
 from notchline.operators.band_join import multi_band_join
 from notchline.operators.patterns import density_levels, detect_lines, line_peaks, profile_lines, summarize_runs
 
@@ -62,3 +62,23 @@ def test_votes_do_not_cross_a_shuffle(spark, capsys, monkeypatch):
         plan = _plan(df, capsys)
         assert plan.count("Exchange hashpartitioning(run") == plan.count("REPARTITION_BY_NUM") == 1
         assert df.count() > 0
+
+
+def test_substring_join_finds_needles_of_all_lengths_at_all_places(spark, monkeypatch):
+    text = "ab\U0001f98acdefghijabcdefghijklmnaaaaaaaaaaaab"
+    hay = [(i, "x" * i + text + "y" * (i % 3)) for i in range(9)] + [(9, "abcdefg"), (10, "x" * 9 + text), (11, None), (12, "")]
+    needles = [(text[i : i + k],) for k in range(1, 13) for i in range(0, len(text) - k, 2)] + [("a" * 8,), ("a" * 8,), ("nowhere at all",), (None,), ("",)]
+    h = spark.createDataFrame(hay, "id int, line string")
+    want = sorted((n, i) for (n,) in needles for i, t in hay if n and t and n in t)
+    for few in (200_000, 0):  # pieces broadcast, and not
+        monkeypatch.setattr(lookup, "BROADCAST_NEEDLES", few)
+        out = lookup.substring_join(spark.createDataFrame(needles, "needle string"), h, "needle", "line")
+        assert out.columns == ["needle", "id", "line"]
+        assert sorted((r.needle, r.id) for r in out.collect()) == want
+
+
+def test_long_needles_read_the_lines_without_counting_grams(spark, capsys):
+    h = spark.createDataFrame([(1, "some line of text")], "id int, line string")
+    out = lookup.substring_join(spark.createDataFrame([("line of text",)], "needle string"), h, "needle", "line")
+    assert "LeftSemi" not in _plan(out, capsys)
+    assert out.count() == 1
