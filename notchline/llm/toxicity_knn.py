@@ -172,22 +172,25 @@ class BlockMax:
         dense[row[wide], column[wide]] = weight[wide]
         row, term, weight = row[~wide], term[~wide], weight[~wide]
         size = self.parts[term + 1] - self.parts[term]
-        part = _ranges(self.parts[term], size)
-        of, own = np.repeat(row, size), np.repeat(weight, size)
+        turn = np.repeat(np.arange(len(row)), size)
+        part = (self.parts[term] - (np.cumsum(size) - size))[turn] + np.arange(len(turn))
+        own, cell = weight[turn], (row * nb)[turn]
         block = self.part_block[part]
-        bound = dense @ self.column_max + np.bincount(of * nb + block, weights=own * self.part_max[part], minlength=n * nb).reshape(n, nb)
-        cosine = np.zeros((n, width))
+        bound = dense @ self.column_max + np.bincount(cell + block, weights=own * self.part_max[part], minlength=n * nb).reshape(n, nb)
+        cosine = dense @ self.matrix.T  # a block that is not read stays below its bound
+        cuts = np.searchsorted(cell, np.arange(n + 1) * nb).tolist()
 
         def read(wanted: np.ndarray) -> None:
-            for b in np.flatnonzero(wanted.any(axis=0)).tolist():
-                here = np.flatnonzero(wanted[:, b])
-                cosine[here, b * self.block : (b + 1) * self.block] = dense[here] @ self.matrix[b * self.block : (b + 1) * self.block].T
-            keep = wanted[of, block]
-            chosen = part[keep]
-            size = self.size[chosen]
-            at = _ranges(self.start[chosen], size)
-            sums = np.bincount(np.repeat(of[keep] * width, size) + self.at[at], weights=np.repeat(own[keep], size) * self.weight[at], minlength=n * width)
-            cosine.ravel()[:] += sums
+            """One query after the other: its sums stay in the cache."""
+            for q, (s, e) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+                keep = np.flatnonzero(wanted[q][block[s:e]])
+                if not len(keep):
+                    continue
+                chosen = part[s:e][keep]
+                size = self.size[chosen]
+                turn = np.repeat(np.arange(len(keep)), size)
+                at = (self.start[chosen] - (np.cumsum(size) - size))[turn] + np.arange(len(turn))
+                cosine[q] += np.bincount(self.at[at], weights=own[s:e][keep][turn] * self.weight[at], minlength=width)
             if but is not None:
                 cosine[np.arange(n), self.place[but]] = 0
 

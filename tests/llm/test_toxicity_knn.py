@@ -1,6 +1,7 @@
 """Nearest labelled examples against brute force, and held-out accuracy."""
 
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -130,3 +131,22 @@ def test_no_labels_and_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert [r.score for r in X.score_documents(spark.createDataFrame(rows, DOCS), none).collect()] == [0.0] * 20
     assert X.score_documents(spark.createDataFrame([], DOCS), none).collect() == []
+
+
+def test_search_reads_postings_of_one_query_at_a_time():
+    """Arrays as long as all postings of a batch of queries took most of the search's time and memory."""
+    rng = np.random.default_rng(11)
+
+    def vector(n: int) -> tuple[np.ndarray, np.ndarray]:
+        w = rng.random(n) + 0.1
+        return np.sort(rng.permutation(600)[:n]), w / np.sqrt((w * w).sum())
+
+    index = X.BlockMax([vector(100) for _ in range(1000)], 600)
+    queries = [vector(300) for _ in range(64)]
+    off = np.arange(65) * 300
+    term, weight = (np.concatenate([q[i] for q in queries]) for i in (0, 1))
+    tracemalloc.start()
+    index.search(off, term, weight, 16)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 << 20
