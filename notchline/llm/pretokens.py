@@ -47,30 +47,45 @@ class Store:
         self.at: dict[str, int] = {}
         self.held = 0
         self.pool = np.empty(1 << 16, dtype=np.uint32)
-        self.start, self.size = np.empty(1 << 14, dtype=np.int64), np.empty(1 << 14, dtype=np.int64)
+        self.start, self.size, self.met = (np.empty(1 << 14, dtype=np.int64) for _ in range(3))
         self.used = 0
 
+    def keep_often(self) -> None:
+        """Forget the pieces that were asked for least often, about half of the store."""
+        names, met = list(self.at), self.met[: len(self.at)]
+        few = np.sort(met)[len(met) // 2] if len(met) else 0
+        stays = np.flatnonzero(met > few)
+        kept = [names[i] for i in stays.tolist()]
+        size = self.size[stays]
+        ids = gather(self.pool, self.start[stays], size)
+        self.clear()
+        self.add(kept, ids, size)
+
+    def add(self, pieces: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n, total = len(self.at), len(ids)
+        while self.used + total > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
+        while n + len(pieces) > len(self.start):
+            self.start, self.size, self.met = (np.concatenate([x, np.empty_like(x)]) for x in (self.start, self.size, self.met))
+        self.start[n : n + len(pieces)] = self.used + np.cumsum(sizes) - sizes
+        self.size[n : n + len(pieces)] = sizes
+        self.met[n : n + len(pieces)] = 0
+        self.pool[self.used : self.used + total] = ids
+        self.used += total
+        self.held += PIECE * len(pieces) + sum(map(len, pieces)) + 4 * total
+        self.at.update(zip(pieces, range(n, n + len(pieces)), strict=True))
+
     def numbers(self, pieces: list[str]) -> np.ndarray:
         """The number of each piece; new ones are encoded first."""
+        if self.held > self.limit:
+            self.keep_often()
         new = [p for p in pieces if p not in self.at]
-        if new and self.held > self.limit:
-            self.clear()
-            new = pieces
         if new:
-            ids, sizes = self.encode(new)
-            n, total = len(self.at), len(ids)
-            while self.used + total > len(self.pool):
-                self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
-            while n + len(new) > len(self.start):
-                self.start, self.size = (np.concatenate([x, np.empty_like(x)]) for x in (self.start, self.size))
-            self.start[n : n + len(new)] = self.used + np.cumsum(sizes) - sizes
-            self.size[n : n + len(new)] = sizes
-            self.pool[self.used : self.used + total] = ids
-            self.used += total
-            self.held += PIECE * len(new) + sum(map(len, new)) + 4 * total
-            self.at.update(zip(new, range(n, n + len(new)), strict=True))
+            self.add(new, *self.encode(new))
         at = self.at
-        return np.fromiter((at[p] for p in pieces), dtype=np.int64, count=len(pieces))
+        number = np.fromiter(map(at.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+        self.met[number] += 1
+        return number
 
 
 def gather(pool: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:

@@ -43,40 +43,54 @@ WORDS = 500
 MIX = (np.uint32(2654435761), np.uint32(2246822519))
 
 
-def _by_hash(a: np.ndarray, bins_log2: int, threshold: int, turn: int) -> tuple[np.ndarray, np.ndarray]:
-    """(places whose pair occurs ``threshold`` times or more, bin of each). Of pairs that
+def _by_hash(x: np.ndarray, y: np.ndarray, bins_log2: int, threshold: int, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places in ``x`` and ``y`` whose pair occurs ``threshold`` times or more, bin of each, which places may
+    have a pair that occurs ``LEAST`` times: a pair is no more frequent than its bin). Of pairs that
     share a hash bin one is looked at in this round, the others in later ones."""
-    bins = ((a[:-1] ^ np.uint32(turn * 40503)) * MIX[0] ^ a[1:] * MIX[1]) >> np.uint32(32 - bins_log2)
-    holder = np.zeros(1 << bins_log2, dtype=np.uint32)
-    holder[bins] = np.arange(len(bins), dtype=np.uint32)
+    bins = (((x ^ np.uint32(turn * 40503)) * MIX[0] ^ y * MIX[1]) >> np.uint32(32 - bins_log2)).astype(np.intp)
+    size = np.bincount(bins, minlength=1 << bins_log2)[bins]
+    often = np.flatnonzero(size >= threshold)
+    bins = bins[often]
+    x, y = x[often], y[often]
+    holder = np.zeros(1 << bins_log2, dtype=np.intp)
+    holder[bins] = np.arange(len(bins))
     first = holder[bins]
-    same = (a[first] == a[:-1]) & (a[first + 1] == a[1:])
-    often = np.bincount(bins[same], minlength=1 << bins_log2) >= threshold
-    at = np.flatnonzero(same & often[bins])
-    return at, bins[at]
+    same = np.flatnonzero((x[first] == x) & (y[first] == y))
+    kind = bins[same]
+    good = np.bincount(kind, minlength=1 << bins_log2)[kind] >= threshold
+    return often[same[good]], kind[good], size >= LEAST
 
 
-def _by_sort(a: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+def _by_sort(x: np.ndarray, y: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The same of all pairs, numbered instead of binned."""
-    pair = a[:-1].astype(np.uint64) << np.uint64(32) | a[1:]
+    pair = x.astype(np.uint64) << np.uint64(32) | y
     order = np.argsort(pair, kind="stable")
     ranked = pair[order]
     first = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
     size = np.diff(np.append(first, len(ranked)))
-    number = np.repeat(np.where(size >= threshold, np.cumsum(size >= threshold) - 1, -1), size)
-    at = order[number >= 0]
-    back = np.argsort(at, kind="stable")
-    return at[back], number[number >= 0][back]
+    number = np.empty(len(pair), dtype=np.int64)
+    number[order] = np.repeat(np.where(size >= threshold, np.cumsum(size >= threshold) - 1, -1), size)
+    alive = np.empty(len(pair), dtype=bool)
+    alive[order] = np.repeat(size >= LEAST, size)
+    at = np.flatnonzero(number >= 0)
+    return at, number[at], alive
 
 
 def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(sequence, left parts, right parts, first symbol of each round) of ``ids`` below ``base``."""
+    """(sequence, left parts, right parts, first symbol of each round) of ``ids`` below ``base``.
+
+    ``act`` are the places whose pair may still occur ``LEAST`` times. A pair never becomes more frequent: its
+    symbols were all made in earlier rounds, and what a round makes stands in new pairs. So places of
+    rare pairs are looked at again only when a neighbour is replaced."""
     a = ids.astype(np.uint32)
     left, right, rounds, top = [], [], [], base
-    bins_log2 = max(8, min(17, len(a).bit_length()))
+    act = np.arange(max(0, len(a) - 1))
     threshold, turn, sort = max(LEAST, len(ids) >> 9), 0, False
-    while len(a) >= 2 * LEAST:
-        at, kind = _by_sort(a, threshold) if sort else _by_hash(a, bins_log2, threshold, turn)
+    while len(a) >= 2 * LEAST and len(act):
+        x, y = a[act], a[act + 1]
+        bins_log2 = max(8, min(17, len(act).bit_length()))
+        at, kind, alive = _by_sort(x, y, threshold) if sort else _by_hash(x, y, bins_log2, threshold, turn)
+        at, act = act[at], act[alive]
         turn += 1
         run = np.maximum.accumulate(np.where(np.diff(at, prepend=-2) > 1, np.arange(len(at)), 0))
         free = (np.arange(len(at)) - run) % 2 == 0  # of places that overlap, every second one
@@ -101,7 +115,13 @@ def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.nda
         rounds.append(top)
         top += int(used.sum())
         a[at] = symbol[kind]
-        a = np.delete(a, at + 1)
+        open_, stays = np.zeros(len(a), dtype=bool), np.ones(len(a), dtype=bool)
+        open_[act] = True
+        open_[at] = True
+        open_[at[at > 0] - 1] = True
+        stays[at + 1] = False
+        a, open_ = a[stays], open_[stays]
+        act = np.flatnonzero(open_[:-1])
         threshold, sort = max(LEAST, threshold >> 2), False
     empty = np.empty(0, dtype=np.uint32)
     return a, np.concatenate([empty, *left]), np.concatenate([empty, *right]), np.array(rounds, dtype=np.uint32)
@@ -176,9 +196,10 @@ class _Codec:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.splitting, self.split = self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.store = Store(self.encode)
         self.base = self.tokenizer.get_vocab_size()
         #: bytes of each token: a byte-level vocabulary spells a byte as one character
@@ -188,7 +209,8 @@ class _Codec:
 
     def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids and id counts of pre-tokens. They go to the library as the words of
-        pre-split texts; running byte lengths tell where a word's ids end."""
+        pre-split texts, which it need not split again; running byte lengths tell where a word's ids end."""
+        self.tokenizer.pre_tokenizer = self.split
         texts = [pieces[i : i + WORDS] for i in range(0, len(pieces), WORDS)]
         got = self.tokenizer.encode_batch_fast(texts, is_pretokenized=True, add_special_tokens=False)
         ids = np.concatenate([np.array(e.ids, dtype=np.uint32) for e in got])
@@ -202,6 +224,7 @@ class _Codec:
         return cls._open[path]
 
     def whole(self, text: str) -> list[int]:
+        self.tokenizer.pre_tokenizer = self.splitting
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     @staticmethod

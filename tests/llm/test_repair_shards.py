@@ -8,6 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from notchline.llm import repair_shards as R
+from notchline.llm.pretokens import Store
 
 from .test_bpe_backtrack import ODD
 
@@ -82,3 +83,35 @@ def test_one_id_is_dealt_over_many_tasks(spark, tmp_path):
     got = sorted((r.start, r.n_tokens, r.id) for r in R.read_documents(spark, out).collect())
     assert len(got) == 4000 and [r[2] for r in got] == [None] * 2000 + [7] * 2000
     assert all(a[0] + a[1] == b[0] for a, b in zip(got, got[1:], strict=False))
+
+
+def test_rounds_look_at_rare_pairs_once(monkeypatch):
+    """Every round went over the whole sequence; pairs too rare to be replaced stay so until a neighbour is."""
+    rng = np.random.default_rng(8)
+    words = [rng.integers(0, 20000, rng.integers(2, 9)) for _ in range(3000)]
+    ids = np.concatenate([np.append(words[i % 3000], j % 20000) for j, i in enumerate(rng.zipf(1.2, 20000))]).astype(np.uint32)
+    looked = []
+    for name in ("_by_hash", "_by_sort"):
+        monkeypatch.setattr(R, name, lambda a, *rest, _do=getattr(R, name): looked.append(len(a)) or _do(a, *rest))
+    seq, left, right, rounds = R.compress(ids, 20000)
+    assert (R.expand(seq, left, right, rounds, 20000) == ids).all() and len(rounds) > 5
+    assert sum(looked) < 3.5 * len(ids)
+
+
+def test_store_keeps_the_pieces_met_often():
+    """A full store was emptied, and frequent pieces were encoded again each time."""
+    asked = []
+
+    def encode(pieces):
+        asked.extend(pieces)
+        sizes = np.array([len(p) for p in pieces])
+        return np.frombuffer("".join(pieces).encode(), dtype=np.uint8).astype(np.uint32), sizes
+
+    store = Store(encode)
+    store.limit = 20000
+    for i in range(100):
+        pieces = ["the", "of", *(f"rare{i}-{k}" for k in range(20)), ""]
+        number = store.numbers(pieces)
+        got = [bytes(store.pool[s : s + n].astype(np.uint8)).decode() for s, n in zip(store.start[number], store.size[number], strict=True)]
+        assert got == pieces and store.held < 2 * store.limit
+    assert asked.count("the") == 1
