@@ -9,6 +9,9 @@ distinct pieces only. What a worker remembers is bounded by ``STORE`` bytes.
 Splitting patterns use character classes whose members differ between Unicode
 versions. Texts with a character outside ``KNOWN`` (where the versions agree) go
 through the tokenizer's own splitter whole; the result is the same, only slower.
+
+Texts to be split by ``BYTE_LEVEL`` need not be split in the JVM: ``split_texts`` finds the places of a batch's
+pieces side by side and leaves the bytes where they are.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +31,12 @@ KNOWN = r"\x{0}-\x{24F}\x{2010}-\x{2027}\x{2030}-\x{205E}\x{3041}-\x{3096}\x{30A
 STORE = 48 << 20  # bytes, about
 PIECE = 150  # bytes that a remembered piece takes besides its characters and ids
 STEP = 1 << 19
+SPAN = 1 << 21  # bytes of texts split side by side
+
+#: The pattern that ``split_texts`` splits by.
+BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+_SPACE, _LETTER, _NUMBER, _OTHER, _ODD = range(5)
+_classes: list[np.ndarray] = []
 
 
 def flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -94,6 +104,86 @@ def gather(pool: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return pool[np.repeat(start - before, size) + np.arange(int(size.sum()))]
 
 
+def classes() -> np.ndarray:
+    """The class of each character below U+10000; ``_ODD`` outside ``KNOWN``."""
+    if not _classes:
+        out = np.full(1 << 16, _ODD, dtype=np.uint8)
+        ends = [int(x, 16) for x in regex.findall(r"\{(\w+)\}", KNOWN)]
+        every = "".join(chr(c) for a, z in zip(ends[::2], ends[1::2], strict=True) for c in range(a, z + 1))
+        for number, which in enumerate((r"\s", r"\p{L}", r"\p{N}", r"[^\s\p{L}\p{N}]")):
+            out[[ord(c) for c in regex.findall(which, every)]] = number
+        _classes.append(out)
+    return _classes[0]
+
+
+def piece_starts(raw: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the places in the bytes ``raw`` where a piece begins, places of bytes of characters outside ``KNOWN``);
+    ``docs``: the places where texts that are not empty begin. Every byte of a character has the character's class."""
+    table, n = classes(), len(raw)
+    kind = np.where(raw < 128, table[raw], np.uint8(_ODD))
+    lead = np.flatnonzero(raw >= 0xC2)
+    if len(lead):
+        padded = np.append(raw, np.zeros(2, dtype=np.uint8)).astype(np.uint32)
+        b = padded[lead]
+        for size, at in ((2, lead[b < 0xE0]), (3, lead[(b >= 0xE0) & (b < 0xF0)])):
+            code = padded[at] & np.uint32(0x1F if size == 2 else 0x0F)
+            for k in range(1, size):
+                code = code << np.uint32(6) | padded[at + k] & np.uint32(63)
+            for k in range(size):
+                kind[np.minimum(at + k, n - 1)] = table[code]
+    starts = np.empty(n, dtype=bool)
+    starts[:1] = True
+    np.not_equal(kind[1:], kind[:-1], out=starts[1:])
+    opens = np.zeros(n + 2, dtype=bool)
+    opens[docs], opens[n:] = True, True
+    # of white space before other characters the last one is apart, a blank goes with what follows
+    after = np.flatnonzero(starts[1:] & (kind[:-1] == _SPACE) & ~opens[1:n]) + 1
+    last = after - 1
+    starts[last - (raw[last] >= 128)] = True
+    starts[after[raw[last] == 32]] = False
+    starts[docs] = True
+    # an apostrophe that begins a piece, and letters that go with it
+    at = np.flatnonzero((raw[:-1] == 39) & starts[:-1])
+    at = at[~opens[at + 1]]
+    one, two = raw[at + 1], np.append(raw, np.uint8(0))[at + 2]
+    short = np.isin(one, np.frombuffer(b"stmd", dtype=np.uint8))
+    long = ((one == 114) | (one == 118)) & (two == 101) | (one == 108) & (two == 108)
+    long &= ~opens[at + 2]
+    for chosen, size in ((short, 2), (long, 3)):
+        starts[at[chosen] + 1] = False
+        ends = at[chosen] + size
+        starts[ends[ends < n]] = True
+    return np.flatnonzero(starts), np.flatnonzero(kind == _ODD)
+
+
+def split_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, pieces, whole), as of ``pieces_of`` with ``BYTE_LEVEL``, of (id, text, whether the tokenizer must split it)."""
+    for b in batches:
+        texts = b.column(1).cast(pa.string())
+        data = texts.buffers()[2]
+        off = np.frombuffer(texts.buffers()[1], dtype=np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+        row = 0
+        while row < b.num_rows:
+            end = max(row + 1, int(np.searchsorted(off, off[row] + SPAN, side="right")) - 1)
+            own = off[row : end + 1] - off[row]
+            size, whole = int(own[-1]), b.column(2).slice(row, end - row).to_numpy(zero_copy_only=False).copy()
+            at, upto, pieces = np.empty(0, dtype=np.int64), np.zeros(end - row + 1, dtype=np.int64), pa.array([], type=pa.string())
+            if size:
+                raw = np.frombuffer(data, dtype=np.uint8, count=size, offset=int(off[row]))
+                at, odd = piece_starts(raw, own[:-1][np.diff(own) > 0])
+                whole[np.searchsorted(own, odd, side="right") - 1] = True
+                ends = pa.py_buffer((np.append(at, size) + off[row]).astype(np.int32))
+                pieces, upto = pa.StringArray.from_buffers(len(at), ends, data), np.searchsorted(at, own)
+            if whole.any():
+                number = np.where(whole, 0, np.diff(upto))
+                pieces = pieces.filter(pa.array(np.repeat(~whole, np.diff(upto))))
+                upto = np.concatenate([[0], np.cumsum(number)])
+            lists = pa.ListArray.from_arrays(pa.array(upto, type=pa.int32()), pieces)
+            some = texts.take(pa.array(np.arange(row, end), mask=~whole))
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(row, end - row), lists, some], names=["id", "pieces", "whole"])
+            row = end
+
+
 def pieces_of(docs: DataFrame, pattern: str | None, doc_id: str, text: str, split: Column | None = None, added: list[str] | None = None) -> DataFrame:
     """(id, pieces, whole): pieces of the text by ``pattern`` (or by ``split``, an array
     expression over ``text``); ``whole`` has the texts that the tokenizer must split, such as those that hold one of

@@ -24,6 +24,8 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from notchline.llm.common import scratch_path, table, text_of
-from notchline.llm.pretokens import Store, encoded, gather, pieces_of
+from notchline.llm.pretokens import BYTE_LEVEL, Store, encoded, gather, pieces_of, split_texts
 
 SHARD = 1 << 18
 LEAST = 8
@@ -259,7 +261,8 @@ def write_shards(docs: DataFrame, out: str, tokenizer: str, pattern: str, end_id
             held, rows, before, seq, n = [], [], before + len(ids), seq + 1, 0
             return out
 
-        for ids_of_rows, tokens, upto in encoded(batches, codec.store, codec.whole):
+        split = split_texts(batches) if pattern == BYTE_LEVEL else batches
+        for ids_of_rows, tokens, upto in encoded(split, codec.store, codec.whole):
             sizes = np.diff(upto) + 1
             ends = np.cumsum(sizes)
             k = 0
@@ -282,7 +285,13 @@ def write_shards(docs: DataFrame, out: str, tokenizer: str, pattern: str, end_id
     # rows that are alike up to here are dealt by their hash, and equal rows by their number
     spread = [F.substring("text", 1, TIES), F.xxhash64("text"), F.monotonically_increasing_id() % 1024]
     ordered = src.withColumns({f"__{i}": c for i, c in enumerate(spread)}).repartitionByRange("id", "__0", "__1", "__2").sortWithinPartitions("id", "__0", "text")
-    pieces_of(ordered, pattern, "id", "text", added=_Codec.added(tokenizer)).mapInArrow(run, schema).write.parquet(out)
+    added = _Codec.added(tokenizer)
+    if pattern == BYTE_LEVEL:
+        whole = reduce(or_, [F.col("text").contains(t) for t in added], F.lit(False))
+        rows = ordered.select("id", "text", whole.alias("whole"))
+    else:
+        rows = pieces_of(ordered, pattern, "id", "text", added=added)
+    rows.mapInArrow(run, schema).write.parquet(out)
 
 
 def _shards(b: pa.RecordBatch) -> Iterator[tuple[dict, Shard]]:

@@ -4,9 +4,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
+import regex
 from tokenizers import Tokenizer
 
+from notchline.llm import pretokens
 from notchline.llm import repair_shards as R
 from notchline.llm.pretokens import Store
 
@@ -115,3 +118,26 @@ def test_store_keeps_the_pieces_met_often():
         got = [bytes(store.pool[s : s + n].astype(np.uint8)).decode() for s, n in zip(store.start[number], store.size[number], strict=True)]
         assert got == pieces and store.held < 2 * store.limit
     assert asked.count("the") == 1
+
+
+def test_texts_are_split_side_by_side(spark, tmp_path, monkeypatch):
+    """Each piece was cut by itself in the JVM and copied out of its text."""
+    rng = np.random.default_rng(11)
+    parts = ["'", "'s", "'t", "'re", "'ve", "'m", "'ll", "'d", "'S", " ", "  ", "\n", "\t", "\r\n", "\x0b", "\x1c", "\x85", "\xa0", "a", "Zé", "ll", "e", "rest", "7", "²", "½", "_", "!", "--", "…", "“", "漢字", "かな", "カ", "", "ª", "x\u00ad", "\x00"]
+    texts = ["".join(rng.choice(parts, rng.integers(0, 12))) for _ in range(4000)] + [c for c in parts if c]
+    odd = ["Ж", "a 😀 b", "e\u0301", "\u2028", "ab\uffff", " \u202f"]
+    rows = [(i, t, False) for i, t in enumerate(texts + odd)] + [(-1, "as is", True), (-2, "", True)]
+    rows = [rows[i] for i in rng.permutation(len(rows)).tolist()]
+    pattern = regex.compile(P.PATTERN)
+    for span, step in ((1 << 21, 5000), (300, 1000), (1, 1000)):
+        monkeypatch.setattr(pretokens, "SPAN", span)
+        batches = (pa.RecordBatch.from_arrays([pa.array(x, type=t) for x, t in zip(zip(*rows[k : k + step], strict=True), (pa.int64(), pa.string(), pa.bool_()), strict=True)], names=["id", "text", "whole"]).slice(3) for k in range(0, len(rows), step))
+        got = {r["id"]: (r["pieces"], r["whole"]) for b in pretokens.split_texts(batches) for r in b.to_pylist()}
+        want = {i: ([], t) if whole or t in odd else (pattern.findall(t), None) for k in range(0, len(rows), step) for i, t, whole in rows[k + 3 : k + step]}
+        assert got == want
+    seen = []
+    monkeypatch.setattr(R, "pieces_of", lambda *a, **b: seen.append(a) or pretokens.pieces_of(*a, **b))
+    R.write_shards(spark.createDataFrame(rows, "doc_id long, text string, whole boolean"), str(tmp_path / "x"), PATH, P.PATTERN)
+    R.write_shards(spark.createDataFrame(rows, "doc_id long, text string, whole boolean"), str(tmp_path / "y"), PATH, f"(?:{P.PATTERN})")
+    assert len(seen) == 1
+    assert R.read_documents(spark, str(tmp_path / "x")).orderBy("id").collect() == R.read_documents(spark, str(tmp_path / "y")).orderBy("id").collect()
