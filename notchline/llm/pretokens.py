@@ -17,6 +17,7 @@ pieces side by side and leaves the bytes where they are.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -86,14 +87,15 @@ class Store:
         self.at.update(zip(pieces, range(n, n + len(pieces)), strict=True))
 
     def numbers(self, pieces: list[str]) -> np.ndarray:
-        """The number of each piece; new ones are encoded first."""
+        """The number of each piece (no piece twice); new ones are encoded first."""
         if self.held > self.limit:
             self.keep_often()
-        new = [p for p in pieces if p not in self.at]
-        if new:
+        number = np.fromiter(map(self.at.get, pieces, repeat(-1)), dtype=np.int64, count=len(pieces))
+        missing = np.flatnonzero(number < 0)
+        if len(missing):
+            number[missing] = len(self.at) + np.arange(len(missing))
+            new = [pieces[i] for i in missing.tolist()]
             self.add(new, *self.encode(new))
-        at = self.at
-        number = np.fromiter(map(at.__getitem__, pieces), dtype=np.int64, count=len(pieces))
         self.met[number] += 1
         return number
 
@@ -209,7 +211,7 @@ def encoded(batches: Iterator[pa.RecordBatch], store: Store, whole: Callable[[st
             end = max(row + 1, int(np.searchsorted(off, off[row] + STEP, side="right")) - 1)
             part = b.slice(row, end - row)
             pieces = b.column(1).values.slice(int(off[row]), int(off[end] - off[row])).dictionary_encode()
-            number = store.numbers(pieces.dictionary.to_pylist())[pieces.indices.to_numpy(zero_copy_only=False)]
+            number = store.numbers(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())[pieces.indices.to_numpy(zero_copy_only=False)]
             size = store.size[number]
             tokens = gather(store.pool, store.start[number], size)
             upto = np.concatenate([[0], np.cumsum(size)])[off[row : end + 1] - off[row]]

@@ -141,3 +141,28 @@ def test_texts_are_split_side_by_side(spark, tmp_path, monkeypatch):
     R.write_shards(spark.createDataFrame(rows, "doc_id long, text string, whole boolean"), str(tmp_path / "y"), PATH, f"(?:{P.PATTERN})")
     assert len(seen) == 1
     assert R.read_documents(spark, str(tmp_path / "x")).orderBy("id").collect() == R.read_documents(spark, str(tmp_path / "y")).orderBy("id").collect()
+
+
+def test_a_piece_is_looked_up_once_a_run():
+    """The store was searched twice for each piece."""
+    looked = []
+
+    class Seen(dict):
+        def get(self, key, other=None):
+            looked.append(key)
+            return super().get(key, other)
+
+        def __contains__(self, key):
+            looked.append(key)
+            return super().__contains__(key)
+
+        def __getitem__(self, key):
+            looked.append(key)
+            return super().__getitem__(key)
+
+    store = Store(lambda pieces: (np.array([len(p) for p in pieces], dtype=np.uint32), np.ones(len(pieces), dtype=np.int64)))
+    store.at = Seen()
+    texts = pa.array([f"some words {i % 7} here " * 100 for i in range(400)])
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400)), texts, pa.array([False] * 400)], names=["id", "text", "whole"])
+    got = [tokens for _, tokens, _ in pretokens.encoded(pretokens.split_texts(iter([batch])), store, None)]
+    assert len(got) == 1 and got[0].sum() == sum(map(len, texts.to_pylist())) and len(looked) == len(set(looked))
